@@ -22,18 +22,25 @@ PRODUCT_HEADER = '"id"'
 GOLD_HEADER = '"idAmazon"'
 MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 
-# White space never occurs inside a captured group, so a line feed can separate
-# the groups after one pass of the pattern.
+# A line holds no line feed, so one can separate the groups of a match.
 _SEPARATOR = "\n"
 
 
-def _groups(column: Column, pattern: str, count: int) -> Column:
-    """All capture groups of an anchored pattern as an array, by one regex pass.
+def _match(lines: DataFrame, column: str, pattern: str, count: int) -> DataFrame:
+    """(value, g): the capture groups of an anchored pattern, by one regex pass.
 
-    A line that does not match stays whole and gives an array of one element.
+    A line that does not match gives an array of one element.  The one-row
+    explode keeps later filters from repeating the regex pass.
     """
+    value = F.col(column)
     joined = _SEPARATOR.join(f"${i}" for i in range(1, count + 1))
-    return F.split(F.regexp_replace(column, f"(?s){pattern}.*", F.lit(joined)), _SEPARATOR)
+    groups = F.split(F.regexp_replace(value, f"(?d){pattern}[\\s\\S]*", F.lit(joined)), _SEPARATOR)
+    one_line = F.when(~value.contains(_SEPARATOR), groups)
+    return lines.select(value.alias("value"), F.explode(F.array(one_line)).alias("g"))
+
+
+def _matched(count: int) -> Column:
+    return F.coalesce(F.size("g") == count, F.lit(False))
 
 
 def _when_ok(df: DataFrame, fields: Mapping[str, Column], keep: list[str]) -> DataFrame:
@@ -49,9 +56,9 @@ def log_time(text: Column) -> Column:
     at = F.instr(F.lit(MONTHS), F.substring(text, 4, 3))
     month = F.when((F.length(F.substring(text, 4, 3)) == 3) & (at % 3 == 1),
                    F.floor((at + 2) / 3).cast("int"))
-    return F.try_make_timestamp_ntz(number(8, 4), month, number(1, 2),
-                                    number(13, 2), number(16, 2),
-                                    number(19, 2).cast("decimal(8,6)"))
+    second = F.when(number(19, 2) < 60, number(19, 2)).cast("decimal(8,6)")
+    return F.try_make_timestamp_ntz(number(8, 4), month, number(1, 2), number(13, 2),
+                                    number(16, 2), second)
 
 
 def parse_access_log(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -60,10 +67,7 @@ def parse_access_log(lines: DataFrame, column: str = "value") -> DataFrame:
     The pattern is anchored at the start only, so trailing text is accepted.  A
     line that matches but holds an impossible time or size is ``invalid`` too.
     """
-    value = F.col(column)
-    raw = lines.select(value.alias("value"),
-                       F.when(~value.contains(_SEPARATOR),
-                              _groups(value, ACCESS_LOG_PATTERN, 9)).alias("g"))
+    raw = _match(lines, column, ACCESS_LOG_PATTERN, 9)
     g = [F.get("g", F.lit(i)) for i in range(9)]  # all null past 0 if unmatched
     typed = raw.select(
         "value", "g",
@@ -90,28 +94,21 @@ def parse_products(lines: DataFrame, column: str = "value") -> DataFrame:
 
     ``text`` joins name, description and manufacturer; the price is dropped.
     """
-    value = F.col(column)
-
-    def group(i: int) -> Column:
-        return F.regexp_extract(value, PRODUCT_PATTERN, i)
-
-    status = (F.when(~value.rlike(PRODUCT_PATTERN), "invalid")
-              .when(group(1) == PRODUCT_HEADER, "header").otherwise("ok"))
-    return _when_ok(lines.select(value.alias("value"), status.alias("status")),
-                    {"id": strip_quotes(_of_value(PRODUCT_PATTERN, 1)),
-                     "text": F.concat_ws(" ", *[_of_value(PRODUCT_PATTERN, i)
-                                                for i in (2, 3, 4)])}, ["value"])
+    g = [F.get("g", F.lit(i)) for i in range(5)]
+    status = (F.when(~_matched(5), "invalid").when(g[0] == PRODUCT_HEADER, "header")
+              .otherwise("ok"))
+    parsed = _match(lines, column, PRODUCT_PATTERN, 5).withColumn("status", status)
+    return _when_ok(parsed, {"id": strip_quotes(g[0]), "text": F.concat_ws(" ", *g[1:4])},
+                    ["value"])
 
 
 def parse_gold_pairs(lines: DataFrame, column: str = "value") -> DataFrame:
     """``"id_a","id_b"`` lines naming true matches."""
-    value = F.col(column)
-    status = (F.when(~value.rlike(GOLD_PATTERN), "invalid")
-              .when(F.regexp_extract(value, GOLD_PATTERN, 1) == GOLD_HEADER, "header")
+    g = [F.get("g", F.lit(i)) for i in range(2)]
+    status = (F.when(~_matched(2), "invalid").when(g[0] == GOLD_HEADER, "header")
               .otherwise("ok"))
-    return _when_ok(lines.select(value.alias("value"), status.alias("status")),
-                    {"id_a": strip_quotes(_of_value(GOLD_PATTERN, 1)),
-                     "id_b": strip_quotes(_of_value(GOLD_PATTERN, 2))}, ["value"])
+    parsed = _match(lines, column, GOLD_PATTERN, 2).withColumn("status", status)
+    return _when_ok(parsed, {"id_a": strip_quotes(g[0]), "id_b": strip_quotes(g[1])}, ["value"])
 
 
 def parse_ratings(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -128,8 +125,9 @@ def parse_movies(lines: DataFrame, column: str = "value") -> DataFrame:
 def _parse_fields(lines: DataFrame, column: str,
                   fields: Mapping[str, tuple[int, str]]) -> DataFrame:
     parts = F.split(F.col(column), "::")
-    typed = lines.select(F.col(column).alias("value"),
-                         *[F.get(parts, F.lit(i)).try_cast(kind).alias(name)
+    split = lines.select(F.col(column).alias("value"), F.explode(F.array(parts)).alias("g"))
+    typed = split.select("value",
+                         *[F.get("g", F.lit(i)).try_cast(kind).alias(name)
                            for name, (i, kind) in fields.items()])
     good = F.lit(True)
     for name in fields:
@@ -138,10 +136,6 @@ def _parse_fields(lines: DataFrame, column: str,
     return _when_ok(typed, {name: F.col(name) for name in fields}, ["value"])
 
 
-def _of_value(pattern: str, group: int) -> Column:
-    return F.regexp_extract("value", pattern, group)
-
-
 def valid(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("status") == "ok").drop("status", "value")
 

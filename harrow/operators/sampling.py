@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harrow.functions.hashing import stable_hash, unit_interval
 
-INDEX_GROUP_ROWS = 100_000
+GROUP_ROWS = 100_000   # rows per hash group
+RUN_ROWS = 10_000      # copies of one row kept together
+STRETCH_ROWS = 1_000   # positions a draw has to look through
 
 
 def hash_split(df: DataFrame, keys: Sequence[str], weights: Sequence[float],
@@ -34,35 +36,44 @@ def random_split(df: DataFrame, weights: Sequence[float], seed: int = 0) -> list
     return df.randomSplit([float(w) for w in weights], seed)
 
 
-def with_row_index(df: DataFrame, keys: Sequence[str], name: str = "row_index",
-                   group_rows: int = INDEX_GROUP_ROWS) -> DataFrame:
-    """Number all rows 0, 1, 2, ... by a unique key, without a global sort.
-
-    Rows are dealt into hash groups of about ``group_rows``; a group's start is
-    the running total of the group sizes.  The number depends on the data only,
-    so a task that is run again numbers its rows the same way.
-    """
-    n_groups = df.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / group_rows))).scalar()
-    grouped = df.withColumn("_group", stable_hash(0, *keys) % n_groups)
-    sizes = grouped.groupBy("_group").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_group", F.coalesce(F.sum("_n").over(before),
-                                               F.lit(0)).alias("_start"))
-    place = F.row_number().over(Window.partitionBy("_group").orderBy(*keys))
-    return (grouped.withColumn("_place", place).join(starts, "_group")
-            .withColumn(name, F.col("_start") + F.col("_place") - 1)
-            .drop("_group", "_place", "_start"))
-
-
-def sample_with_replacement(df: DataFrame, keys: Sequence[str], n: int,
-                            seed: int = 0) -> DataFrame:
+def sample_with_replacement(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
     """Exactly ``n`` rows drawn evenly with replacement, numbered by ``draw``.
 
-    Only the unique ``keys`` are indexed; the full rows are fetched for the
-    drawn keys.
+    Equal rows are counted and cut into runs of at most ``RUN_ROWS``, so a row
+    with many copies is no hot spot.  Runs are dealt into hash groups and laid
+    end to end; each draw is a position on that line.  The outcome depends on the
+    seed and the rows only, so a task that is run again repeats it.
     """
+    columns = df.columns
     size = df.agg(F.nullif(F.count("*"), F.lit(0))).scalar()
+    counted = df.groupBy(*columns).agg(F.count("*").alias("_n"))
+    runs = counted.withColumn("_run", F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / RUN_ROWS))))
+    n_groups = df.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / GROUP_ROWS))).scalar()
+    runs = (runs.withColumn("_rows", F.least(F.lit(RUN_ROWS),
+                                             F.col("_n") - F.col("_run") * RUN_ROWS))
+            .withColumn("_group", stable_hash(0, *columns, "_run") % n_groups))
+
+    group_sizes = runs.groupBy("_group").agg(F.sum("_rows").alias("_n"))
+    group_starts = group_sizes.select("_group", _sum_before(
+        "_n", Window.orderBy("_group")).alias("_group_start"))
+    within = Window.partitionBy("_group").orderBy(*columns, "_run")
+    placed = (runs.withColumn("_offset", _sum_before("_rows", within))
+              .join(group_starts, "_group")
+              .withColumn("_start", F.col("_group_start") + F.col("_offset"))
+              .withColumn("_end", F.col("_start") + F.col("_rows"))
+              .select(*columns, "_start", "_end"))
+
+    # A draw meets only the runs of its stretch of the line.
+    stretches = placed.withColumn("_stretch", F.explode(F.sequence(
+        F.floor(F.col("_start") / STRETCH_ROWS), F.floor((F.col("_end") - 1) / STRETCH_ROWS))))
     draws = df.sparkSession.range(n).select(
-        F.col("id").alias("draw"), (stable_hash(seed, "id") % size).alias("row_index"))
-    drawn = with_row_index(df.select(*keys), keys).join(draws, "row_index")
-    return drawn.drop("row_index").join(df, list(keys))
+        F.col("id").alias("draw"), (stable_hash(seed, "id") % size).alias("_position"))
+    draws = draws.withColumn("_stretch", F.floor(F.col("_position") / STRETCH_ROWS))
+    hit = (F.col("_start") <= F.col("_position")) & (F.col("_position") < F.col("_end"))
+    return stretches.join(draws, "_stretch").filter(hit).select("draw", *columns)
+
+
+def _sum_before(column: str, window) -> Column:
+    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(column).over(earlier), F.lit(0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from harrow.operators import relational as rel
-from harrow.operators.sampling import INDEX_GROUP_ROWS, sample_with_replacement
+from harrow.operators.sampling import GROUP_ROWS, RUN_ROWS, sample_with_replacement
 from harrow.plans.inputs import NAMES_SQL, TRIPS_SQL, names, table, trip_lines, trips
 from harrow.sources import register_views, split_lines
 from harrow.sources.readers import json_elements
@@ -14,7 +14,7 @@ BUSY_TRIPS = 15_000
 PIECE_ROWS = 500
 SAMPLE_ROWS = 1_000
 SAMPLE_SEED = 7
-LINE_KEY = ["l_orderkey", "l_linenumber"]
+SAMPLE_COLUMNS = ["l_partkey", "l_suppkey", "l_linenumber"]
 
 
 def _fields(spark, sf_dir):
@@ -64,9 +64,9 @@ def _lengths(spark, sf_dir):
 
 
 def _sample(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem")
-    return sample_with_replacement(lines, LINE_KEY, SAMPLE_ROWS, SAMPLE_SEED).select(
-        "draw", *LINE_KEY, "l_partkey", "l_quantity")
+    """Drawn from rows with many copies."""
+    lines = table(spark, sf_dir, "lineitem").select(*SAMPLE_COLUMNS)
+    return sample_with_replacement(lines, SAMPLE_ROWS, SAMPLE_SEED)
 
 
 def _partition_sums(spark, sf_dir):
@@ -144,6 +144,9 @@ customers AS (SELECT c_custkey AS custkey FROM customer)
 """
 
 
+_COLUMNS = ", ".join(SAMPLE_COLUMNS)
+
+
 def _hash_sql(seed, *columns):
     text = " || ':' || ".join([f"'{seed}'", *columns])
     return f"CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT)"
@@ -184,16 +187,18 @@ SELECT custkey FROM customers WHERE custkey NOT IN (SELECT custkey FROM buyers)"
     "core_partition_sums": """SELECT count(*) AS n, CAST(sum(l_partkey) AS BIGINT) AS total
 FROM lineitem""",
     "core_sample": f"""WITH size AS (
-  SELECT count(*) AS n, greatest(1, CAST(ceil(count(*) / {INDEX_GROUP_ROWS}.0) AS BIGINT)) AS groups
+  SELECT count(*) AS n, greatest(1, CAST(ceil(count(*) / {GROUP_ROWS}.0) AS BIGINT)) AS groups
+  FROM lineitem),
+copies AS (
+  SELECT {_COLUMNS}, (row_number() OVER (PARTITION BY {_COLUMNS}) - 1) // {RUN_ROWS} AS run
   FROM lineitem),
 numbered AS (
-  SELECT l.*, row_number() OVER (ORDER BY {_hash_sql(0, *LINE_KEY)} % size.groups,
-    l_orderkey, l_linenumber) - 1 AS row_index FROM lineitem l, size),
+  SELECT c.*, row_number() OVER (ORDER BY {_hash_sql(0, *SAMPLE_COLUMNS, "run")} % size.groups,
+    {_COLUMNS}, run) - 1 AS position FROM copies c, size),
 draws AS (
-  SELECT range AS draw, {_hash_sql(SAMPLE_SEED, 'range')} % size.n AS row_index
+  SELECT range AS draw, {_hash_sql(SAMPLE_SEED, 'range')} % size.n AS position
   FROM range({SAMPLE_ROWS}), size)
-SELECT draw, l_orderkey, l_linenumber, l_partkey, l_quantity
-FROM draws JOIN numbered USING (row_index)""",
+SELECT draw, {_COLUMNS} FROM draws JOIN numbered USING (position)""",
     **{name: f"WITH {TRIPS_SQL},{NAMES_SQL}\n{text}" for name, text in SQL_TEXTS.items()},
     "json_props": """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k
 FROM events""",
