@@ -162,6 +162,8 @@ def _with_copies(pairs: DataFrame, index: PairIndex, side: str) -> DataFrame:
     spread = pairs.withColumn("_slot", F.explode(slots))
     joined = spread.join(members, (F.col(own) == F.col("_text"))
                          & (spread["_slot"] == members["_slot"]), "left")
+    # A slot may hold no member; the pair then comes from the other slots.
+    joined = joined.filter((F.col(copies) == 1) | F.col("_member").isNotNull())
     keep = [F.col(c) for c in pairs.columns if c not in (own, copies)]
     return joined.select(F.coalesce("_member", F.col(own)).alias(own), *keep)
 

@@ -77,7 +77,7 @@ def inverse_document_frequency(records: DataFrame,
     """(token, idf), idf = records / records holding the word, with no logarithm."""
     n_records = records.agg(F.count_distinct("id")).scalar()
     holding = (inverted_pairs(records, stop_words)
-               .groupBy("token").agg(F.count_distinct("id").alias("df")))
+               .groupBy("token").agg(F.count("*").alias("df")))
     return holding.select("token", (n_records / F.col("df")).alias("idf"))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from harrow.functions.text import tokenize
 from harrow.operators.skew import join_facts, join_pairs
 from harrow.session import materialize
+from harrow.sources import spread
 
 # Common English words left out of the text vectors.
 STOP_WORDS = ("a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "is",
@@ -39,7 +40,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"), ' +0000] "GET /',
                  F.col("event_type"), "/", event % 20, ' HTTP/1.0" ', code, " ", size)
     value = F.when(event % 97 == 0, F.translate(line, '"', "")).otherwise(line)
-    return table(spark, sf_dir, "events").select(value.alias("value"))
+    return spread(table(spark, sf_dir, "events")).select(value.alias("value"))
 
 
 LOG_LINES_SQL = r"""
@@ -179,7 +180,8 @@ items AS (SELECT CAST(p_partkey AS INTEGER) AS item, p_name AS title FROM part)"
 # Text collections -------------------------------------------------------------
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return spread(docs)
 
 
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,7 +195,12 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
                          .select(_text("b", F.col("id")).alias("id"), "text")))
 
 
-def _words_text(column: str = "text") -> Column:
+def _distinct_words(records: DataFrame, name: str) -> DataFrame:
+    return records.select(F.col("id").alias(name),
+                          F.explode(F.array_distinct(tokenize("text"))).alias("token"))
+
+
+def _words_in_a_row(column: str) -> Column:
     return F.concat(F.lit(" "), F.array_join(tokenize(column), " "), F.lit(" "))
 
 
@@ -204,26 +211,25 @@ def gold_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents and passages meet on that word and are then compared in full.
     """
     docs, items_ = documents(spark, sf_dir), passages(spark, sf_dir)
+    item_words = _distinct_words(items_, "id_b")
     doc_words = materialize(
-        docs.select(F.col("id").alias("id_a"),
-                    F.explode(F.array_distinct(tokenize("text"))).alias("token")), "doc_words")
+        _distinct_words(docs, "id_a").join(item_words.select("token").distinct(), "token",
+                                           "left_semi"), "doc_words")
     held = doc_words.groupBy("token").agg(F.count("*").alias("n_docs"))
-    item_words = items_.select(F.col("id").alias("id_b"),
-                               F.explode(F.array_distinct(tokenize("text"))).alias("token"))
-    rarest = (item_words.join(held, "token", "left")
-              .groupBy("id_b").agg(F.min_by("token", F.struct(
-                  F.coalesce("n_docs", F.lit(0)), "token")).alias("token")))
-    rarest = materialize(rarest, "rarest")
-    sizes = materialize(rarest.groupBy("token").agg(F.count("*").alias("n_items"))
-                        .join(held, "token"), "sizes")
+    rarest = materialize(
+        item_words.join(held, "token", "left").groupBy("id_b")
+        .agg(F.min(F.struct(F.coalesce("n_docs", F.lit(0)).alias("n_docs"), "token")).alias("w"))
+        .select("id_b", "w.*").filter(F.col("n_docs") > 0), "rarest")
+    sizes = rarest.groupBy("token", "n_docs").agg(F.count("*").alias("n_items"))
+    sizes = materialize(sizes, "sizes")
     met = join_pairs(join_facts(doc_words, sizes, ["token"], "n_docs"),
-                     rarest.join(sizes, "token"), ["token", "n_docs", "n_items"],
+                     rarest.join(sizes, ["token", "n_docs"]), ["token", "n_docs", "n_items"],
                      ["id_a"], ["id_b"], "n_docs", "n_items").select("id_a", "id_b")
-    doc_text = docs.select(F.col("id").alias("id_a"), _words_text().alias("text_a"))
-    item_text = items_.select(F.col("id").alias("id_b"), _words_text().alias("text_b"))
-    found = (met.join(item_text, "id_b").join(doc_text, "id_a")
-             .filter(F.contains("text_a", "text_b")).select("id_a", "id_b"))
-    return materialize(found, "gold")
+    found = (met.join(items_.select(F.col("id").alias("id_b"), F.col("text").alias("text_b")),
+                      "id_b")
+             .join(docs.select(F.col("id").alias("id_a"), F.col("text").alias("text_a")), "id_a")
+             .filter(F.contains(_words_in_a_row("text_a"), _words_in_a_row("text_b"))))
+    return materialize(found.select("id_a", "id_b"), "gold")
 
 
 CORPUS_SQL = r"""

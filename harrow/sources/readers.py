@@ -19,6 +19,15 @@ def read_compressed_lines(spark: SparkSession, path: str, partitions: int) -> Da
     return spark.read.text(path).repartition(partitions)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a table that arrives in fewer splits than a shuffle would have.
+
+    A single small file is one task otherwise.  Larger tables are left alone.
+    """
+    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
 def without_lines_containing(lines: DataFrame, text: str, column: str = "value") -> DataFrame:
     """Drop every line that contains ``text``, header or not."""
     return lines.filter(~F.col(column).contains(text))

@@ -1,0 +1,70 @@
+import pytest
+from conftest import rows
+
+from harrow.functions import tokenize
+from harrow.operators import weights as wt
+
+FOX = "A quick brown fox jumps over the lazy dog."
+
+
+def records(spark, *texts):
+    return spark.createDataFrame([(f"r{i}", t) for i, t in enumerate(texts)], "id string, text string")
+
+
+def test_tokenize(spark):
+    df = records(spark, FOX, " , ", "", "Ünder_score-x2", "to be to")
+    got = [r.tokens for r in wt.record_tokens(df).orderBy("id").collect()]
+    assert got == [["a", "quick", "brown", "fox", "jumps", "over", "the", "lazy", "dog"], [], [],
+                   ["nder_score", "x2"], ["to", "be", "to"]]
+    stop = records(spark, FOX).select(tokenize("text", ["a", "the", "over"]).alias("t")).first().t
+    assert stop == ["quick", "brown", "fox", "jumps", "lazy", "dog"]
+
+
+def test_stop_words_keep_repeats(spark):
+    df = records(spark, "be the be")
+    stop = spark.createDataFrame([("the",)], "token string")
+    assert rows(wt.drop_stop_words(wt.token_rows(df), stop), "token") == [("be",), ("be",)]
+
+
+def test_totals_and_biggest(spark):
+    df = records(spark, "a b c", "a a b", "a")
+    assert wt.token_total(df).first().n_tokens == 7
+    assert wt.token_total(df.limit(0)).first().n_tokens == 0
+    assert tuple(wt.biggest_record(df).first()) == ("r0", 3)
+
+
+def test_term_frequency(spark):
+    got = dict(rows(wt.term_frequency(records(spark, FOX), ["a", "the", "over"]), "token", "tf"))
+    assert got["quick"] == pytest.approx(1 / 6) and len(got) == 6
+    assert dict(rows(wt.term_frequency(records(spark, "one_ one_ two!")), "token", "tf")) == {
+        "one_": pytest.approx(2 / 3), "two": pytest.approx(1 / 3)}
+
+
+def test_inverse_document_frequency_has_no_logarithm(spark):
+    df = records(spark, "a a b", "a c", "", "d")
+    assert dict(rows(wt.inverse_document_frequency(df))) == {"a": 2.0, "b": 4.0, "c": 4.0, "d": 4.0}
+
+
+def test_tfidf_norms_and_unknown_words(spark):
+    df = records(spark, "a a b", "a c", "", "d")
+    weights = wt.tfidf(df)
+    got = {(i, t): w for i, t, w in rows(weights)}
+    assert got == {("r0", "a"): pytest.approx(4 / 3), ("r0", "b"): pytest.approx(4 / 3),
+                   ("r1", "a"): 1.0, ("r1", "c"): 2.0, ("r3", "d"): 4.0}
+    assert dict(rows(wt.norms(weights))) == {
+        "r0": pytest.approx((32 / 9) ** 0.5), "r1": pytest.approx(5 ** 0.5), "r3": 4.0}
+    idf = wt.inverse_document_frequency(df)
+    assert rows(wt.tfidf(records(spark, "a zebra"), idf=idf), "token") == [("a",)]
+
+
+def test_inverted_pairs(spark):
+    assert rows(wt.inverted_pairs(records(spark, "b a b"))) == [("a", "r0"), ("b", "r0")]
+
+
+def test_text_pairs(spark):
+    idf = spark.createDataFrame([("x", 2.0), ("y", 1.0), ("z", 1.0)], "token string, idf double")
+    pairs = spark.createDataFrame(
+        [(1, "x y", "x z"), (2, "y", "z"), (3, "x", "unknown"), (4, "x y", "Y X!")],
+        "pair_id int, text_a string, text_b string")
+    got = dict(rows(wt.text_pair_similarity(pairs, idf)))
+    assert got == {1: pytest.approx(4 / 5), 2: 0.0, 3: None, 4: pytest.approx(1.0)}
