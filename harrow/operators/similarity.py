@@ -21,14 +21,22 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from harrow.operators.skew import BLOCK_ROWS, blocks, join_facts, join_pairs
-from harrow.operators.weights import frequency, term_counts
+from harrow.operators.skew import (
+    BLOCK_ROWS,
+    blocks,
+    every_slot,
+    join_facts,
+    join_pairs,
+    slot_of,
+)
+from harrow.operators.weights import term_counts
 from harrow.session import materialize
 
 DIGITS = 6             # similarities are rounded to this many places
 ROUNDING = 1e-6        # and the index is built for a bar this much lower
 BITS = 32_768          # bits of one bitmap
 BUCKET_RECORDS = BITS // 2
+SINGLE_SLOTS = 1_024   # tasks that share the pairs of texts with one record
 DENSE_RECORDS = 128    # records per bucket from which a word gets bitmaps
 
 
@@ -68,7 +76,7 @@ def build_index(left: DataFrame, right: DataFrame, stop_words: Sequence[str] = (
 
     distinct = both.join(texts.select("side", "id", "copies"), ["side", "id"])
     counts = materialize(term_counts(distinct, stop_words, keep=["copies"],
-                                     key=["side", "id"]), "counts")
+                                     key=["side", "id"], sized=False), "counts")
 
     def rows_of(side: str) -> Column:
         return F.count_if(F.col("side") == side)
@@ -77,12 +85,13 @@ def build_index(left: DataFrame, right: DataFrame, stop_words: Sequence[str] = (
         F.sum("copies").alias("df"), F.count("*").alias("n_rows"),
         rows_of("a").alias("n_a"), rows_of("b").alias("n_b")), "words")
 
-    # The number of records cancels out of a unit vector.
+    # The sizes of the record and of the collection cancel out of a unit vector.
     weighted = join_facts(counts, words, ["token"], "n_rows").withColumn(
-        "weight", frequency() / F.col("df"))
-    record = Window.partitionBy("side", "id")
-    commonest_first = (record.orderBy(F.desc("df"), "token")
-                       .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        "weight", F.col("n") / F.col("df"))
+    # One order for all windows, so that a record is sorted once.
+    ordered = Window.partitionBy("side", "id").orderBy(F.desc("df"), "token")
+    record = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    commonest_first = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     unit = F.col("weight") / F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(record))
     shared = (weighted.withColumn("unit", unit)
               .filter((F.col("n_a") > 0) & (F.col("n_b") > 0)))
@@ -125,22 +134,23 @@ def _text_pairs(index: PairIndex) -> DataFrame:
     found = (met.groupBy("id_a", "id_b", "copies_a", "copies_b", "slots_a", "slots_b")
              .agg(F.sum(F.col("unit_a") * F.col("unit_b")).alias("seen")))
     bar = index.min_similarity - ROUNDING
-    candidates = found.filter(F.col("seen") >= bar / 2 - ROUNDING)
+    candidates = materialize(found.filter(F.col("seen") >= bar / 2 - ROUNDING)
+                             .drop("seen"), "candidates")
 
     # Full score: fetch the words of b, then their weights in a.  Records with
-    # many partners are copied over several slots.
+    # many partners are copied over several slots; as the size Spark expects
+    # leaves out the copies, these joins always shuffle.
     def slotted(side: str) -> DataFrame:
-        return index.side(side, F.col("id").alias(f"id_{side}"), "token",
-                          F.col("unit").alias(f"unit_{side}"),
-                          F.explode(F.sequence(F.lit(0), F.col("slots") - 1))
-                          .alias(f"slot_{side}"))
-
-    def slot_of(other: str, slots: str) -> Column:
-        return F.pmod(F.xxhash64(other), F.col(slots)).cast("int")
+        name = f"id_{side}"
+        words = index.side(side, F.col("id").alias(name), "token", "slots",
+                           F.col("unit").alias(f"unit_{side}"))
+        needed = words.join(candidates.select(name).distinct(), name, "left_semi")
+        return needed.withColumn(f"slot_{side}", every_slot(F.col("slots"))).drop(
+            "slots").hint("merge")
 
     scored = (candidates
-              .withColumn("slot_b", slot_of("id_a", "slots_b"))
-              .withColumn("slot_a", slot_of("id_b", "slots_a"))
+              .withColumn("slot_b", slot_of(["id_a"], F.col("slots_b")))
+              .withColumn("slot_a", slot_of(["id_b"], F.col("slots_a")))
               .join(slotted("b"), ["id_b", "slot_b"])
               .join(slotted("a"), ["id_a", "token", "slot_a"])
               .groupBy("id_a", "id_b", "copies_a", "copies_b")
@@ -155,10 +165,10 @@ def _with_copies(pairs: DataFrame, index: PairIndex, side: str) -> DataFrame:
         "side", "text_key", F.col("id").alias("_text"), F.col("copies").alias("_copies"))
     members = (join_facts(index.records, repeated, ["side", "text_key"], "_copies")
                .select(F.col("_text"), F.col("id").alias("_member"),
-                       F.pmod(F.xxhash64("id"), blocks("_copies")).cast("int").alias("_slot")))
+                       slot_of(["id"], blocks("_copies")).alias("_slot")))
     # A text with a single record meets nothing; negative slots spread its pairs.
     slots = F.when(F.col(copies) > 1, F.sequence(F.lit(0), blocks(copies) - 1)).otherwise(
-        F.array((-1 - F.pmod(F.xxhash64(other), F.lit(1024))).cast("int")))
+        F.array(-1 - slot_of([other], F.lit(SINGLE_SLOTS))))
     spread = pairs.withColumn("_slot", F.explode(slots))
     joined = spread.join(members, (F.col(own) == F.col("_text"))
                          & (spread["_slot"] == members["_slot"]), "left")

@@ -36,11 +36,13 @@ def blocks(count: Column | str, size: int = BLOCK_ROWS) -> Column:
     return F.greatest(F.lit(1), F.ceil(count / F.lit(float(size)))).cast("int")
 
 
-def _slot(ids: Sequence[str], n: Column) -> Column:
+def slot_of(ids: Sequence[str], n: Column) -> Column:
+    """The slot, of ``n``, that a row with these ids goes to."""
     return F.pmod(F.xxhash64(*ids), n).cast("int")
 
 
-def _every_slot(n: Column) -> Column:
+def every_slot(n: Column) -> Column:
+    """A copy of the row for each of ``n`` slots."""
     return F.explode(F.sequence(F.lit(0), n - 1))
 
 
@@ -54,12 +56,14 @@ def join_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str],
     side; both expressions must give the same value on both inputs.  A key is
     cut into a grid: a row goes to its own line of the grid and is copied
     along the other direction, so every pair meets exactly once and no task
-    sees more than about ``size`` x ``size`` pairs of one key.
+    sees more than about ``size`` x ``size`` pairs of one key.  The join always
+    shuffles: the size Spark expects of either side leaves out the copies.
     """
     keys = list(keys)
     lines, columns = blocks(n_left, size), blocks(n_right, size)
-    left = (left.withColumn("_line", _slot(left_ids, lines))
-            .withColumn("_column", _every_slot(columns)))
-    right = (right.withColumn("_column", _slot(right_ids, columns))
-             .withColumn("_line", _every_slot(lines)))
-    return left.join(right, [*keys, "_line", "_column"]).drop("_line", "_column")
+    left = (left.withColumn("_line", slot_of(left_ids, lines))
+            .withColumn("_column", every_slot(columns)))
+    right = (right.withColumn("_column", slot_of(right_ids, columns))
+             .withColumn("_line", every_slot(lines)))
+    return (left.join(right.hint("merge"), [*keys, "_line", "_column"])
+            .drop("_line", "_column"))

@@ -16,6 +16,17 @@ from harrow.operators.skew import join_facts
 from harrow.session import materialize
 
 
+def explode_words(df: DataFrame, words: str, *keep: str, name: str = "token") -> DataFrame:
+    """One row per word of the array ``words``, with the columns ``keep``.
+
+    An inner explode makes Spark test the array for emptiness ahead of it, which
+    splits every text twice; words are never null, so dropping nulls does the
+    same.
+    """
+    exploded = df.select(*keep, F.explode_outer(words).alias(name))
+    return exploded.filter(F.col(name).isNotNull())
+
+
 def record_tokens(records: DataFrame, stop_words: Sequence[str] = ()) -> DataFrame:
     """(id, tokens): the words of each record in order."""
     return records.select("id", tokenize("text", stop_words).alias("tokens"))
@@ -23,7 +34,7 @@ def record_tokens(records: DataFrame, stop_words: Sequence[str] = ()) -> DataFra
 
 def token_rows(records: DataFrame, stop_words: Sequence[str] = ()) -> DataFrame:
     """(id, token): one row per word occurrence."""
-    return record_tokens(records, stop_words).select("id", F.explode("tokens").alias("token"))
+    return explode_words(record_tokens(records, stop_words), "tokens", "id")
 
 
 def drop_stop_words(rows: DataFrame, stop_words: DataFrame) -> DataFrame:
@@ -44,22 +55,27 @@ def biggest_record(records: DataFrame, stop_words: Sequence[str] = ()) -> DataFr
 
 def inverted_pairs(records: DataFrame, stop_words: Sequence[str] = ()) -> DataFrame:
     """(token, id): each distinct word of each record."""
-    return record_tokens(records, stop_words).select(
-        F.explode(F.array_distinct("tokens")).alias("token"), "id")
+    words = record_tokens(records, stop_words).select(
+        "id", F.array_distinct("tokens").alias("tokens"))
+    return explode_words(words, "tokens", "id").select("token", "id")
 
 
 def term_counts(records: DataFrame, stop_words: Sequence[str] = (),
-                keep: Sequence[str] = (), key: Sequence[str] = ("id",)) -> DataFrame:
-    """(key, token, n, size): occurrences of each word and the record's length.
+                keep: Sequence[str] = (), key: Sequence[str] = ("id",),
+                sized: bool = True) -> DataFrame:
+    """(key, keep, size, token, n): occurrences of each word and the record's length.
 
     The texts are spread by record key first: they are smaller than their
     exploded words, and counting then needs no further shuffle.
     """
     texts = records.repartition(*key)
-    rows = texts.select(*key, *keep, tokenize("text", stop_words).alias("tokens"))
-    rows = rows.select(*key, *keep, F.size("tokens").alias("size"),
-                       F.explode("tokens").alias("token"))
-    return rows.groupBy(*key, *keep, "size", "token").agg(F.count("*").alias("n"))
+    words = texts.select(*key, *keep, tokenize("text", stop_words).alias("tokens"))
+    columns = [*key, *keep]
+    if sized:
+        words = words.withColumn("size", F.size("tokens"))
+        columns.append("size")
+    return (explode_words(words, "tokens", *columns)
+            .groupBy(*columns, "token").agg(F.count("*").alias("n")))
 
 
 def frequency() -> Column:

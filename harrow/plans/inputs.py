@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from harrow.functions.text import tokenize
 from harrow.operators.skew import join_facts, join_pairs
+from harrow.operators.weights import inverted_pairs
 from harrow.session import materialize
 from harrow.sources import spread
 
@@ -196,8 +197,7 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _distinct_words(records: DataFrame, name: str) -> DataFrame:
-    return records.select(F.col("id").alias(name),
-                          F.explode(F.array_distinct(tokenize("text"))).alias("token"))
+    return inverted_pairs(records).withColumnRenamed("id", name)
 
 
 def _words_in_a_row(column: str) -> Column:

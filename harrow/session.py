@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: list[str] = []
+
 SUGGESTED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -52,5 +54,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = os.path.join(work_dir(spark), f"harrow-{uuid.uuid4().hex}", name)
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_materialized(spark: SparkSession) -> None:
+    """Delete the tables ``materialize`` wrote for this program.
+
+    Call it when no DataFrame that reads them is needed any more.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    while _written:
+        folder = hadoop(os.path.dirname(_written.pop()))
+        folder.getFileSystem(conf).delete(folder, True)
