@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from harrow.functions.text import contains_any
 from harrow.operators.evaluation import rmse
+from harrow.operators.skew import join_facts
+from harrow.session import materialize
 
 # The training settings.
 RANKS = (4, 8, 12)
@@ -56,8 +58,9 @@ def mean_predictor(training: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def item_mean_predictor(training: DataFrame, pairs: DataFrame) -> DataFrame:
     """Predict the item's mean training rating; unknown items are left out."""
-    means = item_stats(training).select("item", F.col("avg_rating").alias("prediction"))
-    return pairs.select("user", "item").join(means, "item").select("user", "item", "prediction")
+    stats = materialize(item_stats(training), "stats")
+    return join_facts(pairs.select("user", "item"), stats, ["item"], "n_ratings").select(
+        "user", "item", F.col("avg_rating").alias("prediction"))
 
 
 def search_titles(items: DataFrame, terms: Sequence[str]) -> DataFrame:
@@ -121,6 +124,7 @@ def with_stats(predictions: DataFrame, ratings: DataFrame, items: DataFrame,
                min_ratings: int = 75) -> DataFrame:
     """Predictions with title and rating count, of items rated often enough."""
     counts = item_stats(ratings).select("item", "n_ratings")
-    return (named(predictions.join(counts, "item"), items)
-            .filter(F.col("n_ratings") > min_ratings)
-            .select("user", "item", "title", "n_ratings", "prediction"))
+    often = named(counts, items).filter(F.col("n_ratings") > min_ratings)
+    return join_facts(materialize(predictions, "predictions"), materialize(often, "often"),
+                      ["item"], "n_ratings").select(
+        "user", "item", "title", "n_ratings", "prediction")

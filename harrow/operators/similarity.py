@@ -22,12 +22,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harrow.operators.skew import (
-    BLOCK_ROWS,
     blocks,
-    every_slot,
+    copy_rows,
     join_facts,
     join_pairs,
     slot_of,
+    spread_rows,
 )
 from harrow.operators.weights import term_counts
 from harrow.session import materialize
@@ -46,7 +46,7 @@ class PairIndex:
 
     ``records``: (side, id, text_key), one row per record.
     ``texts``: (side, text_key, id, copies), the representative of each text.
-    ``words``: (side, id, copies, token, unit, indexed, n_a, n_b, slots), words
+    ``words``: (side, id, copies, token, unit, indexed, n_a, n_b), words
     found on both sides, for representatives; ``unit`` is the weight in the
     vector scaled to length one, ``indexed`` says whether the word can lead to a
     pair of at least ``min_similarity``.
@@ -97,11 +97,8 @@ def build_index(left: DataFrame, right: DataFrame, stop_words: Sequence[str] = (
               .filter((F.col("n_a") > 0) & (F.col("n_b") > 0)))
     left_out = _left_out(min_similarity)
     tail = F.sum(F.col("unit") * F.col("unit")).over(commonest_first)
-    indexed = shared.withColumn("indexed", tail > left_out * left_out)
-    partners = F.when(F.col("side") == "a", F.col("n_b")).otherwise(F.col("n_a"))
-    reach = F.sum(F.when(F.col("indexed"), partners).otherwise(0)).over(record)
-    index = indexed.withColumn("slots", blocks(reach, BLOCK_ROWS)).select(
-        "side", "id", "copies", "token", "unit", "indexed", "n_a", "n_b", "slots")
+    indexed = (tail > left_out * left_out).alias("indexed")
+    index = shared.select("side", "id", "copies", "token", "unit", indexed, "n_a", "n_b")
     return PairIndex(records, texts, materialize(index, "index"), min_similarity)
 
 
@@ -113,81 +110,79 @@ def _left_out(min_similarity: float) -> float:
     return (min_similarity - ROUNDING) / 4
 
 
-def _score(sum_column: Column) -> Column:
-    return F.round(sum_column, DIGITS)
+def _shared_words(index: PairIndex, text_pairs: DataFrame) -> DataFrame:
+    """The rows of ``text_pairs`` once per word that both texts have.
 
+    Adds (token, unit_a, unit_b).  The words of b are fetched first, then their
+    weights in a; texts in many pairs are spread over several slots.
+    """
+    def words(side: str, sizes: DataFrame) -> DataFrame:
+        found = index.side(side, F.col("id").alias(f"text_{side}"), "token",
+                           F.col("unit").alias(f"unit_{side}"))
+        return copy_rows(found, sizes, f"text_{side}", f"slot_{side}")
 
-def _text_pairs(index: PairIndex) -> DataFrame:
-    """Pairs of representatives at or above the bar.
+    rows, sizes_b = spread_rows(text_pairs, "text_b", ["text_a"], "slot_b")
+    rows, sizes_a = spread_rows(rows, "text_a", ["text_b"], "slot_a")
+    return (rows.join(words("b", sizes_b), ["text_b", "slot_b"])
+            .join(words("a", sizes_a), ["text_a", "token", "slot_a"])
+            .drop("slot_a", "slot_b"))
 
-    (id_a, id_b, copies_a, copies_b, similarity)
-    """
+
+def _cosine() -> Column:
+    return F.round(F.sum(F.col("unit_a") * F.col("unit_b")), DIGITS)
+
+
+def _similar_texts(index: PairIndex) -> DataFrame:
+    """(text_a, text_b, copies_a, copies_b, similarity) at or above the bar."""
     def indexed(side: str) -> DataFrame:
-        return (index.side(side, "token", "n_a", "n_b", F.col("id").alias(f"id_{side}"),
+        return (index.side(side, "token", "n_a", "n_b", F.col("id").alias(f"text_{side}"),
                            F.col("copies").alias(f"copies_{side}"),
-                           F.col("slots").alias(f"slots_{side}"),
                            F.col("unit").alias(f"unit_{side}"), "indexed")
                 .filter("indexed").drop("indexed"))
 
+    key = ["text_a", "text_b", "copies_a", "copies_b"]
     met = join_pairs(indexed("a"), indexed("b"), ["token", "n_a", "n_b"],
-                     ["id_a"], ["id_b"], "n_a", "n_b")
-    found = (met.groupBy("id_a", "id_b", "copies_a", "copies_b", "slots_a", "slots_b")
-             .agg(F.sum(F.col("unit_a") * F.col("unit_b")).alias("seen")))
+                     ["text_a"], ["text_b"], "n_a", "n_b")
+    seen = met.groupBy(*key).agg(F.sum(F.col("unit_a") * F.col("unit_b")).alias("seen"))
     bar = index.min_similarity - ROUNDING
-    candidates = materialize(found.filter(F.col("seen") >= bar / 2 - ROUNDING)
-                             .drop("seen"), "candidates")
-
-    # Full score: fetch the words of b, then their weights in a.  Records with
-    # many partners are copied over several slots; as the size Spark expects
-    # leaves out the copies, these joins always shuffle.
-    def slotted(side: str) -> DataFrame:
-        name = f"id_{side}"
-        words = index.side(side, F.col("id").alias(name), "token", "slots",
-                           F.col("unit").alias(f"unit_{side}"))
-        needed = words.join(candidates.select(name).distinct(), name, "left_semi")
-        return needed.withColumn(f"slot_{side}", every_slot(F.col("slots"))).drop(
-            "slots").hint("merge")
-
-    scored = (candidates
-              .withColumn("slot_b", slot_of(["id_a"], F.col("slots_b")))
-              .withColumn("slot_a", slot_of(["id_b"], F.col("slots_a")))
-              .join(slotted("b"), ["id_b", "slot_b"])
-              .join(slotted("a"), ["id_a", "token", "slot_a"])
-              .groupBy("id_a", "id_b", "copies_a", "copies_b")
-              .agg(_score(F.sum(F.col("unit_a") * F.col("unit_b"))).alias("similarity")))
+    candidates = materialize(seen.filter(F.col("seen") >= bar / 2 - ROUNDING).select(*key),
+                             "candidates")
+    scored = _shared_words(index, candidates).groupBy(*key).agg(_cosine().alias("similarity"))
     return scored.filter(F.col("similarity") >= index.min_similarity)
 
 
 def _with_copies(pairs: DataFrame, index: PairIndex, side: str) -> DataFrame:
-    """Replace a representative by each record that has its text."""
-    own, other, copies = f"id_{side}", "id_b" if side == "a" else "id_a", f"copies_{side}"
+    """Replace the text of a side by each record that has it, as ``id_a`` or ``id_b``."""
+    text, copies = f"text_{side}", f"copies_{side}"
+    partner = next(c for c in pairs.columns if c in (
+        ("text_b", "id_b") if side == "a" else ("text_a", "id_a")))
     repeated = index.texts.filter((F.col("side") == side) & (F.col("copies") > 1)).select(
         "side", "text_key", F.col("id").alias("_text"), F.col("copies").alias("_copies"))
     members = (join_facts(index.records, repeated, ["side", "text_key"], "_copies")
-               .select(F.col("_text"), F.col("id").alias("_member"),
+               .select("_text", F.col("id").alias("_member"),
                        slot_of(["id"], blocks("_copies")).alias("_slot")))
     # A text with a single record meets nothing; negative slots spread its pairs.
     slots = F.when(F.col(copies) > 1, F.sequence(F.lit(0), blocks(copies) - 1)).otherwise(
-        F.array(-1 - slot_of([other], F.lit(SINGLE_SLOTS))))
+        F.array(-1 - slot_of([partner], F.lit(SINGLE_SLOTS))))
     spread = pairs.withColumn("_slot", F.explode(slots))
-    joined = spread.join(members, (F.col(own) == F.col("_text"))
+    joined = spread.join(members, (F.col(text) == F.col("_text"))
                          & (spread["_slot"] == members["_slot"]), "left")
     # A slot may hold no member; the pair then comes from the other slots.
     joined = joined.filter((F.col(copies) == 1) | F.col("_member").isNotNull())
-    keep = [F.col(c) for c in pairs.columns if c not in (own, copies)]
-    return joined.select(F.coalesce("_member", F.col(own)).alias(own), *keep)
+    keep = [F.col(c) for c in pairs.columns if c not in (text, copies)]
+    return joined.select(F.coalesce("_member", text).alias(f"id_{side}"), *keep)
 
 
 def similar_pairs(index: PairIndex) -> DataFrame:
     """(id_a, id_b, similarity) of every pair at or above ``min_similarity``."""
-    pairs = _text_pairs(index)
+    pairs = _similar_texts(index)
     return (_with_copies(_with_copies(pairs, index, "a"), index, "b")
             .select("id_a", "id_b", "similarity"))
 
 
 def similar_pair_bins(index: PairIndex) -> DataFrame:
     """(bin, n_pairs) of the pairs at or above the bar, copies counted."""
-    return (_text_pairs(index).groupBy(similarity_bin().alias("bin"))
+    return (_similar_texts(index).groupBy(similarity_bin().alias("bin"))
             .agg(F.sum(F.col("copies_a") * F.col("copies_b")).alias("n_pairs")))
 
 
@@ -197,40 +192,33 @@ def similarity_bin(similarity: Column | str = "similarity") -> Column:
     return F.floor(similarity * F.lit(100.0)).cast("int")
 
 
-def _texts_of_pairs(index: PairIndex, pairs: DataFrame) -> DataFrame:
-    """Add the representatives ``text_a`` and ``text_b`` of the records in ``pairs``."""
-    representative = join_facts(
-        index.records, index.texts.withColumnRenamed("id", "text"),
-        ["side", "text_key"], "copies")
-    for side in ("a", "b"):
-        lookup = (representative.filter(F.col("side") == side)
-                  .select(F.col("id").alias(f"id_{side}"), F.col("text").alias(f"text_{side}")))
-        pairs = pairs.join(lookup, f"id_{side}")
-    return pairs
-
-
-def _common_words(index: PairIndex, pairs: DataFrame) -> DataFrame:
-    """(id_a, id_b, token, unit_a, unit_b) of the words each given pair shares."""
-    def of(side: str) -> DataFrame:
-        return index.side(side, F.col("id").alias(f"text_{side}"), "token",
-                          F.col("unit").alias(f"unit_{side}"))
-
-    return (_texts_of_pairs(index, pairs.select("id_a", "id_b"))
-            .join(of("b"), "text_b").join(of("a"), ["text_a", "token"])
-            .select("id_a", "id_b", "token", "unit_a", "unit_b"))
+def _per_pair(index: PairIndex, pairs: DataFrame, *results: Column) -> DataFrame:
+    """Aggregate the shared words of each given pair; equal texts are worked on once."""
+    pairs = materialize(pairs.select("id_a", "id_b"), "pairs")
+    representative = join_facts(index.records, index.texts.withColumnRenamed("id", "text"),
+                                ["side", "text_key"], "copies")
+    for side, other in (("a", "b"), ("b", "a")):
+        lookup = representative.filter(F.col("side") == side).select(
+            F.col("id").alias(f"id_{side}"), F.col("text").alias(f"text_{side}"))
+        rows, sizes = spread_rows(pairs, f"id_{side}", [f"id_{other}"], "slot")
+        pairs = rows.join(copy_rows(lookup, sizes, f"id_{side}", "slot"),
+                          [f"id_{side}", "slot"]).drop("slot")
+        pairs = materialize(pairs, "pairs")
+    key = ["text_a", "text_b"]
+    text_pairs = materialize(pairs.groupBy(*key).agg(F.count("*").alias("n")), "text_pairs")
+    found = _shared_words(index, text_pairs).groupBy(*key, "n").agg(*results)
+    return join_facts(pairs, materialize(found, "found"), key, "n").drop(*key, "n")
 
 
 def pair_similarity(index: PairIndex, pairs: DataFrame) -> DataFrame:
     """Similarity of given pairs, whatever its size; pairs sharing no word are left out."""
-    return (_common_words(index, pairs).groupBy("id_a", "id_b")
-            .agg(_score(F.sum(F.col("unit_a") * F.col("unit_b"))).alias("similarity")))
+    return _per_pair(index, pairs, _cosine().alias("similarity"))
 
 
 def common_tokens(index: PairIndex, pairs: DataFrame) -> DataFrame:
     """(id_a, id_b, n_common, tokens): the words each given pair shares, sorted."""
-    return (_common_words(index, pairs).groupBy("id_a", "id_b")
-            .agg(F.count("*").alias("n_common"),
-                 F.sort_array(F.collect_list("token")).alias("tokens")))
+    return _per_pair(index, pairs, F.count("*").alias("n_common"),
+                     F.sort_array(F.collect_list("token")).alias("tokens"))
 
 
 def all_pairs_summary(index: PairIndex) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from harrow.session import materialize
+
 BLOCK_ROWS = 2_000   # rows of one key, per side, that a single task may pair up
 MAX_HEAVY = 1_000    # heavy keys kept apart by join_facts
 
@@ -67,3 +69,25 @@ def join_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str],
              .withColumn("_line", every_slot(lines)))
     return (left.join(right.hint("merge"), [*keys, "_line", "_column"])
             .drop("_line", "_column"))
+
+
+def spread_rows(rows: DataFrame, key: str, ids: Sequence[str],
+                slot: str) -> tuple[DataFrame, DataFrame]:
+    """Deal the rows of each key into slots of about ``BLOCK_ROWS``.
+
+    Gives the rows with the column ``slot`` and the sizes that ``copy_rows`` needs.
+    ``rows`` should be a table on disk.
+    """
+    sizes = materialize(rows.groupBy(key).agg(F.count("*").alias("_n")), "sizes")
+    spread = join_facts(rows, sizes, [key], "_n").withColumn(slot, slot_of(ids, blocks("_n")))
+    return spread.drop("_n"), sizes
+
+
+def copy_rows(rows: DataFrame, sizes: DataFrame, key: str, slot: str) -> DataFrame:
+    """Copy rows to every slot of their key, for a join with ``spread_rows``.
+
+    Rows of other keys are dropped before the copying.  The join always shuffles,
+    as for ``join_pairs``.
+    """
+    copied = rows.join(sizes, key).withColumn(slot, every_slot(blocks("_n")))
+    return copied.drop("_n").hint("merge")

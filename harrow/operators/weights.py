@@ -97,22 +97,24 @@ def inverse_document_frequency(records: DataFrame,
     return holding.select("token", (n_records / F.col("df")).alias("idf"))
 
 
-def tfidf(records: DataFrame, stop_words: Sequence[str] = (),
-          idf: DataFrame | None = None) -> DataFrame:
-    """(id, token, weight); words without an idf are left out.
+def _with_idf(rows: DataFrame, idf: DataFrame) -> DataFrame:
+    """Add ``idf``; the commonest words by broadcast, the others by shuffle.
 
-    With the records' own idf, the most frequent words are weighted by a bounded
-    broadcast and only the rest is shuffled by word.
+    The number of records holding a word is in proportion to 1 / idf.
     """
-    if idf is not None:
-        weighted = term_frequency(records, stop_words).join(idf, "token")
-        return weighted.select("id", "token", (F.col("tf") * F.col("idf")).alias("weight"))
-    counts = materialize(term_counts(records, stop_words), "term_counts")
-    holding = materialize(counts.groupBy("token").agg(F.count("*").alias("df")), "holding")
-    n_records = records.agg(F.count_distinct("id")).scalar()
-    weighted = join_facts(counts, holding, ["token"], "df")
-    return weighted.select(
-        "id", "token", (frequency() * (n_records / F.col("df"))).alias("weight"))
+    facts = materialize(idf.withColumn("_held", 1 / F.col("idf")), "idf")
+    return join_facts(rows, facts, ["token"], "_held").drop("_held")
+
+
+def tfidf(records: DataFrame, stop_words: Sequence[str] = (),
+          idf: DataFrame | None = None) -> DataFrame:
+    """(id, token, weight); words without an idf are left out."""
+    counts = materialize(term_counts(records, stop_words), "counts")
+    if idf is None:
+        n_records = records.agg(F.count_distinct("id")).scalar()
+        idf = counts.groupBy("token").agg((n_records / F.count("*")).alias("idf"))
+    return _with_idf(counts, idf).select(
+        "id", "token", (frequency() * F.col("idf")).alias("weight"))
 
 
 def norms(weights: DataFrame) -> DataFrame:
@@ -136,8 +138,8 @@ def text_pair_similarity(pairs: DataFrame, idf: DataFrame,
         own = F.when(F.col("side") == side, frequency())
         return F.coalesce(F.sum(own), F.lit(0.0)).alias(f"tf_{side}")
 
-    both = (counts.groupBy("pair_id", "token").agg(weight("a"), weight("b"))
-            .join(idf, "token")
+    both = materialize(counts.groupBy("pair_id", "token").agg(weight("a"), weight("b")), "both")
+    both = (_with_idf(both, idf)
             .select("pair_id", (F.col("tf_a") * F.col("idf")).alias("a"),
                     (F.col("tf_b") * F.col("idf")).alias("b")))
     sums = both.groupBy("pair_id").agg(

@@ -85,7 +85,11 @@ def test_equal_errors_keep_the_first_rank(spark):
     assert rec.best_rank(errors).first()["rank"] == 8
 
 
-def test_count_filter_runs_before_the_join(ratings, items):
+def test_predictions_keep_items_rated_often(ratings, items):
     pairs = ratings.selectExpr("user", "item", "rating prediction")
-    plan = rec.with_stats(pairs, ratings, items, 3)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.index("Filter (n_ratings") > plan.rindex("Join Inner")
+    counts = dict(rows(rec.item_stats(ratings), "item", "n_ratings"))
+    bar = sorted(counts.values())[2]
+    got = rec.with_stats(pairs, ratings, items, bar)
+    assert {(r.item, r.title, r.n_ratings) for r in got.collect()} == {
+        (i, TITLES[i], n) for i, n in counts.items() if n > bar}
+    assert got.count() == sum(n for n in counts.values() if n > bar)
