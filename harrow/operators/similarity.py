@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 
 from harrow.operators.skew import (
     blocks,
-    copy_rows,
+    few_rows,
     join_facts,
+    join_hot,
     join_pairs,
     slot_of,
-    spread_rows,
 )
 from harrow.operators.weights import term_counts
 from harrow.session import materialize
@@ -44,16 +44,15 @@ DENSE_RECORDS = 128    # records per bucket from which a word gets bitmaps
 class PairIndex:
     """Tables behind the pair operators; ``a`` and ``b`` are the two sides.
 
-    ``records``: (side, id, text_key), one row per record.
-    ``texts``: (side, text_key, id, copies), the representative of each text.
-    ``words``: (side, id, copies, token, unit, indexed, n_a, n_b), words
-    found on both sides, for representatives; ``unit`` is the weight in the
-    vector scaled to length one, ``indexed`` says whether the word can lead to a
-    pair of at least ``min_similarity``.
+    ``records``: (side, id, text, copies), one row per record; ``text`` is the id
+    of the record that stands for all ``copies`` of its text.
+    ``words``: (side, text, copies, token, unit, indexed, n_a, n_b), the words
+    found on both sides; ``unit`` is the weight in the vector scaled to length
+    one, ``indexed`` says whether the word can lead to a pair of at least
+    ``min_similarity``.
     """
 
     records: DataFrame
-    texts: DataFrame
     words: DataFrame
     min_similarity: float
 
@@ -69,12 +68,14 @@ def build_index(left: DataFrame, right: DataFrame, stop_words: Sequence[str] = (
     both = (left.select(F.lit("a").alias("side"), "id", "text")
             .unionByName(right.select(F.lit("b").alias("side"), "id", "text")))
 
-    records = materialize(both.select("side", "id", F.sha2("text", 256).alias("text_key")),
+    keyed = materialize(both.select("side", "id", F.sha2("text", 256).alias("key")), "keyed")
+    texts = materialize(keyed.groupBy("side", "key")
+                        .agg(F.min("id").alias("text"), F.count("*").alias("copies")), "texts")
+    records = materialize(join_facts(keyed, texts, ["side", "key"], "copies").drop("key"),
                           "records")
-    texts = materialize(records.groupBy("side", "text_key")
-                        .agg(F.min("id").alias("id"), F.count("*").alias("copies")), "texts")
 
-    distinct = both.join(texts.select("side", "id", "copies"), ["side", "id"])
+    standing = texts.select("side", F.col("text").alias("id"), "copies")
+    distinct = both.join(standing, ["side", "id"])
     counts = materialize(term_counts(distinct, stop_words, keep=["copies"],
                                      key=["side", "id"], sized=False), "counts")
 
@@ -98,8 +99,8 @@ def build_index(left: DataFrame, right: DataFrame, stop_words: Sequence[str] = (
     left_out = _left_out(min_similarity)
     tail = F.sum(F.col("unit") * F.col("unit")).over(commonest_first)
     indexed = (tail > left_out * left_out).alias("indexed")
-    index = shared.select("side", "id", "copies", "token", "unit", indexed, "n_a", "n_b")
-    return PairIndex(records, texts, materialize(index, "index"), min_similarity)
+    index = shared.select("side", F.col("id").alias("text"), "copies", "token", "unit", indexed, "n_a", "n_b")
+    return PairIndex(records, materialize(index, "index"), min_similarity)
 
 
 def _left_out(min_similarity: float) -> float:
@@ -110,22 +111,17 @@ def _left_out(min_similarity: float) -> float:
     return (min_similarity - ROUNDING) / 4
 
 
-def _shared_words(index: PairIndex, text_pairs: DataFrame) -> DataFrame:
+def _shared_words(index: PairIndex, text_pairs: DataFrame, few: bool) -> DataFrame:
     """The rows of ``text_pairs`` once per word that both texts have.
 
-    Adds (token, unit_a, unit_b).  The words of b are fetched first, then their
-    weights in a; texts in many pairs are spread over several slots.
+    Adds (token, unit_a, unit_b): the words of b, then their weights in a.
     """
-    def words(side: str, sizes: DataFrame) -> DataFrame:
-        found = index.side(side, F.col("id").alias(f"text_{side}"), "token",
-                           F.col("unit").alias(f"unit_{side}"))
-        return copy_rows(found, sizes, f"text_{side}", f"slot_{side}")
+    def words(side: str) -> DataFrame:
+        return index.side(side, F.col("text").alias(f"text_{side}"), "token",
+                          F.col("unit").alias(f"unit_{side}"))
 
-    rows, sizes_b = spread_rows(text_pairs, "text_b", ["text_a"], "slot_b")
-    rows, sizes_a = spread_rows(rows, "text_a", ["text_b"], "slot_a")
-    return (rows.join(words("b", sizes_b), ["text_b", "slot_b"])
-            .join(words("a", sizes_a), ["text_a", "token", "slot_a"])
-            .drop("slot_a", "slot_b"))
+    with_b = join_hot(text_pairs, words("b"), "text_b", ["text_a"], few=few)
+    return join_hot(with_b, words("a"), "text_a", ["text_b"], ["token"], few=few)
 
 
 def _cosine() -> Column:
@@ -135,7 +131,7 @@ def _cosine() -> Column:
 def _similar_texts(index: PairIndex) -> DataFrame:
     """(text_a, text_b, copies_a, copies_b, similarity) at or above the bar."""
     def indexed(side: str) -> DataFrame:
-        return (index.side(side, "token", "n_a", "n_b", F.col("id").alias(f"text_{side}"),
+        return (index.side(side, "token", "n_a", "n_b", F.col("text").alias(f"text_{side}"),
                            F.col("copies").alias(f"copies_{side}"),
                            F.col("unit").alias(f"unit_{side}"), "indexed")
                 .filter("indexed").drop("indexed"))
@@ -147,7 +143,8 @@ def _similar_texts(index: PairIndex) -> DataFrame:
     bar = index.min_similarity - ROUNDING
     candidates = materialize(seen.filter(F.col("seen") >= bar / 2 - ROUNDING).select(*key),
                              "candidates")
-    scored = _shared_words(index, candidates).groupBy(*key).agg(_cosine().alias("similarity"))
+    scored = (_shared_words(index, candidates, few_rows(candidates))
+              .groupBy(*key).agg(_cosine().alias("similarity")))
     return scored.filter(F.col("similarity") >= index.min_similarity)
 
 
@@ -156,11 +153,9 @@ def _with_copies(pairs: DataFrame, index: PairIndex, side: str) -> DataFrame:
     text, copies = f"text_{side}", f"copies_{side}"
     partner = next(c for c in pairs.columns if c in (
         ("text_b", "id_b") if side == "a" else ("text_a", "id_a")))
-    repeated = index.texts.filter((F.col("side") == side) & (F.col("copies") > 1)).select(
-        "side", "text_key", F.col("id").alias("_text"), F.col("copies").alias("_copies"))
-    members = (join_facts(index.records, repeated, ["side", "text_key"], "_copies")
-               .select("_text", F.col("id").alias("_member"),
-                       slot_of(["id"], blocks("_copies")).alias("_slot")))
+    members = index.records.filter((F.col("side") == side) & (F.col("copies") > 1)).select(
+        F.col("text").alias("_text"), F.col("id").alias("_member"),
+        slot_of(["id"], blocks("copies")).alias("_slot"))
     # A text with a single record meets nothing; negative slots spread its pairs.
     slots = F.when(F.col(copies) > 1, F.sequence(F.lit(0), blocks(copies) - 1)).otherwise(
         F.array(-1 - slot_of([partner], F.lit(SINGLE_SLOTS))))
@@ -195,18 +190,18 @@ def similarity_bin(similarity: Column | str = "similarity") -> Column:
 def _per_pair(index: PairIndex, pairs: DataFrame, *results: Column) -> DataFrame:
     """Aggregate the shared words of each given pair; equal texts are worked on once."""
     pairs = materialize(pairs.select("id_a", "id_b"), "pairs")
-    representative = join_facts(index.records, index.texts.withColumnRenamed("id", "text"),
-                                ["side", "text_key"], "copies")
+    few = few_rows(pairs)
     for side, other in (("a", "b"), ("b", "a")):
-        lookup = representative.filter(F.col("side") == side).select(
+        texts = index.records.filter(F.col("side") == side).select(
             F.col("id").alias(f"id_{side}"), F.col("text").alias(f"text_{side}"))
-        rows, sizes = spread_rows(pairs, f"id_{side}", [f"id_{other}"], "slot")
-        pairs = rows.join(copy_rows(lookup, sizes, f"id_{side}", "slot"),
-                          [f"id_{side}", "slot"]).drop("slot")
-        pairs = materialize(pairs, "pairs")
+        pairs = join_hot(pairs, texts, f"id_{side}", [f"id_{other}"], few=few)
     key = ["text_a", "text_b"]
+    if few:
+        found = _shared_words(index, pairs.select(*key).distinct(), few)
+        return pairs.join(found.groupBy(*key).agg(*results), key).drop(*key)
+    pairs = materialize(pairs, "pairs")
     text_pairs = materialize(pairs.groupBy(*key).agg(F.count("*").alias("n")), "text_pairs")
-    found = _shared_words(index, text_pairs).groupBy(*key, "n").agg(*results)
+    found = _shared_words(index, text_pairs, few).groupBy(*key, "n").agg(*results)
     return join_facts(pairs, materialize(found, "found"), key, "n").drop(*key, "n")
 
 
@@ -248,16 +243,16 @@ def overlapping_pair_count(index: PairIndex) -> DataFrame:
     text.  A common word carries one bitmap per bucket, a rare word single bits;
     each text of side b takes the union of its words' bits in every bucket.
     """
-    a_ids = index.side("a", "id", "copies").distinct()
-    n_buckets = a_ids.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / BUCKET_RECORDS))).scalar()
-    dealt = a_ids.withColumn("group", F.pmod(F.xxhash64("id"), n_buckets))
-    place = F.row_number().over(Window.partitionBy("copies", "group").orderBy("id")) - 1
+    a_texts = index.side("a", "text", "copies").distinct()
+    n_buckets = a_texts.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / BUCKET_RECORDS))).scalar()
+    dealt = a_texts.withColumn("group", F.pmod(F.xxhash64("text"), n_buckets))
+    place = F.row_number().over(Window.partitionBy("copies", "group").orderBy("text")) - 1
     bits = dealt.withColumn("place", place).select(
-        "id", F.struct(F.col("copies").alias("copies"), "group",
+        "text", F.struct(F.col("copies").alias("copies"), "group",
                        F.floor(F.col("place") / BITS).alias("block")).alias("bucket"),
         (F.col("place") % BITS).cast("bigint").alias("bit"))
-    a_words = index.side("a", "id", "token", "n_a", "n_b").join(bits, "id").drop("id")
-    b_words = index.side("b", F.col("id").alias("id_b"), F.col("copies").alias("copies_b"),
+    a_words = index.side("a", "text", "token", "n_a", "n_b").join(bits, "text").drop("text")
+    b_words = index.side("b", F.col("text").alias("text_b"), F.col("copies").alias("copies_b"),
                          "token", "n_a", "n_b")
     keys = ["token", "n_a", "n_b"]
     dense = F.col("n_a") >= n_buckets * DENSE_RECORDS
@@ -265,14 +260,14 @@ def overlapping_pair_count(index: PairIndex) -> DataFrame:
     bitmaps = (a_words.filter(dense).groupBy(*keys, "bucket")
                .agg(F.bitmap_construct_agg("bit").alias("bits")))
     # No word has more buckets than it has records.
-    from_bitmaps = join_pairs(bitmaps, b_words.filter(dense), keys, ["bucket"], ["id_b"],
+    from_bitmaps = join_pairs(bitmaps, b_words.filter(dense), keys, ["bucket"], ["text_b"],
                               F.col("n_a") / DENSE_RECORDS, "n_b").select(
-        "id_b", "copies_b", "bucket", "bits")
+        "text_b", "copies_b", "bucket", "bits")
     from_bits = (join_pairs(a_words.filter(~dense), b_words.filter(~dense), keys,
-                            ["bucket", "bit"], ["id_b"], "n_a", "n_b")
-                 .groupBy("id_b", "copies_b", "bucket")
+                            ["bucket", "bit"], ["text_b"], "n_a", "n_b")
+                 .groupBy("text_b", "copies_b", "bucket")
                  .agg(F.bitmap_construct_agg("bit").alias("bits")))
-    unions = (from_bitmaps.unionByName(from_bits).groupBy("id_b", "copies_b", "bucket")
+    unions = (from_bitmaps.unionByName(from_bits).groupBy("text_b", "copies_b", "bucket")
               .agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("n")))
     return unions.agg(F.coalesce(
         F.sum(F.col("n") * F.col("bucket.copies") * F.col("copies_b")),

@@ -11,6 +11,12 @@ from harrow.session import materialize
 
 BLOCK_ROWS = 2_000   # rows of one key, per side, that a single task may pair up
 MAX_HEAVY = 1_000    # heavy keys kept apart by join_facts
+FEW_ROWS = 100_000   # a table of so many rows has no hot key worth spreading
+
+
+def few_rows(table: DataFrame) -> bool:
+    """Whether a table on disk is small; Parquet keeps its row count."""
+    return table.count() <= FEW_ROWS
 
 
 def join_facts(rows: DataFrame, facts: DataFrame, keys: Sequence[str], weight: str,
@@ -24,6 +30,8 @@ def join_facts(rows: DataFrame, facts: DataFrame, keys: Sequence[str], weight: s
     Both inputs are read more than once and should be tables on disk.
     """
     keys = list(keys)
+    if facts.count() <= max_heavy:
+        return rows.join(F.broadcast(facts), keys)
     total = facts.agg(F.sum(weight)).scalar()
     heavy = F.col(weight) * max_heavy >= total
     hot = F.broadcast(facts.filter(heavy))
@@ -91,3 +99,17 @@ def copy_rows(rows: DataFrame, sizes: DataFrame, key: str, slot: str) -> DataFra
     """
     copied = rows.join(sizes, key).withColumn(slot, every_slot(blocks("_n")))
     return copied.drop("_n").hint("merge")
+
+
+def join_hot(rows: DataFrame, other: DataFrame, key: str, ids: Sequence[str],
+             also: Sequence[str] = (), few: bool = False) -> DataFrame:
+    """Inner join on ``key`` and ``also`` where many ``rows`` may share a key.
+
+    ``other`` has a bounded number of rows per key.  With ``few`` rows it is an
+    ordinary join.
+    """
+    if few:
+        return rows.join(other, [key, *also])
+    spread, sizes = spread_rows(rows, key, ids, "_slot")
+    copied = copy_rows(other, sizes, key, "_slot")
+    return spread.join(copied, [key, *also, "_slot"]).drop("_slot")

@@ -66,9 +66,12 @@ def term_counts(records: DataFrame, stop_words: Sequence[str] = (),
     """(key, keep, size, token, n): occurrences of each word and the record's length.
 
     The texts are spread by record key first: they are smaller than their
-    exploded words, and counting then needs no further shuffle.
+    exploded words, and counting then needs no further shuffle.  The number of
+    partitions is given, as Spark would merge texts that are small but take long
+    to split.
     """
-    texts = records.repartition(*key)
+    partitions = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = records.repartition(partitions, *key)
     words = texts.select(*key, *keep, tokenize("text", stop_words).alias("tokens"))
     columns = [*key, *keep]
     if sized:
