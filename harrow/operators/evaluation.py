@@ -53,7 +53,7 @@ def mean_similarities(index: PairIndex, gold: DataFrame) -> DataFrame:
     all_pairs = all_pairs_summary(index)
     n_all = all_pairs.select("n_pairs").scalar()
     sum_all = all_pairs.select("sum_similarity").scalar()
-    scores = indexed_gold_scores(index, gold)
+    scores = gold_scores(pair_similarity(index, gold, digits=None), gold)
     return scores.agg(
         F.count("*").alias("n_true"), F.avg("similarity").alias("mean_true"),
         (n_all - F.count("*")).alias("n_other"),

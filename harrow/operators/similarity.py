@@ -89,8 +89,9 @@ def build_index(left: DataFrame, right: DataFrame, stop_words: Sequence[str] = (
     # The sizes of the record and of the collection cancel out of a unit vector.
     weighted = join_facts(counts, words, ["token"], "n_rows").withColumn(
         "weight", F.col("n") / F.col("df"))
-    # One order for all windows, so that a record is sorted once.
-    ordered = Window.partitionBy("side", "id").orderBy(F.desc("df"), "token")
+    # One order for all windows, so that a record is sorted once; sorting is fastest
+    # with the most telling column in front.
+    ordered = Window.partitionBy("id", "side").orderBy(F.desc("df"), "token")
     record = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     commonest_first = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     unit = F.col("weight") / F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(record))
@@ -124,8 +125,9 @@ def _shared_words(index: PairIndex, text_pairs: DataFrame, few: bool) -> DataFra
     return join_hot(with_b, words("a"), "text_a", ["text_b"], ["token"], few=few)
 
 
-def _cosine() -> Column:
-    return F.round(F.sum(F.col("unit_a") * F.col("unit_b")), DIGITS)
+def _cosine(digits: int | None = DIGITS) -> Column:
+    dot = F.sum(F.col("unit_a") * F.col("unit_b"))
+    return (dot if digits is None else F.round(dot, digits)).alias("similarity")
 
 
 def _similar_texts(index: PairIndex) -> DataFrame:
@@ -144,7 +146,7 @@ def _similar_texts(index: PairIndex) -> DataFrame:
     candidates = materialize(seen.filter(F.col("seen") >= bar / 2 - ROUNDING).select(*key),
                              "candidates")
     scored = (_shared_words(index, candidates, few_rows(candidates))
-              .groupBy(*key).agg(_cosine().alias("similarity")))
+              .groupBy(*key).agg(_cosine()))
     return scored.filter(F.col("similarity") >= index.min_similarity)
 
 
@@ -205,9 +207,10 @@ def _per_pair(index: PairIndex, pairs: DataFrame, *results: Column) -> DataFrame
     return join_facts(pairs, materialize(found, "found"), key, "n").drop(*key, "n")
 
 
-def pair_similarity(index: PairIndex, pairs: DataFrame) -> DataFrame:
+def pair_similarity(index: PairIndex, pairs: DataFrame,
+                    digits: int | None = DIGITS) -> DataFrame:
     """Similarity of given pairs, whatever its size; pairs sharing no word are left out."""
-    return _per_pair(index, pairs, _cosine().alias("similarity"))
+    return _per_pair(index, pairs, _cosine(digits))
 
 
 def common_tokens(index: PairIndex, pairs: DataFrame) -> DataFrame:

@@ -48,7 +48,8 @@ def _gold_scores(spark, sf_dir):
 def _judged(spark, sf_dir):
     """The bins of all pairs with a common word, and the gold scores."""
     index = _index(spark, sf_dir)
-    return ev.index_bins(index), ev.indexed_gold_scores(index, gold_pairs(spark, sf_dir))
+    scores = ev.indexed_gold_scores(index, gold_pairs(spark, sf_dir))
+    return ev.index_bins(index), materialize(scores, "scores")
 
 
 def _tokens(spark, sf_dir):

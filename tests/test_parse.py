@@ -86,10 +86,10 @@ def test_routing_and_counts(spark):
 def test_products(spark):
     parsed = parse_products(table(
         spark, '"id","name","description","manufacturer","price"',
-        '"b1","clickart 950 ""x""","fun, and more","broderbund",0',
+        '"b1","colour set 950 ""x""","fun, and more","makers ltd",0',
         '"http://x/1","only name",,,9.5', "no commas"))
     assert rows(valid(parsed)) == [
-        ("b1", 'clickart 950 ""x"" "fun, and more" "broderbund"'),
+        ("b1", 'colour set 950 ""x"" "fun, and more" "makers ltd"'),
         ("http://x/1", "only name  ")]
     assert tuple(status_counts(parsed).first()) == (4, 2, 1, 1)
 
