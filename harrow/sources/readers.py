@@ -20,11 +20,11 @@ def read_compressed_lines(spark: SparkSession, path: str, partitions: int) -> Da
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal out a table that arrives in fewer splits than a shuffle would have.
+    """Deal out a table that arrives in fewer splits than there are cores.
 
     A single small file is one task otherwise.  Larger tables are left alone.
     """
-    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
