@@ -1,7 +1,7 @@
 """The queries of the operators in this subpackage, with their SQL checks."""
 
-from harrow.llm import secrets, urls
+from harrow.llm import language, secrets, topk, urls
 
-MODULES = (secrets, urls)
+MODULES = (secrets, urls, topk, language)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
