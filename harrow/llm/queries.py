@@ -1,7 +1,7 @@
 """The queries of the operators in this subpackage, with their SQL checks."""
 
-from harrow.llm import decontaminate, jaccard, language, quality, secrets, topk, urls
+from harrow.llm import decontaminate, jaccard, language, packing, quality, secrets, topk, urls
 
-MODULES = (secrets, urls, topk, language, quality, decontaminate, jaccard)
+MODULES = (secrets, urls, topk, language, packing, quality, decontaminate, jaccard, packing)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
