@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _written: list[str] = []
+_own_folder: list[str] = []
 
 SUGGESTED_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -36,14 +39,25 @@ def work_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``.  Only a local session may
-    go without; it then gets a folder of its own.
+    go without; it then gets one folder of its own, deleted when Python ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="harrow-")
+    if not _own_folder:
+        _own_folder.append(tempfile.mkdtemp(prefix="harrow-"))
+        atexit.register(shutil.rmtree, _own_folder[0], ignore_errors=True)
+    return _own_folder[0]
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for a table, below the one work folder of this application."""
+    top = os.path.join(work_dir(spark), f"harrow-{spark.conf.get('spark.app.id', 'local')}")
+    path = os.path.join(top, f"{name}-{uuid.uuid4().hex}")
+    _written.append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -53,19 +67,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     the loss of executors, and later reads fetch only the columns they need.
     """
     spark = df.sparkSession
-    path = os.path.join(work_dir(spark), f"harrow-{uuid.uuid4().hex}", name)
-    _written.append(path)
+    path = work_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear_materialized(spark: SparkSession) -> None:
-    """Delete the tables ``materialize`` wrote for this program.
+def clear_materialized() -> list[str]:
+    """Delete the tables ``materialize`` wrote for this program; give those it cannot.
 
-    Call it when no DataFrame that reads them is needed any more.
+    Call it when no DataFrame that reads them is needed any more.  Paths of a local file
+    system are deleted; tables in any other store are returned for its own tools.
     """
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    kept = []
     while _written:
-        folder = hadoop(os.path.dirname(_written.pop()))
-        folder.getFileSystem(conf).delete(folder, True)
+        path = _written.pop()
+        local = path.removeprefix("file://").removeprefix("file:")
+        if "://" in local:
+            kept.append(path)
+        else:
+            shutil.rmtree(local, ignore_errors=True)
+    return kept

@@ -11,9 +11,16 @@ def test_materialize_reads_what_it_wrote(spark, tmp_path, monkeypatch):
     df = spark.range(10).selectExpr("id", "if(id > 5, null, id) x")
     kept = session.materialize(df, "numbers")
     assert kept.dtypes == df.dtypes and rows(kept, "id") == rows(df, "id")
-    assert len(os.listdir(tmp_path)) == 1
-    session.clear_materialized(spark)
-    assert os.listdir(tmp_path) == []
+    session.materialize(df, "numbers")
+    (folder,) = os.listdir(tmp_path)  # one folder for all tables of the application
+    assert len(os.listdir(tmp_path / folder)) == 2
+    assert session.clear_materialized() == []
+    assert os.listdir(tmp_path / folder) == []
+
+
+def test_tables_in_another_store_are_named(monkeypatch):
+    monkeypatch.setattr(session, "_written", ["store://bucket/numbers"])
+    assert session.clear_materialized() == ["store://bucket/numbers"]
 
 
 def test_work_dir_is_the_one_the_cluster_names(spark):
