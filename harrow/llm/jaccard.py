@@ -22,13 +22,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harrow.llm.batches import Hashes, chunks, folded_symbols, mix, words
+from harrow.llm.bits import bit_of, key_filter
 from harrow.llm.components import components
 from harrow.session import materialize
 
 SHINGLE = 3               # words of a shingle
 PERCENT = 90              # similarity from which two sets are linked
 HOT_SHINGLES = 1 << 18    # commonest shingles whose counts set the order; broadcast
-FILTER_BITS = 1 << 23     # bits of the filter that names the sets to verify; broadcast
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[32, *range(9, 14)]] = True
@@ -150,28 +150,18 @@ def _linked(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return run
 
 
-def _bit(row: Column | str) -> Column:
-    return F.pmod(F.xxhash64(row), F.lit(FILTER_BITS)).cast("long")
-
-
 def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of rows whose whole sets are similar enough.
 
     Only texts whose row passes a filter of fixed size are cut into shingles again.
     """
-    rows = pairs.select(F.explode(F.array("a", "b")).alias("row")).select((_bit("row") + 1).alias("bit"))
-    maps = (rows.groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect())
-    bits = np.zeros(FILTER_BITS, bool)
-    for bucket, found in maps:
-        own = np.unpackbits(np.frombuffer(found, np.uint8), bitorder="little")
-        bits[(bucket - 1) * len(own):bucket * len(own)] = own[:len(bits)]
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
+    rows = pairs.select(F.explode(F.array("a", "b")).alias("row"))
+    shared = docs.sparkSession.sparkContext.broadcast(key_filter(rows, "row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _sets(np.unpackbits(shared.value).astype(bool))(batches)
 
-    sets = docs.select("row", "text", _bit("row").alias("bit")).mapInArrow(
+    sets = docs.select("row", "text", bit_of("row").alias("bit")).mapInArrow(
         run, "row long, shingles binary").dropDuplicates(["row"])
     sets = materialize(sets, "sets")
     left = sets.select(F.col("row").alias("a"), F.col("shingles").alias("set_a"))

@@ -1,7 +1,18 @@
 """The queries of the operators in this subpackage, with their SQL checks."""
 
-from harrow.llm import decontaminate, html, jaccard, language, packing, quality, secrets, topk, urls
+from harrow.llm import (
+    decontaminate,
+    html,
+    jaccard,
+    language,
+    packing,
+    quality,
+    repeats,
+    secrets,
+    topk,
+    urls,
+)
 
-MODULES = (secrets, urls, topk, language, packing, quality, decontaminate, html, jaccard, packing, html)
+MODULES = (secrets, repeats, decontaminate, urls, topk, quality, packing, html, jaccard, language)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
