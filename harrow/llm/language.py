@@ -109,6 +109,8 @@ class LanguageModel:
 
     def score(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """The likeliest language of each text and its probability."""
+        if not self.languages:
+            return [UNDETERMINED] * len(texts), [0.0] * len(texts)
         known, rows, lengths = self._known, [], []
         if len(known) > CACHED_WORDS:
             known.clear()
@@ -200,14 +202,15 @@ def train(counts: list[tuple[str, str, int]], pieces: list[str],
 def learn_languages(docs: DataFrame, vocabulary_path: str | None = None) -> LanguageModel:
     """A model of the languages in ``lang``, from a bounded sample of ``text``.
 
-    Rows with a null language or text are left out.  The sample takes about
+    Rows with a null language or text are left out; without any row the model knows no
+    language.  The sample takes about
     DOCS_PER_LANGUAGE texts per language, picked by a hash of the text; whole texts are
     counted, and the TRAINING_WORDS commonest (language, word) pairs reach the driver.
     """
     docs = docs.select("lang", "text").dropna()
     sizes = {r[0]: r[1] for r in docs.groupBy("lang").count().collect()}
-    if not sizes:
-        raise ValueError("no labelled text to learn languages from")
+    if not sizes:  # nothing to learn: every text is undetermined
+        return LanguageModel([], [], np.zeros((0, 0)))
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items()
                            for x in (lang, min(1.0, DOCS_PER_LANGUAGE / n))])
     place = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1_000_000.0

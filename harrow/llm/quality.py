@@ -199,7 +199,8 @@ def learn_quality(docs: DataFrame, labels: DataFrame) -> LineField:
 
     Rows with a null are left out.  About TRAINING_DOCS labels train, picked by a hash of
     the id and at most twice as many, so they are broadcast; documents with more than
-    TRAINING_LINES lines or without a line are passed over.
+    TRAINING_LINES lines or without a line are passed over.  Without any left, all texts
+    score 0.5.
     """
     labels = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).dropna()
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000.0
@@ -220,8 +221,8 @@ def learn_quality(docs: DataFrame, labels: DataFrame) -> LineField:
 
     found = add_columns(sample, work, "features array<double>, lengths array<int>", ["quality"])
     rows = [r for r in found.limit(2 * TRAINING_DOCS).collect() if r["lengths"]]
-    if not rows:
-        raise ValueError("no labelled text to learn quality from")
+    if not rows:  # nothing to learn: every text is as good as bad
+        return LineField(np.zeros(N_FEATURES), np.zeros((2, 2)), 1.0, 0.0, 0.5)
     features = np.concatenate([np.array(r["features"]).reshape(-1, N_FEATURES) for r in rows])
     sizes = [len(r["lengths"]) for r in rows]
     good = np.repeat([float(r["quality"] == 1) for r in rows], sizes)
