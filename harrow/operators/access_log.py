@@ -51,29 +51,27 @@ def _hosts_per_period(logs: DataFrame, by: str) -> DataFrame:
     return logs.groupBy(_period(by)).agg(F.count_distinct("host").alias("n_hosts"))
 
 
-def daily_hosts(logs: DataFrame, by: str = "day", limit: int = 30) -> DataFrame:
-    """Distinct hosts of each day, the first ``limit`` days in order."""
-    return _hosts_per_period(logs, by).orderBy(by).limit(limit)
+def daily_hosts(logs: DataFrame, by: str = "day") -> DataFrame:
+    """Distinct hosts of each day, in order."""
+    return _hosts_per_period(logs, by).orderBy(by)
 
 
 def mean_daily_hosts(logs: DataFrame, by: str = "day") -> DataFrame:
     return _hosts_per_period(logs, by).agg(F.avg("n_hosts").alias("mean_hosts"))
 
 
-def daily_requests_per_host(logs: DataFrame, by: str = "day", limit: int = 30) -> DataFrame:
+def daily_requests_per_host(logs: DataFrame, by: str = "day") -> DataFrame:
     """Requests per distinct host of each day, as a whole number rounded down."""
     requests = F.count("*")
     n_hosts = F.count_distinct("host")
     return (logs.groupBy(_period(by))
             .agg(requests.alias("n"), n_hosts.alias("n_hosts"))
             .select(by, F.expr("n div n_hosts").alias("requests_per_host"))
-            .orderBy(by).limit(limit))
+            .orderBy(by))
 
 
-def distinct_endpoints(logs: DataFrame, limit: int | None = None) -> DataFrame:
-    """Distinct endpoints; with ``limit`` the first ones in order."""
-    found = logs.select("endpoint").distinct()
-    return found if limit is None else found.orderBy("endpoint").limit(limit)
+def distinct_endpoints(logs: DataFrame) -> DataFrame:
+    return logs.select("endpoint").distinct()
 
 
 def count_by_period(logs: DataFrame, by: str = "day") -> DataFrame:

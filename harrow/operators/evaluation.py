@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from harrow.operators.similarity import (
     PairIndex,
     all_pairs_summary,
-    overlapping_pair_count,
     pair_similarity,
     similar_pair_bins,
     similarity_bin,
@@ -95,11 +94,11 @@ def histogram(bins: DataFrame, gold: DataFrame) -> DataFrame:
 
 
 def index_bins(index: PairIndex) -> DataFrame:
-    """(bin, n_pairs) of all pairs with a word in common.
+    """(bin, n_pairs) of all pairs of the two sides.
 
-    Bin 0 is the number of such pairs less those of the higher bins, so the
-    pairs below the bar are counted without being listed.  The bar must be the
-    lower edge of bin 1.
+    Bin 0 is the number of all pairs less those of the higher bins, so the pairs
+    below the bar are counted without being formed, whether or not they have a word in
+    common.  The bar must be the lower edge of bin 1.
     """
     if index.min_similarity != 1 / THRESHOLDS:
         raise ValueError(f"the index must hold pairs from {1 / THRESHOLDS}")
@@ -107,7 +106,12 @@ def index_bins(index: PairIndex) -> DataFrame:
         F.struct("bin", "n_pairs"),
         F.struct(F.lit(0).alias("bin"), (-F.col("n_pairs")).alias("n_pairs"))))
     higher = similar_pair_bins(index).select(moved.alias("m")).select("m.*")
-    total = overlapping_pair_count(index).select(F.lit(0).alias("bin"), "n_pairs")
+
+    def n(side: str) -> Column:
+        return F.count_if(F.col("side") == side)
+
+    total = index.records.agg((n("a") * n("b")).alias("n_pairs")).select(
+        F.lit(0).alias("bin"), "n_pairs")
     return (higher.unionByName(total).groupBy("bin")
             .agg(F.sum("n_pairs").alias("n_pairs")))
 

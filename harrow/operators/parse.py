@@ -14,13 +14,11 @@ from pyspark.sql import functions as F
 from harrow.functions.text import strip_quotes
 
 # The record formats.
-ACCESS_LOG_PATTERN = (r'^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] '
-                      r'"(\S+) (\S+)\s*(\S*)" (\d{3}) (\S+)')
+ACCESS_LOG_PATTERN = r'^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] "(\S+) (\S+)\s*(\S*)" (\d{3}) (\S+)'
 PRODUCT_PATTERN = r'^(.+),"(.+)",(.*),(.*),(.*)'
 GOLD_PATTERN = r'^(.+),(.+)'
 PRODUCT_HEADER = '"id"'
 GOLD_HEADER = '"idAmazon"'
-MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 
 # A line holds no line feed, so one can separate the groups of a match.
 _SEPARATOR = "\n"
@@ -49,16 +47,15 @@ def _when_ok(df: DataFrame, fields: Mapping[str, Column], keep: list[str]) -> Da
 
 
 def log_time(text: Column) -> Column:
-    """``dd/Mon/yyyy:HH:mm:ss +zzzz`` as a zone-less timestamp; the offset is ignored."""
-    def number(start: int, length: int) -> Column:
-        return F.substring(text, start, length).try_cast("int")
+    """``dd/Mon/yyyy:HH:mm:ss +zzzz`` as a zone-less timestamp; the offset is ignored.
 
-    at = F.instr(F.lit(MONTHS), F.substring(text, 4, 3))
-    month = F.when((F.length(F.substring(text, 4, 3)) == 3) & (at % 3 == 1),
-                   F.floor((at + 2) / 3).cast("int"))
-    second = F.when(number(19, 2) < 60, number(19, 2)).cast("decimal(8,6)")
-    return F.try_make_timestamp_ntz(number(8, 4), month, number(1, 2), number(13, 2),
-                                    number(16, 2), second)
+    The time is read as if in UTC and counted from the epoch, so the session's zone and
+    its gaps play no part.
+    """
+    utc = F.try_to_timestamp(F.concat(F.substring(text, 1, 20), F.lit(" +0000")),
+                             F.lit("dd/MMM/yyyy:HH:mm:ss Z"))
+    since = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.unix_seconds(utc))
+    return F.lit("1970-01-01").cast("timestamp_ntz") + since
 
 
 def parse_access_log(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -113,13 +110,13 @@ def parse_gold_pairs(lines: DataFrame, column: str = "value") -> DataFrame:
 
 def parse_ratings(lines: DataFrame, column: str = "value") -> DataFrame:
     """``user::item::rating::time`` lines; the time is dropped."""
-    return _parse_fields(lines, column, {"user": (0, "int"), "item": (1, "int"),
+    return _parse_fields(lines, column, {"user": (0, "bigint"), "item": (1, "bigint"),
                                          "rating": (2, "double")})
 
 
 def parse_movies(lines: DataFrame, column: str = "value") -> DataFrame:
     """``item::title::genres`` lines; the genres are dropped."""
-    return _parse_fields(lines, column, {"item": (0, "int"), "title": (1, "string")})
+    return _parse_fields(lines, column, {"item": (0, "bigint"), "title": (1, "string")})
 
 
 def _parse_fields(lines: DataFrame, column: str,

@@ -6,6 +6,7 @@ Ratings are (user, item, rating), items are (item, title).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
@@ -13,8 +14,7 @@ from pyspark.sql import functions as F
 
 from harrow.functions.text import contains_any
 from harrow.operators.evaluation import rmse
-from harrow.operators.skew import join_facts
-from harrow.session import materialize
+from harrow.operators.numbering import number_values
 
 # The training settings.
 RANKS = (4, 8, 12)
@@ -58,8 +58,7 @@ def mean_predictor(training: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def item_mean_predictor(training: DataFrame, pairs: DataFrame) -> DataFrame:
     """Predict the item's mean training rating; unknown items are left out."""
-    stats = materialize(item_stats(training), "stats")
-    return join_facts(pairs.select("user", "item"), stats, ["item"], "n_ratings").select(
+    return pairs.select("user", "item").join(item_stats(training), "item").select(
         "user", "item", F.col("avg_rating").alias("prediction"))
 
 
@@ -71,20 +70,36 @@ def search_titles(items: DataFrame, terms: Sequence[str]) -> DataFrame:
 def unrated_items(items: DataFrame, ratings: DataFrame, user: int) -> DataFrame:
     """(user, item) for every item the user has not rated."""
     rated = ratings.filter(F.col("user") == user).select("item")
-    return items.join(rated, "item", "left_anti").select(F.lit(user).alias("user"), "item")
+    return items.join(rated, "item", "left_anti").select(
+        F.lit(user).cast("bigint").alias("user"), "item")
 
 
-def train(ratings: DataFrame, rank: int, iterations: int = ITERATIONS,
-          regularization: float = REGULARIZATION, seed: int = SEED) -> ALSModel:
-    """Fit the factors; unknown users and items get no prediction."""
-    return ALS(rank=rank, maxIter=iterations, regParam=regularization, seed=seed,
-               userCol="user", itemCol="item", ratingCol="rating",
-               coldStartStrategy="drop").fit(ratings)
+@dataclass(frozen=True)
+class Recommender:
+    """A fitted model and the numbers that users and items have in it.
+
+    The factors are kept for 32-bit numbers, so ids of any size are numbered first.
+    """
 
+    model: ALSModel
+    users: DataFrame
+    items: DataFrame
 
-def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
-    """(user, item, prediction)."""
-    return model.transform(pairs.select("user", "item")).select(
+
+def train(ratings: DataFrame, rank: int, iterations: int = ITERATIONS,
+          regularization: float = REGULARIZATION, seed: int = SEED) -> Recommender:
+    """Fit the factors; rows with a null id are left out."""
+    users, items = number_values(ratings, "user", "_u"), number_values(ratings, "item", "_i")
+    numbered = ratings.join(users, "user").join(items, "item").select("_u", "_i", "rating")
+    als = ALS(rank=rank, maxIter=iterations, regParam=regularization, seed=seed,
+              userCol="_u", itemCol="_i", ratingCol="rating", coldStartStrategy="drop")
+    return Recommender(als.fit(numbered), users, items)
+
+
+def predict(fitted: Recommender, pairs: DataFrame) -> DataFrame:
+    """(user, item, prediction); unknown users and items get no prediction."""
+    known = pairs.select("user", "item").join(fitted.users, "user").join(fitted.items, "item")
+    return fitted.model.transform(known).select(
         "user", "item", F.col("prediction").cast("double").alias("prediction"))
 
 
@@ -110,10 +125,10 @@ def best_rank(errors: DataFrame) -> DataFrame:
 def personal_ratings(spark, user: int, rated: Sequence[tuple[int, float]]) -> DataFrame:
     """Ratings of one user from a list of (item, rating)."""
     return spark.createDataFrame([(user, item, float(r)) for item, r in rated],
-                                 "user int, item int, rating double")
+                                 "user bigint, item bigint, rating double")
 
 
-def recommend(model: ALSModel, candidates: DataFrame, ratings: DataFrame, items: DataFrame,
+def recommend(model: Recommender, candidates: DataFrame, ratings: DataFrame, items: DataFrame,
               min_ratings: int = 75, k: int = 20) -> DataFrame:
     """The best predicted candidates among items with more than ``min_ratings`` ratings."""
     return with_stats(predict(model, candidates), ratings, items, min_ratings).orderBy(
@@ -125,6 +140,5 @@ def with_stats(predictions: DataFrame, ratings: DataFrame, items: DataFrame,
     """Predictions with title and rating count, of items rated often enough."""
     counts = item_stats(ratings).select("item", "n_ratings")
     often = named(counts, items).filter(F.col("n_ratings") > min_ratings)
-    return join_facts(materialize(predictions, "predictions"), materialize(often, "often"),
-                      ["item"], "n_ratings").select(
+    return predictions.join(often, "item").select(
         "user", "item", "title", "n_ratings", "prediction")

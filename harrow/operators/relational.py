@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LIST_VALUES = 10_000  # distinct values of one key per list
 PIECE_ROWS = 10_000   # strings per concatenated piece
-SALTS = 64            # tasks that share the values of one large key
 
 
 # Filters ---------------------------------------------------------------------
@@ -22,9 +19,15 @@ def rows_with_field(df: DataFrame, value: str, fields: str = "fields") -> DataFr
 
 
 def rows_with_value(df: DataFrame, value, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows where some column equals ``value``."""
-    columns = columns or df.columns
-    return df.filter(F.lit(value).isin(*[F.col(c) for c in columns]))
+    """Rows where some column equals ``value``.
+
+    Each column is compared in its own type; a value that is none of that type is not in it.
+    """
+    found = F.lit(False)
+    for name in columns or df.columns:
+        same = F.col(name) == F.lit(value).try_cast(df.schema[name].dataType)
+        found = found | F.coalesce(same, F.lit(False))
+    return df.filter(found)
 
 
 def rows_equal_to(df: DataFrame, record: dict) -> DataFrame:
@@ -75,14 +78,12 @@ def value_lists(df: DataFrame, key: str, value: str,
     stored.  A key with more than ``max_values`` distinct values is dealt out
     over several parts; together the parts of a key hold all its values.
     """
-    counted = (df.groupBy(key, value).agg(F.count("*").alias("_n"))
-               .withColumn("_salt", F.pmod(F.xxhash64(value, F.lit("salt")), F.lit(SALTS)).cast("int")))
-    large = (counted.groupBy(key).agg(F.count("*").alias("_values"))
-             .filter(F.col("_values") > max_values)
-             .select(key, F.ceil(F.col("_values") / max_values).alias("_parts"),
-                     F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")))
-    part = F.pmod(F.xxhash64(value), F.coalesce("_parts", F.lit(1))).cast("int")
-    return (counted.join(large, [key, "_salt"], "left")
+    counted = df.groupBy(key, value).agg(F.count("*").alias("_n"))
+    parts = counted.groupBy(F.col(key).alias("_key")).agg(
+        F.greatest(F.lit(1), F.ceil(F.count("*") / max_values)).alias("_parts"))
+    # A left join on equal or both-null keys: Spark splits the rows of a large key.
+    part = F.pmod(F.xxhash64(value), "_parts").cast("int")
+    return (counted.join(parts, F.col(key).eqNullSafe(F.col("_key")), "left")
             .groupBy(key, part.alias("part"))
             .agg(F.sum("_n").alias("n"),
                  F.sort_array(F.collect_list(
@@ -109,20 +110,9 @@ def concat_in_order(df: DataFrame, value: str, order: str,
 
 
 def per_partition_sums(df: DataFrame, value: str) -> DataFrame:
-    """One row (n, total) per physical partition, summed inside its task."""
-    kind = "bigint" if dict(df.dtypes)[value] in ("int", "bigint", "smallint") else "double"
-    arrow = pa.int64() if kind == "bigint" else pa.float64()
-
-    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, total = 0, 0
-        for batch in batches:
-            column = batch.column(0)
-            n += len(column) - column.null_count
-            total += pc.sum(column).as_py() or 0
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([n], pa.int64()), pa.array([total], arrow)], names=["n", "total"])
-
-    return df.select(value).mapInArrow(add_up, f"n bigint, total {kind}")
+    """One row (n, total) per physical partition with rows; added up before any shuffle."""
+    return (df.select(value).groupBy(F.spark_partition_id().alias("_partition"))
+            .agg(F.count(value).alias("n"), F.sum(value).alias("total")).drop("_partition"))
 
 
 # Ordering --------------------------------------------------------------------

@@ -7,10 +7,9 @@ here lists all pairs of a collection:
 * copies of a text are worked on once, as a representative with a count;
 * pairs are listed from a similarity above zero upwards.  A record's most common
   words are left out of the index as long as their combined length cannot bring
-  a pair to that similarity, and the pairs found are then scored in full, so
-  the list is exact;
-* totals over all pairs come from sums per word, and the number of pairs with a
-  word in common from bitmaps.
+  a pair to that similarity, and are added to the pairs found, so the list is
+  exact;
+* totals over all pairs come from sums per word.
 """
 
 from __future__ import annotations
@@ -21,14 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from harrow.operators.skew import (
-    blocks,
-    few_rows,
-    join_facts,
-    join_hot,
-    join_pairs,
-    slot_of,
-)
+from harrow.operators.skew import blocks, join_pairs, slot_of
 from harrow.operators.weights import term_counts
 from harrow.session import materialize
 
@@ -71,8 +63,7 @@ def build_index(left: DataFrame, right: DataFrame, stop_words: Sequence[str] = (
     keyed = materialize(both.select("side", "id", F.sha2("text", 256).alias("key")), "keyed")
     texts = materialize(keyed.groupBy("side", "key")
                         .agg(F.min("id").alias("text"), F.count("*").alias("copies")), "texts")
-    records = materialize(join_facts(keyed, texts, ["side", "key"], "copies").drop("key"),
-                          "records")
+    records = materialize(keyed.join(texts, ["side", "key"]).drop("key"), "records")
 
     standing = texts.select("side", F.col("text").alias("id"), "copies")
     distinct = both.join(standing, ["side", "id"])
@@ -83,12 +74,11 @@ def build_index(left: DataFrame, right: DataFrame, stop_words: Sequence[str] = (
         return F.count_if(F.col("side") == side)
 
     words = materialize(counts.groupBy("token").agg(
-        F.sum("copies").alias("df"), F.count("*").alias("n_rows"),
+        F.sum("copies").alias("df"),
         rows_of("a").alias("n_a"), rows_of("b").alias("n_b")), "words")
 
     # The sizes of the record and of the collection cancel out of a unit vector.
-    weighted = join_facts(counts, words, ["token"], "n_rows").withColumn(
-        "weight", F.col("n") / F.col("df"))
+    weighted = counts.join(words, "token").withColumn("weight", F.col("n") / F.col("df"))
     # One order for all windows, so that a record is sorted once; sorting is fastest
     # with the most telling column in front.
     ordered = Window.partitionBy("id", "side").orderBy(F.desc("df"), "token")
@@ -107,22 +97,34 @@ def build_index(left: DataFrame, right: DataFrame, stop_words: Sequence[str] = (
 def _left_out(min_similarity: float) -> float:
     """Largest length of a record's words left out of the index.
 
-    A pair at the bar then scores at least half of it on indexed words alone.
+    A pair at the bar has at most half of it from the words either side left out, so
+    some of it comes from words that both have in the index.
     """
-    return (min_similarity - ROUNDING) / 4
+    return 0.49 * (min_similarity - ROUNDING)
 
 
-def _shared_words(index: PairIndex, text_pairs: DataFrame, few: bool) -> DataFrame:
+def _words(index: PairIndex, side: str) -> DataFrame:
+    return index.side(side, F.col("text").alias(f"text_{side}"), "token",
+                      F.col("unit").alias(f"unit_{side}"),
+                      F.col("indexed").alias(f"indexed_{side}"))
+
+
+def _shared_words(index: PairIndex, text_pairs: DataFrame) -> DataFrame:
     """The rows of ``text_pairs`` once per word that both texts have.
 
     Adds (token, unit_a, unit_b): the words of b, then their weights in a.
     """
-    def words(side: str) -> DataFrame:
-        return index.side(side, F.col("text").alias(f"text_{side}"), "token",
-                          F.col("unit").alias(f"unit_{side}"))
+    return (text_pairs.join(_words(index, "b"), "text_b")
+            .join(_words(index, "a"), ["text_a", "token"]))
+
 
-    with_b = join_hot(text_pairs, words("b"), "text_b", ["text_a"], few=few)
-    return join_hot(with_b, words("a"), "text_a", ["text_b"], ["token"], few=few)
+def _left_out_words(index: PairIndex, text_pairs: DataFrame) -> DataFrame:
+    """``_shared_words`` of the words that are not in the index on both sides."""
+    a, b = _words(index, "a"), _words(index, "b")
+    of_a = text_pairs.join(a.filter("not indexed_a"), "text_a").join(b, ["text_b", "token"])
+    of_b = (text_pairs.join(b.filter("not indexed_b"), "text_b")
+            .join(a.filter("indexed_a"), ["text_a", "token"]))
+    return of_a.unionByName(of_b)
 
 
 def _cosine(digits: int | None = DIGITS) -> Column:
@@ -141,12 +143,13 @@ def _similar_texts(index: PairIndex) -> DataFrame:
     key = ["text_a", "text_b", "copies_a", "copies_b"]
     met = join_pairs(indexed("a"), indexed("b"), ["token", "n_a", "n_b"],
                      ["text_a"], ["text_b"], "n_a", "n_b")
-    seen = met.groupBy(*key).agg(F.sum(F.col("unit_a") * F.col("unit_b")).alias("seen"))
-    bar = index.min_similarity - ROUNDING
-    candidates = materialize(seen.filter(F.col("seen") >= bar / 2 - ROUNDING).select(*key),
-                             "candidates")
-    scored = (_shared_words(index, candidates, few_rows(candidates))
-              .groupBy(*key).agg(_cosine()))
+    # What the index has seen of a pair is kept; only the words left out are added.
+    seen = materialize(met.groupBy(*key).agg(F.sum(F.col("unit_a") * F.col("unit_b")).alias("part")),
+                       "seen")
+    rest = _left_out_words(index, seen.select(*key)).select(
+        *key, (F.col("unit_a") * F.col("unit_b")).alias("part"))
+    scored = (seen.unionByName(rest).groupBy(*key)
+              .agg(F.round(F.sum("part"), DIGITS).alias("similarity")))
     return scored.filter(F.col("similarity") >= index.min_similarity)
 
 
@@ -191,20 +194,15 @@ def similarity_bin(similarity: Column | str = "similarity") -> Column:
 
 def _per_pair(index: PairIndex, pairs: DataFrame, *results: Column) -> DataFrame:
     """Aggregate the shared words of each given pair; equal texts are worked on once."""
-    pairs = materialize(pairs.select("id_a", "id_b"), "pairs")
-    few = few_rows(pairs)
-    for side, other in (("a", "b"), ("b", "a")):
+    pairs = pairs.select("id_a", "id_b")
+    for side in ("a", "b"):
         texts = index.records.filter(F.col("side") == side).select(
             F.col("id").alias(f"id_{side}"), F.col("text").alias(f"text_{side}"))
-        pairs = join_hot(pairs, texts, f"id_{side}", [f"id_{other}"], few=few)
-    key = ["text_a", "text_b"]
-    if few:
-        found = _shared_words(index, pairs.select(*key).distinct(), few)
-        return pairs.join(found.groupBy(*key).agg(*results), key).drop(*key)
+        pairs = pairs.join(texts, f"id_{side}")
     pairs = materialize(pairs, "pairs")
-    text_pairs = materialize(pairs.groupBy(*key).agg(F.count("*").alias("n")), "text_pairs")
-    found = _shared_words(index, text_pairs, few).groupBy(*key, "n").agg(*results)
-    return join_facts(pairs, materialize(found, "found"), key, "n").drop(*key, "n")
+    key = ["text_a", "text_b"]
+    found = _shared_words(index, pairs.select(*key).distinct()).groupBy(*key).agg(*results)
+    return pairs.join(found, key).drop(*key)
 
 
 def pair_similarity(index: PairIndex, pairs: DataFrame,

@@ -1,4 +1,8 @@
-"""Joins whose hot keys are spread over many tasks, with whole results."""
+"""A many-to-many join whose hot keys are spread over many tasks, with whole results.
+
+Joins with at most one row per key on one side are ordinary joins: Spark broadcasts a
+small side, and adaptive execution splits the rows of a hot key over several tasks.
+"""
 
 from __future__ import annotations
 
@@ -7,37 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harrow.session import materialize
-
 BLOCK_ROWS = 2_000   # rows of one key, per side, that a single task may pair up
-MAX_HEAVY = 1_000    # heavy keys kept apart by join_facts
-FEW_ROWS = 100_000   # a table of so many rows has no hot key worth spreading
-
-
-def few_rows(table: DataFrame) -> bool:
-    """Whether a table on disk is small; Parquet keeps its row count."""
-    return table.count() <= FEW_ROWS
-
-
-def join_facts(rows: DataFrame, facts: DataFrame, keys: Sequence[str], weight: str,
-               max_heavy: int = MAX_HEAVY) -> DataFrame:
-    """Inner join of many rows with one fact row per key, safe for hot keys.
-
-    ``weight`` is a column of ``facts``, proportional to the rows behind the key.
-    Keys holding at least ``1 / max_heavy`` of the total weight number at most
-    ``max_heavy``, so they fit a broadcast whatever the size of the data; their
-    rows never meet in one task.  All other keys go through an ordinary join.
-    Both inputs are read more than once and should be tables on disk.
-    """
-    keys = list(keys)
-    if facts.count() <= max_heavy:
-        return rows.join(F.broadcast(facts), keys)
-    total = facts.agg(F.sum(weight)).scalar()
-    heavy = F.col(weight) * max_heavy >= total
-    hot = F.broadcast(facts.filter(heavy))
-    light_rows = rows.join(F.broadcast(facts.filter(heavy).select(*keys)), keys, "left_anti")
-    light = light_rows.join(facts.filter(~heavy), keys)
-    return rows.join(hot, keys).unionByName(light)
 
 
 def blocks(count: Column | str, size: int = BLOCK_ROWS) -> Column:
@@ -77,39 +51,3 @@ def join_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str],
              .withColumn("_line", every_slot(lines)))
     return (left.join(right.hint("merge"), [*keys, "_line", "_column"])
             .drop("_line", "_column"))
-
-
-def spread_rows(rows: DataFrame, key: str, ids: Sequence[str],
-                slot: str) -> tuple[DataFrame, DataFrame]:
-    """Deal the rows of each key into slots of about ``BLOCK_ROWS``.
-
-    Gives the rows with the column ``slot`` and the sizes that ``copy_rows`` needs.
-    ``rows`` should be a table on disk.
-    """
-    sizes = materialize(rows.groupBy(key).agg(F.count("*").alias("_n")), "sizes")
-    spread = join_facts(rows, sizes, [key], "_n").withColumn(slot, slot_of(ids, blocks("_n")))
-    return spread.drop("_n"), sizes
-
-
-def copy_rows(rows: DataFrame, sizes: DataFrame, key: str, slot: str) -> DataFrame:
-    """Copy rows to every slot of their key, for a join with ``spread_rows``.
-
-    Rows of other keys are dropped before the copying.  The join always shuffles,
-    as for ``join_pairs``.
-    """
-    copied = rows.join(sizes, key).withColumn(slot, every_slot(blocks("_n")))
-    return copied.drop("_n").hint("merge")
-
-
-def join_hot(rows: DataFrame, other: DataFrame, key: str, ids: Sequence[str],
-             also: Sequence[str] = (), few: bool = False) -> DataFrame:
-    """Inner join on ``key`` and ``also`` where many ``rows`` may share a key.
-
-    ``other`` has a bounded number of rows per key.  With ``few`` rows it is an
-    ordinary join.
-    """
-    if few:
-        return rows.join(other, [key, *also])
-    spread, sizes = spread_rows(rows, key, ids, "_slot")
-    copied = copy_rows(other, sizes, key, "_slot")
-    return spread.join(copied, [key, *also, "_slot"]).drop("_slot")

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harrow.functions.text import tokenize
-from harrow.operators.skew import join_facts
 from harrow.session import materialize
 
 
@@ -89,23 +88,19 @@ def term_frequency(records: DataFrame, stop_words: Sequence[str] = ()) -> DataFr
 
 
 def inverse_document_frequency(records: DataFrame,
-                               stop_words: Sequence[str] = ()) -> DataFrame:
-    """(token, idf), idf = records / records holding the word, with no logarithm."""
+                               stop_words: Sequence[str] = (),
+                               unique_ids: bool = True) -> DataFrame:
+    """(token, idf), idf = records / records holding the word, with no logarithm.
+
+    With ``unique_ids`` off, rows of one id make up one record.
+    """
     n_records = records.agg(F.count_distinct("id")).scalar()
-    holding = (inverted_pairs(records, stop_words)
+    held = inverted_pairs(records, stop_words)
+    holding = ((held if unique_ids else held.distinct())
                .groupBy("token").agg(F.count("*").alias("df")))
     return holding.select("token", (n_records / F.col("df")).alias("idf"))
 
 
-def _with_idf(rows: DataFrame, idf: DataFrame) -> DataFrame:
-    """Add ``idf``; the commonest words by broadcast, the others by shuffle.
-
-    The number of records holding a word is in proportion to 1 / idf.
-    """
-    facts = materialize(idf.withColumn("_held", 1 / F.col("idf")), "idf")
-    return join_facts(rows, facts, ["token"], "_held").drop("_held")
-
-
 def tfidf(records: DataFrame, stop_words: Sequence[str] = (),
           idf: DataFrame | None = None) -> DataFrame:
     """(id, token, weight); words without an idf are left out."""
@@ -113,7 +108,7 @@ def tfidf(records: DataFrame, stop_words: Sequence[str] = (),
     if idf is None:
         n_records = records.agg(F.count_distinct("id")).scalar()
         idf = counts.groupBy("token").agg((n_records / F.count("*")).alias("idf"))
-    return _with_idf(counts, idf).select(
+    return counts.join(idf, "token").select(
         "id", "token", (frequency() * F.col("idf")).alias("weight"))
 
 
@@ -131,21 +126,29 @@ def text_pair_similarity(pairs: DataFrame, idf: DataFrame,
     """
     sides = [pairs.select("pair_id", F.lit(s).alias("side"), F.col(f"text_{s}").alias("text"))
              for s in ("a", "b")]
-    counts = term_counts(sides[0].unionByName(sides[1]), stop_words,
-                         keep=["side"], key=["pair_id"])
+    return side_similarity(sides[0].unionByName(sides[1]), idf, stop_words)
+
+
+def side_similarity(sides: DataFrame, idf: DataFrame,
+                    stop_words: Sequence[str] = ()) -> DataFrame:
+    """Cosine of the two sides of each pair: (pair_id, side, text) to (pair_id, similarity).
+
+    ``side`` is ``a`` or ``b``.  A side may have many rows; their words count together.
+    The length of a side cancels out of the cosine, so plain counts are weighed.
+    """
+    counts = term_counts(sides, stop_words, keep=["side"], key=["pair_id"], sized=False)
 
-    def weight(side: str) -> Column:
-        own = F.when(F.col("side") == side, frequency())
-        return F.coalesce(F.sum(own), F.lit(0.0)).alias(f"tf_{side}")
+    def count_of(side: str) -> Column:
+        own = F.when(F.col("side") == side, F.col("n"))
+        return F.coalesce(F.sum(own), F.lit(0)).alias(f"n_{side}")
 
-    both = materialize(counts.groupBy("pair_id", "token").agg(weight("a"), weight("b")), "both")
-    both = (_with_idf(both, idf)
-            .select("pair_id", (F.col("tf_a") * F.col("idf")).alias("a"),
-                    (F.col("tf_b") * F.col("idf")).alias("b")))
+    both = counts.groupBy("pair_id", "token").agg(count_of("a"), count_of("b"))
+    both = both.join(idf, "token").select("pair_id", (F.col("n_a") * F.col("idf")).alias("a"),
+                                          (F.col("n_b") * F.col("idf")).alias("b"))
     sums = both.groupBy("pair_id").agg(
         F.sum(F.col("a") * F.col("b")).alias("dot"),
         F.sqrt(F.sum(F.col("a") * F.col("a"))).alias("norm_a"),
         F.sqrt(F.sum(F.col("b") * F.col("b"))).alias("norm_b"))
     cosine = F.try_divide(F.col("dot"), F.col("norm_a") * F.col("norm_b"))
-    return pairs.select("pair_id").join(sums, "pair_id", "left").select(
+    return sides.select("pair_id").distinct().join(sums, "pair_id", "left").select(
         "pair_id", cosine.alias("similarity"))

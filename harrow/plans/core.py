@@ -5,9 +5,33 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from harrow.operators import relational as rel
-from harrow.operators.sampling import GROUP_ROWS, RUN_ROWS, sample_with_replacement
-from harrow.plans.inputs import NAMES_SQL, TRIPS_SQL, names, table, trip_lines, trips
-from harrow.sources import register_views, split_lines
+from harrow.operators.sampling import GROUP_ROWS, sample_with_replacement
+from harrow.operators.weights import drop_stop_words, token_rows
+from harrow.plans.inputs import (
+    NAMES_SQL,
+    STOP_SQL,
+    STOP_WORDS,
+    TRIPS_SQL,
+    names,
+    passages,
+    table,
+    trip_lines,
+    trips,
+)
+from harrow.session import work_path
+from harrow.sources import (
+    literal_table,
+    read_compressed_lines,
+    read_csv,
+    read_lines,
+    read_stop_words,
+    register_views,
+    schema_table,
+    split_lines,
+    text_date,
+    without_lines_containing,
+    write_csv,
+)
 from harrow.sources.readers import json_elements
 
 BUSY_TRIPS = 15_000
@@ -93,6 +117,70 @@ def _json_array_rows(spark, sf_dir):
     return elements.groupBy("k").agg(F.count("*").alias("n"))
 
 
+def _urgent_buyers(spark, sf_dir):
+    urgent = table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'")
+    return urgent.select(F.col("o_custkey").alias("custkey"))
+
+
+def _text_scan(spark, sf_dir):
+    """The trip lines, written as text files and read again."""
+    path = work_path(spark, "lines")
+    trip_lines(spark, sf_dir).write.text(path)
+    return read_lines(spark, path)
+
+
+def _gzip_scan(spark, sf_dir):
+    """The trip lines from gzip files, spread over more tasks than there are files."""
+    path = work_path(spark, "gzip")
+    trip_lines(spark, sf_dir).coalesce(1).write.option("compression", "gzip").text(path)
+    return read_compressed_lines(spark, path, 8)
+
+
+def _written_trips(spark, sf_dir):
+    """Trips as CSV files with a header, other column order and M/d/yyyy days."""
+    path = work_path(spark, "csv")
+    day = F.date_format(F.to_date("day"), "M/d/yyyy").alias("day")
+    write_csv(trips(spark, sf_dir).select("base", "vehicles", "trips", day), path,
+              ["day", "base", "trips", "vehicles"], header=True)
+    return path
+
+
+def _csv_inferred(spark, sf_dir):
+    """The busiest days, from CSV files with inferred types and a date step."""
+    rows = read_csv(spark, _written_trips(spark, sf_dir)).withColumn("day", text_date("day"))
+    sums = rows.groupBy("day").agg(F.sum("trips").alias("trips")).orderBy("day")
+    return sums.select(F.col("day").cast("string").alias("day"), "trips")
+
+
+def _csv_declared(spark, sf_dir):
+    schema = "day string, base string, trips bigint, vehicles bigint"
+    return read_csv(spark, _written_trips(spark, sf_dir), schema)
+
+
+def _priorities(spark, sf_dir):
+    """Orders joined with a table written in the program."""
+    weights = literal_table(spark, list(PRIORITY_WEIGHTS), "o_orderpriority string, weight int")
+    orders = table(spark, sf_dir, "orders").join(F.broadcast(weights), "o_orderpriority")
+    return orders.groupBy("weight").agg(F.count("*").alias("n"))
+
+
+def _stop_table(spark, sf_dir):
+    """Words of the passages that are not in a file of stop-words."""
+    path = work_path(spark, "stop")
+    literal_table(spark, [(w,) for w in STOP_WORDS], "value string").write.text(path)
+    rows = token_rows(passages(spark, sf_dir))
+    return drop_stop_words(rows, read_stop_words(spark, path)).groupBy("token").agg(
+        F.count("*").alias("n"))
+
+
+def _typed_member(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    return rel.rows_with_value(rows, "R")
+
+
+EQUAL_RECORD = {"l_linenumber": 1, "l_returnflag": "R", "l_quantity": 5.0}
+PRIORITY_WEIGHTS = (("1-URGENT", 10), ("2-HIGH", 5), ("5-LOW", 1))
+
 # These texts run in both engines as they stand.
 SQL_TEXTS = {
     "sql_select": "SELECT name FROM names",
@@ -120,13 +208,24 @@ QUERIES = {
     "core_intersect": lambda s, d: rel.set_intersection(_buyers(s, d), _customers(s, d)),
     "core_union_distinct": lambda s, d: rel.set_union(_buyers(s, d), _customers(s, d)),
     "core_difference": lambda s, d: rel.difference_by_key(
-        _customers(s, d), _buyers(s, d), ["custkey"]),
+        _customers(s, d), _urgent_buyers(s, d), ["custkey"]),
     "core_length": _lengths,
     "core_length_total": lambda s, d: _lengths(s, d).agg(F.sum("n").alias("total")),
     "core_concat": lambda s, d: rel.concat_in_order(names(s, d), "county", "id", PIECE_ROWS),
     "core_count_by_key": lambda s, d: rel.count_by(table(s, d, "orders"), "o_orderpriority"),
     "core_partition_sums": _partition_sums,
     "core_sample": _sample,
+    "core_rows_equal": lambda s, d: rel.rows_equal_to(
+        table(s, d, "lineitem"), EQUAL_RECORD).select("l_orderkey", *EQUAL_RECORD),
+    "core_typed_member": _typed_member,
+    "core_without_lines": lambda s, d: without_lines_containing(trip_lines(s, d), "purchase"),
+    "core_text_scan": _text_scan,
+    "core_gzip_scan": _gzip_scan,
+    "core_csv_inferred": _csv_inferred,
+    "core_csv_declared": _csv_declared,
+    "core_literal_table": _priorities,
+    "core_schema_table": lambda s, d: schema_table(table(s, d, "events")),
+    "core_stop_table": _stop_table,
     **{name: _sql(text) for name, text in SQL_TEXTS.items()},
     "json_props": _json_props,
     "json_array_rows": _json_array_rows,
@@ -134,6 +233,9 @@ QUERIES = {
 
 _TRIPS = f"WITH {TRIPS_SQL}\n"
 _NAMES = f"WITH {NAMES_SQL}\n"
+_LINES = f"""WITH {TRIPS_SQL},
+lines AS (SELECT base || ',' || day || ',' || vehicles || ',' || trips AS value FROM trips)
+"""
 _LISTS = f"""WITH {NAMES_SQL},
 counted AS (SELECT name, county, count(*) AS n FROM names GROUP BY name, county)
 """
@@ -178,7 +280,8 @@ SELECT custkey FROM buyers INTERSECT SELECT custkey FROM customers""",
     "core_union_distinct": f"""WITH {_KEYS}
 SELECT custkey FROM buyers UNION SELECT custkey FROM customers""",
     "core_difference": f"""WITH {_KEYS}
-SELECT custkey FROM customers WHERE custkey NOT IN (SELECT custkey FROM buyers)""",
+SELECT custkey FROM customers WHERE custkey NOT IN
+  (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
     "core_length": _NAMES + "SELECT id, name, CAST(length(name) AS INTEGER) AS n FROM names",
     "core_length_total": _NAMES + "SELECT CAST(sum(length(name)) AS BIGINT) AS total FROM names",
     "core_concat": _NAMES + f"""SELECT CAST(id // {PIECE_ROWS} AS BIGINT) AS piece,
@@ -189,16 +292,35 @@ FROM lineitem""",
     "core_sample": f"""WITH size AS (
   SELECT count(*) AS n, greatest(1, CAST(ceil(count(*) / {GROUP_ROWS}.0) AS BIGINT)) AS groups
   FROM lineitem),
-copies AS (
-  SELECT {_COLUMNS}, (row_number() OVER (PARTITION BY {_COLUMNS}) - 1) // {RUN_ROWS} AS run
-  FROM lineitem),
 numbered AS (
-  SELECT c.*, row_number() OVER (ORDER BY {_hash_sql(0, *SAMPLE_COLUMNS, "run")} % size.groups,
-    {_COLUMNS}, run) - 1 AS position FROM copies c, size),
+  SELECT c.*, row_number() OVER (ORDER BY {_hash_sql(0, *SAMPLE_COLUMNS, "0")} % size.groups,
+    {_COLUMNS}) - 1 AS position FROM (SELECT {_COLUMNS} FROM lineitem) c, size),
 draws AS (
   SELECT range AS draw, {_hash_sql(SAMPLE_SEED, 'range')} % size.n AS position
   FROM range({SAMPLE_ROWS}), size)
 SELECT draw, {_COLUMNS} FROM draws JOIN numbered USING (position)""",
+    "core_rows_equal": """SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity FROM lineitem
+WHERE l_linenumber = 1 AND l_returnflag = 'R' AND l_quantity = 5""",
+    "core_typed_member": """SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem
+WHERE l_returnflag = 'R'""",
+    "core_without_lines": _LINES + "SELECT value FROM lines WHERE NOT contains(value, 'purchase')",
+    "core_text_scan": _LINES + "SELECT value FROM lines",
+    "core_gzip_scan": _LINES + "SELECT value FROM lines",
+    "core_csv_inferred": _TRIPS + """SELECT day, CAST(sum(trips) AS BIGINT) AS trips
+FROM trips GROUP BY day""",
+    "core_csv_declared": _TRIPS + """SELECT strftime(CAST(day AS DATE), '%-m/%-d/%Y') AS day, base,
+  trips, vehicles FROM trips""",
+    "core_literal_table": f"""SELECT CAST(weight AS INTEGER) AS weight, count(*) AS n FROM orders
+JOIN (VALUES {", ".join(map(str, PRIORITY_WEIGHTS))}) w(o_orderpriority, weight)
+USING (o_orderpriority) GROUP BY 1""",
+    "core_schema_table": """SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position,
+  column_name AS name, CASE column_type WHEN 'VARCHAR' THEN 'string'
+    WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS type,
+  "null" = 'YES' AS nullable FROM (DESCRIBE events)""",
+    "core_stop_table": rf"""WITH words AS (
+  SELECT unnest(regexp_split_to_array(lower(text), '\W+')) AS token FROM benchmark)
+SELECT token, count(*) AS n FROM words
+WHERE token <> '' AND token NOT IN ({STOP_SQL}) GROUP BY token""",
     **{name: f"WITH {TRIPS_SQL},{NAMES_SQL}\n{text}" for name, text in SQL_TEXTS.items()},
     "json_props": """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k
 FROM events""",

@@ -10,10 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harrow.functions.text import tokenize
-from harrow.operators.skew import join_facts, join_pairs
+from harrow.operators.skew import join_pairs
 from harrow.operators.weights import inverted_pairs
 from harrow.session import materialize
-from harrow.sources import spread
 
 # Common English words left out of the text vectors.
 STOP_WORDS = ("a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "is",
@@ -41,7 +40,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"), ' +0000] "GET /',
                  F.col("event_type"), "/", event % 20, ' HTTP/1.0" ', code, " ", size)
     value = F.when(event % 97 == 0, F.translate(line, '"', "")).otherwise(line)
-    return spread(table(spark, sf_dir, "events")).select(value.alias("value"))
+    return table(spark, sf_dir, "events").select(value.alias("value"))
 
 
 LOG_LINES_SQL = r"""
@@ -157,32 +156,29 @@ def item_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean ordered quantity per customer and part, as (user, item, rating)."""
     return (rating_rows(spark, sf_dir)
-            .groupBy(F.col("user").cast("int").alias("user"),
-                     F.col("item").cast("int").alias("item"))
-            .agg(F.avg("rating").alias("rating")))
+            .groupBy("user", "item").agg(F.avg("rating").alias("rating")))
 
 
 RATINGS_SQL = """
 ratings AS (
-  SELECT CAST(o_custkey AS INTEGER) AS "user", CAST(l_partkey AS INTEGER) AS item,
+  SELECT o_custkey AS "user", l_partkey AS item,
     avg(l_quantity) AS rating
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)"""
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("int").alias("item"), F.col("p_name").alias("title"))
+        F.col("p_partkey").alias("item"), F.col("p_name").alias("title"))
 
 
 ITEMS_SQL = """
-items AS (SELECT CAST(p_partkey AS INTEGER) AS item, p_name AS title FROM part)"""
+items AS (SELECT p_partkey AS item, p_name AS title FROM part)"""
 
 
 # Text collections -------------------------------------------------------------
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
-    return spread(docs)
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,7 +218,7 @@ def gold_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("id_b", "w.*").filter(F.col("n_docs") > 0), "rarest")
     sizes = rarest.groupBy("token", "n_docs").agg(F.count("*").alias("n_items"))
     sizes = materialize(sizes, "sizes")
-    met = join_pairs(join_facts(doc_words, sizes, ["token"], "n_docs"),
+    met = join_pairs(doc_words.join(sizes, "token"),
                      rarest.join(sizes, ["token", "n_docs"]), ["token", "n_docs", "n_items"],
                      ["id_a"], ["id_b"], "n_docs", "n_items").select("id_a", "id_b")
     found = (met.join(items_.select(F.col("id").alias("id_b"), F.col("text").alias("text_b")),

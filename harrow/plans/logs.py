@@ -42,7 +42,7 @@ QUERIES = {
     "log_avg_req_per_host": lambda s, d: log.daily_requests_per_host(_logs(s, d)),
     "log_404": lambda s, d: _missing(s, d).withColumn(
         "date_time", F.col("date_time").cast("string")),
-    "log_404_endpoints": lambda s, d: log.distinct_endpoints(_missing(s, d), 40),
+    "log_404_endpoints": lambda s, d: log.distinct_endpoints(_missing(s, d)),
     "log_top_404": lambda s, d: log.top_endpoints(_missing(s, d), 20),
     "log_404_by_day": lambda s, d: log.count_by_period(_missing(s, d)),
     "log_404_by_date": lambda s, d: log.count_by_period(_missing(s, d), by="date").select(
@@ -86,12 +86,12 @@ FROM matched WHERE NOT good""",
     "log_top_errors": _WITH + """SELECT endpoint, count(*) AS n FROM logs
 WHERE response_code <> 200 GROUP BY endpoint ORDER BY n DESC, endpoint LIMIT 10""",
     "log_unique_hosts": _WITH + "SELECT count(DISTINCT host) AS n_hosts FROM logs",
-    "log_daily_hosts": _WITH + f"SELECT day, n_hosts FROM ({_PER_DAY}) ORDER BY day LIMIT 30",
+    "log_daily_hosts": _WITH + f"SELECT day, n_hosts FROM ({_PER_DAY})",
     "log_mean_daily_hosts": _WITH + f"SELECT round(avg(n_hosts), 6) AS mean_hosts FROM ({_PER_DAY})",
     "log_avg_req_per_host": _WITH + f"""SELECT day, CAST(n // n_hosts AS BIGINT) AS requests_per_host
-FROM ({_PER_DAY}) ORDER BY day LIMIT 30""",
+FROM ({_PER_DAY})""",
     "log_404": _WITH + f"SELECT {_ROW} FROM missing",
-    "log_404_endpoints": _WITH + "SELECT DISTINCT endpoint FROM missing ORDER BY endpoint LIMIT 40",
+    "log_404_endpoints": _WITH + "SELECT DISTINCT endpoint FROM missing",
     "log_top_404": _WITH + """SELECT endpoint, count(*) AS n FROM missing
 GROUP BY endpoint ORDER BY n DESC, endpoint LIMIT 20""",
     "log_404_by_day": _WITH + """SELECT CAST(day(date_time) AS INTEGER) AS day, count(*) AS n

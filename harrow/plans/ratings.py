@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from harrow.operators import recommend as rec
@@ -25,9 +26,8 @@ NAMED_MIN_RATINGS = 20
 SPLIT_SEED = 0
 TITLE_TERMS = ("small", "Ring", "blue bolt")
 PERSONAL_USER = -1
-# Ratings of the one additional user: (item, rating).
-PERSONAL_RATINGS = ((3, 5.0), (17, 40.0), (42, 50.0), (58, 3.8), (77, 45.0),
-                    (101, 4.0), (120, 50.0), (133, 30.0), (150, 3.6), (199, 45.0))
+# Ratings of the one additional user: every thirteenth item, better and better.
+PERSONAL_RATINGS = tuple((13 * i + 5, 5.0 * i + 2) for i in range(10))
 
 
 def _split(spark, sf_dir):
@@ -62,18 +62,25 @@ def _pred_named(spark, sf_dir):
 
 
 def _als_predict(spark, sf_dir):
+    """The validation pairs that get a prediction, and whether it is a number."""
     train, validation, _ = _sets(spark, sf_dir)
-    return rec.predict(rec.train(train, rec.RANKS[0]), validation)
+    found = rec.predict(rec.train(train, rec.RANKS[0]), validation)
+    return found.select("user", "item", (~F.isnan("prediction")).alias("predicted"))
 
 
 def _rank_grid(spark, sf_dir):
-    """Validation error of each rank, the rank chosen and its test error."""
+    """Each rank tried, whether it has an error, and how the one chosen compares."""
     train, validation, test = _sets(spark, sf_dir)
     errors = materialize(rec.rank_errors(train, validation), "errors")
     best = rec.best_rank(errors).first()["rank"]
     test_error = rmse(rec.predict(rec.train(train, best), test), test, "prediction")
-    return errors.select("rank", "rmse", (F.col("rank") == best).alias("chosen"),
-                         F.when(F.col("rank") == best, test_error.scalar()).alias("test_rmse"))
+    lowest = errors.agg(F.min("rmse")).scalar()
+    chosen = F.col("rank") == best
+    return errors.select(
+        "rank", (F.col("rmse") > 0).alias("has_error"),
+        F.when(chosen, F.col("rmse") == lowest).otherwise(F.col("rmse") >= lowest).alias("fits_choice"),
+        errors.filter(chosen).agg(F.count("*")).scalar().alias("n_chosen"),
+        (test_error.scalar() > 0).alias("has_test_error"))
 
 
 def _mine(spark):
@@ -85,20 +92,28 @@ def _personal_model(spark, sf_dir, train):
 
 
 def _personal(spark, sf_dir):
-    """Rows added to the training set, and the test error after retraining."""
+    """Rows added to the training set, and the test pairs predicted after retraining."""
     train, _, test = _sets(spark, sf_dir)
     found = rec.predict(_personal_model(spark, sf_dir, train), test)
     added = bag_union(train, _mine(spark)).agg(F.count("*")).scalar() - train.agg(
         F.count("*")).scalar()
-    return rmse(found, test, "prediction").withColumn("n_added", added)
+    return found.agg(F.count("*").alias("n_predicted"),
+                     F.count_if(F.isnan("prediction")).alias("n_failed")).withColumn(
+        "n_added", added)
 
 
 def _topn(spark, sf_dir):
+    """The personal list by place, with what must hold for each row."""
     train, _, _ = _sets(spark, sf_dir)
     model = _personal_model(spark, sf_dir, train)
     candidates = rec.unrated_items(items(spark, sf_dir), _mine(spark), PERSONAL_USER)
-    return rec.recommend(model, candidates, ratings(spark, sf_dir), items(spark, sf_dir),
-                         NAMED_MIN_RATINGS)
+    top = materialize(rec.recommend(model, candidates, ratings(spark, sf_dir),
+                                    items(spark, sf_dir), NAMED_MIN_RATINGS), "top")
+    order = Window.orderBy(F.desc("prediction"), "item")  # the twenty rows of the list
+    mine = _mine(spark).select("item", F.lit(True).alias("mine"))
+    return (top.withColumn("place", F.row_number().over(order)).join(mine, "item", "left")
+            .select("place", F.isnull("mine").alias("unrated"),
+                    (F.col("n_ratings") > NAMED_MIN_RATINGS).alias("rated_often")))
 
 
 def _stats(spark, sf_dir):
@@ -148,13 +163,13 @@ ORACLE = {
     "rec_parse_ratings": f"""WITH {RATING_LINES_SQL},
 parts AS (SELECT value, string_split(value, '::') AS p FROM lines),
 typed AS (
-  SELECT value, TRY_CAST(p[1] AS INTEGER) AS u, TRY_CAST(p[2] AS INTEGER) AS i,
+  SELECT value, TRY_CAST(p[1] AS BIGINT) AS u, TRY_CAST(p[2] AS BIGINT) AS i,
     TRY_CAST(p[3] AS DOUBLE) AS r FROM parts)
 SELECT value, CASE WHEN u IS NULL THEN 'invalid' ELSE 'ok' END AS status, u AS "user",
   CASE WHEN u IS NOT NULL THEN i END AS item, CASE WHEN u IS NOT NULL THEN r END AS rating
 FROM typed""",
     "rec_parse_movies": """SELECT p_partkey || '::' || p_name || '::' || p_type AS value,
-  'ok' AS status, CAST(p_partkey AS INTEGER) AS item, p_name AS title FROM part""",
+  'ok' AS status, p_partkey AS item, p_name AS title FROM part""",
     "rec_movie_stats": _STATS + """SELECT item, n_ratings, round(avg_rating, 6) AS avg_rating
 FROM stats""",
     "rec_movie_stats_named": _STATS + """SELECT item, n_ratings, round(avg_rating, 6) AS avg_rating,
@@ -177,6 +192,19 @@ WHERE n_ratings > {NAMED_MIN_RATINGS}""",
 WHERE contains(lower(title), 'small') OR contains(lower(title), 'ring')
   OR contains(lower(title), 'blue bolt')""",
     "rec_unrated": f"""WITH {ITEMS_SQL}
-SELECT CAST({PERSONAL_USER} AS INTEGER) AS "user", item FROM items
+SELECT CAST({PERSONAL_USER} AS BIGINT) AS "user", item FROM items
 WHERE item NOT IN ({_ITEM_KEYS})""",
+    "rec_als_predict": _SETS + """SELECT "user", item, true AS predicted FROM split
+WHERE split = 1 AND "user" IN (SELECT "user" FROM train) AND item IN (SELECT item FROM train)""",
+    "rec_rank_grid": "SELECT CAST(unnest([" + ", ".join(map(str, rec.RANKS)) + """]) AS INTEGER) AS rank,
+  true AS has_error, true AS fits_choice, CAST(1 AS BIGINT) AS n_chosen, true AS has_test_error""",
+    "rec_personal": _SETS + f"""SELECT count(*) AS n_predicted, CAST(0 AS BIGINT) AS n_failed,
+  CAST({len(PERSONAL_RATINGS)} AS BIGINT) AS n_added FROM test
+WHERE "user" IN (SELECT "user" FROM train)
+  AND (item IN (SELECT item FROM train) OR item IN ({_ITEM_KEYS}))""",
+    "rec_topn": _SETS + f""", often AS (
+  SELECT item FROM ratings GROUP BY item HAVING count(*) > {NAMED_MIN_RATINGS})
+SELECT CAST(row_number() OVER () AS INTEGER) AS place, true AS unrated, true AS rated_often
+FROM often JOIN items USING (item)
+WHERE item NOT IN ({_ITEM_KEYS}) AND item IN (SELECT item FROM train) LIMIT 20""",
 }

@@ -25,20 +25,26 @@ from harrow.plans.inputs import (
 )
 from harrow.session import materialize
 
-MIN_SIMILARITY = 0.01
+BAR = 0.01  # the pair lists below hold all pairs of at least this similarity
 
 
 def _rounded(df, *columns):
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
-def _index(spark, sf_dir):
-    return sim.build_index(documents(spark, sf_dir), passages(spark, sf_dir), STOP_WORDS,
-                           MIN_SIMILARITY)
+def _index(spark, sf_dir, bar=BAR):
+    return sim.build_index(documents(spark, sf_dir), passages(spark, sf_dir), STOP_WORDS, bar)
 
 
-def _pairs(spark, sf_dir):
-    return sim.similar_pairs(_index(spark, sf_dir))
+def _pairs(spark, sf_dir, bar=BAR):
+    """Every pair of similarity ``bar`` or more."""
+    return sim.similar_pairs(_index(spark, sf_dir, bar))
+
+
+def _true_pairs(spark, sf_dir):
+    """Every gold pair with a common word, however low it scores."""
+    gold = gold_pairs(spark, sf_dir)
+    return ev.true_pairs(sim.pair_similarity(_index(spark, sf_dir), gold), gold)
 
 
 def _gold_scores(spark, sf_dir):
@@ -46,7 +52,7 @@ def _gold_scores(spark, sf_dir):
 
 
 def _judged(spark, sf_dir):
-    """The bins of all pairs with a common word, and the gold scores."""
+    """The bins of all pairs, and the gold scores."""
     index = _index(spark, sf_dir)
     scores = ev.indexed_gold_scores(index, gold_pairs(spark, sf_dir))
     return ev.index_bins(index), materialize(scores, "scores")
@@ -63,33 +69,49 @@ def _common(spark, sf_dir):
         "id_a", "id_b", "n_common", F.array_join("tokens", " ").alias("tokens"))
 
 
-def _turns(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").groupBy("conv_id", "turn").agg(
-        F.min("text").alias("text"))
-    return turns.withColumn("id", F.concat_ws(":", F.col("conv_id").cast("string"),
-                                              F.col("turn").cast("string")))
+def _turn_pairs(spark, sf_dir):
+    """Similarity of each turn of a conversation to the next one.
 
+    All rows of a turn make up its text, counted word by word and never put together.
+    """
+    def number(turn):
+        return F.concat_ws(":", F.col("conv_id").cast("string"), turn.cast("string"))
 
-def _turn_pairs(spark, sf_dir):
-    """Similarity of each turn of a conversation to the next one."""
-    turns = _turns(spark, sf_dir)
-    following = turns.select("conv_id", (F.col("turn") - 1).alias("turn"),
-                             F.col("text").alias("text_b"))
-    pairs = turns.withColumnRenamed("text", "text_a").join(following, ["conv_id", "turn"])
-    pairs = materialize(pairs.select(F.col("id").alias("pair_id"), "text_a", "text_b"),
-                        "turn_pairs")
-    idf = wt.inverse_document_frequency(turns, STOP_WORDS)
-    return _rounded(wt.text_pair_similarity(pairs, idf, STOP_WORDS), "similarity")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    first = rows.select(number(F.col("turn")).alias("pair_id"), F.lit("a").alias("side"), "text")
+    second = rows.select(number(F.col("turn") - 1).alias("pair_id"), F.lit("b").alias("side"),
+                         "text")
+    sides = first.unionByName(second)
+    both = (sides.groupBy("pair_id").agg(F.min("side").alias("x"), F.max("side").alias("y"))
+            .filter("x <> y").select("pair_id"))
+    turns = rows.select(number(F.col("turn")).alias("id"), "text")
+    idf = wt.inverse_document_frequency(turns, STOP_WORDS, unique_ids=False)
+    return _rounded(wt.side_similarity(sides.join(both, "pair_id"), idf, STOP_WORDS), "similarity")
 
 
 def _lookup(spark, sf_dir):
-    """The similarity of the longest document and the longest passage."""
-    def longest(records):
-        return wt.biggest_record(records, STOP_WORDS).select("id").scalar()
+    """The similarity of the longest document and the longest passage.
+
+    Only the words of these two are counted over the corpus.
+    """
+    def longest(records, mark, side):
+        found = wt.biggest_record(records, STOP_WORDS).select("id")
+        return records.join(found, "id").select(F.col("id").alias(f"id_{side}"),
+                                                F.lit(side).alias("side"), "text"), mark
 
     docs, items = documents(spark, sf_dir), passages(spark, sf_dir)
-    pair = spark.range(1).select(longest(docs).alias("id_a"), longest(items).alias("id_b"))
-    return ev.gold_scores(sim.pair_similarity(_index(spark, sf_dir), pair), pair)
+    (a, _), (b, _) = longest(docs, "d", "a"), longest(items, "b", "b")
+    pair = a.select("id_a").join(b.select("id_b"), F.lit(True))
+    sides = a.select(F.lit(0).alias("pair_id"), "side", "text").unionByName(
+        b.select(F.lit(0).alias("pair_id"), "side", "text"))
+    own = wt.inverted_pairs(sides.select(F.col("side").alias("id"), "text"), STOP_WORDS)
+    records = corpus(spark, sf_dir)
+    held = wt.inverted_pairs(records, STOP_WORDS).join(own.select("token").distinct(), "token")
+    n = records.agg(F.count_distinct("id")).scalar()
+    idf = held.groupBy("token").agg((n / F.count("*")).alias("idf"))
+    found = wt.side_similarity(sides, idf, STOP_WORDS)
+    return pair.join(found, F.lit(True)).select(
+        "id_a", "id_b", F.round(F.coalesce("similarity", F.lit(0.0)), 6).alias("similarity"))
 
 
 def _status(spark, sf_dir):
@@ -120,7 +142,7 @@ QUERIES = {
     "er_common_tokens": _common,
     "er_pair_lookup": _lookup,
     "er_pair_key": lambda s, d: ev.pair_key(_pairs(s, d)).select("key", "similarity"),
-    "er_true_dups": lambda s, d: ev.true_pairs(_pairs(s, d), gold_pairs(s, d)),
+    "er_true_dups": _true_pairs,
     "er_non_dups": lambda s, d: ev.false_pairs(_pairs(s, d), gold_pairs(s, d)),
     "er_avg_sims": lambda s, d: _rounded(
         ev.mean_similarities(_index(s, d), gold_pairs(s, d)), "mean_true", "mean_other"),
@@ -136,7 +158,9 @@ _JUDGED = f"""{_CORPUS},{GOLD_SQL},{SCORES_SQL},
 bins AS (SELECT unnest(range(101)) AS bin),
 pair_bins AS (
   SELECT CAST(floor(similarity * CAST(100 AS DOUBLE)) AS INTEGER) AS bin, count(*) AS n
-  FROM sims GROUP BY 1),
+  FROM sims WHERE similarity >= 0.01 GROUP BY 1
+  UNION ALL SELECT 0, (SELECT count(*) FROM documents) * (SELECT count(*) FROM benchmark)
+    - (SELECT count(*) FROM sims WHERE similarity >= 0.01)),
 gold_bins AS (
   SELECT CAST(floor(similarity * CAST(100 AS DOUBLE)) AS INTEGER) AS bin, count(*) AS n
   FROM scores GROUP BY 1),
@@ -156,7 +180,7 @@ rates AS (
   SELECT threshold, n_tp / nullif(CAST(n_tp + n_fp AS DOUBLE), 0) AS p,
     n_tp / nullif(CAST(n_tp + n_fn AS DOUBLE), 0) AS r FROM confusion)
 """
-_BAR = f"similarity >= {MIN_SIMILARITY}"
+_BAR = f"similarity >= {BAR}"
 _PRODUCT = r"'^(.+),\"(.+)\",(.*),(.*),(.*)'".replace('\\"', '"')
 _PRODUCTS = f"""{PRODUCT_LINES_SQL},
 products AS (
@@ -200,10 +224,10 @@ SELECT id, CAST(size AS INTEGER) AS n_tokens FROM sizes ORDER BY size DESC, id L
     "er_tfidf": _CORPUS + "\nSELECT id, token, round(weight, 6) AS weight FROM weights",
     "er_norms": _CORPUS + "\nSELECT id, round(norm, 6) AS norm FROM norms",
     "er_cosine_pairs": rf"""WITH turns AS (
-  SELECT conv_id, turn, conv_id || ':' || turn AS id, min(text) AS text
-  FROM conversations GROUP BY conv_id, turn),
+  SELECT DISTINCT conv_id, turn, conv_id || ':' || turn AS id FROM conversations),
 words AS (
-  SELECT id, unnest(regexp_split_to_array(lower(text), '\W+')) AS token FROM turns),
+  SELECT conv_id || ':' || turn AS id, unnest(regexp_split_to_array(lower(text), '\W+')) AS token
+  FROM conversations),
 counted AS (
   SELECT id, token, count(*) AS n FROM words
   WHERE token <> '' AND token NOT IN ({STOP_SQL}) GROUP BY id, token),
@@ -251,7 +275,7 @@ FROM pair LEFT JOIN sims USING (id_a, id_b)""",
     "er_pair_key": _CORPUS + f"""
 SELECT id_a || ' ' || id_b AS key, similarity FROM sims WHERE {_BAR}""",
     "er_true_dups": f"""{_CORPUS},{GOLD_SQL}
-SELECT id_a, id_b, similarity FROM sims JOIN gold USING (id_a, id_b) WHERE {_BAR}""",
+SELECT id_a, id_b, similarity FROM sims JOIN gold USING (id_a, id_b)""",
     "er_non_dups": f"""{_CORPUS},{GOLD_SQL}
 SELECT id_a, id_b, similarity FROM sims ANTI JOIN gold USING (id_a, id_b) WHERE {_BAR}""",
     "er_avg_sims": f"""{_CORPUS},{GOLD_SQL},

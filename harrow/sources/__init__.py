@@ -11,7 +11,7 @@ from harrow.sources.readers import (  # noqa: F401
     register_views,
     schema_table,
     split_lines,
-    spread,
+    text_date,
     without_lines_containing,
     write_csv,
 )

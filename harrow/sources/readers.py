@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,15 +19,6 @@ def read_compressed_lines(spark: SparkSession, path: str, partitions: int) -> Da
     return spark.read.text(path).repartition(partitions)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out a table that arrives in fewer splits than there are cores.
-
-    A single small file is one task otherwise.  Larger tables are left alone.
-    """
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
-
-
 def without_lines_containing(lines: DataFrame, text: str, column: str = "value") -> DataFrame:
     """Drop every line that contains ``text``, header or not."""
     return lines.filter(~F.col(column).contains(text))
@@ -47,6 +38,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return reader.schema(schema).csv(path)
 
 
+def text_date(column: Column | str, pattern: str = "M/d/yyyy") -> Column:
+    """The date a text holds, null where it holds none."""
+    return F.to_date(F.try_to_timestamp(F.col(column) if isinstance(column, str) else column,
+                                        F.lit(pattern)))
+
+
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str,
                    sep: str = "::") -> DataFrame:
     """Headerless records with a separator of one or more characters."""

@@ -6,18 +6,18 @@ from conftest import rows
 from harrow.operators import evaluation as ev
 from harrow.operators import similarity as sim
 
-PREDICTED = [(1, 1, 5), (1, 2, 3), (1, 3, 4), (2, 1, 3), (2, 2, 2), (2, 3, 4)]
-ACTUAL = [(1, 2, 3), (1, 3, 5), (2, 1, 5), (2, 2, 1)]
+PREDICTED = [(1, 1, 2), (1, 4, 1), (3, 1, 4), (3, 4, 5), (7, 1, 3)]
+ACTUAL = [(1, 4, 3), (3, 1, 4), (3, 4, 2), (7, 1, 4), (7, 9, 1)]
 
 
 def ratings(spark, data):
     return spark.createDataFrame([(u, i, float(r)) for u, i, r in data],
-                                 "user int, item int, rating double")
+                                 "user bigint, item bigint, rating double")
 
 
 @pytest.mark.parametrize("predicted, actual, want", [
-    (PREDICTED, ACTUAL, 1.224744871391589),
-    ([(2, 2, 5), (1, 2, 5)], ACTUAL, 3.1622776601683795),
+    (PREDICTED, ACTUAL, (14 / 4) ** 0.5),  # errors 2, 0, 3 and 1 over the four pairs of both
+    ([(7, 9, 8)], ACTUAL, 7.0),
     (ACTUAL, ACTUAL, 0.0),
     ([(9, 9, 1)], ACTUAL, None),
 ])
@@ -27,21 +27,27 @@ def test_rmse(spark, predicted, actual, want):
 
 
 def by_hand(sims, gold):
-    """The definitions, threshold by threshold."""
-    bins = [0] * 101
-    for s in sims.values():
-        bins[int(s * 100)] += 1
-    scores = [sims.get(p, 0.0) for p in gold]
-    for s in scores:
-        bins[int(s * 100)] -= 1
+    """(false positives, misses, hits) per threshold, straight from the scores."""
+    known = set(gold)
+    others = [s for p, s in sims.items() if p not in known]
+    unscored = sum(p not in sims for p in gold)
     curve = {}
     for n in range(100):
         t = n / 100
-        fn = sum(s < t for s in scores)
-        curve[t] = (sum(b for i, b in enumerate(bins) if i / 100 >= t), fn, len(scores) - fn)
+        hits = [p for p in gold if sims.get(p, 0.0) >= t]
+        reached = sum(floor_hundredth(s) >= n for s in others)
+        # A gold pair between its hundredth and the threshold is in no bin from there on.
+        between = sum(floor_hundredth(sims[p]) >= n for p in gold if p in sims)
+        listed = sum(floor_hundredth(sims.get(p, 0.0)) >= n for p in gold)
+        curve[t] = (reached + between - listed, len(gold) - len(hits), len(hits))
+    assert curve[0.0][0] == len(others) - unscored
     return curve
 
 
+def floor_hundredth(s):
+    return int(s * 100)
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_curve_on_made_scores(spark, seed):
     rng = random.Random(seed)
@@ -70,6 +76,7 @@ def test_curve_on_made_scores(spark, seed):
 
 
 def test_threshold_zero_of_a_large_run(spark):
+    # The published sizes of a run and its results at threshold 0.
     bins = spark.createDataFrame([(0, 2_441_100)], "bin int, n_pairs bigint")
     gold = spark.range(1300).selectExpr("id id_a", "id id_b", "0.0D similarity")
     row = ev.precision_recall(ev.confusion(bins, gold)).filter("threshold = 0").first()
@@ -99,7 +106,9 @@ def test_index_bins_and_means_equal_all_pairs(spark):
     index = sim.build_index(left, right, min_similarity=0.01)
     every = left.selectExpr("id id_a").crossJoin(right.selectExpr("id id_b"))
     scored = sim.pair_similarity(index, every)
-    assert rows(ev.index_bins(index).filter("n_pairs > 0")) == rows(ev.pair_bins(scored))
+    want = dict(rows(ev.pair_bins(scored)))
+    want[0] = want.get(0, 0) + 1000 - sum(want.values())  # pairs without a common word
+    assert dict(rows(ev.index_bins(index).filter("n_pairs > 0"))) == want
 
     sims = {(r.id_a, r.id_b): r.similarity for r in scored.collect()}
     row = ev.mean_similarities(index, gold).first()
@@ -109,6 +118,18 @@ def test_index_bins_and_means_equal_all_pairs(spark):
     assert row.mean_other == pytest.approx((sum(sims.values()) - sum(true)) / 980, abs=1e-5)
 
 
+def test_gold_pairs_below_the_bar_are_true_pairs(spark):
+    filler = " ".join(f"w{i}" for i in range(60))
+    left = spark.createDataFrame([(1, f"acme {filler}"), (2, "pen")], "id bigint, text string")
+    right = spark.createDataFrame([(1, "acme " + filler.replace("w", "v")), (2, "pen")],
+                                  "id bigint, text string")
+    gold = spark.createDataFrame([(1, 1), (2, 2), (1, 2)], "id_a bigint, id_b bigint")
+    index = sim.build_index(left, right, min_similarity=0.5)
+    assert rows(sim.similar_pairs(index), "id_a", "id_b") == [(2, 2)]
+    found = ev.true_pairs(sim.pair_similarity(index, gold), gold)
+    assert rows(found, "id_a", "id_b") == [(1, 1), (2, 2)]
+
+
 def test_index_bins_need_the_first_bin(spark):
     df = spark.createDataFrame([(1, "x")], "id int, text string")
     with pytest.raises(ValueError):

@@ -5,41 +5,41 @@ from harrow.operators import recommend as rec
 from harrow.operators.evaluation import rmse
 from harrow.operators.relational import bag_union
 
-TITLES = ["Toys (1995)", "Star Wars: A Hope", "ALIEN", "Alien 2", "Plain"]
+TITLES = ["Lamp (small)", "Blue Kite: Long", "TEAPOT", "Teapot 2", "Plain"]
 
 
 @pytest.fixture(scope="module")
 def items(spark):
-    return spark.createDataFrame(list(enumerate(TITLES)), "item int, title string")
+    return spark.createDataFrame(list(enumerate(TITLES)), "item bigint, title string")
 
 
 @pytest.fixture(scope="module")
 def ratings(spark):
     data = [(u, i, float(1 + (u * 7 + i * 3) % 5)) for u in range(30) for i in range(5)
             if (u + i) % 4]
-    return spark.createDataFrame(data, "user int, item int, rating double")
+    return spark.createDataFrame(data, "user bigint, item bigint, rating double")
 
 
 def test_counts_and_averages(spark):
     data = [(1, 1, r) for r in (1, 2, 3, 4)] + [(1, 2, r) for r in (10, 20, 30)] + [
         (1, 3, r) for r in range(20)]
     df = spark.createDataFrame([(u, i, float(r)) for u, i, r in data],
-                               "user int, item int, rating double")
+                               "user bigint, item bigint, rating double")
     assert rows(rec.item_stats(df)) == [(1, 4, 2.5), (2, 3, 20.0), (3, 20, 9.5)]
     assert rec.global_mean(df).first().mean_rating == pytest.approx(260 / 27)
 
 
 def test_top_rated_orders_by_rounded_rating_then_title_downwards(spark):
     items = spark.createDataFrame([(1, "alpha"), (2, "beta"), (3, "gamma"), (4, "rare")],
-                                  "item int, title string")
+                                  "item bigint, title string")
     data = [(u, i, r) for i, r in ((1, 4.0001), (2, 4.0002), (3, 3.0)) for u in range(3)]
-    ratings = spark.createDataFrame([*data, (0, 4, 5.0)], "user int, item int, rating double")
+    ratings = spark.createDataFrame([*data, (0, 4, 5.0)], "user bigint, item bigint, rating double")
     got = rec.top_rated(ratings, items, min_ratings=2, k=20).collect()
     assert [r.title for r in got] == ["beta", "alpha", "gamma"]
 
 
 def test_title_search(items):
-    found = rec.search_titles(items, ["alien", "star wars"])
+    found = rec.search_titles(items, ["teapot", "blue kite"])
     assert rows(found, "item") == [(1,), (2,), (3,)]
 
 
@@ -75,7 +75,7 @@ def test_ranks_errors_and_recommendations(spark, ratings, items):
     got = top.collect()
     assert len(got) == 2 and got[0].prediction >= got[1].prediction
     assert {r.item for r in got} <= {2, 3, 4}
-    unknown = spark.createDataFrame([(12345, 1)], "user int, item int")
+    unknown = spark.createDataFrame([(12345, 1)], "user bigint, item bigint")
     assert rec.predict(model, unknown).count() == 0
 
 
@@ -93,3 +93,20 @@ def test_predictions_keep_items_rated_often(ratings, items):
     assert {(r.item, r.title, r.n_ratings) for r in got.collect()} == {
         (i, TITLES[i], n) for i, n in counts.items() if n > bar}
     assert got.count() == sum(n for n in counts.values() if n > bar)
+
+
+def test_ids_of_any_size(spark):
+    big = 1 << 40
+    data = [(big + u, -big - i, float(1 + (u * 7 + i) % 5)) for u in range(8) for i in range(6)]
+    ratings = spark.createDataFrame(data, "user bigint, item bigint, rating double")
+    found = rec.predict(rec.train(ratings, 2), ratings)
+    assert rows(found, "user", "item") == rows(ratings, "user", "item")
+
+
+def test_numbers_are_dense(spark):
+    from harrow.operators.numbering import number_values
+
+    df = spark.range(300).selectExpr("if(id = 7, null, id * 1000000007) v").union(
+        spark.range(300).selectExpr("id * 1000000007 v"))
+    got = rows(number_values(df, "v", "n"))
+    assert len(got) == 300 and sorted(n for _, n in got) == list(range(300))

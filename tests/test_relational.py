@@ -25,6 +25,9 @@ def test_partition_sums(spark):
     assert sorted(r.total for r in rel.per_partition_sums(three, "n").collect()) == [6, 15, 24]
     doubles = three.select((F.col("n") / 2).alias("n"))
     assert sorted(r.total for r in rel.per_partition_sums(doubles, "n").collect()) == [3, 7.5, 12]
+    for kind in ("tinyint", "decimal(9,2)"):
+        typed = three.select(F.col("n").cast(kind))
+        assert sorted(int(r.total) for r in rel.per_partition_sums(typed, "n").collect()) == [6, 15, 24]
 
 
 def test_membership_is_equality_of_a_field(spark):
@@ -34,6 +37,14 @@ def test_membership_is_equality_of_a_field(spark):
     assert rel.rows_with_value(flat, "B1").count() == 2
 
 
+def test_membership_on_typed_columns(spark):
+    df = spark.createDataFrame([("B02617", 5, 1.5), ("x", 7, 2.0)], "base string, trips int, r double")
+    assert rel.rows_with_value(df, "B02617").count() == 1
+    assert rel.rows_with_value(df, 7).count() == 1
+    assert rel.rows_with_value(df, "7", ["trips"]).count() == 1
+    assert rel.rows_with_value(df, "none").count() == 0
+
+
 def test_record_equality(spark):
     df = spark.createDataFrame([(1, 914, 3.0), (1, 914, None)], "u int, i int, r double")
     assert rel.rows_equal_to(df, {"u": 1, "i": 914, "r": 3.0}).count() == 1
@@ -41,19 +52,19 @@ def test_record_equality(spark):
 
 
 def test_sums_and_counts(spark):
-    teams = ["wild", "blackhawks", "red wings", "wild", "oilers", "wild", "whalers"]
+    teams = ["fox", "badger", "red deer", "fox", "otter", "fox", "hare"]
     df = spark.createDataFrame([(t, len(t)) for t in teams], "team string, n int")
     assert dict(rows(rel.count_by(df, "team"))) == Counter(teams)
-    assert rows(rel.sum_by(df, "team", "n", "s"))[-1] == ("wild", 12)
-    assert [r.team for r in rel.top_sums(df, "team", "n", "s", 2).collect()] == ["wild", "blackhawks"]
-    assert [r.team for r in rel.top_k(df.distinct(), 1, "team").collect()] == ["blackhawks"]
+    assert rows(rel.sum_by(df, "team", "n", "s"))[-1] == ("red deer", 8)
+    assert [r.team for r in rel.top_sums(df, "team", "n", "s", 2).collect()] == ["fox", "red deer"]
+    assert [r.team for r in rel.top_k(df.distinct(), 1, "team").collect()] == ["badger"]
 
 
 def test_concatenation(spark):
-    words = spark.createDataFrame([(2, "apple"), (0, "abe"), (1, "abby")], "id int, w string")
-    assert rel.concat_in_order(words, "w", "id").first().text == "abeabbyapple"
+    words = spark.createDataFrame([(2, "plum"), (0, "fig"), (1, "pear")], "id int, w string")
+    assert rel.concat_in_order(words, "w", "id").first().text == "figpearplum"
     pieces = rel.concat_in_order(words, "w", "id", piece_rows=2).orderBy("piece").collect()
-    assert [r.text for r in pieces] == ["abeabby", "apple"]
+    assert [r.text for r in pieces] == ["figpear", "plum"]
 
 
 @pytest.mark.parametrize("max_values", [10_000, 3])
@@ -70,3 +81,10 @@ def test_value_lists_keep_everything(spark, max_values):
     assert lists.filter("k = 'hot'").count() == (1 if max_values > 40 else pytest.approx(14, abs=4))
     entry = rel.value_maps(lists.filter("k = 'cold'"), "k").first().entry
     assert [(k, [tuple(v) for v in vs]) for k, vs in entry.items()] == [("cold", [(1, 2)])]
+
+
+def test_value_lists_of_a_null_key_are_cut(spark):
+    df = spark.range(400).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("v"))
+    lists = rel.value_lists(df, "k", "v", 50).collect()
+    assert sum(r.n for r in lists) == 400 and len(lists) == pytest.approx(8, abs=2)
+    assert max(len(r["values"]) for r in lists) < 100

@@ -55,7 +55,6 @@ def test_pairs_equal_brute_force(case, bar):
 
 def test_small_blocks_change_nothing(case, monkeypatch):
     want, left, right = case
-    monkeypatch.setattr(skew, "FEW_ROWS", 0)
     monkeypatch.setattr(skew.blocks, "__defaults__", (3,))
     monkeypatch.setattr(skew.join_pairs, "__defaults__", (3,))
     index = sim.build_index(left, right, min_similarity=0.01)

@@ -1,26 +1,7 @@
-import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from harrow.operators import skew
-from harrow.operators.skew import blocks, join_facts, join_hot, join_pairs
-
-
-def test_join_facts_keeps_every_row(spark):
-    # A third of the rows has one key; some keys are missing on either side.
-    data = spark.range(3000).select(
-        "id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 200).alias("k"))
-    facts = data.groupBy("k").agg(F.count("*").alias("n")).filter("k <> 7").withColumn(
-        "fact", F.col("k") * 10)
-    for max_heavy in (1, 10, 1000):
-        got = join_facts(data, facts, ["k"], "n", max_heavy)
-        assert rows(got, "id", "k", "fact") == rows(data.join(facts, "k"), "id", "k", "fact")
-
-
-def test_heavy_keys_are_bounded(spark):
-    facts = spark.range(500).select(F.col("id").alias("k"), F.lit(3).alias("n"))
-    total = facts.agg(F.sum("n")).scalar()
-    assert facts.filter(F.col("n") * 100 >= total).count() <= 100
+from harrow.operators.skew import blocks, join_pairs
 
 
 def test_join_pairs_meets_every_pair_once(spark):
@@ -34,20 +15,6 @@ def test_join_pairs_meets_every_pair_once(spark):
         assert rows(got, "k", "a", "b") == rows(plain, "k", "a", "b")
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_join_hot_is_an_inner_join(spark, monkeypatch, few):
-    monkeypatch.setattr(skew.blocks, "__defaults__", (7,))
-    left = spark.range(300).select(
-        F.col("id").alias("a"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 9).alias("k"))
-    right = spark.range(20).select(F.col("id").alias("b"), (F.col("id") % 10).alias("k"),
-                                   (F.col("id") % 2).alias("m"))
-    got = join_hot(left, right, "k", ["a"], few=few)
-    assert rows(got, "k", "a", "b") == rows(left.join(right, "k"), "k", "a", "b")
-    marked = left.withColumn("m", F.col("a") % 2)
-    got = join_hot(marked, right, "k", ["a"], ["m"], few=few)
-    assert rows(got, "k", "a", "b") == rows(marked.join(right, ["k", "m"]), "k", "a", "b")
-
-
 def test_blocks(spark):
     df = spark.createDataFrame([(0,), (1,), (2000,), (2001,)], "n int")
     assert [r[0] for r in df.select(blocks("n")).collect()] == [1, 1, 1, 2]

@@ -115,7 +115,8 @@ def test_stop_words_views_schema_and_writer(spark, tmp_path):
     assert [r.value for r in spark.read.text(out).collect()] == ["2012,EVA,ASIAN,F,7"]
 
 
-def test_spread(spark):
-    wide = spark.range(0, 100, 1, 16)
-    assert src.spread(wide).rdd.getNumPartitions() == 16
-    assert src.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 4
+def test_text_dates(spark):
+    df = spark.createDataFrame([("1/2/2015",), ("12/31/2015",), ("2/30/2015",), ("x",), (None,)],
+                               "day string")
+    got = [str(r[0]) for r in df.select(src.text_date("day")).collect()]
+    assert got == ["2015-01-02", "2015-12-31", "None", "None", "None"]

@@ -4,7 +4,7 @@ from conftest import rows
 from harrow.functions import tokenize
 from harrow.operators import weights as wt
 
-FOX = "A quick brown fox jumps over the lazy dog."
+OWL = "The old owl sat in a tall oak by the mill."
 
 
 def records(spark, *texts):
@@ -12,12 +12,12 @@ def records(spark, *texts):
 
 
 def test_tokenize(spark):
-    df = records(spark, FOX, " , ", "", "Ünder_score-x2", "to be to")
+    df = records(spark, OWL, " , ", "", "Ünder_score-x2", "to be to")
     got = [r.tokens for r in wt.record_tokens(df).orderBy("id").collect()]
-    assert got == [["a", "quick", "brown", "fox", "jumps", "over", "the", "lazy", "dog"], [], [],
+    assert got == [["the", "old", "owl", "sat", "in", "a", "tall", "oak", "by", "the", "mill"], [], [],
                    ["nder_score", "x2"], ["to", "be", "to"]]
-    stop = records(spark, FOX).select(tokenize("text", ["a", "the", "over"]).alias("t")).first().t
-    assert stop == ["quick", "brown", "fox", "jumps", "lazy", "dog"]
+    stop = records(spark, OWL).select(tokenize("text", ["a", "the", "in"]).alias("t")).first().t
+    assert stop == ["old", "owl", "sat", "tall", "oak", "by", "mill"]
 
 
 def test_stop_words_keep_repeats(spark):
@@ -34,8 +34,8 @@ def test_totals_and_biggest(spark):
 
 
 def test_term_frequency(spark):
-    got = dict(rows(wt.term_frequency(records(spark, FOX), ["a", "the", "over"]), "token", "tf"))
-    assert got["quick"] == pytest.approx(1 / 6) and len(got) == 6
+    got = dict(rows(wt.term_frequency(records(spark, OWL), ["a", "the", "in"]), "token", "tf"))
+    assert got["owl"] == pytest.approx(1 / 7) and len(got) == 7
     assert dict(rows(wt.term_frequency(records(spark, "one_ one_ two!")), "token", "tf")) == {
         "one_": pytest.approx(2 / 3), "two": pytest.approx(1 / 3)}
 
@@ -68,3 +68,13 @@ def test_text_pairs(spark):
         "pair_id int, text_a string, text_b string")
     got = dict(rows(wt.text_pair_similarity(pairs, idf)))
     assert got == {1: pytest.approx(4 / 5), 2: 0.0, 3: None, 4: pytest.approx(1.0)}
+
+
+def test_rows_of_one_side_count_together(spark):
+    idf = spark.createDataFrame([("x", 2.0), ("y", 1.0)], "token string, idf double")
+    sides = spark.createDataFrame([(1, "a", "x"), (1, "a", "y"), (1, "b", "y x"), (2, "a", "x")],
+                                  "pair_id int, side string, text string")
+    assert dict(rows(wt.side_similarity(sides, idf))) == {1: pytest.approx(1.0), 2: None}
+    turns = spark.createDataFrame([("r", "x y"), ("r", "x"), ("s", "y")], "id string, text string")
+    got = dict(rows(wt.inverse_document_frequency(turns, unique_ids=False)))
+    assert got == {"x": 2.0, "y": 1.0}
