@@ -21,7 +21,7 @@ from harrow.llm.batches import Hashes, chunks, folded_symbols, words
 from harrow.session import materialize
 
 WINDOW = 13                  # words of a window
-SHARD_BYTES = 4 << 20        # text per shard, unless one document is longer
+SHARD_BYTES = 2 << 20        # text per shard, unless one document is longer
 BENCHMARK_BYTES = 32 << 20   # benchmark text searched for in one pass over the index
 NEAR_TERMS = 5               # rarest terms of a window that a proximity match needs
 SLACK = 4                    # words that each of them may be off its place
