@@ -23,9 +23,11 @@ from harrow.llm.batches import Hashes, add_columns, chunks, words
 
 TRAINING_PAGES = 200   # pages that train, about; a bounded sample
 TRAINING_BLOCKS = 80   # only pages of at most so many blocks train
-LAYOUTS = 3            # further layouts that every training page is set into
-PATH_WIDTH, WORD_WIDTH, HIDDEN = 96, 32, 16
-EPOCHS, BATCH, RATE = 15, 32, 0.01
+LAYOUTS = 1_200        # other layouts that the training pages are set into, about
+PATH_WIDTH, LAST_WIDTH, WORD_WIDTH, HIDDEN = 224, 32, 32, 16
+STEPS, BATCH, RATE = 600, 32, 0.01
+KEEP_FROM = -2.0       # a block is kept unless it is fairly sure not to be main text
+WIDTH = PATH_WIDTH + LAST_WIDTH + WORD_WIDTH + 6
 
 # Elements that end a run of text, elements without text of the page,
 # and names (of elements, classes or ids) that mark what is not main text.
@@ -118,17 +120,18 @@ def is_main(path: tuple[str, ...]) -> bool:
 def features(pages: list[list[tuple[tuple[str, ...], str, int]]]) -> np.ndarray:
     """A row per block, page after page: hashed path, hashed words and a few numbers."""
     blocks = [b for page in pages for b in page]
-    table = np.zeros((len(blocks), PATH_WIDTH + WORD_WIDTH + 6), np.float32)
+    table = np.zeros((len(blocks), WIDTH), np.float32)
+    words_at = PATH_WIDTH + LAST_WIDTH
     known: dict[tuple, np.ndarray] = {}
     for i, (path, _, _) in enumerate(blocks):
         if path not in known:
-            places = [zlib.crc32(x.encode()) % (PATH_WIDTH - 16) for x in path]
-            last = [PATH_WIDTH - 16 + zlib.crc32(path[-1].encode()) % 16] if path else []
+            places = [zlib.crc32(x.encode()) % PATH_WIDTH for x in path]
+            last = [PATH_WIDTH + zlib.crc32(path[-1].encode()) % LAST_WIDTH] if path else []
             known[path] = np.array(places + last, np.int64)
         table[i, known[path]] = 1
     separator = np.ones(256, bool)
     separator[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
-    numbers = table[:, PATH_WIDTH + WORD_WIDTH:]
+    numbers = table[:, words_at + WORD_WIDTH:]
     for first, data, offsets in chunks(pa.array([b[1] for b in blocks], pa.large_string())):
         starts, ends, texts = words(separator, data, offsets)
         n = len(offsets) - 1
@@ -136,7 +139,7 @@ def features(pages: list[list[tuple[tuple[str, ...], str, int]]]) -> np.ndarray:
         found = np.bincount(texts * WORD_WIDTH + place, minlength=n * WORD_WIDTH)
         count = np.bincount(texts, minlength=n)
         own = slice(first, first + n)
-        table[own, PATH_WIDTH:PATH_WIDTH + WORD_WIDTH] = (
+        table[own, words_at:words_at + WORD_WIDTH] = (
             found.reshape(n, WORD_WIDTH) / np.maximum(count, 1)[:, None])
         numbers[own, 0] = np.log1p(count) / 5
     sizes = np.array([len(b[1]) for b in blocks])
@@ -213,7 +216,7 @@ class BlockLabeller:
     weights: list[np.ndarray]
 
     def logits(self, table: np.ndarray, lengths: list[int], keep: list | None = None) -> np.ndarray:
-        """One number per block, above 0 for main text."""
+        """One number per block: the log-odds that it is main text."""
         rows = len(table)
         out = np.full(rows, self.weights[5][0], np.float32)
         for k, index in enumerate(_index(lengths)):
@@ -245,32 +248,31 @@ class BlockLabeller:
 def train(pages: list[tuple[list, list[bool]]]) -> BlockLabeller:
     """A labeller fitted to (blocks, whether each is main text) by stochastic gradient steps."""
     rng = np.random.default_rng(7)
-    width = PATH_WIDTH + WORD_WIDTH + 6
 
     def start(*shape: int) -> np.ndarray:
         return (rng.standard_normal(shape) * 0.1).astype(np.float32)
 
-    model = BlockLabeller([start(width, 4 * HIDDEN), start(HIDDEN, 4 * HIDDEN),
-                           start(width, 4 * HIDDEN), start(HIDDEN, 4 * HIDDEN),
+    model = BlockLabeller([start(WIDTH, 4 * HIDDEN), start(HIDDEN, 4 * HIDDEN),
+                           start(WIDTH, 4 * HIDDEN), start(HIDDEN, 4 * HIDDEN),
                            start(2, HIDDEN), start(1)])
     tables = [features([blocks]) for blocks, _ in pages]
     labels = [np.array(own, np.float32) for _, own in pages]
     m1 = [np.zeros_like(w) for w in model.weights]
     m2 = [np.zeros_like(w) for w in model.weights]
-    step = 0
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(pages))
-        for at in range(0, len(order), BATCH):
-            part = order[at:at + BATCH]
-            found = model.slopes(np.concatenate([tables[i] for i in part]),
-                                 [len(labels[i]) for i in part],
-                                 np.concatenate([labels[i] for i in part]))
-            step += 1
-            for k, slope in enumerate(found):
-                m1[k] = 0.9 * m1[k] + 0.1 * slope
-                m2[k] = 0.99 * m2[k] + 0.01 * slope * slope
-                model.weights[k] = model.weights[k] + RATE * (m1[k] / (1 - 0.9 ** step)) / (
-                    np.sqrt(m2[k] / (1 - 0.99 ** step)) + 1e-8)
+    order = np.zeros(0, np.int64)
+    for step in range(1, STEPS + 1 if pages else 1):
+        if len(order) < BATCH:
+            order = np.concatenate([order, rng.permutation(len(pages))])
+        part, order = order[:BATCH], order[BATCH:]
+        found = model.slopes(np.concatenate([tables[i] for i in part]),
+                             [len(labels[i]) for i in part],
+                             np.concatenate([labels[i] for i in part]))
+        rate = RATE * min(1.0, 2 * (1 - step / (STEPS + 1)))
+        for k, slope in enumerate(found):
+            m1[k] = 0.9 * m1[k] + 0.1 * slope
+            m2[k] = 0.99 * m2[k] + 0.01 * slope * slope
+            model.weights[k] = model.weights[k] + rate * (m1[k] / (1 - 0.9 ** step)) / (
+                np.sqrt(m2[k] / (1 - 0.99 ** step)) + 1e-8)
     return model
 
 
@@ -290,7 +292,11 @@ def other_layout(blocks: list, labels: list[bool], rng: np.random.Generator) ->
     main = [b for b, good in zip(blocks, labels, strict=True) if good]
     around = str(rng.choice(_MAIN)).split()
     root = (("html", "body"), ("html", "body"), ("body",), ())[int(rng.integers(0, 4))]
-    inner = [((*root, *around, *str(rng.choice(_TEXT)).split()), b[1], b[2]) for b in main]
+    first = int(rng.integers(0, max(len(main), 1)))
+    kept = main[first:first + int(rng.integers(1, 12))] if rng.random() < 0.5 else main
+    # Some texts change places, so that the path has to tell.
+    kept = [blocks[int(rng.integers(0, len(blocks)))] if rng.random() < 0.2 else b for b in kept]
+    inner = [((*root, *around, *str(rng.choice(_TEXT)).split()), b[1], b[2]) for b in kept]
     found: list = [inner]
     for _ in range(int(rng.integers(1, 6))):
         where = str(rng.choice(_OTHER)).split()
@@ -324,12 +330,12 @@ def learn_layout(pages: DataFrame) -> BlockLabeller:
     kind = "blocks array<struct<path: array<string>, text: string, linked: int>>"
     rows = add_columns(sample, work, kind, []).limit(2 * TRAINING_PAGES).collect()
     rng = np.random.default_rng(3)
+    found = sorted([(tuple(b["path"]), b["text"], b["linked"]) for b in r[0]] for r in rows if r[0])
     pages = []
-    for blocks in sorted([[(tuple(b["path"]), b["text"], b["linked"]) for b in r[0]] for r in rows]):
-        if blocks:
-            labels = [is_main(path) for path, _, _ in blocks]
-            pages.append((blocks, labels))
-            pages += [other_layout(blocks, labels, rng) for _ in range(LAYOUTS)]
+    for blocks in found:
+        labels = [is_main(path) for path, _, _ in blocks]
+        pages.append((blocks, labels))
+        pages += [other_layout(blocks, labels, rng) for _ in range(-(-LAYOUTS // len(found)))]
     return train(pages)
 
 
@@ -353,7 +359,7 @@ def extract_text(pages: DataFrame, model: BlockLabeller, keep: list[str] | None
             for start in range(0, len(order), 50):  # pages of about one length together
                 part = [i for i in order[start:start + 50] if blocks[i]]
                 table = features([blocks[i] for i in part])
-                good = shared.value.logits(table, [len(blocks[i]) for i in part]) > 0
+                good = shared.value.logits(table, [len(blocks[i]) for i in part]) > KEEP_FROM
                 first = 0
                 for i in part:
                     own = good[first:first + len(blocks[i])]
