@@ -7,11 +7,13 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 _written: list[str] = []
 _own_folder: list[str] = []
+_shipped: set[str] = set()
 
 SUGGESTED_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -52,6 +54,28 @@ def work_dir(spark: SparkSession) -> str:
     return _own_folder[0]
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, unless they have been given it before.
+
+    Needed where the package is not installed on the executors and the driver has it on
+    its own path only.
+    """
+    app = spark.conf.get("spark.app.id", "")
+    if app not in _shipped:
+        here = os.path.dirname(os.path.abspath(__file__))
+        folder = tempfile.mkdtemp(prefix="harrow-package-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        archive = os.path.join(folder, "harrow_package.zip")
+        with zipfile.ZipFile(archive, "w") as package:
+            for top, _, names in os.walk(here):
+                for name in names:
+                    if name.endswith(".py"):
+                        path = os.path.join(top, name)
+                        package.write(path, os.path.relpath(path, os.path.dirname(here)))
+        spark.addArtifacts(archive, pyfile=True)
+        _shipped.add(app)
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a table, below the one work folder of this application."""
     top = os.path.join(work_dir(spark), f"harrow-{spark.conf.get('spark.app.id', 'local')}")
