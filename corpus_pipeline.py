@@ -16,7 +16,7 @@ from harrow.llm.decontaminate import find_contamination
 from harrow.llm.jaccard import similar_components
 from harrow.llm.packing import pack
 from harrow.llm.secrets import scan_secrets
-from harrow.session import materialize
+from harrow.session import materialize, ship_package
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,6 +73,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result of all stages on ``documents``."""
+    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name)

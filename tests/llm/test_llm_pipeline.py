@@ -1,0 +1,81 @@
+import itertools
+import random
+
+import llm_cases
+import pytest
+from test_llm_decontaminate import plain as plain_contamination
+from test_llm_jaccard import plain as plain_components
+from test_llm_packing import check
+from test_llm_secrets import plain as plain_secrets
+
+import corpus_pipeline
+from harrow.llm import secrets
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+STAGES = dict(corpus_pipeline.STAGES)
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    rng = random.Random(4)
+    word = ["the", "river", "mill", "oak", "wheel", "stone", "runs", "old", "by", "past"]
+    item = " ".join(f"item{i}" for i in range(20))
+    texts = [" ".join(rng.choice(word) + str(rng.randint(0, 30)) for _ in range(rng.randint(5, 80)))
+             for _ in range(40)]
+    texts += [texts[0], texts[1] + " more", item + " in a text", "token = abcdefghijklmnop end", "1 2 3"]
+    docs = llm_cases.documents(spark, texts).select(*COLUMNS)
+    path = tmp_path_factory.mktemp("tables")
+    docs.write.parquet(str(path / "documents.parquet"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(
+        str(path / "benchmark.parquet"))
+    return str(path)
+
+
+def key(r):
+    return str(tuple(r))
+
+
+def test_each_stage_against_a_plain_version(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    before = docs.collect()
+    for name in ("language_id", "near_duplicates", "decontamination", "secret_scan"):
+        found = STAGES[name](spark, docs, folder)
+        assert found.columns == COLUMNS and found.dtypes == docs.dtypes
+        after = found.collect()
+        if name == "language_id":
+            want = [r for r in before if any(c.isalpha() for c in r.text or "")]
+        elif name == "near_duplicates":
+            labelled = plain_components([(r.doc_id, r.text) for r in before], 90)
+            dropped = {i for i, _, c in labelled if i is not None and i != c}
+            kept = sorted((r for r in before if r.doc_id not in dropped), key=key)
+            want = [next(g) for _, g in itertools.groupby(kept, key=lambda r: (r.doc_id, r.text))]
+            assert len(want) < len(before) - 1
+        elif name == "decontamination":
+            item = spark.read.parquet(f"{folder}/benchmark.parquet").first().text
+            judged = plain_contamination([r.text for r in before], [(1, item)], 13)
+            want = [r for r, j in zip(before, judged, strict=True) if not j[3]]
+            assert len(want) == len(before) - 1
+        else:
+            want = []
+            for r in before:
+                text = secrets.redact(r.text, plain_secrets(r.text or ""))
+                n = r.n_chars if text == r.text else len(text)
+                want.append((r.doc_id, text, r.lang, r.source, n))
+            assert any("[secret]" in (r[1] or "") for r in want)
+        assert sorted(map(key, after)) == sorted(map(key, want)), name
+        docs, before = spark.createDataFrame(after, docs.schema), after
+
+
+def test_run_packs_what_the_stages_keep(spark, folder):
+    found = corpus_pipeline.run(spark, folder)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, folder).collect(), docs.schema)
+    check(docs, found.collect(), 4096)
+
+
+def test_stages_take_empty_tables(spark, folder):
+    none = llm_cases.empty(spark).select(*COLUMNS)
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, none, folder)
+        assert found.count() == 0, name
