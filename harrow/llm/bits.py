@@ -9,21 +9,23 @@ from pyspark.sql import functions as F
 FILTER_BITS = 1 << 23  # bits of a filter: one megabyte, whatever the size of the data
 
 
-def bit_of(key: Column | str) -> Column:
+def bit_of(key: Column | str, size: int = FILTER_BITS) -> Column:
     """The bit that stands for a key."""
-    return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)).cast("long")
+    return F.pmod(F.xxhash64(key), F.lit(size)).cast("long")
 
 
 def key_filter(keys: DataFrame, key: str) -> np.ndarray:
-    """The packed bits of all keys.  A key that is not among them may still have its bit set.
+    """The packed bits of all keys.  A key that is not among them may still have its bit set."""
+    return packed_bits(keys.select(bit_of(key).alias("bit")))
 
-    The bits are put together by Spark in parts of a few kilobytes.
-    """
+
+def packed_bits(rows: DataFrame, size: int = FILTER_BITS) -> np.ndarray:
+    """The bits in the column ``bit``, put together by Spark in parts of a few kilobytes."""
     # Bits are numbered from 1 here, as Spark's first bucket starts there.
-    bits = keys.select((bit_of(key) + 1).alias("bit"))
+    bits = rows.select((F.col("bit") + 1).alias("bit"))
     parts = (bits.groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect())
-    found = np.zeros(FILTER_BITS, bool)
+    found = np.zeros(size, bool)
     for bucket, part in parts:
         own = np.unpackbits(np.frombuffer(part, np.uint8), bitorder="little")
         found[(bucket - 1) * len(own):bucket * len(own)] = own

@@ -2,7 +2,7 @@
 
 Every text is the set of its word shingles.  Sets are ordered by one global order,
 rarest shingles first, and two sets that are similar enough share a shingle within
-their prefixes.  Equal sets are one node; nodes of equal size and prefix are one
+their prefixes; prefixes that are longer by some shingles share that many more.  Equal sets are one node; nodes of equal size and prefix are one
 group, and only groups meet on prefix shingles.  A meeting is filtered by size and
 position, expanded to the members and verified on the whole sets.
 
@@ -22,13 +22,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harrow.llm.batches import Hashes, chunks, folded_symbols, mix, words
-from harrow.llm.bits import bit_of, key_filter
+from harrow.llm.bits import bit_of, key_filter, packed_bits
 from harrow.llm.components import components
 from harrow.session import materialize
 
 SHINGLE = 3               # words of a shingle
 PERCENT = 90              # similarity from which two sets are linked
+LONGER = 20               # a prefix is longer by one in so many of the set's shingles
 HOT_SHINGLES = 1 << 18    # commonest shingles whose counts set the order; broadcast
+SHINGLE_BITS = 1 << 25    # bits of the filter of shingles that stand twice; broadcast
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[32, *range(9, 14)]] = True
@@ -74,8 +76,44 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["shingle", "n"])
 
 
+def _least_shared(n: int, percent: int) -> int:
+    """Prefix shingles that a set of ``n`` shares with a linked set that is no smaller."""
+    return min(1 + n // LONGER, -(-n * percent // 100))
+
+
 def _prefix_length(n: int, percent: int) -> int:
-    return n + (-n * percent // 100) + 1
+    """A linked set shares percent of the ``n`` shingles, so few of them can be missing."""
+    return n + (-n * percent // 100) + _least_shared(n, percent)
+
+
+def _enough(percent: int) -> Column:
+    """Whether two sets (n_a, n_b) that share ``shared`` prefix shingles can be linked."""
+    n = F.least("n_a", "n_b")
+    return F.col("shared") >= F.least(1 + F.floor(n / LONGER), F.ceil(n * percent / 100))
+
+
+def _twice(bits: np.ndarray, chosen: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]],
+                                                             Iterator[pa.RecordBatch]]:
+    """Batches of (row, n, prefix, bit of the row) to the postings of chosen rows.
+
+    A posting is left out if the filter says that no other set has its shingle.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(chosen[batch.column(3).to_numpy()]))
+            lists = batch.column(2)
+            values = lists.flatten().to_numpy()
+            lengths = np.diff(lists.offsets.to_numpy())
+            place = np.repeat(np.arange(len(lengths)), lengths)
+            i = np.arange(len(values)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            kept = bits[values.view(np.uint64) % np.uint64(len(bits))]
+            place = pa.array(place[kept])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(place), batch.column(1).take(place),
+                 pa.array(i[kept].astype(np.int32)), pa.array(values[kept])],
+                names=["node", "n", "i", "shingle"])
+
+    return run
 
 
 def _prefixes(hot: np.ndarray, rank: np.ndarray,
@@ -213,17 +251,40 @@ def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                                                    F.min("id").alias("smallest"))
     nodes = materialize(nodes, "nodes")
 
+    # One row stands for equal sets.  It is picked by a filter of fixed size; a further
+    # row that this lets through is one more node, equal to the first.
+    chosen = spark.sparkContext.broadcast(key_filter(nodes, "node"))
+
+    def standing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(chosen.value).astype(bool)
+        for batch in batches:
+            kept = batch.filter(pa.array(bits[batch.column(3).to_numpy()]))
+            yield kept.select([0, 1, 2])
+
+    marked = rows.filter("n > 0").select("row", "n", "prefix", bit_of("row").alias("bit"))
+    head = F.struct(F.xxhash64("prefix").alias("x"), F.hash("prefix").alias("y"))
+    own = (marked.select("row", "n", head.alias("head"), "bit")
+           .mapInArrow(standing, "node long, n long, head struct<x: long, y: int>").distinct())
+
     # Groups: nodes of equal size and prefix; ``hub`` is the smallest node.
-    own = (rows.select("row", "n", "prefix").join(nodes.select(F.col("node").alias("row")), "row")
-           .dropDuplicates(["row"]).withColumn("head", F.struct(
-               F.xxhash64("prefix").alias("x"), F.hash("prefix").alias("y"))))
-    own = materialize(own.withColumnRenamed("row", "node"), "own")
     hubs = own.groupBy("n", "head").agg(F.min("node").alias("hub"), F.count("*").alias("size"))
-    members = materialize(own.select("node", "n", "head").join(hubs, ["n", "head"])
-                          .select("node", "n", "hub", "size"), "members")
+    members = materialize(own.join(hubs, ["n", "head"]).select("node", "n", "hub", "size"), "members")
+
+    # Postings of the groups, without shingles of which a filter says that they stand once.
+    bit = F.pmod(F.col("shingle"), F.lit(SHINGLE_BITS)).cast("long")
+    seen = marked.select(F.explode("prefix").alias("shingle")).select(bit.alias("bit"))
+    again = seen.groupBy("bit").agg(F.count("*").alias("n")).filter("n > 1")
+    maybe = spark.sparkContext.broadcast(packed_bits(again, SHINGLE_BITS))
+
+    def postings_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _twice(np.unpackbits(maybe.value).astype(bool),
+                          np.unpackbits(chosen.value).astype(bool))(batches)
+
     leads = members.filter("node = hub").select("hub", "size")
-    postings = (own.select(F.col("node").alias("hub"), "n", "prefix").join(leads, "hub")
-                .select("hub", "n", "size", F.posexplode("prefix").alias("i", "shingle")))
+    postings = (marked.mapInArrow(postings_of, "hub long, n long, i int, shingle long")
+                .groupBy("shingle", "hub").agg(F.min("n").alias("n"), F.min("i").alias("i"))
+                .join(leads, "hub"))
+    postings = materialize(postings, "listed")
     met = postings.groupBy("shingle").agg(F.sum("size").alias("texts")).filter("texts > 1")
     postings = materialize(postings.join(met.select("shingle"), "shingle")
                            .select("shingle", "hub", "n", "i"), "postings")
@@ -231,13 +292,15 @@ def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # First round: everyone against one node of about its size, within group and shingle.
     scale = F.floor(F.log(F.col("n").cast("double")) / -np.log(percent / 101.0)).alias("scale")
     spread = postings.select("shingle", "hub", "n", scale)
-    centres = spread.groupBy("shingle", "scale").agg(F.min("hub").alias("centre"),
-                                                     F.min("n").alias("n_low"))
-    stars = (spread.join(centres, ["shingle", "scale"]).filter("hub <> centre")
-             .select(F.col("centre").alias("a"), F.col("hub").alias("b")).distinct())
+    centres = spread.groupBy("shingle", "scale").agg(
+        F.min(F.struct(F.col("hub").alias("a"), F.col("n").alias("n_a"))).alias("centre"))
+    shared = (spread.join(centres, ["shingle", "scale"]).filter("hub <> centre.a")
+              .groupBy("centre.a", "centre.n_a", F.col("hub").alias("b"), F.col("n").alias("n_b"))
+              .agg(F.count("*").alias("shared")).filter(_enough(percent)))
+    stars = shared.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
     inside = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    first = materialize(_verified(docs, materialize(inside.unionByName(stars), "stars"), percent),
-                        "links")
+    first = _verified(docs, materialize(inside.unionByName(stars), "stars"), percent)
+    first = materialize(first, "links")
     roots = components(first)
 
     # Second round: pairs of members in different components, on every shared shingle.
@@ -260,8 +323,9 @@ def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                                           for c in ("root", "node", "n", "i")))
 
     pairs = (meetings.join(side("a"), ["shingle", "root_a"]).join(side("b"), ["shingle", "root_b"])
-             .filter(_fits(percent)).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-             .distinct())
+             .filter(_fits(percent))
+             .groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "n_a", "n_b")
+             .agg(F.count("*").alias("shared")).filter(_enough(percent)).select("a", "b"))
     second = _verified(docs, materialize(pairs, "pairs"), percent)
     roots = components(materialize(first.unionByName(second), "links"))
 

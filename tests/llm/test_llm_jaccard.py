@@ -69,7 +69,10 @@ def test_prefixes_are_long_enough():
     for percent in (1, 50, 90, 100):
         for n in range(1, 200):
             least = -(-n * percent // 100)  # shingles that a linked set must share at least
-            assert jaccard._prefix_length(n, percent) == n - least + 1
+            shared = jaccard._least_shared(n, percent)
+            # Of the first n - least + shared shingles, at most n - least are not shared.
+            assert 1 <= shared <= least
+            assert jaccard._prefix_length(n, percent) == n - least + shared
 
 
 def test_long_chains_are_one_component(spark):
