@@ -49,7 +49,9 @@ def vocabulary(path: str | None = None) -> list[str]:
 
 def text_words(text: str | None) -> list[str]:
     """Runs of letters in lower case, cut into segments; the first is marked as a start."""
-    words = _WORD.findall(text.lower()) if text else []
+    if not text or not any(map(str.isalpha, text)):  # numbers like a raised 2 are no letters
+        return []
+    words = _WORD.findall(text.lower())
     if all(len(w) <= SEGMENT for w in words):
         return ["▁" + w for w in words]
     cut = []
