@@ -2,7 +2,7 @@
 
 Every text is the set of its word shingles.  Sets are ordered by one global order,
 rarest shingles first, and two sets that are similar enough share a shingle within
-their prefixes; prefixes that are longer by some shingles share that many more.  Equal sets are one node; nodes of equal size and prefix are one
+their prefixes, which is a shorter one for the smaller set.  Equal sets are one node; nodes of equal size and prefix are one
 group, and only groups meet on prefix shingles.  A meeting is filtered by size and
 position, expanded to the members and verified on the whole sets.
 
@@ -24,12 +24,14 @@ from pyspark.sql import functions as F
 from harrow.llm.batches import Hashes, chunks, folded_symbols, mix, words
 from harrow.llm.bits import bit_of, key_filter, packed_bits
 from harrow.llm.components import components
+from harrow.operators.skew import blocks, slot_of
 from harrow.session import materialize
 
 SHINGLE = 3               # words of a shingle
 PERCENT = 90              # similarity from which two sets are linked
-LONGER = 20               # a prefix is longer by one in so many of the set's shingles
 HOT_SHINGLES = 1 << 18    # commonest shingles whose counts set the order; broadcast
+SKETCH = 64               # shingles of a set are counted in so many classes
+CELL_ROWS = 2_000         # rows of one shingle that a task compares with as many others
 SHINGLE_BITS = 1 << 25    # bits of the filter of shingles that stand twice; broadcast
 
 _SEPARATOR = np.zeros(256, bool)
@@ -76,20 +78,15 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["shingle", "n"])
 
 
-def _least_shared(n: int, percent: int) -> int:
-    """Prefix shingles that a set of ``n`` shares with a linked set that is no smaller."""
-    return min(1 + n // LONGER, -(-n * percent // 100))
-
-
 def _prefix_length(n: int, percent: int) -> int:
-    """A linked set shares percent of the ``n`` shingles, so few of them can be missing."""
-    return n + (-n * percent // 100) + _least_shared(n, percent)
+    """A linked set shares percent of the ``n`` shingles, so so many hold one that it has."""
+    return n + (-n * percent // 100) + 1
 
 
-def _enough(percent: int) -> Column:
-    """Whether two sets (n_a, n_b) that share ``shared`` prefix shingles can be linked."""
-    n = F.least("n_a", "n_b")
-    return F.col("shared") >= F.least(1 + F.floor(n / LONGER), F.ceil(n * percent / 100))
+def _short(n: str, percent: int) -> Column:
+    """``_prefix_length`` where the linked set is no smaller and thus shares more of them."""
+    n, whole = F.col(n), 100 + percent
+    return n - F.floor((2 * percent * n + whole - 1) / whole) + 1
 
 
 def _twice(bits: np.ndarray, chosen: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]],
@@ -116,28 +113,32 @@ def _twice(bits: np.ndarray, chosen: np.ndarray) -> Callable[[Iterator[pa.Record
     return run
 
 
-def _prefixes(hot: np.ndarray, rank: np.ndarray,
+def _prefixes(hot: np.ndarray, rank: np.ndarray, common: np.ndarray,
               percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Batches of (row, id, text) to the size, fingerprint and ordered prefix of each set."""
-    maybe = np.zeros(1 << 22, bool)
-    maybe[hot >> np.uint64(42)] = True
+    """Batches of (row, id, text) to the size, fingerprint and ordered prefix of each set.
+
+    ``hot`` shingles come last, by their ``rank``, and before them those that the filter
+    ``common`` names.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, prints, prefixes, lengths = [], [], [], [0]
+            sizes, prints, prefixes, lengths, sketches = [], [], [], [0], []
             for _, data, offsets in chunks(batch.column(2)):
                 shingles, cuts = shingle_sets(data, offsets)
-                order = np.zeros(len(shingles), np.int32)
-                seen = np.flatnonzero(maybe[shingles >> np.uint64(42)])
+                order = common[shingles % np.uint64(len(common))].astype(np.int32)
+                seen = np.flatnonzero(order)
                 if len(hot):
                     at = np.minimum(np.searchsorted(hot, shingles[seen]), len(hot) - 1)
-                    order[seen] = np.where(hot[at] == shingles[seen], rank[at], 0)
+                    order[seen] += np.where(hot[at] == shingles[seen], rank[at], 0)
                 for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                     own = shingles[a:b]
                     # The sum of mixed values does not depend on an order.
                     prints.append((int(mix(own ^ np.uint64(0x5851F42D4C957F2D)).sum().view(np.int64)),
                                    int(mix(own + np.uint64(0x14057B7EF767814F)).sum().view(np.int64))))
                     sizes.append(b - a)
+                    classes = np.bincount((own % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+                    sketches.append(classes.astype(np.int32).tobytes())
                     kept = _prefix_length(b - a, percent) if b > a else 0
                     hottest = order[a:b]
                     prefix = (own[np.argsort(hottest, kind="stable")[:kept]] if hottest.any()
@@ -150,8 +151,9 @@ def _prefixes(hot: np.ndarray, rank: np.ndarray,
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
                  pa.array([p[0] for p in prints], pa.int64()),
-                 pa.array([p[1] for p in prints], pa.int64()), lists],
-                names=["row", "id", "n", "print_a", "print_b", "prefix"])
+                 pa.array([p[1] for p in prints], pa.int64()), lists,
+                 pa.array(sketches, pa.binary())],
+                names=["row", "id", "n", "print_a", "print_b", "prefix", "sketch"])
 
     return run
 
@@ -208,13 +210,75 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(_linked(percent), "a long, b long")
 
 
-def _fits(percent: int) -> Column:
-    """Whether two sets that share a prefix shingle can be similar, by size and position."""
-    small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    most = (1 + F.least("i_a", "i_b")
-            + F.least(F.col("n_a") - F.col("i_a"), F.col("n_b") - F.col("i_b")) - 1)
-    return ((100 * small >= percent * large)
-            & ((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))))
+def _sketches(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.int32).reshape(len(column), SKETCH)
+
+
+def _can_link(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the sets of two sketches can be linked: no class has more in common than
+    the smaller of its two counts."""
+    most = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+    sizes = x.sum(axis=1, dtype=np.int64) + y.sum(axis=1, dtype=np.int64)
+    return (100 + percent) * most >= percent * sizes
+
+
+def _likely(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sketches can be linked."""
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = _can_link(_sketches(batch.column(2)), _sketches(batch.column(3)), percent)
+            yield batch.filter(pa.array(good)).select([0, 1])
+
+    left, right = (sketches.select(F.col("node").alias(c), F.col("sketch").alias(f"sketch_{c}"))
+                   for c in ("a", "b"))
+    return (pairs.join(left, "a").join(right, "b").select("a", "b", "sketch_a", "sketch_b")
+            .mapInArrow(keep, "a long, b long"))
+
+
+def _compare(rows: pa.Table, percent: int) -> pa.RecordBatch:
+    """Pairs of rows of the same cell that can be linked, by all that the rows tell."""
+    keys, slot, root, node, n, i = (rows.column(k).to_numpy() for k in
+                                    ("cell", "slot", "root", "node", "n", "i"))
+    sketches = _sketches(rows.column("sketch").combine_chunks())
+    whole = 100 + percent
+    short = i < n - (2 * percent * n + whole - 1) // whole + 1
+    one_slot = rows.column("line").to_numpy() == rows.column("column").to_numpy()
+    found = []
+    for step in range(1, len(keys)):
+        x = np.flatnonzero(keys[step:] == keys[:-step])
+        if not len(x):
+            break
+        y = x + step
+        small, large = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+        most = np.minimum(i[x], i[y]) + np.minimum(n[x] - i[x], n[y] - i[y])
+        good = ((root[x] != root[y]) & (100 * small >= percent * large)
+                & (one_slot[x] | (slot[x] != slot[y]))
+                & ((short[x] & (n[x] <= n[y])) | (short[y] & (n[y] <= n[x])))
+                & (whole * most >= percent * (n[x] + n[y])))
+        x, y = x[good], y[good]
+        good = _can_link(sketches[x], sketches[y], percent)
+        found.append(np.stack([node[x[good]], node[y[good]]]))
+    pairs = np.sort(np.concatenate([*found, np.zeros((2, 0), np.int64)], axis=1), axis=0)
+    pairs = np.unique(pairs, axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+
+def _cells(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows sorted by cell to the likely pairs within cells; a cell may span batches."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            keys = rows.column("cell").to_numpy()
+            last = int(np.searchsorted(keys == keys[-1], True)) if len(keys) else 0
+            held = rows.slice(last)
+            if last:
+                yield _compare(rows.slice(0, last), percent)
+        if held is not None:
+            yield _compare(held, percent)
+
+    return run
 
 
 def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -230,21 +294,25 @@ def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     docs = docs.select(F.xxhash64("id", "text").alias("row"),
                        F.col("id").cast("long").alias("id"), "text")
 
-    # The global order: not among the commonest shingles first, then by rising count.
-    common = (docs.select("text").mapInArrow(_counted, "shingle long, n long")
-              .groupBy("shingle").agg(F.sum("n").alias("n"))
-              .orderBy(F.desc("n"), "shingle").limit(HOT_SHINGLES).toArrow().combine_chunks())
-    hot = common.column(0).to_numpy().view(np.uint64)
+    # The global order: shingles that no batch has twice, then the others, and of these
+    # the commonest last, by rising count.
+    counted = materialize(docs.select("text").mapInArrow(_counted, "shingle long, n long")
+                          .groupBy("shingle").agg(F.sum("n").alias("n")), "counted")
+    bit = F.pmod(F.col("shingle"), F.lit(SHINGLE_BITS)).cast("long")
+    common = packed_bits(counted.select(bit.alias("bit")), SHINGLE_BITS)
+    top = (counted.orderBy(F.desc("n"), "shingle").limit(HOT_SHINGLES).toArrow().combine_chunks())
+    hot = top.column(0).to_numpy().view(np.uint64)
     rank = np.empty(len(hot), np.int32)
     rank[::-1] = np.arange(1, len(hot) + 1)
     order = np.argsort(hot)
-    shared = spark.sparkContext.broadcast((hot[order], rank[order]))
+    shared = spark.sparkContext.broadcast((hot[order], rank[order], common))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _prefixes(*shared.value, percent)(batches)
+        hot, rank, common = shared.value
+        yield from _prefixes(hot, rank, np.unpackbits(common).astype(bool), percent)(batches)
 
     rows = materialize(docs.mapInArrow(
-        prefixes, "row long, id long, n long, print_a long, print_b long, prefix array<long>"),
+        prefixes, "row long, id long, n long, print_a long, print_b long, prefix array<long>, sketch binary"),
         "prefixes")
     key = ["print_a", "print_b", "n"]
     nodes = rows.filter("n > 0").groupBy(*key).agg(F.min("row").alias("node"),
@@ -271,7 +339,6 @@ def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     members = materialize(own.join(hubs, ["n", "head"]).select("node", "n", "hub", "size"), "members")
 
     # Postings of the groups, without shingles of which a filter says that they stand once.
-    bit = F.pmod(F.col("shingle"), F.lit(SHINGLE_BITS)).cast("long")
     seen = marked.select(F.explode("prefix").alias("shingle")).select(bit.alias("bit"))
     again = seen.groupBy("bit").agg(F.count("*").alias("n")).filter("n > 1")
     maybe = spark.sparkContext.broadcast(packed_bits(again, SHINGLE_BITS))
@@ -289,43 +356,44 @@ def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     postings = materialize(postings.join(met.select("shingle"), "shingle")
                            .select("shingle", "hub", "n", "i"), "postings")
 
-    # First round: everyone against one node of about its size, within group and shingle.
+    # First round: everyone against one node of about its size, within group and shingle,
+    # the one with most prefix shingles in common with others: a text that others
+    # were made from has the fewest of its own.
     scale = F.floor(F.log(F.col("n").cast("double")) / -np.log(percent / 101.0)).alias("scale")
-    spread = postings.select("shingle", "hub", "n", scale)
+    weight = postings.groupBy("hub").agg(F.count("*").alias("weight"))
+    spread = postings.filter(F.col("i") < _short("n", percent)).join(weight, "hub").select(
+        "shingle", "hub", "n", "weight", scale)
     centres = spread.groupBy("shingle", "scale").agg(
-        F.min(F.struct(F.col("hub").alias("a"), F.col("n").alias("n_a"))).alias("centre"))
-    shared = (spread.join(centres, ["shingle", "scale"]).filter("hub <> centre.a")
-              .groupBy("centre.a", "centre.n_a", F.col("hub").alias("b"), F.col("n").alias("n_b"))
-              .agg(F.count("*").alias("shared")).filter(_enough(percent)))
+        F.max_by("hub", F.struct("weight", "hub")).alias("a"))
+    shared = (spread.join(centres, ["shingle", "scale"]).filter("hub <> a")
+              .groupBy("a", F.col("hub").alias("b")).agg(F.count("*").alias("shared")))
     stars = shared.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
     inside = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    first = _verified(docs, materialize(inside.unionByName(stars), "stars"), percent)
-    first = materialize(first, "links")
+    sketches = rows.select(F.col("row").alias("node"), "sketch").join(
+        own.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    sketches = materialize(sketches, "sketches")
+    asked = materialize(_likely(inside.unionByName(stars), sketches, percent), "stars")
+    first = materialize(_verified(docs, asked, percent), "links")
     roots = components(first)
 
-    # Second round: pairs of members in different components, on every shared shingle.
+    # Second round: pairs of members in different components, on every shingle that the
+    # smaller set has in its short prefix and the larger one in its prefix.  The rows of
+    # a shingle are compared in cells of a grid, and only likely pairs leave a cell.
     placed = (members.join(roots, "node", "left")
               .select("node", "hub", F.coalesce("root", "node").alias("root")))
     spread = postings.join(placed, "hub").select("shingle", "node", "n", "i", "root")
-    split = (spread.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-             .filter("x <> y").select("shingle"))
-    spread = materialize(spread.join(split, "shingle"), "spread")
-    sides = spread.groupBy("shingle", "root").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    left = sides.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("root", "low", "high")))
-    right = sides.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("root", "low", "high")))
-    meetings = left.join(right, "shingle").filter(
-        (F.col("root_a") < F.col("root_b"))
-        & (100 * F.col("high_a") >= percent * F.col("low_b"))
-        & (100 * F.col("high_b") >= percent * F.col("low_a"))).select("shingle", "root_a", "root_b")
-
-    def side(name: str) -> DataFrame:
-        return spread.select("shingle", *(F.col(c).alias(f"{c}_{name}")
-                                          for c in ("root", "node", "n", "i")))
-
-    pairs = (meetings.join(side("a"), ["shingle", "root_a"]).join(side("b"), ["shingle", "root_b"])
-             .filter(_fits(percent))
-             .groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "n_a", "n_b")
-             .agg(F.count("*").alias("shared")).filter(_enough(percent)).select("a", "b"))
+    split = (spread.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y"),
+                                           F.count("*").alias("rows"))
+             .filter("x <> y").select("shingle", "rows"))
+    slots = blocks("rows", CELL_ROWS)
+    cells = F.transform(F.sequence(F.lit(0), slots - 1), lambda t: F.struct(
+        F.least("slot", t).alias("line"), F.greatest("slot", t).alias("column")))
+    spread = (spread.join(split, "shingle").join(sketches, "node")
+              .withColumn("slot", slot_of(["node"], slots)).withColumn("at", F.explode(cells))
+              .select(F.xxhash64("shingle", "at").alias("cell"), "slot", "at.line", "at.column",
+                      "node", "root", "n", "i", "sketch"))
+    pairs = (spread.repartition("cell").sortWithinPartitions("cell")
+             .mapInArrow(_cells(percent), "a long, b long").distinct())
     second = _verified(docs, materialize(pairs, "pairs"), percent)
     roots = components(materialize(first.unionByName(second), "links"))
 

@@ -65,14 +65,15 @@ def test_components_equal_all_pairs(spark, seed, percent, hot, monkeypatch):
     assert sorted((tuple(r) for r in got.collect()), key=str) == plain(data, percent)
 
 
-def test_prefixes_are_long_enough():
+def test_prefixes_are_long_enough(spark):
     for percent in (1, 50, 90, 100):
+        sizes = spark.range(1, 200).select("id", jaccard._short("id", percent).alias("short"))
+        short = {r.id: r.short for r in sizes.collect()}
         for n in range(1, 200):
             least = -(-n * percent // 100)  # shingles that a linked set must share at least
-            shared = jaccard._least_shared(n, percent)
-            # Of the first n - least + shared shingles, at most n - least are not shared.
-            assert 1 <= shared <= least
-            assert jaccard._prefix_length(n, percent) == n - least + shared
+            assert jaccard._prefix_length(n, percent) == n - least + 1
+            same = -(-2 * n * percent // (100 + percent))  # and one that is no smaller
+            assert short[n] == n - same + 1
 
 
 def test_long_chains_are_one_component(spark):
