@@ -24,9 +24,14 @@ def packed_bits(rows: DataFrame, size: int = FILTER_BITS) -> np.ndarray:
     # Bits are numbered from 1 here, as Spark's first bucket starts there.
     bits = rows.select((F.col("bit") + 1).alias("bit"))
     parts = (bits.groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
-             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect())
-    found = np.zeros(size, bool)
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).toLocalIterator())
+    found = np.zeros(size // 8, np.uint8)
     for bucket, part in parts:
-        own = np.unpackbits(np.frombuffer(part, np.uint8), bitorder="little")
-        found[(bucket - 1) * len(own):bucket * len(own)] = own
-    return np.packbits(found)
+        found[(bucket - 1) * len(part):bucket * len(part)] = np.frombuffer(part, np.uint8)
+    return found
+
+
+def is_set(packed: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether each of the bits is set."""
+    bits = bits.astype(np.int64)
+    return (packed[bits >> 3] >> (bits & 7).astype(np.uint8) & 1).astype(bool)

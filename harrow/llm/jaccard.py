@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harrow.llm.batches import Hashes, chunks, folded_symbols, mix, words
-from harrow.llm.bits import bit_of, key_filter, packed_bits
+from harrow.llm.bits import bit_of, is_set, key_filter, packed_bits
 from harrow.llm.components import components
 from harrow.operators.skew import blocks, slot_of
 from harrow.session import materialize
@@ -31,8 +31,9 @@ SHINGLE = 3               # words of a shingle
 PERCENT = 90              # similarity from which two sets are linked
 HOT_SHINGLES = 1 << 18    # commonest shingles whose counts set the order; broadcast
 SKETCH = 64               # shingles of a set are counted in so many classes
+MOST = 65_535             # count at which a class is full
 CELL_ROWS = 2_000         # rows of one shingle that a task compares with as many others
-SHINGLE_BITS = 1 << 25    # bits of the filter of shingles that stand twice; broadcast
+SHINGLE_BITS = 1 << 27    # bits of the filter of shingles that stand twice; broadcast
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[32, *range(9, 14)]] = True
@@ -97,13 +98,13 @@ def _twice(bits: np.ndarray, chosen: np.ndarray) -> Callable[[Iterator[pa.Record
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(pa.array(chosen[batch.column(3).to_numpy()]))
+            batch = batch.filter(pa.array(is_set(chosen, batch.column(3).to_numpy())))
             lists = batch.column(2)
             values = lists.flatten().to_numpy()
             lengths = np.diff(lists.offsets.to_numpy())
             place = np.repeat(np.arange(len(lengths)), lengths)
             i = np.arange(len(values)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            kept = bits[values.view(np.uint64) % np.uint64(len(bits))]
+            kept = is_set(bits, values.view(np.uint64) % np.uint64(8 * len(bits)))
             place = pa.array(place[kept])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(place), batch.column(1).take(place),
@@ -126,7 +127,7 @@ def _prefixes(hot: np.ndarray, rank: np.ndarray, common: np.ndarray,
             sizes, prints, prefixes, lengths, sketches = [], [], [], [0], []
             for _, data, offsets in chunks(batch.column(2)):
                 shingles, cuts = shingle_sets(data, offsets)
-                order = common[shingles % np.uint64(len(common))].astype(np.int32)
+                order = is_set(common, shingles % np.uint64(8 * len(common))).astype(np.int32)
                 seen = np.flatnonzero(order)
                 if len(hot):
                     at = np.minimum(np.searchsorted(hot, shingles[seen]), len(hot) - 1)
@@ -138,7 +139,7 @@ def _prefixes(hot: np.ndarray, rank: np.ndarray, common: np.ndarray,
                                    int(mix(own + np.uint64(0x14057B7EF767814F)).sum().view(np.int64))))
                     sizes.append(b - a)
                     classes = np.bincount((own % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
-                    sketches.append(classes.astype(np.int32).tobytes())
+                    sketches.append(np.minimum(classes, MOST).astype(np.uint16).tobytes())
                     kept = _prefix_length(b - a, percent) if b > a else 0
                     hottest = order[a:b]
                     prefix = (own[np.argsort(hottest, kind="stable")[:kept]] if hottest.any()
@@ -162,8 +163,7 @@ def _sets(bits: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     """Batches of (row, text, bit) to the sets of the rows whose bit is set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted = np.flatnonzero(bits[batch.column(2).to_numpy()])
-            batch = batch.take(pa.array(wanted))
+            batch = batch.filter(pa.array(is_set(bits, batch.column(2).to_numpy())))
             found = []
             for _, data, offsets in chunks(batch.column(1)):
                 shingles, cuts = shingle_sets(data, offsets)
@@ -199,7 +199,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(key_filter(rows, "row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _sets(np.unpackbits(shared.value).astype(bool))(batches)
+        yield from _sets(shared.value)(batches)
 
     sets = docs.select("row", "text", bit_of("row").alias("bit")).mapInArrow(
         run, "row long, shingles binary").dropDuplicates(["row"])
@@ -211,15 +211,16 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _sketches(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.int32).reshape(len(column), SKETCH)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), SKETCH)
 
 
 def _can_link(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
     """Whether the sets of two sketches can be linked: no class has more in common than
-    the smaller of its two counts."""
+    the smaller of its two counts.  A count that is full may stand for more."""
     most = np.minimum(x, y).sum(axis=1, dtype=np.int64)
     sizes = x.sum(axis=1, dtype=np.int64) + y.sum(axis=1, dtype=np.int64)
-    return (100 + percent) * most >= percent * sizes
+    full = (x == MOST).any(axis=1) | (y == MOST).any(axis=1)
+    return full | ((100 + percent) * most >= percent * sizes)
 
 
 def _likely(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -308,8 +309,7 @@ def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     shared = spark.sparkContext.broadcast((hot[order], rank[order], common))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, rank, common = shared.value
-        yield from _prefixes(hot, rank, np.unpackbits(common).astype(bool), percent)(batches)
+        yield from _prefixes(*shared.value, percent)(batches)
 
     rows = materialize(docs.mapInArrow(
         prefixes, "row long, id long, n long, print_a long, print_b long, prefix array<long>, sketch binary"),
@@ -324,9 +324,8 @@ def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     chosen = spark.sparkContext.broadcast(key_filter(nodes, "node"))
 
     def standing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(chosen.value).astype(bool)
         for batch in batches:
-            kept = batch.filter(pa.array(bits[batch.column(3).to_numpy()]))
+            kept = batch.filter(pa.array(is_set(chosen.value, batch.column(3).to_numpy())))
             yield kept.select([0, 1, 2])
 
     marked = rows.filter("n > 0").select("row", "n", "prefix", bit_of("row").alias("bit"))
@@ -344,8 +343,7 @@ def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     maybe = spark.sparkContext.broadcast(packed_bits(again, SHINGLE_BITS))
 
     def postings_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _twice(np.unpackbits(maybe.value).astype(bool),
-                          np.unpackbits(chosen.value).astype(bool))(batches)
+        yield from _twice(maybe.value, chosen.value)(batches)
 
     leads = members.filter("node = hub").select("hub", "size")
     postings = (marked.mapInArrow(postings_of, "hub long, n long, i int, shingle long")
@@ -383,8 +381,9 @@ def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
               .select("node", "hub", F.coalesce("root", "node").alias("root")))
     spread = postings.join(placed, "hub").select("shingle", "node", "n", "i", "root")
     split = (spread.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y"),
-                                           F.count("*").alias("rows"))
-             .filter("x <> y").select("shingle", "rows"))
+                                           F.count("*").alias("rows"),
+                                           F.bool_or(F.col("i") < _short("n", percent)).alias("some"))
+             .filter("x <> y and some").select("shingle", "rows"))
     slots = blocks("rows", CELL_ROWS)
     cells = F.transform(F.sequence(F.lit(0), slots - 1), lambda t: F.struct(
         F.least("slot", t).alias("line"), F.greatest("slot", t).alias("column")))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harrow.llm.batches import Hashes
-from harrow.llm.bits import bit_of, key_filter
+from harrow.llm.bits import bit_of, is_set, key_filter
 from harrow.session import materialize, work_path
 
 LENGTH = 200             # bytes of a string that may not stand twice
@@ -194,10 +194,9 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, unit_bytes: int = UNIT_B
     chosen = spark.sparkContext.broadcast(key_filter(long, "stands"))
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(chosen.value).astype(bool)
         pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            own = batch.filter(pa.array(wanted[batch.column(2).to_numpy()]))
+            own = batch.filter(pa.array(is_set(chosen.value, batch.column(2).to_numpy())))
             texts = pa.array([pack(x.as_py()) for x in own.column(1)], pa.binary())
             yield pa.RecordBatch.from_arrays([own.column(0), texts, own.column(3)],
                                              names=["row", "packed", "unit"])
