@@ -20,10 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harrow.llm.batches import add_columns
+from harrow.session import materialize
 
 DOCS_PER_LANGUAGE = 1_000  # training texts per language, about; a bounded sample
-TRAINING_WORDS = 16_000    # commonest (language, word) pairs of the sample that train
 ROUNDS = 3                 # of expectation-maximisation
+USE_UNITS = 1 << 20        # expected uses are summed in whole units of 1 / USE_UNITS
 MAX_PIECE = 16             # longest piece in characters
 SEGMENT = 32               # longer runs of letters are scored in segments of this length
 UNKNOWN = 1e-7             # probability of a character that is no piece
@@ -168,36 +169,87 @@ def _backward(steps: np.ndarray) -> np.ndarray:
     return beta
 
 
+def expected_uses(model: LanguageModel, words: list[str], columns: np.ndarray,
+                  counts: np.ndarray) -> np.ndarray:
+    """How often each piece is used in each language, over all segmentations of the words.
+
+    Word i stands ``counts[i]`` times in the language of column ``columns[i]``.
+    """
+    n_languages = len(model.languages)
+    known = np.vstack([np.zeros(n_languages), model.probabilities])
+    uses = np.zeros(len(known) * n_languages)
+    for index in _by_length(words):
+        for at in range(0, len(index), 2_000):
+            part = index[at:at + 2_000]
+            ids, column = model._lattice([words[i] for i in part]), columns[part]
+            steps = known[ids, column[:, None, None]]
+            steps[:, :, 0][ids[:, :, 0] == 0] = UNKNOWN
+            steps = steps[..., None]
+            alpha, beta = _forward(steps)[..., 0], _backward(steps)[..., 0]
+            share = counts[part] / alpha[:, -1]
+            expected = steps[..., 0] * (beta * share[:, None])[..., None]
+            for end in range(ids.shape[1]):
+                for size in range(min(end, MAX_PIECE)):
+                    expected[:, end, size] *= alpha[:, end - size - 1]
+            place = ids.astype(np.int64) * n_languages + column[:, None, None]
+            uses += np.bincount(place.ravel(), expected.ravel(), len(uses))
+    return uses.reshape(len(known), n_languages)[1:]
+
+
+def _even(languages: list[str], pieces: list[str]) -> LanguageModel:
+    return LanguageModel(languages, pieces,
+                         np.full((len(pieces), len(languages)), 1 / max(len(pieces), 1)))
+
+
+def _next(model: LanguageModel, uses: np.ndarray) -> LanguageModel:
+    uses = uses + SMOOTHING
+    return LanguageModel(model.languages, model.pieces, uses / uses.sum(axis=0))
+
+
 def train(counts: list[tuple[str, str, int]], pieces: list[str],
           rounds: int = ROUNDS) -> LanguageModel:
     """Piece probabilities by expectation-maximisation from (language, word, count)."""
     languages = sorted({language for language, _, _ in counts})
-    column = {language: i for i, language in enumerate(languages)}
-    weights: dict[str, np.ndarray] = {}
-    for language, word, n in counts:
-        weights.setdefault(word, np.zeros(len(languages)))[column[language]] += n
-    words = list(weights)
-    weight = np.array([weights[w] for w in words]).reshape(len(words), len(languages))
-    start = np.full((len(pieces), len(languages)), 1 / max(len(pieces), 1))
-    model = LanguageModel(languages, pieces, start)
+    columns = np.array([languages.index(language) for language, _, _ in counts], np.int64)
+    words, weights = [w for _, w, _ in counts], np.array([n for _, _, n in counts], np.float64)
+    model = _even(languages, pieces)
     for _ in range(rounds):
-        uses = np.zeros((len(pieces) + 1, len(languages)))
-        for index in _by_length(words):
-            for at in range(0, len(index), 2_000):
-                part = index[at:at + 2_000]
-                ids, steps = model._steps([words[i] for i in part])
-                alpha, beta = _forward(steps), _backward(steps)
-                share = weight[part] / alpha[:, -1]
-                n = ids.shape[1]
-                for end in range(n):
-                    for size in range(min(end + 1, MAX_PIECE)):
-                        before = alpha[:, end - size - 1] if size < end else 1.0
-                        expected = before * steps[:, end, size] * beta[:, end] * share
-                        for i in range(len(languages)):
-                            uses[:, i] += np.bincount(ids[:, end, size], expected[:, i],
-                                                      len(uses))
-        uses = uses[1:] + SMOOTHING
-        model = LanguageModel(languages, pieces, uses / uses.sum(axis=0))
+        model = _next(model, expected_uses(model, words, columns, weights))
+    return model
+
+
+def _train_on(counted: DataFrame, languages: list[str], pieces: list[str],
+              rounds: int = ROUNDS) -> LanguageModel:
+    """As ``train``, from a table (lang, word, n) that stays with the executors.
+
+    Each round brings one number per piece and language to the driver.  The numbers are
+    whole, so the order in which they are summed does not matter.
+    """
+    context, model = counted.sparkSession.sparkContext, _even(languages, pieces)
+    for _ in range(rounds):
+        shared = context.broadcast(model)
+
+        def use(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            model, total = shared.value, None
+            column = {language: i for i, language in enumerate(model.languages)}
+            for batch in batches:
+                lang, word, n = batch.columns
+                columns = np.array([column[x] for x in lang.to_pylist()], np.int64)
+                uses = expected_uses(model, word.to_pylist(), columns,
+                                     n.to_numpy().astype(np.float64))
+                total = uses if total is None else total + uses
+            if total is not None:
+                units = np.rint(total * USE_UNITS).astype(np.int64).ravel()
+                place = np.flatnonzero(units)
+                yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(units[place])],
+                                                 names=["place", "units"])
+
+        summed = (counted.mapInArrow(use, "place long, units long")
+                  .groupBy("place").agg(F.sum("units").alias("units")).toArrow())
+        uses = np.zeros(len(pieces) * len(languages))
+        uses[summed.column("place").to_numpy()] = summed.column("units").to_numpy()
+        model = _next(model, uses.reshape(len(pieces), len(languages)) / USE_UNITS)
+        shared.unpersist()
     return model
 
 
@@ -205,9 +257,8 @@ def learn_languages(docs: DataFrame, vocabulary_path: str | None = None) -> Lang
     """A model of the languages in ``lang``, from a bounded sample of ``text``.
 
     Rows with a null language or text are left out; without any row the model knows no
-    language.  The sample takes about
-    DOCS_PER_LANGUAGE texts per language, picked by a hash of the text; whole texts are
-    counted, and the TRAINING_WORDS commonest (language, word) pairs reach the driver.
+    language.  The sample takes about DOCS_PER_LANGUAGE texts per language, picked by a
+    hash of the text; every word of these texts trains.
     """
     docs = docs.select("lang", "text").dropna()
     sizes = {r[0]: r[1] for r in docs.groupBy("lang").count().collect()}
@@ -230,11 +281,9 @@ def learn_languages(docs: DataFrame, vocabulary_path: str | None = None) -> Lang
 
     counted = (sample.mapInArrow(count, "lang string, word string, n long")
                .groupBy("lang", "word").agg(F.sum("n").alias("n"))
-               .orderBy(F.desc("n"), "lang", "word").limit(TRAINING_WORDS).collect())
-    rows = [tuple(r) for r in counted]
+               .sortWithinPartitions("lang", "word"))
     # A language with letters in none of its texts keeps a column, with even probabilities.
-    rows += [(lang, "▁", 0) for lang in sizes if lang not in {r[0] for r in rows}]
-    return train(rows, vocabulary(vocabulary_path))
+    return _train_on(materialize(counted, "words"), sorted(sizes), vocabulary(vocabulary_path))
 
 
 def identify(docs: DataFrame, model: LanguageModel, keep: list[str] | None = None) -> DataFrame:

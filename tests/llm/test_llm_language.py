@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 import llm_cases
 import numpy as np
@@ -81,6 +82,20 @@ def test_training_raises_the_likelihood():
     assert steps[-1] > steps[0]
 
 
+def test_every_word_of_the_sample_trains(spark):
+    rng = np.random.default_rng(3)
+    common = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(17_000)]
+    own = ["".join(rng.choice(list("opqrstuv"), 6)) for _ in range(60)]
+    texts = [("x", " ".join(common[i:i + 100] * 2)) for i in range(0, len(common), 100)]
+    texts += [("y", " ".join(own[i:i + 20])) for i in range(0, len(own), 20)]
+    found = language.learn_languages(spark.createDataFrame(texts, "lang string, text string"))
+    counts = Counter((lang, w) for lang, text in texts for w in language.text_words(text))
+    want = language.train([(*k, n) for k, n in sorted(counts.items())], found.pieces)
+    assert found.languages == want.languages == ["x", "y"]
+    assert np.allclose(found.probabilities, want.probabilities, rtol=1e-4)
+    assert found.probabilities[:, 1].max() > 2 * found.probabilities[:, 1].min()
+
+
 def test_predictions_of_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     found = language.op10_language_id(spark, "/root/testdata/sf0.001")
