@@ -18,6 +18,8 @@ from harrow.llm.packing import pack
 from harrow.llm.secrets import scan_secrets
 from harrow.session import materialize, ship_package
 
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80  # words of a shingle, and similarity of near copies
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a language: a null text, or one without letters.
@@ -31,10 +33,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of every group of near copies.
 
+    Near copies share NEAR_PERCENT of their shingles of NEAR_SHINGLE words.
     Of rows that repeat an id and its text one stays.  A document with a null id stays
     unless all its group's ids are null and its text is repeated.
     """
-    found = similar_components(docs.select(F.col("doc_id").alias("id"), "text"))
+    found = similar_components(docs.select(F.col("doc_id").alias("id"), "text"), NEAR_PERCENT,
+                               NEAR_SHINGLE)
     copies = found.filter(F.col("id") != F.col("component_id")).select(F.col("id").alias("doc_id"))
     return docs.join(copies.distinct(), "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
 

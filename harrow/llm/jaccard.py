@@ -69,14 +69,19 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray,
     return np.concatenate([*sets, word[:0]]), np.array(cuts)
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counted(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Shingles that more than one text of a batch holds, with the number of texts."""
-    for batch in batches:
-        parts = [shingle_sets(data, offsets)[0] for _, data, offsets in chunks(batch.column(0))]
-        found, n = np.unique(np.concatenate([*parts, np.zeros(0, np.uint64)]), return_counts=True)
-        some = n > 1
-        yield pa.RecordBatch.from_arrays([pa.array(found[some].view(np.int64)), pa.array(n[some])],
-                                         names=["shingle", "n"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [shingle_sets(data, offsets, size)[0]
+                     for _, data, offsets in chunks(batch.column(0))]
+            found, n = np.unique(np.concatenate([*parts, np.zeros(0, np.uint64)]),
+                                 return_counts=True)
+            some = n > 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found[some].view(np.int64)), pa.array(n[some])], names=["shingle", "n"])
+
+    return run
 
 
 def _prefix_length(n: int, percent: int) -> int:
@@ -114,8 +119,8 @@ def _twice(bits: np.ndarray, chosen: np.ndarray) -> Callable[[Iterator[pa.Record
     return run
 
 
-def _prefixes(hot: np.ndarray, rank: np.ndarray, common: np.ndarray,
-              percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _prefixes(hot: np.ndarray, rank: np.ndarray, common: np.ndarray, percent: int,
+              size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Batches of (row, id, text) to the size, fingerprint and ordered prefix of each set.
 
     ``hot`` shingles come last, by their ``rank``, and before them those that the filter
@@ -126,7 +131,7 @@ def _prefixes(hot: np.ndarray, rank: np.ndarray, common: np.ndarray,
         for batch in batches:
             sizes, prints, prefixes, lengths, sketches = [], [], [], [0], []
             for _, data, offsets in chunks(batch.column(2)):
-                shingles, cuts = shingle_sets(data, offsets)
+                shingles, cuts = shingle_sets(data, offsets, size)
                 order = is_set(common, shingles % np.uint64(8 * len(common))).astype(np.int32)
                 seen = np.flatnonzero(order)
                 if len(hot):
@@ -159,14 +164,15 @@ def _prefixes(hot: np.ndarray, rank: np.ndarray, common: np.ndarray,
     return run
 
 
-def _sets(bits: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _sets(bits: np.ndarray,
+          size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Batches of (row, text, bit) to the sets of the rows whose bit is set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(is_set(bits, batch.column(2).to_numpy())))
             found = []
             for _, data, offsets in chunks(batch.column(1)):
-                shingles, cuts = shingle_sets(data, offsets)
+                shingles, cuts = shingle_sets(data, offsets, size)
                 found += [shingles[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())],
                                              names=["row", "shingles"])
@@ -190,7 +196,7 @@ def _linked(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return run
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, percent: int, size: int) -> DataFrame:
     """The pairs (a, b) of rows whose whole sets are similar enough.
 
     Only texts whose row passes a filter of fixed size are cut into shingles again.
@@ -199,7 +205,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(key_filter(rows, "row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _sets(shared.value)(batches)
+        yield from _sets(shared.value, size)(batches)
 
     sets = docs.select("row", "text", bit_of("row").alias("bit")).mapInArrow(
         run, "row long, shingles binary").dropDuplicates(["row"])
@@ -282,14 +288,16 @@ def _cells(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return run
 
 
-def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def similar_components(docs: DataFrame, percent: int = PERCENT,
+                       size: int = SHINGLE) -> DataFrame:
     """(id, n_shingles, component_id) of every row of ``docs`` (id long, text).
 
     Two rows are linked when 100 * intersection >= percent * union of their shingle sets;
     a component's id is the smallest of its rows' ids.  A null or wordless text has no
     shingles, is linked with nothing and has its own id.  Repeated rows are equal texts
     and so linked; null ids are ignored in the smallest id, and a component of null ids
-    only has a null id.  ``percent`` lies in 1 to 100.
+    only has a null id.  ``percent`` lies in 1 to 100; a shingle has ``size`` words, 1 at
+    least.
     """
     spark = docs.sparkSession
     docs = docs.select(F.xxhash64("id", "text").alias("row"),
@@ -297,7 +305,7 @@ def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     # The global order: shingles that no batch has twice, then the others, and of these
     # the commonest last, by rising count.
-    counted = materialize(docs.select("text").mapInArrow(_counted, "shingle long, n long")
+    counted = materialize(docs.select("text").mapInArrow(_counted(size), "shingle long, n long")
                           .groupBy("shingle").agg(F.sum("n").alias("n")), "counted")
     bit = F.pmod(F.col("shingle"), F.lit(SHINGLE_BITS)).cast("long")
     common = packed_bits(counted.select(bit.alias("bit")), SHINGLE_BITS)
@@ -309,7 +317,7 @@ def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     shared = spark.sparkContext.broadcast((hot[order], rank[order], common))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _prefixes(*shared.value, percent)(batches)
+        yield from _prefixes(*shared.value, percent, size)(batches)
 
     rows = materialize(docs.mapInArrow(
         prefixes, "row long, id long, n long, print_a long, print_b long, prefix array<long>, sketch binary"),
@@ -371,7 +379,7 @@ def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         own.select("node"), "node", "left_semi").dropDuplicates(["node"])
     sketches = materialize(sketches, "sketches")
     asked = materialize(_likely(inside.unionByName(stars), sketches, percent), "stars")
-    first = materialize(_verified(docs, asked, percent), "links")
+    first = materialize(_verified(docs, asked, percent, size), "links")
     roots = components(first)
 
     # Second round: pairs of members in different components, on every shingle that the
@@ -393,7 +401,7 @@ def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                       "node", "root", "n", "i", "sketch"))
     pairs = (spread.repartition("cell").sortWithinPartitions("cell")
              .mapInArrow(_cells(percent), "a long, b long").distinct())
-    second = _verified(docs, materialize(pairs, "pairs"), percent)
+    second = _verified(docs, materialize(pairs, "pairs"), percent, size)
     roots = components(materialize(first.unionByName(second), "links"))
 
     labelled = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

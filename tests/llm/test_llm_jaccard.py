@@ -88,3 +88,16 @@ def test_rows_of_all_kinds(spark):
     data = [(r.doc_id, r.text) for r in docs.collect()]
     assert sorted((tuple(r) for r in got.collect()), key=str) == plain(data, 90)
     assert jaccard.similar_components(llm_cases.empty(spark).selectExpr("doc_id id", "text")).count() == 0
+
+
+@pytest.mark.parametrize("size", [1, 2, 5])
+def test_shingles_of_any_size(spark, size):
+    texts = ["a b c d e f g h i j", "a b c d e f g h i k", "k i h g f e d c b a", "a b c", "a b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    sets = [{tuple(w[i:i + size]) for i in range(max(1, len(w) - size + 1))}
+            for w in map(str.split, texts)]
+    found = {r.id: r for r in jaccard.similar_components(docs, 70, size).collect()}
+    assert [found[i].n_shingles for i in range(5)] == [len(x) for x in sets]
+    for i in range(5):
+        like = [j for j in range(5) if 100 * len(sets[i] & sets[j]) >= 70 * len(sets[i] | sets[j])]
+        assert found[i].component_id == min(like)

@@ -79,3 +79,15 @@ def test_stages_take_empty_tables(spark, folder):
     for name, stage in corpus_pipeline.STAGES:
         found = stage(spark, none, folder)
         assert found.count() == 0, name
+
+
+def test_near_copies_share_four_fifths_of_five_words(spark, folder):
+    words = [f"w{i}" for i in range(52)]
+    near = [*words[:25], "other", *words[26:]]  # 43 of 53 shingles of five words, 47 of 53 of three
+    far = [*near[:10], "more", *near[11:]]  # 38 of 58 of five words of the first, 43 of 53 of the second
+    apart = [f"w{i // 2 if i % 2 else 900 + i}" for i in range(52)]
+    texts = [" ".join(t) for t in (words, near, far, apart)]
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = STAGES["near_duplicates"](spark, docs, folder).collect()
+    assert sorted(r.doc_id for r in kept) == [0, 3]
