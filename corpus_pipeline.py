@@ -31,16 +31,25 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of every group of near copies.
+    """Keep the row with the smallest id of every group of near copies.
 
-    Near copies share NEAR_PERCENT of their shingles of NEAR_SHINGLE words.
-    Of rows that repeat an id and its text one stays.  A document with a null id stays
-    unless all its group's ids are null and its text is repeated.
+    Near copies share NEAR_PERCENT of their shingles of NEAR_SHINGLE words.  Rows are
+    told apart by id and text, so of rows that repeat both one stays, and an id that
+    stands with several texts is judged for each.  A null id counts as the largest.
     """
-    found = similar_components(docs.select(F.col("doc_id").alias("id"), "text"), NEAR_PERCENT,
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    found = similar_components(keyed.select(F.col("_key").alias("id"), "text"), NEAR_PERCENT,
                                NEAR_SHINGLE)
-    copies = found.filter(F.col("id") != F.col("component_id")).select(F.col("id").alias("doc_id"))
-    return docs.join(copies.distinct(), "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    found = materialize(found.filter("n_shingles > 0").select(
+        F.col("id").alias("_key"), F.col("component_id").alias("_group")).distinct(), "groups")
+    several = found.filter("_key <> _group").select("_group").distinct()
+    members = found.join(several, "_group").join(
+        keyed.select("_key", "doc_id").distinct(), "_key")
+    first = members.groupBy("_group").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key"))["_key"].alias("_first"))
+    copies = members.join(first, "_group").filter("_key <> _first").select("_key").distinct()
+    kept = keyed.join(copies, "_key", "left_anti").dropDuplicates(["_key", "doc_id", "text"])
+    return kept.select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -91,3 +91,16 @@ def test_near_copies_share_four_fifths_of_five_words(spark, folder):
                                  "doc_id long, text string, lang string, source string, n_chars long")
     kept = STAGES["near_duplicates"](spark, docs, folder).collect()
     assert sorted(r.doc_id for r in kept) == [0, 3]
+
+
+def test_copies_are_dropped_by_row(spark, folder):
+    a, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "acd")
+    data = [(3, a), (7, a), (3, c), (1, c), (5, "alone"), (7, "alone too"), (None, d), (None, d + " end"),
+            (9, d), (None, d), (None, None), (4, None), (4, None)]
+    docs = spark.createDataFrame([(i, t, "en", "src0", None) for i, t in data],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = STAGES["near_duplicates"](spark, docs, folder).collect()
+    want = [(3, a), (1, c), (5, "alone"), (7, "alone too"), (9, d), (None, None), (4, None)]
+    assert sorted([(r.doc_id, r.text) for r in kept], key=str) == sorted(want, key=str)
+    nameless = docs.filter("doc_id is null and text is not null")
+    assert STAGES["near_duplicates"](spark, nameless, folder).count() == 1
