@@ -44,10 +44,10 @@ class Windows:
 
     terms: np.ndarray             # sorted 64-bit terms of the benchmark
     windows: list[np.ndarray]     # numbers into ``terms``
-    items: list[list[str]]
+    items: list[list[str | None]]
 
 
-def benchmark_windows(items: list[tuple[str, str]], window: int = WINDOW) -> Windows:
+def benchmark_windows(items: list[tuple[str | None, str]], window: int = WINDOW) -> Windows:
     """Every run of ``window`` words of the (id, text) items; a shorter item is one run."""
     listed, found = [], {}
     for _, data, offsets in chunks(pa.array([text for _, text in items], pa.large_string()), 1 << 40):
@@ -95,7 +95,7 @@ def _index(terms: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return run
 
 
-_FOUND = ("row long, id long, n_words long, n_hit long, items array<string>, "
+_FOUND = ("row long, id long, n_words long, n_hit long, items array<string>, unnamed boolean, "
           "spans array<struct<start: int, length: int>>, near array<string>")
 
 
@@ -172,11 +172,12 @@ def _search(windows: Windows, counts: np.ndarray) -> Callable[[pa.Table], pa.Tab
             spans[t].append({"start": int(a - first[t]), "length": int(b - a)})
         return pa.Table.from_arrays([
             rows, ids, pa.array(n_words, pa.int64()), pa.array(sums[ends] - sums[first], pa.int64()),
-            pa.array([sorted(x) for x in exact], pa.list_(pa.string())),
+            pa.array([sorted(x - {None}) for x in exact], pa.list_(pa.string())),
+            pa.array([None in x for x in exact], pa.bool_()),
             pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())]))),
-            pa.array([sorted(n - x) for n, x in zip(near, exact, strict=True)],
+            pa.array([sorted(n - x - {None}) for n, x in zip(near, exact, strict=True)],
                      pa.list_(pa.string()))],
-            names=["row", "id", "n_words", "n_hit", "items", "spans", "near"])
+            names=["row", "id", "n_words", "n_hit", "items", "unnamed", "spans", "near"])
 
     return run
 
@@ -198,7 +199,7 @@ def _merge(spans: pa.Array) -> pa.Array:
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                        block_bytes: int = BENCHMARK_BYTES) -> DataFrame:
-    """(id, n_words, n_hit, items, spans, near, contaminated) of every row of ``docs``.
+    """(id, n_words, n_hit, items, unnamed, spans, near, contaminated) of every row of ``docs``.
 
     ``docs`` has (id long, text), ``benchmark`` (item_id, text).  ``items`` are the ids, as
     sorted strings, of items with a window in the text; ``spans`` the runs of words inside
@@ -207,12 +208,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     ``contaminated`` says that n_hit > 0 and SHARE * n_hit >= n_words.
 
     A null or empty text has no words, and an item without words no window.  Ids may be
-    null or repeated; every row is searched by itself.  A benchmark longer than
+    null or repeated; every row is searched by itself.  An item whose id is null counts in
+    ``n_hit``, ``spans`` and ``contaminated``, is in neither list, and ``unnamed`` says
+    whether such an item has a window in the text.  A benchmark longer than
     ``block_bytes`` is searched for in several passes, so what is broadcast is bounded.
     """
     docs = docs.select(F.monotonically_increasing_id().alias("row"),
                        F.col("id").cast("long").alias("id"), "text")
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").dropna()
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").dropna(subset=["text"])
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-size // block_bytes))
     if n_blocks > 1:
@@ -235,15 +238,16 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         found = found.groupBy("row", "id").agg(
             F.max("n_words").alias("n_words"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+            F.bool_or("unnamed").alias("unnamed"),
             F.flatten(F.collect_list("spans")).alias("_spans"),
             F.array_distinct(F.flatten(F.collect_list("near"))).alias("_near"))
         merge = F.arrow_udf(_merge, "array<struct<start: int, length: int>>")
         found = found.withColumn("spans", merge("_spans")).select(
             "id", "n_words", F.aggregate("spans", F.lit(0).cast("long"),
                                          lambda n, s: n + s["length"]).alias("n_hit"),
-            "items", "spans", F.array_sort(F.array_except("_near", "items")).alias("near"))
+            "items", "unnamed", "spans", F.array_sort(F.array_except("_near", "items")).alias("near"))
     bad = (F.col("n_hit") > 0) & (F.col("n_hit") * SHARE >= F.col("n_words"))
-    return found.select("id", "n_words", "n_hit", "items", "spans", "near",
+    return found.select("id", "n_words", "n_hit", "items", "unnamed", "spans", "near",
                         bad.alias("contaminated"))
 
 
@@ -254,7 +258,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(docs.select(F.col("doc_id").alias("id"), "text"), benchmark)
     return found.select(
         F.col("id").alias("doc_id"), "n_words", "n_hit",
-        F.size("items").cast("long").alias("n_items"),
+        (F.size("items") + F.col("unnamed").cast("int")).cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 

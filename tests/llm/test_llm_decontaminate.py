@@ -102,3 +102,31 @@ def test_rows_of_all_kinds(spark):
     assert dec.find_contamination(none, bench).count() == 0
     got = dec.find_contamination(docs, bench.limit(0)).collect()
     assert len(got) == docs.count() and not any(r.contaminated for r in got)
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 25, 100])
+def test_items_without_an_id_are_searched(spark, block_bytes):
+    own, other = (" ".join(f"{x}{i}" for i in range(15)) for x in ("own", "other"))
+    docs = spark.createDataFrame([(1, f"{own} and {other}"), (2, own), (3, "nothing")],
+                                 "id long, text string")
+    bench = spark.createDataFrame([(None, own), (8, other), (None, own + " too"), (9, None)],
+                                  "item_id long, text string")
+    found = dec.find_contamination(docs, bench, block_bytes=block_bytes).collect()
+    got = {r.id: (r.n_hit, list(r["items"]), r.unnamed, list(r.near), r.contaminated) for r in found}
+    assert got == {1: (30, ["8"], True, [], True), 2: (15, [], True, [], True),
+                   3: (0, [], False, [], False)}
+
+
+def test_query_counts_items_without_an_id_as_its_sql(spark, tmp_path):
+    own, other = (" ".join(f"{x}{i}" for i in range(15)) for x in ("own", "other"))
+    spark.createDataFrame([(1, f"{own} and {other}"), (2, own), (3, "nothing")],
+                          "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(None, own), (8, other)], "item_id long, text string").write.parquet(
+        str(tmp_path / "benchmark.parquet"))
+    duckdb = pytest.importorskip("duckdb").connect()
+    for name in ("documents", "benchmark"):
+        duckdb.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = duckdb.execute(dec.ORACLE_CONTAMINATION).fetchall()
+    got = dec.op3_decontamination(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert [r.n_items for r in sorted(got)] == [2, 1, 0]
