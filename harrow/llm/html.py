@@ -36,7 +36,7 @@ BLOCKS = frozenset(
     "fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html iframe "
     "legend li main menu nav ol optgroup option p pre section select summary table tbody td "
     "textarea tfoot th thead title tr ul".split())
-SILENT = frozenset("script style template noscript svg math object".split())
+SILENT = frozenset("script style template noscript svg object".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ASIDES = frozenset(
     "ad ads advert advertisement alert aside banner breadcrumb breadcrumbs button comment comments "
@@ -49,7 +49,9 @@ _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<silent>script|style|template|noscript|svg|math|object)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>"
+    # Only an svg may end in its own tag, unless the slash belongs to a bare value.
+    r"|<(?!svg\b(?:=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*+)|[^>\"'=/]|\"[^\"]*\"|'[^']*'|/(?!>))*+/>)"
+    r"(?P<silent>script|style|template|noscript|svg|object)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>"
     r".*?(?:</(?P=silent)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*+)>"
     r"|<[!?/][^>]*(?:>|\Z)|<[a-z][^>]*\Z", re.IGNORECASE | re.DOTALL)

@@ -33,6 +33,17 @@ def test_odd_markup(page, want):
     assert [b[1] for b in html.page_blocks(page)] == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<p>a<svg/>b</p><p>c", ["ab", "c"]), ("<svg viewBox='0 />' /><p>a", ["a"]),
+    ("<SVG class=x /><p>a</p><svg><text>no</text></svg><p>b", ["a", "b"]),
+    ("<svg a=\"x\"/><p>a", ["a"]), ("<svg a=x/>no</svg><p>a", ["a"]), ("<svg a=/b/>no</svg>c", ["c"]),
+    ("<svg viewBox='/>'>no</svg>c", ["c"]), ("<script src=x />no</script>c", ["c"]),
+    ("<p>for <math><mi>x</mi><mo>=</mo><mn>2</mn></math> it is<math/> so", ["for x=2 it is so"]),
+])
+def test_foreign_elements(page, want):
+    assert [b[1] for b in html.page_blocks(page)] == want
+
+
 def test_long_pages_take_time_in_proportion():
     assert len(html.page_blocks("<p>x" * 50_000)) == 50_000
     assert html.page_blocks("<" * 200_000 + "\"'" * 50_000)[0][1].startswith("<<")
