@@ -137,7 +137,9 @@ def _search(windows: Windows, counts: np.ndarray) -> Callable[[pa.Table], pa.Tab
                         break
                     other = lists.get(int(window[k]))
                     if other is None:
-                        starts = close = starts[:0]
+                        starts = starts[:0]
+                        if step < NEAR_TERMS:
+                            close = starts
                         break
                     if len(starts):
                         at = np.minimum(np.searchsorted(other, starts + k), len(other) - 1)

@@ -130,3 +130,17 @@ def test_query_counts_items_without_an_id_as_its_sql(spark, tmp_path):
     got = dec.op3_decontamination(spark, str(tmp_path)).collect()
     assert sorted(map(tuple, got)) == sorted(want)
     assert [r.n_items for r in sorted(got)] == [2, 1, 0]
+
+
+def test_a_term_after_the_rarest_may_be_missing(spark):
+    words = [f"word{i}" for i in range(13)]
+    common = " ".join(f"{w} x" for w in words[5:] for _ in range(3))
+    docs = [(1, " ".join([*words[:12], "other"])), (2, common)]
+    bench = spark.createDataFrame([("q", " ".join(words))], "item_id string, text string")
+    one = spark.createDataFrame(docs, "id long, text string").coalesce(1)
+    for apart in (False, True):
+        with pytest.MonkeyPatch.context() as patch:
+            if apart:
+                patch.setattr(dec, "SHARD_BYTES", 1)
+            got = {r.id: (list(r["items"]), list(r.near)) for r in dec.find_contamination(one, bench).collect()}
+        assert got == {1: ([], ["q"]), 2: ([], [])}, apart
