@@ -163,6 +163,15 @@ def _suffixes(unit: Unit, length: int, bits: int, replies: pa.Table) -> np.ndarr
     return starts[sums[starts + period] > sums[starts]]
 
 
+def _once(seen: set[int], batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The rows whose hash, the first column, is not among ``seen``; adds their hashes."""
+    fresh = []
+    for row in batch.column(0).to_pylist():
+        fresh.append(row not in seen)
+        seen.add(row)
+    return batch.filter(pa.array(fresh, pa.bool_()))
+
+
 def find_repeats(docs: DataFrame, length: int = LENGTH, unit_bytes: int = UNIT_BYTES,
                  bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(id, n_bytes, n_removed, spans, kept_sha256) of every row of ``docs`` (id long, text).
@@ -175,7 +184,8 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, unit_bytes: int = UNIT_B
     least ``length`` bytes are removed whole; ids may be null.
 
     Equal texts take part once; which rows stand for them is broadcast as a filter of a
-    fixed size, and a row that it lets through by chance changes nothing but the work.
+    fixed size, and a row that it lets through by chance changes nothing but the work.  Of
+    rows that repeat id and text each task sends one on, and each unit keeps one.
     """
     spark = docs.sparkSession
     docs = docs.select(F.xxhash64("id", "text").alias("row"), F.col("id").cast("long").alias("id"),
@@ -195,19 +205,26 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, unit_bytes: int = UNIT_B
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3).compress
+        seen: set[int] = set()
         for batch in batches:
-            own = batch.filter(pa.array(is_set(chosen.value, batch.column(2).to_numpy())))
+            own = _once(seen, batch.filter(pa.array(is_set(chosen.value,
+                                                           batch.column(2).to_numpy()))))
             texts = pa.array([pack(x.as_py()) for x in own.column(1)], pa.binary())
             yield pa.RecordBatch.from_arrays([own.column(0), texts, own.column(3)],
                                              names=["row", "packed", "unit"])
 
+    def keep_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            yield _once(seen, batch)
+
     unit = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(n_units)).cast("int")
     packed = (docs.filter(F.octet_length("text") >= length)
               .select("row", "text", bit_of("row").alias("bit"), unit.alias("unit"))
               .mapInArrow(choose, "row long, packed binary, unit int"))
     # Bucketed by unit, so that the texts are shuffled only here.
     name = f"harrow_texts_{uuid.uuid4().hex}"
-    (packed.repartition(n_units, "unit").write.bucketBy(n_units, "unit").format("parquet")
+    (packed.repartition(n_units, "unit").mapInArrow(keep_one, packed.schema).write.bucketBy(n_units, "unit").format("parquet")
      .option("path", work_path(spark, "texts")).saveAsTable(name))
     texts = spark.table(name)
 

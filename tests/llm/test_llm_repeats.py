@@ -62,3 +62,22 @@ def test_rows_of_all_kinds(spark):
     assert found(got) == sorted(plain(texts, 200))
     none = llm_cases.empty(spark).selectExpr("doc_id id", "text")
     assert repeats.find_repeats(none).count() == 0
+
+
+def test_rows_that_repeat_id_and_text_take_part_once(spark, monkeypatch):
+    rng = random.Random(5)
+    a, b, c = ("".join(rng.choice("abcdefgh ") for _ in range(300)) for _ in range(3))
+    data = [(None, a)] * 40 + [(5, b)] * 40 + [(6, c), (7, c[:100] + b[50:120]), (8, None)]
+    rng.shuffle(data)
+    docs = spark.createDataFrame(data, "id long, text string").repartition(4)
+    paths = []
+
+    def work_path(spark, name, path=repeats.work_path):
+        paths.append(path(spark, name))
+        return paths[-1]
+
+    monkeypatch.setattr(repeats, "work_path", work_path)
+    assert found(repeats.find_repeats(docs, 50)) == sorted(plain([t for _, t in data], 50))
+    (path,) = paths
+    texts = spark.read.parquet(path)
+    assert texts.count() == texts.select("row").distinct().count() == 4
