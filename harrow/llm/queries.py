@@ -1,6 +1,7 @@
 """The queries of the operators in this subpackage, with their SQL checks."""
 
 from harrow.llm import (
+    centroids,
     decontaminate,
     html,
     jaccard,
@@ -14,7 +15,8 @@ from harrow.llm import (
 )
 from harrow.session import ship_package
 
-MODULES = (secrets, repeats, decontaminate, urls, topk, quality, packing, html, jaccard, language)
+MODULES = (secrets, repeats, decontaminate, urls, topk, quality, packing, html, jaccard, language,
+           centroids)
 
 
 def _shipped(query):
