@@ -2,6 +2,7 @@
 
 from harrow.llm import (
     centroids,
+    collocations,
     decontaminate,
     html,
     jaccard,
@@ -16,7 +17,7 @@ from harrow.llm import (
 from harrow.session import ship_package
 
 MODULES = (secrets, repeats, decontaminate, urls, topk, quality, packing, html, jaccard, language,
-           centroids)
+           centroids, collocations)
 
 
 def _shipped(query):
