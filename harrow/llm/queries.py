@@ -1,6 +1,7 @@
 """The queries of the operators in this subpackage, with their SQL checks."""
 
 from harrow.llm import (
+    bestfit,
     centroids,
     collocations,
     decontaminate,
@@ -17,7 +18,7 @@ from harrow.llm import (
 from harrow.session import ship_package
 
 MODULES = (secrets, repeats, decontaminate, urls, topk, quality, packing, html, jaccard, language,
-           centroids, collocations)
+           bestfit, collocations, centroids)
 
 
 def _shipped(query):
