@@ -176,9 +176,11 @@ def _round(waiting: DataFrame, rows: int) -> DataFrame:
     documents = documents.select("item", "size", F.col("above").alias("range"), (
         F.col("top") - F.col("place") + F.col("first")).alias("place"))
     gaps = alone.filter(F.col("sequence").isNotNull()).select("sequence", "gap", "range", "place")
-    met = documents.join(gaps, ["range", "place"], "full").select(*columns)
-    return materialize(met.unionByName(swept.filter(F.col("place").isNull()).select(*columns)),
-                       "met")
+    met = gaps.join(documents.filter(F.col("range").isNotNull()), ["range", "place"], "left")
+    unserved = documents.filter(F.col("range").isNull()).select(
+        "item", "size", *(F.lit(None).cast("long").alias(c) for c in columns[2:]))
+    placed = swept.filter(F.col("place").isNull()).select(*columns)
+    return materialize(met.select(*columns).unionByName(unserved).unionByName(placed), "met")
 
 
 def best_fit(items: DataFrame, capacity: int) -> DataFrame:
