@@ -33,7 +33,7 @@ DEPTH = 4                 # words of the longest phrase
 LEAST = 30                # occurrences of a phrase
 TOP = 2_000               # phrases listed per language
 INSIDE = 80               # percent of its occurrences in a longer phrase that drop a phrase
-CHUNK = 8 << 20           # bytes of text that one numpy pass works on, or one longer text
+CHUNK = 4 << 20           # bytes of text that one numpy pass works on, or one longer text
 RANGE_ROWS = 1 << 20      # suffixes of a range, about
 MOST_BITS = 1 << 30       # of a filter; it has 16 for each frequent key up to there
 SLOTS = 64                # parts in which a language's phrases are ranked first
@@ -60,7 +60,7 @@ def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.Array, np.ndarray, np
             starts, ends, text = words(_SEPARATOR, data, offsets)
             if not len(starts):
                 continue
-            piece = np.cumsum(_BREAK[data])[starts]
+            piece = np.cumsum(_BREAK[data], dtype=np.int32)[starts]
             same = np.append((piece[1:] == piece[:-1]) & (text[1:] == text[:-1]), False)
             letters = data[~_SEPARATOR[data]]
             edges = np.concatenate([[0], np.cumsum(ends - starts)])
