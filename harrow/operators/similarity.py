@@ -5,10 +5,12 @@ times records / records holding the word) over the joint collection.  Nothing
 here lists all pairs of a collection:
 
 * copies of a text are worked on once, as a representative with a count;
-* pairs are listed from a similarity above zero upwards.  A record's most common
-  words are left out of the index as long as their combined length cannot bring
-  a pair to that similarity, and are added to the pairs found, so the list is
-  exact;
+* pairs are listed from a similarity above zero upwards.  The largest weight that a word
+  has on the other side bounds what it can add to any pair.  A record's most common words
+  are left out of the index as long as their bounds cannot bring a pair to that
+  similarity; a pair that falls short even with the bounds of what is left out is dropped
+  as soon as it is summed up, and to the others the words left out are added, so the list
+  is exact;
 * totals over all pairs come from sums per word.
 """
 
@@ -38,10 +40,10 @@ class PairIndex:
 
     ``records``: (side, id, text, copies), one row per record; ``text`` is the id
     of the record that stands for all ``copies`` of its text.
-    ``words``: (side, text, copies, token, unit, indexed, n_a, n_b), the words
+    ``words``: (side, text, copies, token, unit, indexed, rest, n_a, n_b), the words
     found on both sides; ``unit`` is the weight in the vector scaled to length
     one, ``indexed`` says whether the word can lead to a pair of at least
-    ``min_similarity``.
+    ``min_similarity``, and ``rest`` bounds what the record's other words add to a pair.
     """
 
     records: DataFrame
@@ -73,29 +75,41 @@ def build_index(left: DataFrame, right: DataFrame, stop_words: Sequence[str] = (
     def rows_of(side: str) -> Column:
         return F.count_if(F.col("side") == side)
 
-    words = materialize(counts.groupBy("token").agg(
-        F.sum("copies").alias("df"),
-        rows_of("a").alias("n_a"), rows_of("b").alias("n_b")), "words")
+    words = counts.groupBy("token").agg(
+        F.sum("copies").alias("df"), rows_of("a").alias("n_a"), rows_of("b").alias("n_b"))
 
     # The sizes of the record and of the collection cancel out of a unit vector.
     weighted = counts.join(words, "token").withColumn("weight", F.col("n") / F.col("df"))
-    # One order for all windows, so that a record is sorted once; sorting is fastest
-    # with the most telling column in front.
-    ordered = Window.partitionBy("id", "side").orderBy(F.desc("df"), "token")
+    own = Window.partitionBy("id", "side")
+    unit = F.col("weight") / F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(own))
+    units = materialize(
+        weighted.withColumn("unit", unit).filter((F.col("n_a") > 0) & (F.col("n_b") > 0))
+        .select("side", "id", "copies", "token", "unit", "df", "n_a", "n_b"), "units")
+
+    def heaviest(side: str) -> Column:
+        return F.max(F.when(F.col("side") == side, F.col("unit"))).alias(f"most_{side}")
+
+    bounds = units.groupBy("token").agg(heaviest("a"), heaviest("b"))
+    most = F.when(F.col("side") == "a", F.col("most_b")).otherwise(F.col("most_a"))
+
+    # What a record's commonest words add to a pair is at most their combined length, and at
+    # most the sum of their weights times the heaviest on the other side.  Sorting is
+    # fastest with the most telling column in front.
+    ordered = own.orderBy(F.desc("df"), "token")
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    length = F.sqrt(F.sum(F.col("unit") * F.col("unit")).over(so_far))
+    bounded = units.join(bounds, "token").withColumn(
+        "bound", F.least(length, F.sum(F.col("unit") * most).over(so_far)))
+    left_out = F.col("bound") <= _left_out(min_similarity)
     record = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    commonest_first = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    unit = F.col("weight") / F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(record))
-    shared = (weighted.withColumn("unit", unit)
-              .filter((F.col("n_a") > 0) & (F.col("n_b") > 0)))
-    left_out = _left_out(min_similarity)
-    tail = F.sum(F.col("unit") * F.col("unit")).over(commonest_first)
-    indexed = (tail > left_out * left_out).alias("indexed")
-    index = shared.select("side", F.col("id").alias("text"), "copies", "token", "unit", indexed, "n_a", "n_b")
+    rest = F.coalesce(F.max(F.when(left_out, F.col("bound"))).over(record), F.lit(0.0))
+    index = bounded.select("side", F.col("id").alias("text"), "copies", "token", "unit",
+                           (~left_out).alias("indexed"), rest.alias("rest"), "n_a", "n_b")
     return PairIndex(records, materialize(index, "index"), min_similarity)
 
 
 def _left_out(min_similarity: float) -> float:
-    """Largest length of a record's words left out of the index.
+    """The most that a record's words left out of the index may add to a pair.
 
     A pair at the bar has at most half of it from the words either side left out, so
     some of it comes from words that both have in the index.
@@ -137,15 +151,20 @@ def _similar_texts(index: PairIndex) -> DataFrame:
     def indexed(side: str) -> DataFrame:
         return (index.side(side, "token", "n_a", "n_b", F.col("text").alias(f"text_{side}"),
                            F.col("copies").alias(f"copies_{side}"),
+                           F.col("rest").alias(f"rest_{side}"),
                            F.col("unit").alias(f"unit_{side}"), "indexed")
                 .filter("indexed").drop("indexed"))
 
     key = ["text_a", "text_b", "copies_a", "copies_b"]
     met = join_pairs(indexed("a"), indexed("b"), ["token", "n_a", "n_b"],
                      ["text_a"], ["text_b"], "n_a", "n_b")
-    # What the index has seen of a pair is kept; only the words left out are added.
-    seen = materialize(met.groupBy(*key).agg(F.sum(F.col("unit_a") * F.col("unit_b")).alias("part")),
-                       "seen")
+    # What the index has seen of a pair is kept, unless all that can still come is too
+    # little; only the words left out are added.
+    parts = met.groupBy(*key, "rest_a", "rest_b").agg(
+        F.sum(F.col("unit_a") * F.col("unit_b")).alias("part"))
+    most = F.col("part") + F.col("rest_a") + F.col("rest_b")
+    seen = materialize(parts.filter(most >= index.min_similarity - ROUNDING)
+                       .select(*key, "part"), "seen")
     rest = _left_out_words(index, seen.select(*key)).select(
         *key, (F.col("unit_a") * F.col("unit_b")).alias("part"))
     scored = (seen.unionByName(rest).groupBy(*key)

@@ -128,3 +128,27 @@ def test_plans_hold_no_cartesian_product(case):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
         assert "Python" not in plan
+
+
+def test_few_pairs_are_kept_that_miss_the_bar(spark, monkeypatch):
+    """Long texts share many common words; the words' heaviest weights rule such pairs out."""
+    rng = random.Random(3)
+    common, rare = [f"c{i}" for i in range(30)], [f"r{i}" for i in range(400)]
+    texts = [" ".join(rng.choices(common, k=60) + rng.choices(rare, k=6)) for _ in range(120)]
+    left, right = list(enumerate(texts[:80])), list(enumerate(texts[80:]))
+    seen = []
+
+    def counted(df, name, write=sim.materialize):
+        table = write(df, name)
+        if name == "seen":
+            seen.append(table.count())
+        return table
+
+    monkeypatch.setattr(sim, "materialize", counted)
+    frames = [spark.createDataFrame(c, "id bigint, text string") for c in (left, right)]
+    index = sim.build_index(*frames, min_similarity=0.2)
+    got = {(r.id_a, r.id_b) for r in sim.similar_pairs(index).collect()}
+    want = brute(left, right)
+    assert got == {p for p, (s, _) in want.items() if round(s, 6) >= 0.2} and got
+    assert all(common for _, common in want.values())  # every pair shares a word
+    assert len(got) <= seen[0] < len(want) / 5
