@@ -9,12 +9,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harrow.functions.text import contains_any
 from harrow.operators.evaluation import rmse
 from harrow.operators.numbering import number_values
+from harrow.session import materialize
 
 # The training settings.
 RANKS = (4, 8, 12)
@@ -75,46 +76,142 @@ def unrated_items(items: DataFrame, ratings: DataFrame, user: int) -> DataFrame:
 
 
 @dataclass(frozen=True)
-class Recommender:
-    """A fitted model and the numbers that users and items have in it.
+class NumberedRatings:
+    """Ratings (_u, _i, rating) under the numbers of their users and items.
 
-    The factors are kept for 32-bit numbers, so ids of any size are numbered first.
+    The factors are kept for 32-bit numbers, so ids of any size are numbered first, once
+    for any number of models.
     """
 
-    model: ALSModel
     users: DataFrame
     items: DataFrame
+    table: DataFrame
 
 
-def train(ratings: DataFrame, rank: int, iterations: int = ITERATIONS,
-          regularization: float = REGULARIZATION, seed: int = SEED) -> Recommender:
-    """Fit the factors; rows with a null id are left out."""
+@dataclass(frozen=True)
+class Recommender:
+    """A fitted model and the ratings it was fitted to."""
+
+    model: ALSModel
+    ratings: NumberedRatings
+    regularization: float
+
+
+def number_ratings(ratings: DataFrame) -> NumberedRatings:
+    """Number users and items; rows with a null id are left out."""
     users, items = number_values(ratings, "user", "_u"), number_values(ratings, "item", "_i")
-    numbered = ratings.join(users, "user").join(items, "item").select("_u", "_i", "rating")
+    table = ratings.join(users, "user").join(items, "item").select("_u", "_i", "rating")
+    return NumberedRatings(users, items, materialize(table, "numbered"))
+
+
+def train(ratings: DataFrame | NumberedRatings, rank: int, iterations: int = ITERATIONS,
+          regularization: float = REGULARIZATION, seed: int = SEED) -> Recommender:
+    """Fit the factors."""
+    numbered = ratings if isinstance(ratings, NumberedRatings) else number_ratings(ratings)
     als = ALS(rank=rank, maxIter=iterations, regParam=regularization, seed=seed,
               userCol="_u", itemCol="_i", ratingCol="rating", coldStartStrategy="drop")
-    return Recommender(als.fit(numbered), users, items)
+    return Recommender(als.fit(numbered.table), numbered, regularization)
 
 
 def predict(fitted: Recommender, pairs: DataFrame) -> DataFrame:
     """(user, item, prediction); unknown users and items get no prediction."""
-    known = pairs.select("user", "item").join(fitted.users, "user").join(fitted.items, "item")
+    known = (pairs.select("user", "item").join(fitted.ratings.users, "user")
+             .join(fitted.ratings.items, "item"))
     return fitted.model.transform(known).select(
         "user", "item", F.col("prediction").cast("double").alias("prediction"))
 
 
-def rank_errors(training: DataFrame, validation: DataFrame,
-                ranks: Sequence[int] = RANKS) -> DataFrame:
-    """(position, rank, rmse) on the validation set, one row per rank tried."""
-    tables = []
+def _factors(table: DataFrame, numbers: DataFrame, key: str, number: str) -> DataFrame:
+    return (table.withColumnRenamed("id", number).join(numbers, number)
+            .select(key, F.col("features").cast("array<double>").alias("factors")))
+
+
+def user_factors(fitted: Recommender) -> DataFrame:
+    """(user, factors)."""
+    return _factors(fitted.model.userFactors, fitted.ratings.users, "user", "_u")
+
+
+def item_factors(fitted: Recommender) -> DataFrame:
+    """(item, factors)."""
+    return _factors(fitted.model.itemFactors, fitted.ratings.items, "item", "_i")
+
+
+def predict_from_factors(users: DataFrame, items: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(user, item, prediction) of pairs from exported factors, without the model."""
+    both = (pairs.select("user", "item").join(users, "user")
+            .join(items.withColumnRenamed("factors", "_item_factors"), "item"))
+    return both.select("user", "item", _dot("factors", "_item_factors").alias("prediction"))
+
+
+def _dot(a: str, b: str) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda x, y: x + y)
+
+
+def user_residuals(fitted: Recommender) -> DataFrame:
+    """(user, n_ratings, residual): how far each user's factors are from solving their
+    regularised least squares, given those of the items.
+
+    The factors p of a user with n ratings r of items with factors q solve
+    sum q (q p - r) + regularization n p = 0.  ``residual`` is the largest component of the
+    left side in terms of the largest of sum abs(q r).  The users are solved last, so
+    theirs vanishes up to the precision of the factors.
+    """
+    rank = fitted.model.rank
+    model = fitted.model
+    known = (fitted.ratings.table
+             .join(model.itemFactors.select(F.col("id").alias("_i"), F.col("features").alias("q")), "_i")
+             .join(model.userFactors.select(F.col("id").alias("_u"), F.col("features").alias("p")), "_u"))
+    rows = known.select("_u", "rating", F.col("q").cast("array<double>").alias("q"),
+                        F.col("p").cast("array<double>").alias("p"))
+    rows = rows.withColumn("error", _dot("q", "p") - F.col("rating"))
+    # One sum per component, added up before the shuffle.
+    sums = rows.groupBy("_u").agg(
+        F.count("*").alias("n_ratings"), F.first("p").alias("p"),
+        *(F.sum(F.col("q")[j] * F.col("error")).alias(f"g{j}") for j in range(rank)),
+        *(F.sum(F.abs(F.col("q")[j] * F.col("rating"))).alias(f"s{j}") for j in range(rank)))
+    parts = [F.abs(F.col(f"g{j}") + fitted.regularization * F.col("n_ratings") * F.col("p")[j])
+             for j in range(rank)]
+    scale = F.array_max(F.array(*(f"s{j}" for j in range(rank))))
+    residual = F.coalesce(F.try_divide(F.array_max(F.array(*parts)), scale), F.lit(0.0))
+    return sums.select("_u", "n_ratings", residual.alias("residual")).join(
+        fitted.ratings.users, "_u").select("user", "n_ratings", "residual")
+
+
+@dataclass(frozen=True)
+class RankSearch:
+    """The model of every rank tried, and (position, rank, rmse) of each."""
+
+    models: dict[int, Recommender]
+    errors: DataFrame
+
+    def best(self) -> Recommender:
+        """The model with the lowest error; the first one tried among equals."""
+        return self.models[best_rank(self.errors).first()["rank"]]
+
+
+def search_ranks(training: DataFrame | NumberedRatings, validation: DataFrame,
+                 ranks: Sequence[int] = RANKS) -> RankSearch:
+    """Fit every rank and measure it on the validation set.
+
+    The ratings are numbered once, and the models are kept, so that the chosen one need not
+    be fitted again.
+    """
+    numbered = training if isinstance(training, NumberedRatings) else number_ratings(training)
+    models, tables = {}, []
     for position, rank in enumerate(ranks):
-        found = predict(train(training, rank), validation)
-        tables.append(rmse(found, validation, "prediction").select(
+        models[rank] = train(numbered, rank)
+        tables.append(rmse(predict(models[rank], validation), validation, "prediction").select(
             F.lit(position).alias("position"), F.lit(rank).alias("rank"), "rmse"))
     errors = tables[0]
     for table in tables[1:]:
         errors = errors.unionByName(table)
-    return errors
+    return RankSearch(models, materialize(errors, "errors"))
+
+
+def rank_errors(training: DataFrame, validation: DataFrame,
+                ranks: Sequence[int] = RANKS) -> DataFrame:
+    """(position, rank, rmse) on the validation set, one row per rank tried."""
+    return search_ranks(training, validation, ranks).errors
 
 
 def best_rank(errors: DataFrame) -> DataFrame:

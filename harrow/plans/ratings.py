@@ -24,6 +24,7 @@ from harrow.session import materialize
 TOP_MIN_RATINGS = 30
 NAMED_MIN_RATINGS = 20
 SPLIT_SEED = 0
+RESIDUAL_PLACES = 4  # to which the residuals of single-precision factors must vanish
 TITLE_TERMS = ("small", "Ring", "blue bolt")
 PERSONAL_USER = -1
 # Ratings of the one additional user: every thirteenth item, better and better.
@@ -61,40 +62,52 @@ def _pred_named(spark, sf_dir):
     return _rounded(found, "prediction")
 
 
-def _als_predict(spark, sf_dir):
-    """The validation pairs that get a prediction, and whether it is a number."""
+def _validated(spark, sf_dir):
+    """The predictions of the first rank for the validation pairs, and their model."""
     train, validation, _ = _sets(spark, sf_dir)
-    found = rec.predict(rec.train(train, rec.RANKS[0]), validation)
-    return found.select("user", "item", (~F.isnan("prediction")).alias("predicted"))
+    fitted = rec.train(train, rec.RANKS[0])
+    return rec.predict(fitted, validation), fitted
+
+
+def _als_predict(spark, sf_dir):
+    return _rounded(_validated(spark, sf_dir)[0], "prediction")
+
+
+def _als_pairs(spark, sf_dir):
+    """The validation pairs that get a prediction."""
+    return _validated(spark, sf_dir)[0].select("user", "item")
+
+
+def _als_residuals(spark, sf_dir):
+    """Ratings of each user, and how far their factors are from the least squares."""
+    train, _, _ = _sets(spark, sf_dir)
+    found = rec.user_residuals(rec.train(train, rec.RANKS[0]))
+    return found.withColumn("residual", F.round("residual", RESIDUAL_PLACES))
 
 
 def _rank_grid(spark, sf_dir):
-    """Each rank tried, whether it has an error, and how the one chosen compares."""
+    """The validation error of each rank tried, the one chosen, and its error on the test set."""
     train, validation, test = _sets(spark, sf_dir)
-    errors = materialize(rec.rank_errors(train, validation), "errors")
-    best = rec.best_rank(errors).first()["rank"]
-    test_error = rmse(rec.predict(rec.train(train, best), test), test, "prediction")
-    lowest = errors.agg(F.min("rmse")).scalar()
-    chosen = F.col("rank") == best
-    return errors.select(
-        "rank", (F.col("rmse") > 0).alias("has_error"),
-        F.when(chosen, F.col("rmse") == lowest).otherwise(F.col("rmse") >= lowest).alias("fits_choice"),
-        errors.filter(chosen).agg(F.count("*")).scalar().alias("n_chosen"),
-        (test_error.scalar() > 0).alias("has_test_error"))
+    search = rec.search_ranks(train, validation)
+    best = rec.best_rank(search.errors).scalar()
+    test_error = rmse(rec.predict(search.best(), test), test, "prediction").scalar()
+    return _rounded(search.errors.select(
+        "rank", "rmse", (F.col("rank") == best).alias("chosen"), test_error.alias("test_rmse")),
+        "rmse", "test_rmse")
 
 
 def _mine(spark):
     return rec.personal_ratings(spark, PERSONAL_USER, PERSONAL_RATINGS)
 
 
-def _personal_model(spark, sf_dir, train):
+def _personal_model(spark, train):
     return rec.train(bag_union(train, _mine(spark)), rec.RANKS[0])
 
 
-def _personal(spark, sf_dir):
+def _personal_counts(spark, sf_dir):
     """Rows added to the training set, and the test pairs predicted after retraining."""
     train, _, test = _sets(spark, sf_dir)
-    found = rec.predict(_personal_model(spark, sf_dir, train), test)
+    found = rec.predict(_personal_model(spark, train), test)
     added = bag_union(train, _mine(spark)).agg(F.count("*")).scalar() - train.agg(
         F.count("*")).scalar()
     return found.agg(F.count("*").alias("n_predicted"),
@@ -102,18 +115,36 @@ def _personal(spark, sf_dir):
         "n_added", added)
 
 
+def _personal(spark, sf_dir):
+    """The test error after retraining with the personal ratings."""
+    train, _, test = _sets(spark, sf_dir)
+    found = rec.predict(_personal_model(spark, train), test)
+    return _rounded(rmse(found, test, "prediction"), "rmse")
+
+
+def _candidates(spark, sf_dir, train):
+    """Predictions of the personal user's unrated items that are rated often."""
+    unrated = rec.unrated_items(items(spark, sf_dir), _mine(spark), PERSONAL_USER)
+    return rec.with_stats(rec.predict(_personal_model(spark, train), unrated),
+                          ratings(spark, sf_dir), items(spark, sf_dir), NAMED_MIN_RATINGS)
+
+
+def _topn_candidates(spark, sf_dir):
+    """The items among which the personal list is chosen."""
+    train, _, _ = _sets(spark, sf_dir)
+    return _candidates(spark, sf_dir, train).select("item", "title", "n_ratings")
+
+
 def _topn(spark, sf_dir):
-    """The personal list by place, with what must hold for each row."""
+    """The personal list: the best predicted items that are unrated and rated often."""
     train, _, _ = _sets(spark, sf_dir)
-    model = _personal_model(spark, sf_dir, train)
-    candidates = rec.unrated_items(items(spark, sf_dir), _mine(spark), PERSONAL_USER)
-    top = materialize(rec.recommend(model, candidates, ratings(spark, sf_dir),
-                                    items(spark, sf_dir), NAMED_MIN_RATINGS), "top")
+    top = rec.recommend(
+        _personal_model(spark, train),
+        rec.unrated_items(items(spark, sf_dir), _mine(spark), PERSONAL_USER),
+        ratings(spark, sf_dir), items(spark, sf_dir), NAMED_MIN_RATINGS)
     order = Window.orderBy(F.desc("prediction"), "item")  # the twenty rows of the list
-    mine = _mine(spark).select("item", F.lit(True).alias("mine"))
-    return (top.withColumn("place", F.row_number().over(order)).join(mine, "item", "left")
-            .select("place", F.isnull("mine").alias("unrated"),
-                    (F.col("n_ratings") > NAMED_MIN_RATINGS).alias("rated_often")))
+    return _rounded(top.withColumn("place", F.row_number().over(order)), "prediction").select(
+        "place", "item", "title", "n_ratings", "prediction")
 
 
 def _stats(spark, sf_dir):
@@ -136,9 +167,13 @@ QUERIES = {
     "rec_title_search": lambda s, d: rec.search_titles(items(s, d), TITLE_TERMS),
     "rec_unrated": lambda s, d: rec.unrated_items(items(s, d), _mine(s), PERSONAL_USER),
     "rec_als_predict": _als_predict,
+    "rec_als_pairs": _als_pairs,
+    "rec_als_residuals": _als_residuals,
     "rec_rank_grid": _rank_grid,
     "rec_personal": _personal,
+    "rec_personal_counts": _personal_counts,
     "rec_topn": _topn,
+    "rec_topn_candidates": _topn_candidates,
 }
 
 _ITEM_KEYS = ", ".join(str(item) for item, _ in PERSONAL_RATINGS)
@@ -194,17 +229,18 @@ WHERE contains(lower(title), 'small') OR contains(lower(title), 'ring')
     "rec_unrated": f"""WITH {ITEMS_SQL}
 SELECT CAST({PERSONAL_USER} AS BIGINT) AS "user", item FROM items
 WHERE item NOT IN ({_ITEM_KEYS})""",
-    "rec_als_predict": _SETS + """SELECT "user", item, true AS predicted FROM split
+    # Predictions and errors depend on the factors, which no SQL here can fit; the residuals
+    # do too, but must vanish.
+    "rec_als_pairs": _SETS + """SELECT "user", item FROM split
 WHERE split = 1 AND "user" IN (SELECT "user" FROM train) AND item IN (SELECT item FROM train)""",
-    "rec_rank_grid": "SELECT CAST(unnest([" + ", ".join(map(str, rec.RANKS)) + """]) AS INTEGER) AS rank,
-  true AS has_error, true AS fits_choice, CAST(1 AS BIGINT) AS n_chosen, true AS has_test_error""",
-    "rec_personal": _SETS + f"""SELECT count(*) AS n_predicted, CAST(0 AS BIGINT) AS n_failed,
+    "rec_als_residuals": _SETS + """SELECT "user", count(*) AS n_ratings,
+  CAST(0 AS DOUBLE) AS residual FROM train GROUP BY "user\"""",
+    "rec_personal_counts": _SETS + f"""SELECT count(*) AS n_predicted, CAST(0 AS BIGINT) AS n_failed,
   CAST({len(PERSONAL_RATINGS)} AS BIGINT) AS n_added FROM test
 WHERE "user" IN (SELECT "user" FROM train)
   AND (item IN (SELECT item FROM train) OR item IN ({_ITEM_KEYS}))""",
-    "rec_topn": _SETS + f""", often AS (
-  SELECT item FROM ratings GROUP BY item HAVING count(*) > {NAMED_MIN_RATINGS})
-SELECT CAST(row_number() OVER () AS INTEGER) AS place, true AS unrated, true AS rated_often
-FROM often JOIN items USING (item)
-WHERE item NOT IN ({_ITEM_KEYS}) AND item IN (SELECT item FROM train) LIMIT 20""",
+    "rec_topn_candidates": _SETS + f"""SELECT item, title, count(*) AS n_ratings
+FROM ratings JOIN items USING (item)
+WHERE item NOT IN ({_ITEM_KEYS}) AND item IN (SELECT item FROM train)
+GROUP BY item, title HAVING count(*) > {NAMED_MIN_RATINGS}""",
 }

@@ -1,3 +1,6 @@
+from collections import Counter
+
+import numpy as np
 import pytest
 from conftest import rows
 
@@ -21,12 +24,10 @@ def ratings(spark):
 
 
 def test_counts_and_averages(spark):
-    data = [(1, 1, r) for r in (1, 2, 3, 4)] + [(1, 2, r) for r in (10, 20, 30)] + [
-        (1, 3, r) for r in range(20)]
-    df = spark.createDataFrame([(u, i, float(r)) for u, i, r in data],
-                               "user bigint, item bigint, rating double")
-    assert rows(rec.item_stats(df)) == [(1, 4, 2.5), (2, 3, 20.0), (3, 20, 9.5)]
-    assert rec.global_mean(df).first().mean_rating == pytest.approx(260 / 27)
+    data = [(1, 7, 2.0), (2, 7, 5.0), (3, 8, 4.5), (1, 9, 0.0), (2, 9, 1.0), (3, 9, 3.5)]
+    df = spark.createDataFrame(data, "user bigint, item bigint, rating double")
+    assert rows(rec.item_stats(df)) == [(7, 2, 3.5), (8, 1, 4.5), (9, 3, 1.5)]
+    assert rec.global_mean(df).first().mean_rating == pytest.approx(16 / 6)
 
 
 def test_top_rated_orders_by_rounded_rating_then_title_downwards(spark):
@@ -110,3 +111,45 @@ def test_numbers_are_dense(spark):
         spark.range(300).selectExpr("id * 1000000007 v"))
     got = rows(number_values(df, "v", "n"))
     assert len(got) == 300 and sorted(n for _, n in got) == list(range(300))
+
+
+def test_predictions_are_products_of_the_factors(spark, ratings):
+    fitted = rec.train(ratings, 3)
+    users, items_ = rec.user_factors(fitted), rec.item_factors(fitted)
+    assert users.count() == 30 and items_.count() == 5
+    pairs = users.select("user").crossJoin(items_.select("item"))
+    got = {r[:2]: r[2] for r in map(tuple, rec.predict(fitted, pairs).collect())}
+    want = {r[:2]: r[2] for r in map(tuple, rec.predict_from_factors(users, items_, pairs).collect())}
+    by_hand = {(u, i): sum(x * y for x, y in zip(p, q, strict=True))
+               for u, p in rows(users) for i, q in rows(items_)}
+    assert got.keys() == want.keys() == by_hand.keys() and len(got) == 150
+    assert got == pytest.approx(want, abs=1e-5) and want == pytest.approx(by_hand, abs=1e-9)
+
+
+def test_the_side_solved_last_solves_its_least_squares(ratings):
+    numbered = rec.number_ratings(ratings)
+    fitted = rec.train(numbered, 3)
+    found = rec.user_residuals(fitted).collect()
+    assert {r.user: r.n_ratings for r in found} == Counter(r.user for r in ratings.collect())
+    assert max(r.residual for r in found) < 1e-5
+    # The same by a solver, for every user.
+    factors = dict(rows(rec.item_factors(fitted)))
+    own = {}
+    for r in ratings.collect():
+        own.setdefault(r.user, []).append((factors[r.item], r.rating))
+    for user, p in rows(rec.user_factors(fitted)):
+        q, r = (np.array(x) for x in zip(*own[user], strict=True))
+        solved = np.linalg.solve(q.T @ q + rec.REGULARIZATION * len(r) * np.eye(3), q.T @ r)
+        assert np.allclose(solved, p, atol=1e-4)
+    # Factors of other ratings do not solve these.
+    other = ratings.withColumn("rating", 6 - ratings["rating"])
+    swapped = rec.Recommender(rec.train(other, 3).model, numbered, rec.REGULARIZATION)
+    assert max(r.residual for r in rec.user_residuals(swapped).collect()) > 1e-2
+
+
+def test_the_chosen_rank_is_not_fitted_again(ratings, monkeypatch):
+    fits = []
+    monkeypatch.setattr(rec, "train", lambda *a, fit=rec.train, **b: fits.append(a[1]) or fit(*a, **b))
+    search = rec.search_ranks(ratings, ratings, ranks=(1, 4, 2))
+    errors = {r["rank"]: r.rmse for r in search.errors.collect()}
+    assert search.best() is search.models[min(errors, key=errors.get)] and fits == [1, 4, 2]
