@@ -23,6 +23,8 @@ from harrow.sources import (
     literal_table,
     read_compressed_lines,
     read_csv,
+    read_json_document,
+    read_json_lines,
     read_lines,
     read_stop_words,
     register_views,
@@ -31,6 +33,7 @@ from harrow.sources import (
     text_date,
     without_lines_containing,
     write_csv,
+    write_json_arrays,
 )
 from harrow.sources.readers import json_elements
 
@@ -117,6 +120,31 @@ def _json_array_rows(spark, sf_dir):
     return elements.groupBy("k").agg(F.count("*").alias("n"))
 
 
+def _events_as_json(spark, sf_dir):
+    """Events with a field that only some of them have."""
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"), F.from_json("props", "k bigint").alias("props"),
+        F.when(F.col("event_id") % 3 == 0, F.col("event_type")).alias("kind of event"))
+
+
+def _event_rows(rows):
+    return rows.select("id", F.col("props.k").alias("k"), F.col("kind of event").alias("kind"))
+
+
+def _json_lines(spark, sf_dir):
+    """Events from JSON lines whose schema comes from the lines."""
+    path = work_path(spark, "json-lines")
+    _events_as_json(spark, sf_dir).write.json(path)
+    return _event_rows(read_json_lines(spark, path))
+
+
+def _json_documents(spark, sf_dir):
+    """Events from whole-file JSON arrays, read by byte ranges."""
+    path = work_path(spark, "json-documents")
+    write_json_arrays(_events_as_json(spark, sf_dir), path)
+    return _event_rows(read_json_document(spark, path))
+
+
 def _urgent_buyers(spark, sf_dir):
     urgent = table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'")
     return urgent.select(F.col("o_custkey").alias("custkey"))
@@ -132,7 +160,7 @@ def _text_scan(spark, sf_dir):
 def _gzip_scan(spark, sf_dir):
     """The trip lines from gzip files, spread over more tasks than there are files."""
     path = work_path(spark, "gzip")
-    trip_lines(spark, sf_dir).coalesce(1).write.option("compression", "gzip").text(path)
+    trip_lines(spark, sf_dir).write.option("compression", "gzip").text(path)
     return read_compressed_lines(spark, path, 8)
 
 
@@ -229,6 +257,8 @@ QUERIES = {
     **{name: _sql(text) for name, text in SQL_TEXTS.items()},
     "json_props": _json_props,
     "json_array_rows": _json_array_rows,
+    "json_lines": _json_lines,
+    "json_documents": _json_documents,
 }
 
 _TRIPS = f"WITH {TRIPS_SQL}\n"
@@ -247,6 +277,8 @@ customers AS (SELECT c_custkey AS custkey FROM customer)
 
 
 _COLUMNS = ", ".join(SAMPLE_COLUMNS)
+_EVENT_ROWS = """SELECT event_id AS id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+  CASE WHEN event_id % 3 = 0 THEN event_type END AS kind FROM events"""
 
 
 def _hash_sql(seed, *columns):
@@ -327,4 +359,6 @@ FROM events""",
     "json_array_rows": """SELECT k, count(*) AS n FROM (
   SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
   UNION ALL SELECT 0 FROM events) GROUP BY k""",
+    "json_lines": _EVENT_ROWS,
+    "json_documents": _EVENT_ROWS,
 }

@@ -1,3 +1,4 @@
+from harrow.sources.json_documents import json_array_elements, write_json_arrays  # noqa: F401
 from harrow.sources.readers import (  # noqa: F401
     literal_table,
     read_compressed_lines,
@@ -15,3 +16,4 @@ from harrow.sources.readers import (  # noqa: F401
     without_lines_containing,
     write_csv,
 )
+from harrow.sources.variants import json_rows  # noqa: F401

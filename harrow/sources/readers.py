@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from harrow.sources.json_documents import json_array_elements
+from harrow.sources.variants import json_rows
+
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row per text line, column ``value``."""
@@ -52,26 +55,28 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str,
 
 def read_json_lines(spark: SparkSession, path: str,
                     schema: T.StructType | str | None = None) -> DataFrame:
-    """One JSON object per line."""
-    reader = spark.read
-    return (reader.schema(schema) if schema is not None else reader).json(path)
+    """One JSON object per line, with a declared schema or the one of all lines together.
+
+    The lines are read and parsed once in either case.
+    """
+    if schema is not None:
+        return spark.read.schema(schema).json(path)
+    return json_rows(spark.read.text(path))
 
 
 def read_json_document(spark: SparkSession, path: str,
-                       schema: T.StructType | None = None,
-                       strip_whitespace: bool = False) -> DataFrame:
-    """Whole-file JSON documents; an array gives one row per element.
+                       schema: T.StructType | str | None = None,
+                       strip_whitespace: bool = False, cut_at: str = "}") -> DataFrame:
+    """Whole-file JSON documents of any size; an array gives one row per element.
 
+    Many tasks read one document, see ``json_array_elements`` for ``cut_at``.
     ``strip_whitespace`` removes all white space first, also inside names and
     values ("South Korea" becomes "SouthKorea").
     """
-    if not strip_whitespace:
-        reader = spark.read.option("multiLine", True)
-        return (reader.schema(schema) if schema is not None else reader).json(path)
-    if schema is None:
-        schema = _without_spaces(spark.read.option("multiLine", True).json(path).schema)
-    text = spark.read.text(path, wholetext=True)
-    return json_elements(text, schema, strip_whitespace=True)
+    elements = json_array_elements(spark, path, cut_at)
+    if strip_whitespace:
+        elements = elements.withColumn("element", F.regexp_replace("element", r"\s+", ""))
+    return json_rows(elements, "element", schema)
 
 
 def json_elements(documents: DataFrame, schema: T.StructType | str, column: str = "value",
@@ -140,12 +145,3 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None,
 
 def _literal_regex(text: str) -> str:
     return "\\Q" + text + "\\E"
-
-
-def _without_spaces(kind: T.DataType) -> T.DataType:
-    if isinstance(kind, T.StructType):
-        return T.StructType([T.StructField("".join(f.name.split()), _without_spaces(f.dataType),
-                                           f.nullable) for f in kind.fields])
-    if isinstance(kind, T.ArrayType):
-        return T.ArrayType(_without_spaces(kind.elementType), kind.containsNull)
-    return kind
