@@ -1,14 +1,15 @@
 """Line parsers.
 
-Each adds parsed columns and a ``status`` of ``ok``, ``header`` or ``invalid``
-and keeps the raw line in ``value``; parsed columns are null unless ``ok``.
+Each adds parsed columns and a ``status`` of ``ok``, ``header``, ``invalid`` or (a wrong
+number of fields) ``malformed`` and keeps the raw line in ``value``; parsed columns are null unless ``ok``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from harrow.functions.text import strip_quotes
@@ -108,29 +109,68 @@ def parse_gold_pairs(lines: DataFrame, column: str = "value") -> DataFrame:
     return _when_ok(parsed, {"id_a": strip_quotes(g[0]), "id_b": strip_quotes(g[1])}, ["value"])
 
 
-def parse_ratings(lines: DataFrame, column: str = "value") -> DataFrame:
-    """``user::item::rating::time`` lines; the time is dropped."""
-    return _parse_fields(lines, column, {"user": (0, "bigint"), "item": (1, "bigint"),
-                                         "rating": (2, "double")})
+RATING_FIELDS = ("user", "item", "rating", "time")
+MOVIE_FIELDS = ("item", "title", "genres")
 
 
-def parse_movies(lines: DataFrame, column: str = "value") -> DataFrame:
-    """``item::title::genres`` lines; the genres are dropped."""
-    return _parse_fields(lines, column, {"item": (0, "bigint"), "title": (1, "string")})
+def parse_ratings(lines: DataFrame, column: str = "value", exact: bool = False) -> DataFrame:
+    """``user::item::rating::time`` lines; the time is dropped.
 
+    With ``exact`` a line that has not just these fields is ``malformed``, whatever they hold.
+    """
+    return _parse_fields(lines, column, RATING_FIELDS, {
+        "user": "bigint", "item": "bigint", "rating": "double"}, exact)
+
+
+def parse_movies(lines: DataFrame, column: str = "value", exact: bool = False) -> DataFrame:
+    """``item::title::genres`` lines; the genres are dropped.
 
-def _parse_fields(lines: DataFrame, column: str,
-                  fields: Mapping[str, tuple[int, str]]) -> DataFrame:
-    parts = F.split(F.col(column), "::")
-    split = lines.select(F.col(column).alias("value"), F.explode(F.array(parts)).alias("g"))
-    typed = split.select("value",
-                         *[F.get("g", F.lit(i)).try_cast(kind).alias(name)
-                           for name, (i, kind) in fields.items()])
+    With ``exact`` a line that has not just these fields is ``malformed``, whatever they hold.
+    """
+    return _parse_fields(lines, column, MOVIE_FIELDS, {"item": "bigint", "title": "string"}, exact)
+
+
+def _parse_fields(lines: DataFrame, column: str, names: tuple[str, ...], kinds: Mapping[str, str],
+                  exact: bool) -> DataFrame:
+    if exact:
+        records = read_records(lines, names, "::", column)
+        # An empty field is read as null; all fields of a whole record are there.
+        fields = [F.coalesce(F.col("record")[name], F.lit("")) for name in names]
+        whole = F.col("record")[MALFORMED].isNull() & (F.col("value") != "")
+    else:
+        parts = F.split(F.col(column), "::")
+        records = lines.select(F.col(column).alias("value"), F.explode(F.array(parts)).alias("g"))
+        fields = [F.get("g", F.lit(i)) for i in range(len(names))]
+        whole = F.lit(True)
+    typed = records.select("value", whole.alias("whole"), *[
+        field.try_cast(kinds[name]).alias(name)
+        for name, field in zip(names, fields, strict=True) if name in kinds])
     good = F.lit(True)
-    for name in fields:
+    for name in kinds:
         good = good & F.col(name).isNotNull()
-    typed = typed.withColumn("status", F.when(good, "ok").otherwise("invalid"))
-    return _when_ok(typed, {name: F.col(name) for name in fields}, ["value"])
+    status = F.when(~F.col("whole"), "malformed").when(good, "ok").otherwise("invalid")
+    return _when_ok(typed.withColumn("status", status), {name: F.col(name) for name in kinds},
+                    ["value"])
+
+
+MALFORMED = "_malformed"
+
+
+def read_records(lines: DataFrame, names: tuple[str, ...], sep: str,
+                 column: str = "value") -> DataFrame:
+    """(value, record): the fields of each line as text, under their names.
+
+    ``record._malformed`` holds the line where it has fewer or more fields than names, so that
+    such lines are told from those whose fields have bad values.  Quotes mean nothing; an
+    empty field is null.
+    """
+    schema = ", ".join(f"{name} string" for name in (*names, MALFORMED))
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED,
+               "quote": "", "escape": "",
+               "maxColumns": "1000000", "maxCharsPerColumn": "-1"}
+    # The one-row explode keeps later filters from parsing the line again.
+    record = F.explode(F.array(F.from_csv(column, schema, options)))
+    return lines.select(F.col(column).alias("value"), record.alias("record"))
 
 
 def valid(parsed: DataFrame) -> DataFrame:
@@ -138,14 +178,40 @@ def valid(parsed: DataFrame) -> DataFrame:
 
 
 def failed(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col("status") == "invalid").select("value")
+    return parsed.filter(F.col("status").isin("invalid", "malformed")).select("value")
+
+
+def _counts() -> list[Column]:
+    def count_of(*status: str) -> Column:
+        return F.count_if(F.col("status").isin(*status))
+
+    return [F.count("*").alias("n_read"), count_of("ok").alias("n_ok"),
+            count_of("header").alias("n_header"),
+            count_of("invalid", "malformed").alias("n_invalid")]
 
 
 def status_counts(parsed: DataFrame) -> DataFrame:
     """Lines read, parsed, header and failed, by one aggregation."""
-    def count_of(status: str) -> Column:
-        return F.count_if(F.col("status") == status)
+    return parsed.agg(*_counts())
+
 
-    return parsed.agg(F.count("*").alias("n_read"), count_of("ok").alias("n_ok"),
-                      count_of("header").alias("n_header"),
-                      count_of("invalid").alias("n_invalid"))
+@dataclass(frozen=True)
+class ParseOutcome:
+    """The valid rows as written, and the counts that the same pass has taken."""
+
+    rows: DataFrame
+    counts: dict[str, int]
+
+
+def write_valid(parsed: DataFrame, path: str, mode: str = "errorifexists") -> ParseOutcome:
+    """Write the valid rows as Parquet and count the lines on the way.
+
+    The lines are read once.  Writing needs no shuffle of its own, so every line is counted
+    by the task that writes it, and a task that is run again counts once.
+    """
+    observed = Observation("parse")
+    rows = valid(parsed.observe(observed, *_counts()))
+    rows.write.mode(mode).parquet(path)
+    # An empty input runs no task, and then nothing is observed.
+    counts = {name: observed.get.get(name, 0) for name in ("n_read", "n_ok", "n_header", "n_invalid")}
+    return ParseOutcome(parsed.sparkSession.read.schema(rows.schema).parquet(path), counts)

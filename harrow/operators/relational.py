@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import islice
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import BooleanType, StringType, StructType
+
+from harrow.session import ship_package
 
 LIST_VALUES = 10_000  # distinct values of one key per list
 PIECE_ROWS = 10_000   # strings per concatenated piece
+BATCH_ROWS = 1_000    # rows that leave a partition function together
 
 
 # Filters ---------------------------------------------------------------------
@@ -21,12 +28,21 @@ def rows_with_field(df: DataFrame, value: str, fields: str = "fields") -> DataFr
 def rows_with_value(df: DataFrame, value, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows where some column equals ``value``.
 
-    Each column is compared in its own type; a value that is none of that type is not in it.
+    A value is in a column of another type only if casting there and back keeps it: 5.7 is
+    in no column of whole numbers, and "7" is in one that holds 7.  Truth values are in
+    columns of truth values only, and nothing else is.
     """
     found = F.lit(False)
     for name in columns or df.columns:
-        same = F.col(name) == F.lit(value).try_cast(df.schema[name].dataType)
-        found = found | F.coalesce(same, F.lit(False))
+        kind = df.schema[name].dataType
+        if isinstance(value, bool) != isinstance(kind, BooleanType):
+            continue
+        there = F.lit(value).try_cast(kind)
+        # A number in a column of text is looked for as it is spelled there.
+        back = "string" if isinstance(value, str) else (
+            "double" if isinstance(kind, StringType) else F.lit(value))
+        kept = there.try_cast(back) == F.lit(value) if isinstance(back, str) else there == back
+        found = found | F.coalesce((F.col(name) == there) & kept, F.lit(False))
     return df.filter(found)
 
 
@@ -109,6 +125,34 @@ def concat_in_order(df: DataFrame, value: str, order: str,
             .agg(F.array_join(F.transform(ordered, lambda r: r["_v"]), "").alias("text")))
 
 
+def map_partitions(df: DataFrame, function: Callable[[Iterator[Row]], Iterable[Sequence]],
+                   schema: StructType | str) -> DataFrame:
+    """What ``function`` yields from the rows of each physical partition, as a table.
+
+    ``function`` gets an iterator of the partition's rows, also where there are none, and
+    yields rows of ``schema``.  Rows come and go in batches, so neither side is ever held
+    whole.  It must not depend on how rows are dealt to partitions, unless that is wanted.
+    """
+    ship_package(df.sparkSession)
+    fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    kinds, names = [to_arrow_type(f.dataType) for f in fields], fields.names
+    make = Row(*df.columns)
+
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Row]:
+        for batch in batches:
+            yield from map(make, *(c.to_pylist() for c in batch.columns)) if batch.num_columns else (
+                make() for _ in range(batch.num_rows))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = iter(function(rows_of(batches)))
+        while rows := list(islice(found, BATCH_ROWS)):
+            columns = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=names)
+
+    return df.mapInArrow(run, fields)
+
+
 def per_partition_sums(df: DataFrame, value: str) -> DataFrame:
     """One row (n, total) per physical partition with rows; added up before any shuffle."""
     return (df.select(value).groupBy(F.spark_partition_id().alias("_partition"))

@@ -48,9 +48,9 @@ def sample_with_replacement(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
     again repeats it.
     """
     columns = df.columns
-    size = df.agg(F.nullif(F.count("*"), F.lit(0))).scalar()
-    n_groups = df.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / GROUP_ROWS))).scalar()
-    rows = df.withColumn("_group", stable_hash(0, *columns, F.lit(0)) % n_groups)
+    n_rows = df.count()
+    size, n_groups = F.lit(n_rows or None).cast("bigint"), max(1, -(-n_rows // GROUP_ROWS))
+    rows = df.withColumn("_group", stable_hash(0, *columns, F.lit(0)) % F.lit(n_groups).cast("bigint"))
 
     # Where each group starts: sums within blocks of groups, then over the few blocks.
     sizes = rows.groupBy("_group").agg(F.count("*").alias("_n")).withColumn(

@@ -94,7 +94,7 @@ def inverse_document_frequency(records: DataFrame,
 
     With ``unique_ids`` off, rows of one id make up one record.
     """
-    n_records = records.agg(F.count_distinct("id")).scalar()
+    n_records = records.agg(F.count("id") if unique_ids else F.count_distinct("id")).scalar()
     held = inverted_pairs(records, stop_words)
     holding = ((held if unique_ids else held.distinct())
                .groupBy("token").agg(F.count("*").alias("df")))

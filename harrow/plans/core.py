@@ -101,6 +101,22 @@ def _partition_sums(spark, sf_dir):
     return sums.agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
 
+def _sum_of_rows(rows):
+    """The sum of the keys of a partition's rows that are odd, and how many there are."""
+    n = total = 0
+    for row in rows:
+        if row.l_partkey % 2:
+            n, total = n + 1, total + row.l_partkey
+    yield n, total
+
+
+def _partition_function(spark, sf_dir):
+    """A function of our own on every partition; the total does not depend on their number."""
+    keys = table(spark, sf_dir, "lineitem").select("l_partkey")
+    sums = rel.map_partitions(keys, _sum_of_rows, "n bigint, total bigint")
+    return sums.agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+
+
 def _sql(text):
     def run(spark, sf_dir):
         register_views({"trips": trips(spark, sf_dir), "names": names(spark, sf_dir)})
@@ -242,6 +258,7 @@ QUERIES = {
     "core_concat": lambda s, d: rel.concat_in_order(names(s, d), "county", "id", PIECE_ROWS),
     "core_count_by_key": lambda s, d: rel.count_by(table(s, d, "orders"), "o_orderpriority"),
     "core_partition_sums": _partition_sums,
+    "core_partition_function": _partition_function,
     "core_sample": _sample,
     "core_rows_equal": lambda s, d: rel.rows_equal_to(
         table(s, d, "lineitem"), EQUAL_RECORD).select("l_orderkey", *EQUAL_RECORD),
@@ -321,6 +338,8 @@ SELECT custkey FROM customers WHERE custkey NOT IN
     "core_count_by_key": "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1",
     "core_partition_sums": """SELECT count(*) AS n, CAST(sum(l_partkey) AS BIGINT) AS total
 FROM lineitem""",
+    "core_partition_function": """SELECT count(*) AS n, CAST(sum(l_partkey) AS BIGINT) AS total
+FROM lineitem WHERE l_partkey % 2 = 1""",
     "core_sample": f"""WITH size AS (
   SELECT count(*) AS n, greatest(1, CAST(ceil(count(*) / {GROUP_ROWS}.0) AS BIGINT)) AS groups
   FROM lineitem),

@@ -134,17 +134,22 @@ def rating_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``user::item::rating::time`` lines; some have a user that is no number."""
-    user = F.when(F.col("order_id") % 97 == 0, "x").otherwise(F.col("user").cast("string"))
+    """``user::item::rating::time`` lines; some have a user that is no number, some no time
+    and some one field more."""
+    order = F.col("order_id")
+    user = F.when(order % 97 == 0, "x").otherwise(F.col("user").cast("string"))
+    last = F.when(order % 89 == 1, F.lit(None)).when(order % 83 == 2, "0::0").otherwise("0")
     return rating_rows(spark, sf_dir).select(F.concat_ws(
         "::", user, F.col("item").cast("string"),
-        F.col("rating").cast("bigint").cast("string"), F.lit("0")).alias("value"))
+        F.col("rating").cast("bigint").cast("string"), last).alias("value"))
 
 
 RATING_LINES_SQL = """
 lines AS (
   SELECT CASE WHEN o_orderkey % 97 = 0 THEN 'x' ELSE CAST(o_custkey AS VARCHAR) END
-    || '::' || l_partkey || '::' || CAST(l_quantity AS BIGINT) || '::0' AS value
+    || '::' || l_partkey || '::' || CAST(l_quantity AS BIGINT)
+    || CASE WHEN o_orderkey % 89 = 1 THEN '' WHEN o_orderkey % 83 = 2 THEN '::0::0'
+       ELSE '::0' END AS value
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 

@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from harrow.operators import access_log as log
-from harrow.operators.parse import ACCESS_LOG_PATTERN, failed, parse_access_log, status_counts, valid
+from harrow.operators.parse import (
+    ACCESS_LOG_PATTERN,
+    failed,
+    parse_access_log,
+    status_counts,
+    valid,
+    write_valid,
+)
 from harrow.plans.inputs import LOG_LINES_SQL, log_lines
+from harrow.session import work_path
 
 
 def _parsed(spark, sf_dir):
@@ -25,6 +33,13 @@ def _log_parse(spark, sf_dir):
     return _parsed(spark, sf_dir).withColumn("date_time", F.col("date_time").cast("string"))
 
 
+def _log_written(spark, sf_dir):
+    """The counts that are taken while the valid rows are written, and the rows there are."""
+    done = write_valid(_parsed(spark, sf_dir), work_path(spark, "logs"))
+    return done.rows.agg(F.count("*").alias("n_written"),
+                         *[F.lit(n).cast("bigint").alias(name) for name, n in done.counts.items()])
+
+
 def _log_failed(spark, sf_dir):
     return failed(_parsed(spark, sf_dir))
 
@@ -32,6 +47,7 @@ def _log_failed(spark, sf_dir):
 QUERIES = {
     "log_parse": _log_parse,
     "log_parse_status": lambda s, d: status_counts(_parsed(s, d)),
+    "log_parse_written": _log_written,
     "log_failed": _log_failed,
     "log_hosts": lambda s, d: log.hosts(_logs(s, d)),
     "log_top_errors": lambda s, d: log.top_error_endpoints(_logs(s, d), 10),
@@ -81,6 +97,9 @@ FROM matched WHERE NOT good""",
     "log_parse_status": _WITH + """SELECT count(*) AS n_read,
   count(*) FILTER (good) AS n_ok, CAST(0 AS BIGINT) AS n_header,
   count(*) FILTER (NOT good) AS n_invalid FROM matched""",
+    "log_parse_written": _WITH + """SELECT count(*) AS n_read, count(*) FILTER (good) AS n_ok,
+  CAST(0 AS BIGINT) AS n_header, count(*) FILTER (NOT good) AS n_invalid,
+  count(*) FILTER (good) AS n_written FROM matched""",
     "log_failed": _WITH + "SELECT value FROM matched WHERE NOT good",
     "log_hosts": _WITH + "SELECT host FROM logs",
     "log_top_errors": _WITH + """SELECT endpoint, count(*) AS n FROM logs

@@ -152,7 +152,7 @@ def _stats(spark, sf_dir):
 
 
 QUERIES = {
-    "rec_parse_ratings": lambda s, d: parse_ratings(rating_lines(s, d)),
+    "rec_parse_ratings": lambda s, d: parse_ratings(rating_lines(s, d), exact=True),
     "rec_parse_movies": lambda s, d: parse_movies(item_lines(s, d)),
     "rec_movie_stats": lambda s, d: _rounded(_stats(s, d), "avg_rating"),
     "rec_movie_stats_named": lambda s, d: _rounded(
@@ -199,10 +199,13 @@ ORACLE = {
 parts AS (SELECT value, string_split(value, '::') AS p FROM lines),
 typed AS (
   SELECT value, TRY_CAST(p[1] AS BIGINT) AS u, TRY_CAST(p[2] AS BIGINT) AS i,
-    TRY_CAST(p[3] AS DOUBLE) AS r FROM parts)
-SELECT value, CASE WHEN u IS NULL THEN 'invalid' ELSE 'ok' END AS status, u AS "user",
-  CASE WHEN u IS NOT NULL THEN i END AS item, CASE WHEN u IS NOT NULL THEN r END AS rating
-FROM typed""",
+    TRY_CAST(p[3] AS DOUBLE) AS r, len(p) AS fields FROM parts),
+judged AS (
+  SELECT *, CASE WHEN fields <> 4 THEN 'malformed' WHEN u IS NULL THEN 'invalid' ELSE 'ok' END
+    AS status FROM typed)
+SELECT value, status, CASE status WHEN 'ok' THEN u END AS "user",
+  CASE status WHEN 'ok' THEN i END AS item, CASE status WHEN 'ok' THEN r END AS rating
+FROM judged""",
     "rec_parse_movies": """SELECT p_partkey || '::' || p_name || '::' || p_type AS value,
   'ok' AS status, p_partkey AS item, p_name AS title FROM part""",
     "rec_movie_stats": _STATS + """SELECT item, n_ratings, round(avg_rating, 6) AS avg_rating

@@ -12,6 +12,7 @@ from harrow.operators.parse import (
     parse_ratings,
     status_counts,
     valid,
+    write_valid,
 )
 
 GOOD = 'h.example.com - bob [01/Aug/1995:00:00:07 -0400] "GET /a/b.txt HTTP/1.0" 200 1839'
@@ -118,3 +119,48 @@ def test_ratings_and_movies(spark):
     assert tuple(status_counts(ratings).first()) == (4, 2, 0, 2)
     movies = parse_movies(table(spark, "1::Toys (1995)::Fun|Kids", "y::z"))
     assert rows(valid(movies)) == [(1, "Toys (1995)")]
+
+
+def test_lines_with_too_few_or_too_many_fields(spark):
+    lines = table(spark, "1::2::3.5::9", "1::2::3.5", "1::2::3::9::x", "x::2::3::4", '1::2::"3"::4',
+                  "4::5::2::", "", "1::2::3::4::", '6::7::1::"a')
+    found = {r.value: r.status for r in parse_ratings(lines, exact=True).collect()}
+    assert found == {"1::2::3.5::9": "ok", "1::2::3.5": "malformed", "1::2::3::9::x": "malformed",
+                     "x::2::3::4": "invalid", '1::2::"3"::4': "invalid", "4::5::2::": "ok", "": "malformed",
+                     "1::2::3::4::": "malformed", '6::7::1::"a': "ok"}
+    parsed = parse_ratings(lines, exact=True)
+    assert rows(valid(parsed)) == [(1, 2, 3.5), (4, 5, 2.0), (6, 7, 1.0)]
+    assert tuple(status_counts(parsed).first()) == (9, 3, 0, 6) and failed(parsed).count() == 6
+    movies = parse_movies(table(spark, '2::"Q" \\ z::y', "1::::x", "3::t"), exact=True)
+    assert rows(valid(movies)) == [(1, ""), (2, '"Q" \\ z')]
+    nulls = spark.createDataFrame([(None,)], "value string")
+    assert [r.status for r in parse_ratings(nulls, exact=True).collect()] == ["invalid"]
+
+
+def test_counts_come_with_the_rows_that_are_written(spark, tmp_path):
+    """One pass over the lines: each is parsed by just one task, once."""
+    source = str(tmp_path / "lines")
+    table(spark, GOOD, "bad", GOOD, "worse").repartition(3).write.text(source)
+    parsed = parse_access_log(spark.read.text(source))
+    done = write_valid(parsed, str(tmp_path / "valid"))
+    assert done.counts == status_counts(parsed).first().asDict()
+    assert done.counts == {"n_read": 4, "n_ok": 2, "n_header": 0, "n_invalid": 2}
+    assert rows(done.rows, "host") == rows(valid(parsed), "host")
+    products = write_valid(parse_products(table(spark, "no commas")), str(tmp_path / "products"))
+    assert products.counts["n_invalid"] == 1 and products.rows.count() == 0
+    empty = write_valid(parse_access_log(table(spark, "x").limit(0)), str(tmp_path / "empty"))
+    assert set(empty.counts.values()) == {0}
+
+
+def test_writing_and_counting_scan_once(spark, tmp_path):
+    """The job that writes and counts reads every line once, by the plan that ran."""
+    source = str(tmp_path / "lines")
+    table(spark, *[GOOD] * 50, "bad").repartition(1).write.text(source)
+    before = jobs(spark)
+    write_valid(parse_access_log(spark.read.text(source)), str(tmp_path / "valid"))
+    assert jobs(spark) - before == 1
+
+
+def jobs(spark):
+    """Jobs that the session has run so far."""
+    return int(str(spark.sparkContext._jsc.sc().dagScheduler().nextJobId()))

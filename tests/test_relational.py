@@ -88,3 +88,38 @@ def test_value_lists_of_a_null_key_are_cut(spark):
     lists = rel.value_lists(df, "k", "v", 50).collect()
     assert sum(r.n for r in lists) == 400 and len(lists) == pytest.approx(8, abs=2)
     assert max(len(r["values"]) for r in lists) < 100
+
+
+def test_a_function_on_every_partition(spark):
+    def totals(rows_):
+        yield (sum(r.n for r in rows_),)
+
+    df = spark.createDataFrame([(i,) for i in range(1, 10)], "n int").coalesce(1)
+    three = spark.range(1, 10, numPartitions=3).withColumnRenamed("id", "n")
+    assert [t for t, in rows(rel.map_partitions(three, totals, "total bigint"))] == [6, 15, 24]
+    assert [t for t, in rows(rel.map_partitions(df, totals, "total bigint"))] == [45]
+    empty = rel.map_partitions(df.filter("n > 99"), totals, "total bigint")
+    assert {t for t, in rows(empty)} <= {0}
+
+
+def test_a_partition_function_may_yield_any_number_of_rows(spark):
+    def words(rows_):
+        for row in rows_:
+            yield from ((row.id, w, [len(w)]) for w in (row.text or "").split())
+
+    df = spark.createDataFrame([(1, "a bc"), (2, None), (3, "def " * 2500)], "id int, text string")
+    got = rel.map_partitions(df, words, "id int, word string, sizes array<int>")
+    assert got.dtypes == [("id", "int"), ("word", "string"), ("sizes", "array<int>")]
+    assert got.count() == 2502 and got.filter("word = 'bc'").first().sizes == [2]
+    assert rel.map_partitions(df, lambda rows_: (), "x int").collect() == []
+
+
+@pytest.mark.parametrize("value, found", [
+    (5, ["i", "d", "s5"]), (5.0, ["i", "d"]), (5.7, []), ("5", ["i", "s5"]), ("5.0", ["d"]), ("t", ["st"]),
+    ("true", []), (True, ["b"]), (False, []), (1, []), ("", []), (None, [])])
+def test_a_value_is_in_a_column_that_keeps_it(spark, value, found):
+    df = spark.createDataFrame([("i", 5, 0.5, "x", None), ("d", 0, 5.0, "x", None), ("s5", 0, 0.5, "5", None),
+                                ("st", 0, 0.5, "t", None), ("b", 0, 0.5, "x", True)],
+                               "name string, i int, d double, s string, b boolean")
+    got = rel.rows_with_value(df, value, ["i", "d", "s", "b"])
+    assert [r.name for r in got.collect()] == found
