@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from harrow.operators.numbering import number_values
+from harrow.session import materialize
+
 
 def _period(by: str) -> Column:
     if by not in ("day", "date"):
@@ -70,6 +73,34 @@ def daily_requests_per_host(logs: DataFrame, by: str = "day") -> DataFrame:
             .orderBy(by))
 
 
+def host_presence(logs: DataFrame) -> DataFrame:
+    """(date, bucket, bits, n): which hosts were there on each date, as bitmaps of their numbers.
+
+    Hosts are numbered, and a bucket holds a bit for each of a few thousand numbers, so the
+    bitmaps of any dates merge into exact counts of distinct hosts.  One table serves all
+    reports by ``hosts_by_period``; ``n`` counts the requests of the bucket's hosts.
+    """
+    visits = materialize(logs.groupBy(F.to_date("date_time").alias("date"), "host").agg(
+        F.count("*").alias("n")), "visits")
+    number = F.col("_number") + 1  # buckets are counted from 1
+    numbered = visits.join(number_values(visits, "host", "_number"), "host").withColumn(
+        "_number", number.cast("bigint"))
+    return materialize(numbered.groupBy("date", F.bitmap_bucket_number("_number").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_number")).alias("bits"),
+        F.sum("n").alias("n")), "presence")
+
+
+def hosts_by_period(presence: DataFrame, period: Column | str) -> DataFrame:
+    """(period, n_hosts, n): distinct hosts and requests of each period, from ``host_presence``.
+
+    ``period`` is any expression of the date, such as its day or month, or a constant.
+    """
+    period = F.col(period) if isinstance(period, str) else period
+    merged = presence.groupBy(period.alias("period"), "bucket").agg(
+        F.bitmap_count(F.bitmap_or_agg("bits")).alias("n_hosts"), F.sum("n").alias("n"))
+    return merged.groupBy("period").agg(F.sum("n_hosts").alias("n_hosts"), F.sum("n").alias("n"))
+
+
 def distinct_endpoints(logs: DataFrame) -> DataFrame:
     return logs.select("endpoint").distinct()
 

@@ -12,9 +12,9 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harrow.functions.text import contains_any
 from harrow.operators.evaluation import rmse
 from harrow.operators.numbering import number_values
+from harrow.operators.search import rows_with_any_term
 from harrow.session import materialize
 
 # The training settings.
@@ -63,9 +63,9 @@ def item_mean_predictor(training: DataFrame, pairs: DataFrame) -> DataFrame:
         "user", "item", F.col("avg_rating").alias("prediction"))
 
 
-def search_titles(items: DataFrame, terms: Sequence[str]) -> DataFrame:
+def search_titles(items: DataFrame, terms: Sequence[str] | DataFrame) -> DataFrame:
     """Items whose title holds any of the terms, whatever the case."""
-    return items.filter(contains_any("title", [t.lower() for t in terms]))
+    return rows_with_any_term(items, "title", terms)
 
 
 def unrated_items(items: DataFrame, ratings: DataFrame, user: int) -> DataFrame:

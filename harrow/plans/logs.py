@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harrow.operators import access_log as log
@@ -44,6 +47,18 @@ def _log_failed(spark, sf_dir):
     return failed(_parsed(spark, sf_dir))
 
 
+def _host_reports(spark, sf_dir):
+    """Distinct hosts and requests per host by date, day of the month, month and in all."""
+    presence = log.host_presence(_logs(spark, sf_dir))
+    date = F.col("date")
+    kinds = {"date": date.cast("string"), "day": F.day(date).cast("string"),
+             "month": F.date_format(date, "yyyy-MM"), "total": F.lit("all")}
+    reports = [log.hosts_by_period(presence, period).select(
+        F.lit(kind).alias("kind"), "period", "n_hosts",
+        F.expr("n div n_hosts").alias("requests_per_host")) for kind, period in kinds.items()]
+    return reduce(DataFrame.unionByName, reports)
+
+
 QUERIES = {
     "log_parse": _log_parse,
     "log_parse_status": lambda s, d: status_counts(_parsed(s, d)),
@@ -56,6 +71,7 @@ QUERIES = {
     "log_mean_daily_hosts": lambda s, d: log.mean_daily_hosts(_logs(s, d)).select(
         F.round("mean_hosts", 6).alias("mean_hosts")),
     "log_avg_req_per_host": lambda s, d: log.daily_requests_per_host(_logs(s, d)),
+    "log_host_reports": _host_reports,
     "log_404": lambda s, d: _missing(s, d).withColumn(
         "date_time", F.col("date_time").cast("string")),
     "log_404_endpoints": lambda s, d: log.distinct_endpoints(_missing(s, d)),
@@ -109,6 +125,13 @@ WHERE response_code <> 200 GROUP BY endpoint ORDER BY n DESC, endpoint LIMIT 10"
     "log_mean_daily_hosts": _WITH + f"SELECT round(avg(n_hosts), 6) AS mean_hosts FROM ({_PER_DAY})",
     "log_avg_req_per_host": _WITH + f"""SELECT day, CAST(n // n_hosts AS BIGINT) AS requests_per_host
 FROM ({_PER_DAY})""",
+    "log_host_reports": _WITH + "\nUNION ALL ".join(
+        f"""SELECT '{kind}' AS kind, {period} AS period, count(DISTINCT host) AS n_hosts,
+  CAST(count(*) // count(DISTINCT host) AS BIGINT) AS requests_per_host FROM logs GROUP BY 2"""
+        for kind, period in {
+            "date": "CAST(CAST(date_time AS DATE) AS VARCHAR)",
+            "day": "CAST(day(date_time) AS VARCHAR)", "month": "strftime(date_time, '%Y-%m')",
+            "total": "'all'"}.items()),
     "log_404": _WITH + f"SELECT {_ROW} FROM missing",
     "log_404_endpoints": _WITH + "SELECT DISTINCT endpoint FROM missing",
     "log_top_404": _WITH + """SELECT endpoint, count(*) AS n FROM missing

@@ -18,6 +18,7 @@ from harrow.plans.inputs import (
     items,
     rating_lines,
     ratings,
+    table,
 )
 from harrow.session import materialize
 
@@ -147,6 +148,15 @@ def _topn(spark, sf_dir):
         "place", "item", "title", "n_ratings", "prediction")
 
 
+def _numbered_customers(spark, sf_dir):
+    """Customers whose name holds the number in the name of any supplier."""
+    names = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("item"), F.col("c_name").alias("title"))
+    terms = table(spark, sf_dir, "supplier").select(
+        F.upper(F.substring("s_name", 9, 10)).alias("term"))
+    return rec.search_titles(names, terms)
+
+
 def _stats(spark, sf_dir):
     return rec.item_stats(ratings(spark, sf_dir))
 
@@ -165,6 +175,7 @@ QUERIES = {
     "rec_mean_baseline_rmse": _mean_baseline,
     "rec_pred_named": _pred_named,
     "rec_title_search": lambda s, d: rec.search_titles(items(s, d), TITLE_TERMS),
+    "rec_title_search_many": _numbered_customers,
     "rec_unrated": lambda s, d: rec.unrated_items(items(s, d), _mine(s), PERSONAL_USER),
     "rec_als_predict": _als_predict,
     "rec_als_pairs": _als_pairs,
@@ -229,6 +240,8 @@ WHERE n_ratings > {NAMED_MIN_RATINGS}""",
     "rec_title_search": f"WITH {ITEMS_SQL}\n" + """SELECT item, title FROM items
 WHERE contains(lower(title), 'small') OR contains(lower(title), 'ring')
   OR contains(lower(title), 'blue bolt')""",
+    "rec_title_search_many": """SELECT c_custkey AS item, c_name AS title FROM customer
+WHERE EXISTS (SELECT 1 FROM supplier WHERE contains(lower(c_name), lower(substr(s_name, 9, 10))))""",
     "rec_unrated": f"""WITH {ITEMS_SQL}
 SELECT CAST({PERSONAL_USER} AS BIGINT) AS "user", item FROM items
 WHERE item NOT IN ({_ITEM_KEYS})""",

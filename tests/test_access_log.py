@@ -1,5 +1,9 @@
+import datetime
+import random
+
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from harrow.operators import access_log as log
 from harrow.operators.parse import parse_access_log, valid
@@ -63,3 +67,21 @@ def test_unknown_period(logs):
 def test_top_k_needs_no_full_sort(logs):
     plan = log.top_error_endpoints(logs, 3)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+
+
+def test_bitmaps_of_hosts_merge_into_exact_counts(spark):
+    rng = random.Random(2)
+    data = [(f"h{rng.randint(0, 60_000)}", datetime.datetime(2024, rng.choice([1, 2, 3]), rng.randint(1, 3), 5))
+            for _ in range(60_000)] + [("hot", datetime.datetime(2024, 1, 1))] * 30_000
+    logs = spark.createDataFrame(data, "host string, date_time timestamp_ntz")
+    presence = log.host_presence(logs)
+    assert presence.agg({"bucket": "max"}).first()[0] > 1  # more hosts than a bucket has bits
+    for name, column, key in (
+            ("day", F.day("date"), lambda t: t.day), ("month", F.month("date"), lambda t: t.month),
+            ("date", F.col("date"), lambda t: t.date()), ("all", F.lit(0), lambda t: 0)):
+        want = {}
+        for host, time in data:
+            want.setdefault(key(time), []).append(host)
+        got = {r.period: (r.n_hosts, r.n) for r in log.hosts_by_period(presence, column).collect()}
+        assert got == {k: (len(set(v)), len(v)) for k, v in want.items()}, name
+    assert log.hosts_by_period(log.host_presence(logs.limit(0)), "date").collect() == []
