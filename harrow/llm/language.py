@@ -4,7 +4,8 @@ The vocabulary is that of a public tokenizer and stays as it is; only the probab
 of each piece in each language is learned, by expectation-maximisation over all ways
 of cutting training words into pieces.  A text is scored by the forward algorithm,
 which sums over all segmentations.  No piece crosses the end of a word, so the score
-of a text is the sum of its words', and a word is worked out once per task.
+of a text is the sum of its words', and a word is worked out once per task.  Long words
+are gone through in windows, and the sums are scaled on the way, so that none vanishes.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +26,13 @@ from harrow.session import materialize
 DOCS_PER_LANGUAGE = 1_000  # training texts per language, about; a bounded sample
 ROUNDS = 3                 # of expectation-maximisation
 USE_UNITS = 1 << 20        # expected uses are summed in whole units of 1 / USE_UNITS
-MAX_PIECE = 16             # longest piece in characters
-SEGMENT = 32               # longer runs of letters are scored in segments of this length
+CELLS = 1 << 20            # pieces, times languages, whose probabilities are held at once
+WINDOW = 1 << 11           # positions of a word gone through at once
+SCALE_EVERY = 16           # positions after which sums are scaled
 UNKNOWN = 1e-7             # probability of a character that is no piece
 SMOOTHING = 0.5            # expected uses added to every piece
-CACHED_WORDS = 400_000     # words a worker remembers
+CACHED_BYTES = 48 << 20    # of words and their scores that a worker remembers, about
+TEXT_CHARS = 1 << 20       # of texts scored together, or one longer text
 UNDETERMINED = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -45,21 +48,14 @@ def vocabulary(path: str | None = None) -> list[str]:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())
               if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
-    return sorted(p for p in pieces if 0 < len(p) <= MAX_PIECE)
+    return sorted(p for p in pieces if p)
 
 
 def text_words(text: str | None) -> list[str]:
-    """Runs of letters in lower case, cut into segments; the first is marked as a start."""
+    """Runs of letters in lower case, marked as starts of a word."""
     if not text or not any(map(str.isalpha, text)):  # numbers like a raised 2 are no letters
         return []
-    words = _WORD.findall(text.lower())
-    if all(len(w) <= SEGMENT for w in words):
-        return ["▁" + w for w in words]
-    cut = []
-    for w in words:
-        cut.append("▁" + w[:SEGMENT])
-        cut += [w[i:i + SEGMENT] for i in range(SEGMENT, len(w), SEGMENT)]
-    return cut
+    return ["▁" + w for w in _WORD.findall(text.lower())]
 
 
 @dataclass
@@ -69,9 +65,11 @@ class LanguageModel:
     languages: list[str]
     pieces: list[str]
     probabilities: np.ndarray
-    _ids: dict = field(default_factory=dict, repr=False)
-    _known: dict = field(default_factory=dict, repr=False)
-    _scores: list = field(default_factory=list, repr=False)
+
+    def __post_init__(self):
+        self._ids: dict[str, int] = {}
+        self._known: dict[str, int] = {}    # the words remembered and their rows in _table
+        self._table = np.zeros((0, len(self.languages)))
 
     def __getstate__(self):
         return self.languages, self.pieces, self.probabilities
@@ -79,121 +77,180 @@ class LanguageModel:
     def __setstate__(self, state):
         self.__init__(*state)
 
-    def _lattice(self, words: list[str]) -> np.ndarray:
-        """Piece ids [word, end, length - 1] of words of one length; 0 where there is none."""
+    def _lookup(self) -> dict[str, int]:
         if not self._ids:
             self._ids.update({p: i + 1 for i, p in enumerate(self.pieces)})
-        n, get = len(words[0]), self._ids.get
+            self._longest = max(map(len, self.pieces), default=1)
+            self._padded = np.vstack([np.zeros(len(self.languages)), self.probabilities])
+        return self._ids
+
+    def _lattice(self, words: list[str], first: int, last: int) -> np.ndarray:
+        """Piece ids [word, end, length - 1] of words of one length; 0 where there is none.
+
+        The ends run from ``first`` to ``last``, counted from 1.
+        """
+        get = self._lookup().get
+        longest = min(self._longest, len(words[0]))
         found = [get(w[end - size:end], 0) if size <= end else 0
-                 for w in words for end in range(1, n + 1) for size in range(1, MAX_PIECE + 1)]
-        return np.array(found, np.int32).reshape(len(words), n, MAX_PIECE)
-
-    def _steps(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The lattice and the probability of each of its pieces per language."""
-        ids = self._lattice(words)
-        steps = np.vstack([np.zeros(len(self.languages)), self.probabilities])[ids]
-        unknown = ids[:, :, 0] == 0
-        steps[unknown, 0] = UNKNOWN
-        return ids, steps
-
-    def forward(self, words: list[str]) -> np.ndarray:
-        """alpha[word, end, language] of words of one length, over all segmentations."""
-        _, steps = self._steps(words)
-        return _forward(steps)
+                 for w in words for end in range(first, last + 1) for size in range(1, longest + 1)]
+        return np.array(found, np.int32).reshape(len(words), last + 1 - first, longest)
+
+    def _parts(self, words: list[str], columns: int) -> Iterator[tuple[np.ndarray, list, int]]:
+        """(indexes, windows as (first end, last end), longest piece) of words of one length."""
+        self._lookup()
+        for index in _by_length(words):
+            n = len(words[index[0]])
+            longest = min(self._longest, n)
+            together = max(1, CELLS // (min(n, WINDOW) * longest * columns))
+            windows = [(a, min(a + WINDOW - 1, n)) for a in range(1, n + 1, WINDOW)]
+            for at in range(0, len(index), together):
+                yield index[at:at + together], windows, longest
 
     def word_scores(self, words: list[str]) -> np.ndarray:
-        """Logarithm of each word's probability per language."""
+        """Logarithm of each word's probability per language, over all segmentations."""
         scores = np.empty((len(words), len(self.languages)))
-        for index in _by_length(words):
-            for at in range(0, len(index), 2_000):
-                part = index[at:at + 2_000]
-                scores[part] = np.log(self.forward([words[i] for i in part])[:, -1])
+        for index, windows, longest in self._parts(words, len(self.languages)):
+            own = [words[i] for i in index]
+            ring, log = _start(len(own), longest, len(self.languages))
+            for first, last in windows:
+                ids = self._lattice(own, first, last)
+                steps = self._padded[ids]
+                steps[:, :, 0][ids[:, :, 0] == 0] = UNKNOWN
+                ring, log, _ = _forward(steps, ring, log)
+            scores[index] = np.log(ring[:, -1]) + log
         return scores
 
+    def _rows(self, words: list[str]) -> list[int]:
+        """Where the scores of the words stand in the table."""
+        most = CACHED_BYTES // (120 + 8 * len(self.languages))
+        fresh = [w for w in dict.fromkeys(words) if w not in self._known]
+        if len(self._known) + len(fresh) > most and self._known:
+            self._known.clear()
+            fresh = list(dict.fromkeys(words))
+        n = len(self._known)
+        if n + len(fresh) > len(self._table) or len(self._table) > max(most, n + len(fresh)):
+            table = np.empty((max(n + len(fresh), min(2 * n, most)), len(self.languages)))
+            table[:n] = self._table[:n]
+            self._table = table
+        if fresh:
+            self._table[n:n + len(fresh)] = self.word_scores(fresh)
+            self._known.update(zip(fresh, range(n, n + len(fresh)), strict=True))
+        return list(map(self._known.__getitem__, words))
+
     def score(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """The likeliest language of each text and its probability."""
         if not self.languages:
             return [UNDETERMINED] * len(texts), [0.0] * len(texts)
-        known, rows, lengths = self._known, [], []
-        if len(known) > CACHED_WORDS:
-            known.clear()
-            self._scores.clear()
-        if not self._scores:
-            self._scores.append(np.zeros((0, len(self.languages))))
-        for text in texts:
-            own = text_words(text)
-            fresh = [w for w in dict.fromkeys(own) if w not in known]
-            if fresh:
-                known.update(zip(fresh, range(len(known), len(known) + len(fresh)), strict=True))
-                self._scores.append(fresh)
-            rows += map(known.__getitem__, own)
-            lengths.append(len(own))
-        fresh = [w for part in self._scores[1:] for w in part]
-        self._scores[:] = [np.vstack([self._scores[0], self.word_scores(fresh)])
-                           if fresh else self._scores[0]]
-        sums = np.vstack([np.zeros(len(self.languages)),
-                          np.cumsum(self._scores[0][np.array(rows, np.int64)], axis=0)])
-        ends = np.cumsum(lengths)
-        totals = sums[ends] - sums[ends - lengths]
-        best = totals.argmax(axis=1)
-        share = 1 / np.exp(totals - totals.max(axis=1, keepdims=True)).sum(axis=1)
-        names = [self.languages[b] if n else UNDETERMINED
-                 for b, n in zip(best, lengths, strict=True)]
-        return names, [float(s) if n else 0.0 for s, n in zip(share, lengths, strict=True)]
+        names: list[str] = []
+        shares: list[float] = []
+        at = 0
+        while at < len(texts):
+            size, own = 0, []
+            while at < len(texts) and (not own or size + len(texts[at] or "") <= TEXT_CHARS):
+                size += len(texts[at] or "")
+                own.append(text_words(texts[at]))
+                at += 1
+            lengths = np.array([len(words) for words in own])
+            rows = np.array(self._rows([w for words in own for w in words]), np.int64)
+            totals = np.zeros((len(own), len(self.languages)))
+            some = np.flatnonzero(lengths)
+            if len(some):  # one sum per text, whatever texts stand beside it
+                starts = (np.cumsum(lengths) - lengths)[some]
+                totals[some] = np.add.reduceat(self._table[rows], starts, axis=0)
+            share = 1 / np.exp(totals - totals.max(axis=1, keepdims=True)).sum(axis=1)
+            names += [self.languages[b] if n else UNDETERMINED
+                      for b, n in zip(totals.argmax(axis=1), lengths, strict=True)]
+            shares += [float(s) if n else 0.0 for s, n in zip(share, lengths, strict=True)]
+        return names, shares
 
 
 def _by_length(words: list[str]) -> Iterator[np.ndarray]:
     lengths = np.array([len(w) for w in words], np.int64)
-    for n in np.unique(lengths):
-        yield np.flatnonzero(lengths == n)
+    order = np.argsort(lengths, kind="stable")
+    if len(order):
+        yield from np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1)
 
 
-def _forward(steps: np.ndarray) -> np.ndarray:
-    words, n, _, languages = steps.shape
-    alpha = np.zeros((words, n, languages))
-    for end in range(n):
-        if end < MAX_PIECE:
-            alpha[:, end] = steps[:, end, end]
-        for size in range(min(end, MAX_PIECE)):
-            alpha[:, end] += alpha[:, end - size - 1] * steps[:, end, size]
-    return alpha
+def _start(words: int, longest: int, columns: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sums at the last ``longest`` ends before the first, and their scale's logarithm."""
+    ring = np.zeros((words, longest, columns))
+    ring[:, -1] = 1
+    return ring, np.zeros((words, columns))
+
 
+def _forward(steps: np.ndarray, ring: np.ndarray, log: np.ndarray,
+             keep: bool = False) -> tuple[np.ndarray, np.ndarray, list]:
+    """The forward sums behind a window, their scale, and with ``keep`` how they came about.
 
-def _backward(steps: np.ndarray) -> np.ndarray:
-    words, n, _, languages = steps.shape
-    beta = np.zeros((words, n, languages))
-    beta[:, n - 1] = 1
-    for start in range(n - 2, -1, -1):
-        for size in range(min(n - 1 - start, MAX_PIECE)):
-            beta[:, start] += beta[:, start + size + 1] * steps[:, start + size + 1, size]
-    return beta
+    ``steps`` has the probability of [word, end, length - 1, column].  What is kept is, for
+    every end, each piece's part of its sum and the scale that it has.
+    """
+    words, n, longest, columns = steps.shape
+    sums = np.empty((words, longest + n, columns))
+    sums[:, :longest] = ring
+    kept = []
+    for end in range(n):
+        flow = sums[:, end:end + longest][:, ::-1] * steps[:, end]
+        if keep:
+            kept.append((flow, log))
+        sums[:, end + longest] = flow.sum(axis=1)
+        if (end + 1) % SCALE_EVERY == 0:
+            last = sums[:, end + 1:end + longest + 1]
+            top = last.max(axis=1)
+            last /= top[:, None]
+            log = log + np.log(top)
+    return sums[:, n:], log, kept
 
 
 def expected_uses(model: LanguageModel, words: list[str], columns: np.ndarray,
                   counts: np.ndarray) -> np.ndarray:
     """How often each piece is used in each language, over all segmentations of the words.
 
-    Word i stands ``counts[i]`` times in the language of column ``columns[i]``.
+    Word i stands ``counts[i]`` times in the language of column ``columns[i]``.  The forward
+    sums are kept at the start of every window only, and worked out again on the way back.
     """
     n_languages = len(model.languages)
-    known = np.vstack([np.zeros(n_languages), model.probabilities])
-    uses = np.zeros(len(known) * n_languages)
-    for index in _by_length(words):
-        for at in range(0, len(index), 2_000):
-            part = index[at:at + 2_000]
-            ids, column = model._lattice([words[i] for i in part]), columns[part]
-            steps = known[ids, column[:, None, None]]
+    uses = np.zeros((len(model.pieces) + 1) * n_languages)
+    for index, windows, longest in model._parts(words, 1):
+        own, column = [words[i] for i in index], columns[index]
+
+        def steps_of(first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+            ids = model._lattice(own, first, last)
+            steps = model._padded[ids, column[:, None, None]]
             steps[:, :, 0][ids[:, :, 0] == 0] = UNKNOWN
-            steps = steps[..., None]
-            alpha, beta = _forward(steps)[..., 0], _backward(steps)[..., 0]
-            share = counts[part] / alpha[:, -1]
-            expected = steps[..., 0] * (beta * share[:, None])[..., None]
-            for end in range(ids.shape[1]):
-                for size in range(min(end, MAX_PIECE)):
-                    expected[:, end, size] *= alpha[:, end - size - 1]
+            return ids, steps[..., None]
+
+        state = _start(len(own), longest, 1)
+        states = []
+        for window in windows:
+            states.append(state)
+            state = _forward(steps_of(*window)[1], *state)[:2]
+        whole = (np.log(state[0][:, -1]) + state[1])[:, 0]
+        # ``behind`` is the sum over all that follows an end; ``waiting`` those of the ends
+        # before it, as far as they are known.
+        behind, scale = np.ones(len(own)), np.zeros(len(own))
+        waiting = np.zeros((len(own), longest))
+        for window, state in zip(windows[::-1], states[::-1], strict=True):
+            ids, steps = steps_of(*window)
+            kept = _forward(steps, *state, keep=True)[2]
+            expected = np.empty(ids.shape)
+            for end in range(ids.shape[1] - 1, -1, -1):
+                flow, log = kept[end]
+                share = counts[index] * behind * np.exp(log[:, 0] + scale - whole)
+                expected[:, end] = flow[..., 0] * share[:, None]
+                waiting += behind[:, None] * steps[:, end, :, 0]
+                behind = waiting[:, 0].copy()
+                waiting[:, :-1] = waiting[:, 1:]
+                waiting[:, -1] = 0
+                if end % SCALE_EVERY == 0:
+                    top = np.maximum(behind, waiting.max(axis=1))
+                    top[top == 0] = 1
+                    behind /= top
+                    waiting /= top[:, None]
+                    scale = scale + np.log(top)
             place = ids.astype(np.int64) * n_languages + column[:, None, None]
             uses += np.bincount(place.ravel(), expected.ravel(), len(uses))
-    return uses.reshape(len(known), n_languages)[1:]
+    return uses.reshape(-1, n_languages)[1:]
 
 
 def _even(languages: list[str], pieces: list[str]) -> LanguageModel:
@@ -257,8 +314,8 @@ def learn_languages(docs: DataFrame, vocabulary_path: str | None = None) -> Lang
     """A model of the languages in ``lang``, from a bounded sample of ``text``.
 
     Rows with a null language or text are left out; without any row the model knows no
-    language.  The sample takes about DOCS_PER_LANGUAGE texts per language, picked by a
-    hash of the text; every word of these texts trains.
+    language.  The sample takes about DOCS_PER_LANGUAGE different texts per language, picked
+    by a hash of the text; every word of these texts trains, copies count once.
     """
     docs = docs.select("lang", "text").dropna()
     sizes = {r[0]: r[1] for r in docs.groupBy("lang").count().collect()}
@@ -267,7 +324,7 @@ def learn_languages(docs: DataFrame, vocabulary_path: str | None = None) -> Lang
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items()
                            for x in (lang, min(1.0, DOCS_PER_LANGUAGE / n))])
     place = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1_000_000.0
-    sample = docs.filter(place < share[F.col("lang")])
+    sample = docs.filter(place < share[F.col("lang")]).dropDuplicates(["lang", "text"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -297,13 +354,7 @@ def identify(docs: DataFrame, model: LanguageModel, keep: list[str] | None = Non
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batch: pa.RecordBatch) -> tuple[list[str], list[float]]:
-        texts = batch.column("text").to_pylist()
-        names, scores = [], []
-        for at in range(0, len(texts), 500):
-            part = shared.value.score(texts[at:at + 500])
-            names += part[0]
-            scores += part[1]
-        return names, scores
+        return shared.value.score(batch.column("text").to_pylist())
 
     return add_columns(docs, work, "lang_pred string, score double", keep or docs.columns)
 

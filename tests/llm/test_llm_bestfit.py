@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from harrow.llm import bestfit, byte_tokens
-from tests.llm import llm_cases
+import llm_cases
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from harrow.llm import collocations as co
-from tests.llm import llm_cases
+import llm_cases
 
 
 def plain(rows, least, top, inside):

@@ -58,17 +58,78 @@ def test_text_score_is_the_posterior_of_its_words():
 
 def test_a_full_memory_is_emptied(monkeypatch):
     m, fresh = model(), model()
-    monkeypatch.setattr(language, "CACHED_WORDS", 1)
-    for text in ("ab ba", "abab", "ab ba"):
+    monkeypatch.setattr(language, "CACHED_BYTES", 300)
+    for text in ("ab ba", "abab", "ab ba", "a b ab ba abab bb"):
         assert m.score([text]) == fresh.score([text])
-    assert len(m._known) <= 1 + 2  # what may be held before a call, and the words of the call
-
-
-def test_long_runs_are_scored_whole():
-    run = "abab" * 40
-    words = language.text_words(run + " ab")
-    assert "".join(words) == "▁" + run + "▁ab" and max(map(len, words)) <= language.SEGMENT + 1
-    assert np.isfinite(model().word_scores(words)).all()
+    assert len(m._known) <= 6 and len(m._table) <= 6
+
+
+def test_few_texts_at_a_time(monkeypatch):
+    texts = ["ab ba", None, "abab " * 9, "b", "", "a" * 30, "ba"]
+    want = model().score(texts)
+    monkeypatch.setattr(language, "TEXT_CHARS", 10)
+    assert model().score(texts) == want
+
+
+def forward_by_logs(word, m, column):
+    """The sum over all ways of cutting, end by end and in logarithms."""
+    logs = [0.0]
+    for end in range(1, len(word) + 1):
+        parts = []
+        for start in range(end):
+            piece = word[start:end]
+            if piece in m.pieces:
+                parts.append(logs[start] + math.log(m.probabilities[m.pieces.index(piece), column]))
+            elif len(piece) == 1:
+                parts.append(logs[start] + math.log(language.UNKNOWN))
+        logs.append(np.logaddexp.reduce(parts))
+    return logs[-1]
+
+
+@pytest.mark.parametrize("window", [1, 5, 16, 2048])
+def test_long_runs_are_scored_whole(monkeypatch, window):
+    monkeypatch.setattr(language, "WINDOW", window)
+    run = "abéab" * 300
+    assert language.text_words(run + " ab") == ["▁" + run, "▁ab"]
+    m = model()
+    scores = m.word_scores(["▁" + run, "▁ab"])
+    for k in range(2):
+        assert scores[0, k] == pytest.approx(forward_by_logs("▁" + run, m, k), rel=1e-12)
+        assert scores[0, k] < -1000  # far below the smallest double
+
+
+@pytest.mark.parametrize("window", [1, 5, 2048])
+def test_uses_of_pieces_in_long_words(monkeypatch, window):
+    """The derivative of the logarithm of a word's probability, by small steps."""
+    monkeypatch.setattr(language, "WINDOW", window)
+    m, words = model(), ["▁" + "abaéb" * 40, "▁ab", "▁bab"]
+    uses = language.expected_uses(m, words, np.array([0, 1, 0]), np.array([2.0, 3.0, 1.0]))
+    for i in range(len(PIECES)):
+        for k, own in ((0, [(words[0], 2), (words[2], 1)]), (1, [(words[1], 3)])):
+            logs = []
+            for step in (1e-6, -1e-6):
+                p = m.probabilities.copy()
+                p[i, k] *= math.exp(step)
+                moved = language.LanguageModel(m.languages, PIECES, p)
+                logs.append(sum(n * forward_by_logs(w, moved, k) for w, n in own))
+            assert uses[i, k] == pytest.approx((logs[0] - logs[1]) / 2e-6, abs=1e-4)
+
+
+def test_all_pieces_of_the_vocabulary_are_kept():
+    import public_tokenizers
+    import sentencepiece
+    own = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    kept = {own.id_to_piece(i).lower() for i in range(own.get_piece_size())
+            if not (own.is_control(i) or own.is_unknown(i) or own.is_byte(i))}
+    assert set(language.vocabulary()) == kept - {""}
+
+
+def test_copies_of_a_text_train_once(spark):
+    texts = [("x", "abc abd")] * 500 + [("x", "fgh"), ("y", "klm")]
+    one = [("x", "abc abd"), ("x", "fgh"), ("y", "klm")]
+    many, few = (language.learn_languages(spark.createDataFrame(t, "lang string, text string"))
+                 for t in (texts, one))
+    assert np.allclose(many.probabilities, few.probabilities)
 
 
 def test_training_raises_the_likelihood():
