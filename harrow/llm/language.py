@@ -194,7 +194,7 @@ def _forward(steps: np.ndarray, ring: np.ndarray, log: np.ndarray,
         if keep:
             kept.append((flow, log))
         sums[:, end + longest] = flow.sum(axis=1)
-        if (end + 1) % SCALE_EVERY == 0:
+        if (end + 1) % SCALE_EVERY == 0 or end + 1 == n:
             last = sums[:, end + 1:end + longest + 1]
             top = last.max(axis=1)
             last /= top[:, None]
