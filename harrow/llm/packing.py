@@ -3,7 +3,7 @@
 A document is cut into full sequences and a rest.  The rests, by length class, are the
 items of a cutting-stock problem: a linear program over patterns (how many items of
 each class a sequence holds) is solved by column generation, in which a knapsack
-dynamic program prices new patterns.  Whole numbers of each pattern are kept, what
+dynamic program prices new patterns, until the prices prove it solved.  Whole numbers of each pattern are kept, what
 is left is filled greedily, and the documents, ranked within their class, take the
 patterns' places in order.  Only the histogram of classes reaches the driver.
 """
@@ -23,12 +23,15 @@ from harrow.session import materialize
 
 CAPACITY = 4096   # tokens of a sequence
 END = 2           # the id after every document
-CLASS = 16        # tokens by which length classes differ, at most
-MAX_STEPS = 4_000 # of the simplex method; any basis it stops at is a valid packing
+CLASS = 8         # tokens by which length classes differ, at most
+GAP = 1e-4        # the program ends within this share of the bound that its prices prove
+GAIN = 1e-7       # by which a pattern must be worth more than a sequence
+REFACTOR = 500    # steps of the simplex method after which its inverse is worked out anew
+POOL = 40         # patterns remembered, times the number of classes
 
 
-def best_pattern(sizes: np.ndarray, prices: np.ndarray, room: int) -> tuple[float, np.ndarray]:
-    """The most valuable multiset of sizes that fits, by dynamic programming."""
+def knapsack(sizes: np.ndarray, prices: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
+    """(value, last size) for every space: the most valuable multiset of sizes that fits."""
     value = np.zeros(room + 1)
     choice = np.full(room + 1, -1)
     for space in range(1, room + 1):
@@ -39,78 +42,135 @@ def best_pattern(sizes: np.ndarray, prices: np.ndarray, room: int) -> tuple[floa
             k = int(worth.argmax())
             if worth[k] > value[space] + 1e-12:
                 value[space], choice[space] = worth[k], k
-    pattern, space = np.zeros(len(sizes), np.int64), room
+    return value, choice
+
+
+def _filled(sizes: np.ndarray, choice: np.ndarray, space: int) -> np.ndarray:
+    pattern = np.zeros(len(sizes), np.int64)
     while space > 0:
         if choice[space] < 0:
             space -= 1
         else:
             pattern[choice[space]] += 1
             space -= sizes[choice[space]]
-    return float(value[room]), pattern
+    return pattern
+
+
+def best_pattern(sizes: np.ndarray, prices: np.ndarray, room: int) -> tuple[float, np.ndarray]:
+    """The most valuable multiset of sizes that fits, by dynamic programming."""
+    value, choice = knapsack(sizes, prices, room)
+    return float(value[room]), _filled(sizes, choice, room)
+
+
+def first_fit(sizes: np.ndarray, demand: np.ndarray, room: int) -> list[tuple[np.ndarray, int]]:
+    """(items of each size, copies): the largest first, as often as each pattern can be had."""
+    left, plan = demand.astype(np.int64), []
+    while left.any():
+        pattern, space = np.zeros(len(sizes), np.int64), room
+        for k in range(len(sizes) - 1, -1, -1):
+            pattern[k] = min(left[k], space // sizes[k])
+            space -= pattern[k] * sizes[k]
+        used = pattern > 0
+        copies = int((left[used] // pattern[used]).min())
+        plan.append((pattern, copies))
+        left = left - copies * pattern
+    return plan
 
 
 def solve_patterns(sizes: np.ndarray, demand: np.ndarray,
-                   room: int) -> tuple[np.ndarray, np.ndarray]:
-    """(patterns, copies): fractional numbers of patterns that cover the demand.
+                   room: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """(patterns, copies, bound): fractional numbers of patterns that cover the demand.
 
-    The linear program's revised simplex method starts from patterns of a single size and
-    brings in the pattern (or the surplus of a size) with the best reduced cost.
+    The linear program starts from first-fit's patterns.  The revised simplex method brings
+    in known patterns until none gains any more; then one run of the knapsack program on the
+    prices gives, for every size, the most valuable pattern with it, and those that gain
+    join the others.  It ends when no pattern gains, or when the total lies within GAP of
+    ``bound``, the least number of sequences that the prices prove.
     """
     n = len(sizes)
+    # Slightly uneven demands keep the steps of the simplex method from standing still.
+    demand = demand + 1e-5 * np.random.default_rng(20240229).random(n)
     columns = np.diag(room // sizes).astype(float)
     costs = np.ones(n)
     inverse = np.diag(1.0 / np.diag(columns))
-    amounts = inverse @ demand
-    for _ in range(MAX_STEPS):
-        prices = costs @ inverse
-        value, pattern = best_pattern(sizes, np.maximum(prices, 0), room)
-        gain, entering, cost = value - 1, pattern.astype(float), 1.0
-        if -prices.min() > gain:
-            gain, entering, cost = -prices.min(), np.zeros(n), 0.0
-            entering[prices.argmin()] = -1
-        if gain <= 1e-9:
+    pool = np.array([p for p, _ in first_fit(sizes, demand, room)], float).T.reshape(n, -1)
+    bound, steps = 0.0, 0
+    while True:
+        amounts = inverse @ demand
+        while True:  # the simplex method on the patterns known, and on surplus of a size
+            prices = costs @ inverse
+            gains = prices @ pool - 1
+            entering, cost, gain = None, 1.0, GAIN
+            if len(gains) and gains.max() > gain:
+                entering, gain = pool[:, gains.argmax()], gains.max()
+            if -prices.min() > gain:
+                entering, cost = np.zeros(n), 0.0
+                entering[prices.argmin()] = -1
+            if entering is None:
+                break
+            change = inverse @ entering
+            falling = change > 1e-7
+            if not falling.any():
+                break
+            ratio = np.where(falling, amounts / np.where(falling, change, 1), np.inf)
+            out = int(ratio.argmin())
+            step = ratio[out]
+            amounts = np.maximum(amounts - step * change, 0)
+            amounts[out] = step
+            row = inverse[out] / change[out]
+            inverse -= np.outer(change, row)
+            inverse[out] = row
+            columns[:, out], costs[out] = entering, cost
+            steps += 1
+            if steps % REFACTOR == 0:
+                inverse = np.linalg.inv(columns)
+                amounts = np.maximum(inverse @ demand, 0)
+        prices = np.maximum(prices, 0)
+        value, choice = knapsack(sizes, prices, room)
+        total = float(prices @ demand)
+        bound = max(bound, total / max(1.0, float(value[room])))
+        with_size = prices + value[room - sizes]
+        good = np.flatnonzero(with_size > 1 + GAIN)
+        if total <= (1 + GAP) * bound or not len(good):
             break
-        change = inverse @ entering
-        falling = change > 1e-9
-        if not falling.any():
+        known = {column.tobytes() for column in pool.T.astype(np.int64)}
+        fresh = []
+        for k in good:
+            pattern = _filled(sizes, choice, room - sizes[k])
+            pattern[k] += 1
+            if pattern.tobytes() not in known:
+                known.add(pattern.tobytes())
+                fresh.append(pattern)
+        if not fresh:  # what seems to gain is known, and gains by rounding alone
             break
-        ratio = np.where(falling, amounts / np.where(falling, change, 1), np.inf)
-        out = int(ratio.argmin())
-        step = ratio[out]
-        amounts = np.maximum(amounts - step * change, 0)
-        amounts[out] = step
-        row = inverse[out] / change[out]
-        inverse -= np.outer(change, row)
-        inverse[out] = row
-        columns[:, out], costs[out] = entering, cost
+        pool = np.column_stack([pool, np.array(fresh, float).T])
+        if pool.shape[1] > POOL * n:  # patterns far from gaining are found again if need be
+            pool = pool[:, np.argsort(-(prices @ pool), kind="stable")[:POOL * n // 2]]
     real = costs > 0
-    return columns[:, real].T.astype(np.int64), amounts[real]
+    return columns[:, real].T.astype(np.int64), amounts[real], bound
 
 
 def plan_patterns(sizes: np.ndarray, demand: np.ndarray,
                   room: int) -> list[tuple[np.ndarray, int]]:
-    """(items of each size, copies) of whole patterns that hold the demand."""
+    """(items of each size, copies) of whole patterns that hold the demand.
+
+    Whole copies of the program's patterns, then first fit for what is left; never more
+    sequences than first fit alone.
+    """
     if not len(sizes):
         return []
     left = demand.astype(np.int64)
     plan = []
-    patterns, amounts = solve_patterns(sizes, demand.astype(float), room)
-    for pattern, copies in zip(patterns, np.floor(amounts + 1e-9).astype(np.int64), strict=True):
+    patterns, amounts, _ = solve_patterns(sizes, demand.astype(float), room)
+    for pattern, copies in zip(patterns, np.floor(amounts + 1e-4).astype(np.int64), strict=True):
         used = pattern > 0
         copies = min(int(copies), int((left[used] // pattern[used]).min())) if used.any() else 0
         if copies:
             plan.append((pattern, copies))
             left = left - copies * pattern
-    while left.any():  # first fit of the largest, as often as that pattern can be had
-        pattern, space = np.zeros(len(sizes), np.int64), room
-        for k in range(len(sizes) - 1, -1, -1):
-            pattern[k] = min(left[k], space // sizes[k])
-            space -= pattern[k] * sizes[k]
-        used = pattern > 0
-        copies = int((left[used] // pattern[used]).min())
-        plan.append((pattern, copies))
-        left = left - copies * pattern
-    return plan
+    plan += first_fit(sizes, left, room)
+    greedy = first_fit(sizes, demand, room)
+    return min(plan, greedy, key=lambda p: sum(copies for _, copies in p))
 
 
 def _pieces(path: str, capacity: int, end: int) -> Callable[[Iterator[pa.RecordBatch]],

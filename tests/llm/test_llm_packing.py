@@ -43,8 +43,8 @@ def test_best_pattern_equals_trying_all():
 
 def test_patterns_cover_the_demand_at_the_best_rate():
     sizes, demand = np.array([3, 4, 5]), np.array([200, 300, 100])
-    patterns, amounts = packing.solve_patterns(sizes, demand.astype(float), 10)
-    assert (patterns @ sizes <= 10).all()
+    patterns, amounts, bound = packing.solve_patterns(sizes, demand.astype(float), 10)
+    assert (patterns @ sizes <= 10).all() and bound <= amounts.sum() <= (1 + packing.GAP) * bound + 1e-3
     assert (patterns.T @ amounts >= demand - 1e-6).all()
     # No fewer than the total size allows, and 10 = 5 + 5 = 3 + 3 + 4 fill sequences.
     assert amounts.sum() == pytest.approx(max(2300 / 10, 50 + 100 + 100), abs=21)
@@ -55,6 +55,23 @@ def test_patterns_cover_the_demand_at_the_best_rate():
     assert packing.plan_patterns(np.zeros(0, int), np.zeros(0, int), 10) == []
 
 
+@pytest.mark.parametrize("seed, sizes, high", [
+    (1, np.arange(1, 257), 2000), (2, np.arange(1, 257), 3), (3, np.arange(60, 130), 5000),
+    (4, np.arange(1, 257), 10 ** 9), (5, np.array([3, 70, 90, 100, 120, 129, 200]), 4000)])
+def test_full_histograms_are_solved(seed, sizes, high):
+    """The program ends at the bound that its prices prove; the plan is next to it."""
+    demand = np.random.default_rng(seed).integers(1, high, len(sizes))
+    patterns, amounts, bound = packing.solve_patterns(sizes, demand.astype(float), 256)
+    assert (patterns @ sizes <= 256).all() and (patterns.T @ amounts >= demand - 1e-3).all()
+    assert bound <= amounts.sum() * (1 + 1e-9) and amounts.sum() <= (1 + packing.GAP) * bound + 1e-2
+    plan = packing.plan_patterns(sizes, demand, 256)
+    assert (sum(p * c for p, c in plan) == demand).all()
+    n = sum(c for _, c in plan)
+    assert n <= 1.01 * bound + 1
+    assert n <= sum(c for _, c in packing.first_fit(sizes, demand, 256))
+    assert bound >= demand @ sizes / 256 - 1e-6 * demand.sum()
+
+
 def check(docs, pieces, capacity):
     """Whole documents, whole sequences; gives the share of padding."""
     want = sorted(((r.doc_id, ids(r.text) + [2]) for r in docs.collect()), key=str)
@@ -94,4 +111,4 @@ def test_query_pads_little(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     found = packing.op7_packing(spark, "/root/testdata/sf0.001")
     assert found.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    assert check(docs, found.collect(), 4096) < 0.03
+    assert check(docs, found.collect(), 4096) < 0.02
