@@ -3,9 +3,10 @@
 A document is cut into full sequences and a rest.  The rests, by length class, are the
 items of a cutting-stock problem: a linear program over patterns (how many items of
 each class a sequence holds) is solved by column generation, in which a knapsack
-dynamic program prices new patterns, until the prices prove it solved.  Whole numbers of each pattern are kept, what
-is left is filled greedily, and the documents, ranked within their class, take the
-patterns' places in order.  Only the histogram of classes reaches the driver.
+dynamic program prices new patterns, until the prices prove it solved.  Whole numbers of
+each pattern are kept, what is left is filled greedily, and the documents, ranked within
+their class, take the patterns' places in order.  Only the histogram of classes reaches
+the driver.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ END = 2           # the id after every document
 CLASS = 8         # tokens by which length classes differ, at most
 GAP = 1e-4        # the program ends within this share of the bound that its prices prove
 GAIN = 1e-7       # by which a pattern must be worth more than a sequence
-REFACTOR = 500    # steps of the simplex method after which its inverse is worked out anew
+REFINE = 200      # steps of the simplex method after which its inverse is refined
 POOL = 40         # patterns remembered, times the number of classes
 
 
@@ -122,8 +123,9 @@ def solve_patterns(sizes: np.ndarray, demand: np.ndarray,
             inverse[out] = row
             columns[:, out], costs[out] = entering, cost
             steps += 1
-            if steps % REFACTOR == 0:
-                inverse = np.linalg.inv(columns)
+            if steps % REFINE == 0:
+                # One step of Newton's iteration squares the error that has come together.
+                inverse = inverse @ (2 * np.eye(n) - columns @ inverse)
                 amounts = np.maximum(inverse @ demand, 0)
         prices = np.maximum(prices, 0)
         value, choice = knapsack(sizes, prices, room)
