@@ -3,12 +3,13 @@
 Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; the
 result is written as Parquet and read again as the next one's docs.  All but the last
 return the columns of ``documents``.  Null ids and texts, empty and repeated rows are
-allowed in every stage; each says below what becomes of them.
+allowed in every stage; each says below what becomes of them.  Further columns may have
+any name: they come out as they went in.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harrow.llm import language
@@ -21,13 +22,20 @@ from harrow.session import materialize, ship_package
 NEAR_SHINGLE, NEAR_PERCENT = 5, 80  # words of a shingle, and similarity of near copies
 
 
+def _apart(docs: DataFrame, *used: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with all but the used columns under neutral names, and how to name them back."""
+    names = [c if c in used else f"column_{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), [F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)]
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a language: a null text, or one without letters.
 
     The model is learned from the labelled documents that are not held out.
     """
+    docs, back = _apart(docs, "doc_id", "text", "lang")
     found = language.identify(docs, language.corpus_model(docs))
-    return found.filter(F.col("lang_pred") != language.UNDETERMINED).select(*docs.columns)
+    return found.filter(F.col("lang_pred") != language.UNDETERMINED).select(*back)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,6 +45,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     told apart by id and text, so of rows that repeat both one stays, and an id that
     stands with several texts is judged for each.  A null id counts as the largest.
     """
+    docs, back = _apart(docs, "doc_id", "text")
     keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
     found = similar_components(keyed.select(F.col("_key").alias("id"), "text"), NEAR_PERCENT,
                                NEAR_SHINGLE)
@@ -49,25 +58,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key"))["_key"].alias("_first"))
     copies = members.join(first, "_group").filter("_key <> _first").select("_key").distinct()
     kept = keyed.join(copies, "_key", "left_anti").dropDuplicates(["_key", "doc_id", "text"])
-    return kept.select(*docs.columns)
+    return kept.select(*back)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of which a twentieth of the words stands in the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    docs, back = _apart(docs, "doc_id", "text")
     keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
     found = find_contamination(keyed.select(F.col("_key").alias("id"), "text"), benchmark)
     bad = found.filter("contaminated").select(F.col("id").alias("_key")).distinct()
-    return keyed.join(bad, "_key", "left_anti").select(*docs.columns)
+    return keyed.join(bad, "_key", "left_anti").select(*back)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace every secret by a mark; all documents stay, with their new length."""
+    docs, back = _apart(docs, "text", "n_chars")
     found = scan_secrets(docs)
     changed = F.size("secrets") > 0
     return found.withColumn("n_chars", F.when(changed, F.length("redacted").cast("long"))
                             .otherwise(F.col("n_chars"))).withColumn(
-        "text", F.when(changed, F.col("redacted")).otherwise(F.col("text"))).select(*docs.columns)
+        "text", F.when(changed, F.col("redacted")).otherwise(F.col("text"))).select(*back)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
