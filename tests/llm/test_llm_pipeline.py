@@ -81,6 +81,23 @@ def test_stages_take_empty_tables(spark, folder):
         assert found.count() == 0, name
 
 
+def test_columns_of_any_name_come_out_as_they_went_in(spark, folder):
+    names = ["score", "lang_pred", "_key", "_group", "_first", "secrets", "redacted", "id", "a.b", "n"]
+    data = [(i, t, "en", "src0", len(t), *(f"{name} of {i}" for name in names)) for i, t in enumerate(
+        ["the old mill by the river", "another text of its own", "token = abcdefghijklmnop end"])]
+    types = ["doc_id long", "text string", "lang string", "source string", "n_chars long"]
+    docs = spark.createDataFrame(data, ", ".join([*types, *(f"`{n}` string" for n in names)]))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, folder)
+        assert found.dtypes == docs.dtypes, name
+        after = sorted(map(tuple, found.collect()))
+        assert len(after) == len(data)
+        for row, own in zip(after, data, strict=True):
+            assert row[5:] == own[5:] and row[2:4] == own[2:4], name
+    assert after[2][1] == "[secret] end" and after[2][4] == 12
+    assert STAGES["packing"](spark, docs, folder).count() == len(data)
+
+
 def test_near_copies_share_four_fifths_of_five_words(spark, folder):
     words = [f"w{i}" for i in range(52)]
     near = [*words[:25], "other", *words[26:]]  # 43 of 53 shingles of five words, 47 of 53 of three
