@@ -15,6 +15,7 @@ every pair that could have one is verified.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,7 @@ SKETCH = 64               # shingles of a set are counted in so many classes
 MOST = 65_535             # count at which a class is full
 CELL_ROWS = 2_000         # rows of one shingle that a task compares with as many others
 SHINGLE_BITS = 1 << 27    # bits of the filter of shingles that stand twice; broadcast
+BATCH_BYTES = 8 << 20     # of a batch of texts or whole sets that are compared
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[32, *range(9, 14)]] = True
@@ -216,6 +218,18 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int, size: int) -> Dat
     return joined.mapInArrow(_linked(percent), "a long, b long")
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches of BATCH_BYTES for jobs run within: both sides hold copies of a batch of sets."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _sketches(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), SKETCH)
 
@@ -379,7 +393,8 @@ def similar_components(docs: DataFrame, percent: int = PERCENT,
         own.select("node"), "node", "left_semi").dropDuplicates(["node"])
     sketches = materialize(sketches, "sketches")
     asked = materialize(_likely(inside.unionByName(stars), sketches, percent), "stars")
-    first = materialize(_verified(docs, asked, percent, size), "links")
+    with _small_batches(spark):
+        first = materialize(_verified(docs, asked, percent, size), "links")
     roots = components(first)
 
     # Second round: pairs of members in different components, on every shingle that the
@@ -401,8 +416,10 @@ def similar_components(docs: DataFrame, percent: int = PERCENT,
                       "node", "root", "n", "i", "sketch"))
     pairs = (spread.repartition("cell").sortWithinPartitions("cell")
              .mapInArrow(_cells(percent), "a long, b long").distinct())
-    second = _verified(docs, materialize(pairs, "pairs"), percent, size)
-    roots = components(materialize(first.unionByName(second), "links"))
+    pairs = materialize(pairs, "pairs")
+    with _small_batches(spark):
+        links = materialize(first.unionByName(_verified(docs, pairs, percent, size)), "links")
+    roots = components(links)
 
     labelled = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = labelled.groupBy("root").agg(F.min("smallest").alias("component_id"))
