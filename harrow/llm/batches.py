@@ -3,14 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 CHUNK_BYTES = 2 << 20  # text that one numpy pass works on, unless a single text is longer
+BATCH_BYTES = 8 << 20  # of an Arrow batch, unless a single row is longer
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches of BATCH_BYTES for jobs run within: the JVM and Python hold copies of a batch."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def add_columns(df: DataFrame, work: Callable[[pa.RecordBatch], Sequence], fields: str,

@@ -15,14 +15,13 @@ every pair that could have one is verified.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrow.llm.batches import Hashes, chunks, folded_symbols, mix, words
+from harrow.llm.batches import Hashes, chunks, folded_symbols, mix, small_batches, words
 from harrow.llm.bits import bit_of, is_set, key_filter, packed_bits
 from harrow.llm.components import components
 from harrow.operators.skew import blocks, slot_of
@@ -35,7 +34,7 @@ SKETCH = 64               # shingles of a set are counted in so many classes
 MOST = 65_535             # count at which a class is full
 CELL_ROWS = 2_000         # rows of one shingle that a task compares with as many others
 SHINGLE_BITS = 1 << 27    # bits of the filter of shingles that stand twice; broadcast
-BATCH_BYTES = 8 << 20     # of a batch of texts or whole sets that are compared
+COUNTED = 4 << 20         # shingles that a task counts together, or one longer chunk of text
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[32, *range(9, 14)]] = True
@@ -72,16 +71,29 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray,
 
 
 def _counted(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Shingles that more than one text of a batch holds, with the number of texts."""
+    """Shingles that several of the texts counted together hold, with the number of texts."""
+    def several(parts: list[np.ndarray]) -> pa.RecordBatch:
+        found = np.concatenate([*parts, np.zeros(0, np.uint64)])
+        parts.clear()
+        found.sort()
+        first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])[:len(found)])
+        n = np.diff(np.append(first, len(found)))
+        some = n > 1
+        return pa.RecordBatch.from_arrays(
+            [pa.array(found[first[some]].view(np.int64)), pa.array(n[some])], names=["shingle", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[np.ndarray] = []
+        held = 0
         for batch in batches:
-            parts = [shingle_sets(data, offsets, size)[0]
-                     for _, data, offsets in chunks(batch.column(0))]
-            found, n = np.unique(np.concatenate([*parts, np.zeros(0, np.uint64)]),
-                                 return_counts=True)
-            some = n > 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found[some].view(np.int64)), pa.array(n[some])], names=["shingle", "n"])
+            for _, data, offsets in chunks(batch.column(0)):
+                own = shingle_sets(data, offsets, size)[0]
+                if held + len(own) > COUNTED:
+                    yield several(parts)
+                    held = 0
+                parts.append(own)
+                held += len(own)
+        yield several(parts)
 
     return run
 
@@ -218,18 +230,6 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int, size: int) -> Dat
     return joined.mapInArrow(_linked(percent), "a long, b long")
 
 
-@contextmanager
-def _small_batches(spark: SparkSession) -> Iterator[None]:
-    """Batches of BATCH_BYTES for jobs run within: both sides hold copies of a batch of sets."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(BATCH_BYTES))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def _sketches(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), SKETCH)
 
@@ -313,11 +313,17 @@ def similar_components(docs: DataFrame, percent: int = PERCENT,
     only has a null id.  ``percent`` lies in 1 to 100; a shingle has ``size`` words, 1 at
     least.
     """
+    with small_batches(docs.sparkSession):
+        return _components_of(docs, percent, size)
+
+
+def _components_of(docs: DataFrame, percent: int, size: int) -> DataFrame:
+    """As ``similar_components``; all work on texts and sets is done when it returns."""
     spark = docs.sparkSession
     docs = docs.select(F.xxhash64("id", "text").alias("row"),
                        F.col("id").cast("long").alias("id"), "text")
 
-    # The global order: shingles that no batch has twice, then the others, and of these
+    # The global order: shingles that no task counts twice, then the others, and of these
     # the commonest last, by rising count.
     counted = materialize(docs.select("text").mapInArrow(_counted(size), "shingle long, n long")
                           .groupBy("shingle").agg(F.sum("n").alias("n")), "counted")
@@ -393,8 +399,7 @@ def similar_components(docs: DataFrame, percent: int = PERCENT,
         own.select("node"), "node", "left_semi").dropDuplicates(["node"])
     sketches = materialize(sketches, "sketches")
     asked = materialize(_likely(inside.unionByName(stars), sketches, percent), "stars")
-    with _small_batches(spark):
-        first = materialize(_verified(docs, asked, percent, size), "links")
+    first = materialize(_verified(docs, asked, percent, size), "links")
     roots = components(first)
 
     # Second round: pairs of members in different components, on every shingle that the
@@ -417,8 +422,7 @@ def similar_components(docs: DataFrame, percent: int = PERCENT,
     pairs = (spread.repartition("cell").sortWithinPartitions("cell")
              .mapInArrow(_cells(percent), "a long, b long").distinct())
     pairs = materialize(pairs, "pairs")
-    with _small_batches(spark):
-        links = materialize(first.unionByName(_verified(docs, pairs, percent, size)), "links")
+    links = materialize(first.unionByName(_verified(docs, pairs, percent, size)), "links")
     roots = components(links)
 
     labelled = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
