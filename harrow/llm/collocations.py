@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from harrow.llm.batches import chunks, mix, words
+from harrow.llm.batches import chunks, mix, small_batches, words
 from harrow.llm.bits import is_set, packed_bits
 from harrow.session import materialize
 
@@ -306,6 +306,12 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP,
     each; other columns are left alone.  ``rank`` breaks ties by a, then by the phrase's
     bytes.  A language without phrases, and an empty table, give no rows.
     """
+    with small_batches(docs.sparkSession):
+        return _ranked(docs, least, top, inside)
+
+
+def _ranked(docs: DataFrame, least: int, top: int, inside: int) -> DataFrame:
+    """As ``collocations``; all work on texts is done when it returns."""
     context = docs.sparkSession.sparkContext
     docs = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").dropna()
     seed = 0
