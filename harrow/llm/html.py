@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from harrow.llm.batches import Hashes, add_columns, chunks, words
 
 TRAINING_PAGES = 200   # pages that train, about; a bounded sample
-TRAINING_BLOCKS = 80   # only pages of at most so many blocks train
+TRAINING_BLOCKS = 80   # blocks that train together; a longer page is several runs of them
 LAYOUTS = 1_200        # other layouts that the training pages are set into, about
 PATH_WIDTH, LAST_WIDTH, WORD_WIDTH, HIDDEN = 224, 32, 32, 16
 STEPS, BATCH, RATE = 600, 32, 0.01
@@ -317,22 +317,25 @@ def other_layout(blocks: list, labels: list[bool], rng: np.random.Generator) ->
 def learn_layout(pages: DataFrame) -> BlockLabeller:
     """A labeller learned from a bounded sample of ``html``, picked by its hash.
 
-    About TRAINING_PAGES pages train; ones with more than TRAINING_BLOCKS blocks are passed
-    over.  Without any page the labeller learns from nothing and keeps its start.
+    About TRAINING_PAGES different pages are cut into runs of up to TRAINING_BLOCKS blocks,
+    and at most twice as many runs train, those with the smallest hashes.  Without any page
+    the labeller learns from nothing and keeps its start.
     """
     texts = pages.select("html").dropna()
     place = F.pmod(F.xxhash64("html"), F.lit(1_000_000)) / 1_000_000.0
-    sample = texts.filter(place < TRAINING_PAGES / max(texts.count(), 1))
+    sample = (texts.filter(place < TRAINING_PAGES / max(texts.count(), 1)).distinct()
+              .orderBy(place, "html").limit(2 * TRAINING_PAGES))
 
     def work(batch: pa.RecordBatch) -> list[list]:
-        return [[[{"path": list(p), "text": t[:2000], "linked": n} for p, t, n in blocks]
-                 if len(blocks) <= TRAINING_BLOCKS else [] for blocks in
-                 map(page_blocks, batch.column("html").to_pylist())]]
+        return [[[[{"path": list(p), "text": t, "linked": n} for p, t, n in
+                   blocks[a:a + TRAINING_BLOCKS]] for a in range(0, len(blocks), TRAINING_BLOCKS)]
+                 for blocks in map(page_blocks, batch.column("html").to_pylist())]]
 
-    kind = "blocks array<struct<path: array<string>, text: string, linked: int>>"
-    rows = add_columns(sample, work, kind, []).limit(2 * TRAINING_PAGES).collect()
+    kind = "runs array<array<struct<path: array<string>, text: string, linked: int>>>"
+    rows = (add_columns(sample, work, kind, []).select(F.explode("runs").alias("run"))
+            .orderBy(F.xxhash64("run")).limit(2 * TRAINING_PAGES).collect())
     rng = np.random.default_rng(3)
-    found = sorted([(tuple(b["path"]), b["text"], b["linked"]) for b in r[0]] for r in rows if r[0])
+    found = sorted([(tuple(b["path"]), b["text"], b["linked"]) for b in r[0]] for r in rows)
     pages = []
     for blocks in found:
         labels = [is_main(path) for path, _, _ in blocks]

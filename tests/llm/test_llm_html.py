@@ -111,3 +111,17 @@ def test_learned_on_given_pages(spark):
 def test_without_pages(spark):
     none = spark.createDataFrame([(1, None)], "page_id int, html string")
     assert html.extract_text(none, html.learn_layout(none)).first().text == ""
+
+
+def test_long_pages_train_in_runs_with_whole_texts(spark, monkeypatch):
+    n = 2 * html.TRAINING_BLOCKS + 7
+    page = "<body>" + "".join(f"<p>{'word ' * 900}{i}</p>" for i in range(n)) + "</body>"
+    given = spark.createDataFrame([(page,), (page,), (None,), ("",)], "html string")
+    seen = []
+    monkeypatch.setattr(html, "TRAINING_PAGES", 100)
+    monkeypatch.setattr(html, "LAYOUTS", 0)
+    monkeypatch.setattr(html, "train", seen.extend)
+    html.learn_layout(given)
+    assert sorted(len(blocks) for blocks, _ in seen) == [7] + [html.TRAINING_BLOCKS] * 2
+    assert sorted(text for blocks, _ in seen for _, text, _ in blocks) == sorted(
+        f"{'word ' * 900}{i}" for i in range(n))
