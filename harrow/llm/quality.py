@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from harrow.llm.batches import Hashes, add_columns, chunks, words
 
 TRAINING_DOCS = 2_000   # labelled documents that train, about; a bounded sample
-TRAINING_LINES = 200    # only documents of at most so many lines train
+TRAINING_LINES = 200    # lines of a chain that trains; a longer document is several chains
 STEPS = 250             # of gradient descent
 RATE = 0.1
 PENALTY = 1e-3
@@ -197,37 +197,44 @@ def _shares(p: np.ndarray, texts: np.ndarray, lengths: np.ndarray,
 def learn_quality(docs: DataFrame, labels: DataFrame) -> LineField:
     """A field learned from ``docs`` (doc_id, text) and ``labels`` (doc_id, quality 0 or 1).
 
-    Rows with a null are left out.  About TRAINING_DOCS labels train, picked by a hash of
-    the id and at most twice as many, so they are broadcast; documents with more than
-    TRAINING_LINES lines or without a line are passed over.  Without any left, all texts
+    Rows with a null are left out.  About TRAINING_DOCS labels are picked by a hash of the
+    id, at most twice as many, so they are broadcast; equal texts of a label train once.
+    Documents are cut into chains of up to TRAINING_LINES lines, and at most four times
+    TRAINING_DOCS chains train, those with the smallest hashes.  Without any, all texts
     score 0.5.
     """
     labels = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).dropna()
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000.0
-    picked = labels.filter(place < TRAINING_DOCS / max(labels.count(), 1)).limit(2 * TRAINING_DOCS)
-    sample = docs.select("doc_id", "text").dropna().join(F.broadcast(picked), "doc_id")
+    picked = (labels.filter(place < TRAINING_DOCS / max(labels.count(), 1)).distinct()
+              .orderBy(place, "doc_id", "quality").limit(2 * TRAINING_DOCS))
+    sample = (docs.select("doc_id", "text").dropna().join(F.broadcast(picked), "doc_id")
+              .select("text", "quality").distinct())
 
     def work(batch: pa.RecordBatch) -> list[list]:
-        rows, lengths = [], []
+        found: list[list] = []
         for _, data, offsets in chunks(batch.column("text")):
             starts, ends, texts = line_table(data, offsets)
             features = line_features(data, starts, ends, texts)
             cuts = np.searchsorted(texts, np.arange(len(offsets)))
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                fits = b - a <= TRAINING_LINES
-                rows.append(features[a:b].ravel().tolist() if fits else [])
-                lengths.append((ends[a:b] - starts[a:b]).tolist() if fits else [])
-        return [rows, lengths]
-
-    found = add_columns(sample, work, "features array<double>, lengths array<int>", ["quality"])
-    rows = [r for r in found.limit(2 * TRAINING_DOCS).collect() if r["lengths"]]
+                edges = [*range(a, b, TRAINING_LINES), b]
+                found.append([{"features": features[x:y].tobytes(),
+                               "lengths": (ends[x:y] - starts[x:y]).astype(np.int64).tobytes()}
+                              for x, y in zip(edges, edges[1:])])
+        return [found]
+
+    found = add_columns(sample, work, "chains array<struct<features: binary, lengths: binary>>",
+                        ["quality"])
+    found = found.select("quality", F.explode("chains").alias("chain")).select("quality", "chain.*")
+    rows = (found.orderBy(F.xxhash64("features", "lengths"), "quality")
+            .limit(4 * TRAINING_DOCS).collect())
     if not rows:  # nothing to learn: every text is as good as bad
         return LineField(np.zeros(N_FEATURES), np.zeros((2, 2)), 1.0, 0.0, 0.5)
-    features = np.concatenate([np.array(r["features"]).reshape(-1, N_FEATURES) for r in rows])
-    sizes = [len(r["lengths"]) for r in rows]
+    features = np.concatenate([np.frombuffer(r["features"]).reshape(-1, N_FEATURES) for r in rows])
+    own = [np.frombuffer(r["lengths"], np.int64) for r in rows]
+    sizes = [len(x) for x in own]
     good = np.repeat([float(r["quality"] == 1) for r in rows], sizes)
-    lengths = np.concatenate([r["lengths"] for r in rows])
-    return train(features, np.repeat(np.arange(len(rows)), sizes), lengths, good)
+    return train(features, np.repeat(np.arange(len(rows)), sizes), np.concatenate(own), good)
 
 
 def score_quality(docs: DataFrame, field: LineField, keep: list[str] | None = None) -> DataFrame:

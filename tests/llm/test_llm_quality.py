@@ -89,3 +89,18 @@ def test_query_hides_a_third(spark, tmp_path):
     assert got.columns == ["doc_id", "held_out", "score", "predicted"]
     want = docs.selectExpr("doc_id", "crc32(string(doc_id)) % 3 = 1")
     assert rows(got, "doc_id", "held_out") == rows(want)
+
+
+def test_long_documents_train_in_chains_and_copies_once(spark, monkeypatch):
+    n = 2 * quality.TRAINING_LINES + 7
+    long = "\n".join(f"line number {i}" for i in range(n))
+    docs = spark.createDataFrame([(1, long), (2, "short"), (3, "short"), (4, ""), (5, None)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(1, 6)], "doc_id long, quality int")
+    seen = {}
+    monkeypatch.setattr(quality, "train", lambda *given: seen.update(given=given))
+    quality.learn_quality(docs, labels)
+    features, texts, lengths, good = seen["given"]
+    assert features.shape == (n + 1, quality.N_FEATURES) and good.tolist() == [1.0] * (n + 1)
+    assert sorted(np.bincount(texts).tolist()) == sorted([1, 7] + [quality.TRAINING_LINES] * 2)
+    assert lengths.sum() == len(long) - (n - 1) + len("short")
