@@ -78,3 +78,26 @@ def test_rows_of_one_side_count_together(spark):
     turns = spark.createDataFrame([("r", "x y"), ("r", "x"), ("s", "y")], "id string, text string")
     got = dict(rows(wt.inverse_document_frequency(turns, unique_ids=False)))
     assert got == {"x": 2.0, "y": 1.0}
+
+
+def test_a_task_counts_a_bounded_part_of_the_texts(spark, monkeypatch):
+    monkeypatch.setattr(wt, "TEXT_BYTES", 10)
+    df = records(spark, *["a b c a"] * 60)
+    counts = wt.term_counts(df)
+    assert counts.rdd.getNumPartitions() == wt.text_parts(df) == 42
+    assert rows(counts, "token", "n") == [("a", 2)] * 60 + [("b", 1)] * 60 + [("c", 1)] * 60
+    empty = spark.createDataFrame([(None, None), ("r", None)], "id string, text string")
+    assert wt.text_parts(empty) == wt.text_parts(df.limit(0)) == 1
+    assert rows(wt.term_counts(empty)) == []
+
+
+def test_counts_are_not_sorted_by_word(spark, capsys):
+    wt.tfidf(records(spark, "a b", "b c")).explain()
+    plan = capsys.readouterr().out
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_rows_of_one_id_count_together(spark):
+    df = spark.createDataFrame([("r", "a b"), ("r", "a c"), (None, "a")], "id string, text string")
+    assert [tuple(r) for r in wt.term_counts(df).orderBy("id", "token").collect()] == [
+        (None, 1, "a", 1), ("r", 2, "a", 2), ("r", 2, "b", 1), ("r", 2, "c", 1)]
