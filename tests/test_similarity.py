@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 
 from harrow.operators import similarity as sim
-from harrow.operators import skew
+from harrow.operators import skew, weights
 
 
 def brute(left, right):
@@ -152,3 +152,14 @@ def test_few_pairs_are_kept_that_miss_the_bar(spark, monkeypatch):
     assert got == {p for p, (s, _) in want.items() if round(s, 6) >= 0.2} and got
     assert all(common for _, common in want.values())  # every pair shares a word
     assert len(got) <= seen[0] < len(want) / 5
+
+
+def test_a_task_weighs_a_bounded_part_of_the_texts(case, spark, monkeypatch):
+    want, left, right = case
+    monkeypatch.setattr(weights, "TEXT_BYTES", 100)
+    assert weights.text_parts(left.unionByName(right)) > 12
+    index = sim.build_index(left, right, min_similarity=0.01)
+    assert len(index.words.inputFiles()) > 8
+    got = {(r.id_a, r.id_b): r.similarity for r in sim.similar_pairs(index).collect()}
+    assert got == {p: pytest.approx(s, abs=2e-6) for p, (s, _) in want.items()
+                   if round(s, 6) >= 0.01}
