@@ -9,10 +9,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from harrow.operators.evaluation import rmse
 from harrow.operators.numbering import number_values
 from harrow.operators.search import rows_with_any_term
 from harrow.session import materialize
@@ -121,6 +120,27 @@ def predict(fitted: Recommender, pairs: DataFrame) -> DataFrame:
         "user", "item", F.col("prediction").cast("double").alias("prediction"))
 
 
+def known_pairs(numbered: NumberedRatings, rated: DataFrame) -> DataFrame:
+    """(_u, _i, rating, n): rows of ``rated`` with known user and item, under their numbers.
+
+    ``n`` is how many rows of ``rated`` have the user and item.
+    """
+    n = F.count("*").over(Window.partitionBy("user", "item"))
+    known = (rated.select("user", "item", "rating", n.alias("n"))
+             .join(numbered.users, "user").join(numbered.items, "item"))
+    return materialize(known.select("_u", "_i", "rating", "n"), "known")
+
+
+def known_rmse(fitted: Recommender, known: DataFrame) -> DataFrame:
+    """``rmse`` of the predictions for ``known_pairs``, which carry their own ratings.
+
+    It meets every rating of a pair with the prediction of each of its ``n`` rows.
+    """
+    error = F.col("prediction").cast("double") - F.col("rating")
+    squares, n = F.sum(F.col("n") * error * error), F.sum(F.when(error.isNotNull(), F.col("n")))
+    return fitted.model.transform(known).agg(F.sqrt(F.try_divide(squares, n)).alias("rmse"))
+
+
 def _factors(table: DataFrame, numbers: DataFrame, key: str, number: str) -> DataFrame:
     return (table.withColumnRenamed("id", number).join(numbers, number)
             .select(key, F.col("features").cast("array<double>").alias("factors")))
@@ -193,14 +213,15 @@ def search_ranks(training: DataFrame | NumberedRatings, validation: DataFrame,
                  ranks: Sequence[int] = RANKS) -> RankSearch:
     """Fit every rank and measure it on the validation set.
 
-    The ratings are numbered once, and the models are kept, so that the chosen one need not
-    be fitted again.
+    The ratings of both sets are numbered once, and the models are kept, so that the chosen
+    one need not be fitted again.
     """
     numbered = training if isinstance(training, NumberedRatings) else number_ratings(training)
+    known = known_pairs(numbered, validation)
     models, tables = {}, []
     for position, rank in enumerate(ranks):
         models[rank] = train(numbered, rank)
-        tables.append(rmse(predict(models[rank], validation), validation, "prediction").select(
+        tables.append(known_rmse(models[rank], known).select(
             F.lit(position).alias("position"), F.lit(rank).alias("rank"), "rmse"))
     errors = tables[0]
     for table in tables[1:]:

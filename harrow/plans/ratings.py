@@ -91,7 +91,8 @@ def _rank_grid(spark, sf_dir):
     train, validation, test = _sets(spark, sf_dir)
     search = rec.search_ranks(train, validation)
     best = rec.best_rank(search.errors).scalar()
-    test_error = rmse(rec.predict(search.best(), test), test, "prediction").scalar()
+    chosen = search.best()
+    test_error = rec.known_rmse(chosen, rec.known_pairs(chosen.ratings, test)).scalar()
     return _rounded(search.errors.select(
         "rank", "rmse", (F.col("rank") == best).alias("chosen"), test_error.alias("test_rmse")),
         "rmse", "test_rmse")

@@ -153,3 +153,18 @@ def test_the_chosen_rank_is_not_fitted_again(ratings, monkeypatch):
     search = rec.search_ranks(ratings, ratings, ranks=(1, 4, 2))
     errors = {r["rank"]: r.rmse for r in search.errors.collect()}
     assert search.best() is search.models[min(errors, key=errors.get)] and fits == [1, 4, 2]
+
+
+def test_pairs_are_numbered_once_for_all_ranks(spark, ratings, monkeypatch):
+    rated = ratings.unionByName(ratings.limit(3)).unionByName(spark.createDataFrame(
+        [(12345, 1, 2.0), (None, 1, 2.0)], "user bigint, item bigint, rating double"))
+    asked = []
+    monkeypatch.setattr(rec, "known_pairs", lambda *a, find=rec.known_pairs: asked.append(a) or find(*a))
+    search = rec.search_ranks(ratings, rated, ranks=(1, 2))
+    errors = {r["rank"]: r.rmse for r in search.errors.collect()}
+    assert len(asked) == 1
+    for rank, model in search.models.items():
+        want = rmse(rec.predict(model, rated), rated, "prediction").first().rmse
+        assert errors[rank] == pytest.approx(want)
+    none = rec.known_pairs(search.models[1].ratings, rated.filter("user = 12345"))
+    assert rec.known_rmse(search.models[1], none).first().rmse is None
