@@ -7,6 +7,7 @@ from conftest import rows
 
 from harrow.operators import similarity as sim
 from harrow.operators import skew, weights
+from harrow.session import PART_BYTES
 
 
 def brute(left, right):
@@ -163,3 +164,28 @@ def test_a_task_weighs_a_bounded_part_of_the_texts(case, spark, monkeypatch):
     got = {(r.id_a, r.id_b): r.similarity for r in sim.similar_pairs(index).collect()}
     assert got == {p: pytest.approx(s, abs=2e-6) for p, (s, _) in want.items()
                    if round(s, 6) >= 0.01}
+
+
+def test_tables_are_written_in_parts_of_the_text(spark, monkeypatch):
+    """More text makes more partitions and tasks, whatever the session's number of them."""
+    settings = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    seen, write = [], sim.materialize
+
+    def written(df, name):
+        seen.append([spark.conf.get(s) for s in settings])
+        return write(df, name)
+
+    monkeypatch.setattr(sim, "materialize", written)
+    monkeypatch.setattr(weights, "TEXT_BYTES", 10)
+    before = [spark.conf.get(s) for s in settings]
+    left = spark.createDataFrame([(i, f"w{i % 3} common words") for i in range(9)],
+                                 "id bigint, text string")
+    right = spark.createDataFrame([(1, "w1 words")], "id bigint, text string")
+    index = sim.build_index(left, right)
+    assert index.parts == 15  # 9 x 15 + 8 bytes of text
+    pairs = sim.similar_pairs(index)
+    assert len(seen) == 7
+    assert seen == [["8", str(PART_BYTES), str(PART_BYTES)]] * 7
+    assert [spark.conf.get(s) for s in settings] == before
+    assert {r.id_b for r in pairs.collect()} == {1}
