@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harrow.llm import language
+from harrow.llm.batches import small_batches
 from harrow.llm.decontaminate import find_contamination
 from harrow.llm.jaccard import similar_components
 from harrow.llm.packing import pack
@@ -34,8 +35,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The model is learned from the labelled documents that are not held out.
     """
     docs, back = _apart(docs, "doc_id", "text", "lang")
-    found = language.identify(docs, language.corpus_model(docs))
-    return found.filter(F.col("lang_pred") != language.UNDETERMINED).select(*back)
+    model = language.corpus_model(docs)
+    with small_batches(spark):  # whole rows go through Python, so the stage is worked off here
+        found = language.identify(docs, model).filter(F.col("lang_pred") != language.UNDETERMINED)
+        return materialize(found.select(*docs.columns), "identified").select(*back)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,8 +69,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     docs, back = _apart(docs, "doc_id", "text")
     keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    found = find_contamination(keyed.select(F.col("_key").alias("id"), "text"), benchmark)
-    bad = found.filter("contaminated").select(F.col("id").alias("_key")).distinct()
+    with small_batches(spark):
+        found = find_contamination(keyed.select(F.col("_key").alias("id"), "text"), benchmark)
+        bad = materialize(found.filter("contaminated").select(F.col("id").alias("_key")).distinct(),
+                          "contaminated")
     return keyed.join(bad, "_key", "left_anti").select(*back)
 
 
@@ -76,14 +81,17 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs, back = _apart(docs, "text", "n_chars")
     found = scan_secrets(docs)
     changed = F.size("secrets") > 0
-    return found.withColumn("n_chars", F.when(changed, F.length("redacted").cast("long"))
-                            .otherwise(F.col("n_chars"))).withColumn(
-        "text", F.when(changed, F.col("redacted")).otherwise(F.col("text"))).select(*back)
+    found = found.withColumn("n_chars", F.when(changed, F.length("redacted").cast("long"))
+                             .otherwise(F.col("n_chars"))).withColumn(
+        "text", F.when(changed, F.col("redacted")).otherwise(F.col("text")))
+    with small_batches(spark):
+        return materialize(found.select(*docs.columns), "scanned").select(*back)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in training sequences."""
-    return pack(docs)
+    with small_batches(spark):
+        return pack(docs)
 
 
 STAGES = [

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrow.llm.batches import add_columns
+from harrow.llm.batches import add_columns, small_batches
 from harrow.session import materialize
 
 DOCS_PER_LANGUAGE = 1_000  # training texts per language, about; a bounded sample
@@ -340,7 +340,8 @@ def learn_languages(docs: DataFrame, vocabulary_path: str | None = None) -> Lang
                .groupBy("lang", "word").agg(F.sum("n").alias("n"))
                .sortWithinPartitions("lang", "word"))
     # A language with letters in none of its texts keeps a column, with even probabilities.
-    return _train_on(materialize(counted, "words"), sorted(sizes), vocabulary(vocabulary_path))
+    with small_batches(docs.sparkSession):
+        return _train_on(materialize(counted, "words"), sorted(sizes), vocabulary(vocabulary_path))
 
 
 def identify(docs: DataFrame, model: LanguageModel, keep: list[str] | None = None) -> DataFrame:

@@ -9,7 +9,8 @@ from test_llm_packing import check
 from test_llm_secrets import plain as plain_secrets
 
 import corpus_pipeline
-from harrow.llm import secrets
+from harrow.llm import language, packing, secrets
+from harrow.llm.batches import BATCH_BYTES
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 STAGES = dict(corpus_pipeline.STAGES)
@@ -121,3 +122,23 @@ def test_copies_are_dropped_by_row(spark, folder):
     assert sorted([(r.doc_id, r.text) for r in kept], key=str) == sorted(want, key=str)
     nameless = docs.filter("doc_id is null and text is not null")
     assert STAGES["near_duplicates"](spark, nameless, folder).count() == 1
+
+
+def test_stages_work_in_small_batches(spark, folder, monkeypatch):
+    """All that puts whole rows or texts through Python is done when a stage returns."""
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before = spark.conf.get(name)
+    for module in (corpus_pipeline, language, packing):
+        def written(df, table, own=module.materialize):
+            seen.append((table, spark.conf.get(name)))
+            return own(df, table)
+        monkeypatch.setattr(module, "materialize", written)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for stage in ("language_id", "decontamination", "secret_scan", "packing"):
+        found = STAGES[stage](spark, docs, folder)
+        if stage in ("language_id", "secret_scan"):
+            assert "PythonMapInArrow" not in found._jdf.queryExecution().toString()
+            assert "MapInArrow" not in found._jdf.queryExecution().toString()
+    assert {t for t, _ in seen} == {"words", "identified", "contaminated", "scanned", "pieces", "dealt"}
+    assert {size for _, size in seen} == {str(BATCH_BYTES)}
+    assert spark.conf.get(name) == before
