@@ -178,9 +178,12 @@ def _prefixes(hot: np.ndarray, rank: np.ndarray, common: np.ndarray, percent: in
     return run
 
 
-def _sets(bits: np.ndarray,
+def _sets(bits: np.ndarray, again: np.ndarray,
           size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Batches of (row, text, bit) to the sets of the rows whose bit is set."""
+    """Batches of (row, text, bit) to the sets of the rows whose bit is set.
+
+    ``again`` has the bits of rows that stand several times.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(is_set(bits, batch.column(2).to_numpy())))
@@ -188,8 +191,9 @@ def _sets(bits: np.ndarray,
             for _, data, offsets in chunks(batch.column(1)):
                 shingles, cuts = shingle_sets(data, offsets, size)
                 found += [shingles[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())],
-                                             names=["row", "shingles"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found, pa.binary()),
+                 pa.array(is_set(again, batch.column(2).to_numpy()))], names=["row", "shingles", "again"])
 
     return run
 
@@ -210,20 +214,23 @@ def _linked(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return run
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, percent: int, size: int) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, again: np.ndarray, percent: int,
+              size: int) -> DataFrame:
     """The pairs (a, b) of rows whose whole sets are similar enough.
 
-    Only texts whose row passes a filter of fixed size are cut into shingles again.
+    Only texts whose row passes a filter of fixed size are cut into shingles again, and only
+    the sets of rows that may stand several times, by the filter ``again``, are shuffled to
+    leave one of each.
     """
     rows = pairs.select(F.explode(F.array("a", "b")).alias("row"))
-    shared = docs.sparkSession.sparkContext.broadcast(key_filter(rows, "row"))
+    shared = docs.sparkSession.sparkContext.broadcast((key_filter(rows, "row"), again))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _sets(shared.value, size)(batches)
+        yield from _sets(*shared.value, size)(batches)
 
-    sets = docs.select("row", "text", bit_of("row").alias("bit")).mapInArrow(
-        run, "row long, shingles binary").dropDuplicates(["row"])
-    sets = materialize(sets, "sets")
+    cut = materialize(docs.select("row", "text", bit_of("row").alias("bit")).mapInArrow(
+        run, "row long, shingles binary, again boolean"), "sets")
+    sets = cut.filter("not again").unionByName(cut.filter("again").dropDuplicates(["row"]))
     left = sets.select(F.col("row").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("row").alias("b"), F.col("shingles").alias("set_b"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
@@ -342,6 +349,7 @@ def _components_of(docs: DataFrame, percent: int, size: int) -> DataFrame:
     rows = materialize(docs.mapInArrow(
         prefixes, "row long, id long, n long, print_a long, print_b long, prefix array<long>, sketch binary"),
         "prefixes")
+    repeated = key_filter(rows.groupBy("row").agg(F.count("*").alias("n")).filter("n > 1"), "row")
     key = ["print_a", "print_b", "n"]
     nodes = rows.filter("n > 0").groupBy(*key).agg(F.min("row").alias("node"),
                                                    F.min("id").alias("smallest"))
@@ -399,7 +407,7 @@ def _components_of(docs: DataFrame, percent: int, size: int) -> DataFrame:
         own.select("node"), "node", "left_semi").dropDuplicates(["node"])
     sketches = materialize(sketches, "sketches")
     asked = materialize(_likely(inside.unionByName(stars), sketches, percent), "stars")
-    first = materialize(_verified(docs, asked, percent, size), "links")
+    first = materialize(_verified(docs, asked, repeated, percent, size), "links")
     roots = components(first)
 
     # Second round: pairs of members in different components, on every shingle that the
@@ -422,7 +430,7 @@ def _components_of(docs: DataFrame, percent: int, size: int) -> DataFrame:
     pairs = (spread.repartition("cell").sortWithinPartitions("cell")
              .mapInArrow(_cells(percent), "a long, b long").distinct())
     pairs = materialize(pairs, "pairs")
-    links = materialize(first.unionByName(_verified(docs, pairs, percent, size)), "links")
+    links = materialize(first.unionByName(_verified(docs, pairs, repeated, percent, size)), "links")
     roots = components(links)
 
     labelled = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

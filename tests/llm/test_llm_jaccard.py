@@ -101,3 +101,27 @@ def test_shingles_of_any_size(spark, size):
     for i in range(5):
         like = [j for j in range(5) if 100 * len(sets[i] & sets[j]) >= 70 * len(sets[i] | sets[j])]
         assert found[i].component_id == min(like)
+
+
+def test_only_sets_of_repeated_rows_are_shuffled_to_leave_one(spark, monkeypatch):
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words), " ".join([*words[:59], "x"]), " ".join([*words[:50], *"abcdefgh"])]
+    data = [*enumerate(texts), (0, texts[0]), (0, texts[0])]
+    docs = spark.createDataFrame(data, "id long, text string").selectExpr(
+        "xxhash64(id, text) row", "id", "text")
+    rows = sorted({r.id: r.row for r in docs.collect()}.items())
+    again = jaccard.key_filter(docs.groupBy("row").count().filter("count > 1"), "row")
+    pairs = spark.createDataFrame([(rows[0][1], rows[1][1]), (rows[1][1], rows[2][1])], "a long, b long")
+    write, held = jaccard.materialize, []
+
+    def written(df, name):
+        held.append(write(df, name))
+        return held[-1]
+
+    monkeypatch.setattr(jaccard, "materialize", written)
+    got = jaccard._verified(docs, pairs, again, 90, 3)
+    want = [(rows[0][1], rows[1][1])]
+    assert sorted(map(tuple, got.collect())) == want
+    assert sorted((r.row, r.again) for r in held[0].collect()) == sorted(
+        [(rows[0][1], True)] * 3 + [(row, False) for _, row in rows[1:]])
+    assert sorted(map(tuple, jaccard.similar_components(docs.select("id", "text"), 90).collect())) == plain(data, 90)
