@@ -10,7 +10,9 @@ in each range are needed for that.  A gap takes one document a round, shrinks, a
 in the next one.
 
 Before the first round as many sequences are opened as the documents would fill, and later as
-many as those documents would fill that are larger than every gap.
+many as those documents would fill that are larger than every gap.  The last rounds have few
+rows, as they fill up the few sequences of many short documents.  Once no more than LAST_ROWS
+are left, and a quarter of all at most, one task goes through these rounds by itself.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ CAPACITY = 2048      # tokens of a sequence
 END = 0              # the id after every document
 BUNDLES = 32         # documents shorter than so many to a sequence go as bundles of that size
 RANGE_ROWS = 1 << 16 # documents and gaps that one task sweeps, about
+LAST_ROWS = 1 << 14  # rows, at most, whose rounds one task ends by itself
 
 _Batches = Iterator[pa.RecordBatch]
 _OPEN = "item long, size long, sequence long, gap long"
@@ -183,12 +186,49 @@ def _round(waiting: DataFrame, rows: int) -> DataFrame:
     return materialize(met.select(*columns).unionByName(unserved).unionByName(placed), "met")
 
 
+def _last_rounds(opened: int, capacity: int) -> Callable[[_Batches], _Batches]:
+    """All rows (item, size, sequence, gap) to the places of their documents, round by round.
+
+    The rounds are those of ``best_fit``: ``opened`` is the number of the next sequence.
+    """
+    def run(batches: _Batches) -> _Batches:
+        table = pa.Table.from_batches(batches) if (batches := list(batches)) else None
+        if table is None or not table.num_rows:
+            return
+        item, size, sequence, gap = (table.column(i) for i in range(4))
+        items, sizes = (c.filter(item.is_valid()).to_numpy() for c in (item, size))
+        sequences, gaps = (c.filter(sequence.is_valid()).to_numpy() for c in (sequence, gap))
+        number = opened
+        while len(items):
+            large = sizes[sizes > gaps.max(initial=0)]
+            fresh = -(-int(large.sum()) // capacity)
+            wide = gaps >= sizes.min()
+            sequences = np.concatenate([sequences[wide], np.arange(number, number + fresh)])
+            gaps = np.concatenate([gaps[wide], np.full(fresh, capacity, np.int64)])
+            number += fresh
+            # Indexes below len(items) are documents, those from there on gaps.
+            is_gap = np.arange(len(items) + len(gaps)) >= len(items)
+            both = np.concatenate([sizes, gaps])
+            order = np.lexsort((np.concatenate([items, sequences]), ~is_gap, -both))
+            taken, served, _ = sweep(both[order], is_gap[order])
+            taken, served = order[taken], order[served] - len(items)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(items[taken]), pa.array(sequences[served]), pa.array(capacity - gaps[served])],
+                names=["item", "sequence", "offset"])
+            gaps[served] -= sizes[taken]
+            waiting = np.ones(len(items), bool)
+            waiting[taken] = False
+            items, sizes = items[waiting], sizes[waiting]
+
+    return run
+
+
 def best_fit(items: DataFrame, capacity: int) -> DataFrame:
     """(item, sequence, offset) of all ``items`` (item, size), sizes 1 to ``capacity``."""
     spark = items.sparkSession
     none = F.lit(None).cast("long")
     waiting = items.select("item", "size", none.alias("sequence"), none.alias("gap"))
-    opened, placed = 0, []
+    opened, placed, most = 0, [], 0
     while True:
         # At most a row per size: what is left, and what it needs.
         sizes = {r[0]: (r[1], r[2]) for r in waiting.groupBy(
@@ -199,6 +239,12 @@ def best_fit(items: DataFrame, capacity: int) -> DataFrame:
         largest = max((s for s, (_, g) in sizes.items() if g), default=0)
         needed = -(-sum(s * d for s, d in documents.items() if s > largest) // capacity)
         smallest = min(documents)
+        left = sum(d + g for d, g in sizes.values())
+        most = max(most, left)
+        if left <= min(LAST_ROWS, most // 4):
+            placed.append(waiting.repartition(1).mapInArrow(
+                _last_rounds(opened, capacity), "item long, sequence long, offset long"))
+            break
         waiting = waiting.filter(F.col("sequence").isNull() | (F.col("gap") >= smallest))
         rows = needed + sum(d + (g if s >= smallest else 0) for s, (d, g) in sizes.items())
         if needed:

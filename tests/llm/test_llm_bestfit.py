@@ -147,3 +147,19 @@ def test_other_files_go_to_their_own_library():
     assert own.quick is None
     want = Tokenizer.from_file(path).encode("Some text", add_special_tokens=False).ids
     assert own.encode("Some text") == array("I", want).tobytes()
+
+
+def test_last_rounds_in_one_task_change_nothing(spark, monkeypatch):
+    sizes = [100, 98] * 20 + [7, 3, 5] * 2 + [1]
+    items = spark.createDataFrame(list(enumerate(sizes)), "item long, size long")
+    rounds, own = [], bestfit._round
+    monkeypatch.setattr(bestfit, "_round", lambda *a: rounds.append(a) or own(*a))
+    found, n = [], []
+    for last in (0, 1 << 14):
+        monkeypatch.setattr(bestfit, "LAST_ROWS", last)
+        rounds.clear()
+        found.append(sorted(map(tuple, bestfit.best_fit(items, 100).collect())))
+        n.append(len(rounds))
+    assert found[0] == found[1]
+    assert sorted(r[0] for r in found[0]) == list(range(len(sizes)))
+    assert n[1] < n[0] / 2 and n[0] > 4
