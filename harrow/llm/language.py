@@ -31,7 +31,7 @@ WINDOW = 1 << 11           # positions of a word gone through at once
 SCALE_EVERY = 16           # positions after which sums are scaled
 UNKNOWN = 1e-7             # probability of a character that is no piece
 SMOOTHING = 0.5            # expected uses added to every piece
-CACHED_BYTES = 48 << 20    # of words and their scores that a worker remembers, about
+CACHED_BYTES = 24 << 20    # of words and their scores that a worker remembers, about
 TEXT_CHARS = 1 << 20       # of texts scored together, or one longer text
 UNDETERMINED = "und"
 
@@ -51,11 +51,16 @@ def vocabulary(path: str | None = None) -> list[str]:
     return sorted(p for p in pieces if p)
 
 
-def text_words(text: str | None) -> list[str]:
-    """Runs of letters in lower case, marked as starts of a word."""
+def _runs(text: str | None) -> list[str]:
+    """Runs of letters in lower case."""
     if not text or not any(map(str.isalpha, text)):  # numbers like a raised 2 are no letters
         return []
-    return ["▁" + w for w in _WORD.findall(text.lower())]
+    return _WORD.findall(text.lower())
+
+
+def text_words(text: str | None) -> list[str]:
+    """Runs of letters in lower case, marked as starts of a word."""
+    return ["▁" + w for w in _runs(text)]
 
 
 @dataclass
@@ -67,7 +72,7 @@ class LanguageModel:
     probabilities: np.ndarray
 
     def __post_init__(self):
-        self._ids: dict[str, int] = {}
+        self._ready = False
         self._known: dict[str, int] = {}    # the words remembered and their rows in _table
         self._table = np.zeros((0, len(self.languages)))
 
@@ -77,27 +82,59 @@ class LanguageModel:
     def __setstate__(self, state):
         self.__init__(*state)
 
-    def _lookup(self) -> dict[str, int]:
-        if not self._ids:
-            self._ids.update({p: i + 1 for i, p in enumerate(self.pieces)})
-            self._longest = max(map(len, self.pieces), default=1)
-            self._padded = np.vstack([np.zeros(len(self.languages)), self.probabilities])
-        return self._ids
+    def _prepare(self) -> None:
+        """What the pieces are looked up by: a number for each of their beginnings.
+
+        ``_steps`` has, sorted, beginning * _ends + character for each beginning that goes on
+        with the character, ``_next`` the beginning that this gives, and ``_piece`` the id of
+        the piece that a beginning is, or 0.  The number 0 is the empty beginning.
+        """
+        if self._ready:
+            return
+        self._ends = 1 + max((ord(c) for p in self.pieces for c in p), default=0)
+        ids = {p: i + 1 for i, p in enumerate(self.pieces)}
+        starts = {"": 0}
+        for p in self.pieces:
+            for size in range(1, len(p) + 1):
+                starts.setdefault(p[:size], len(starts))
+        steps = np.array([starts[p[:-1]] * self._ends + ord(p[-1]) for p in starts if p], np.int64)
+        order = np.argsort(steps)
+        self._steps, self._next = steps[order], order + 1
+        self._piece = np.array([ids.get(p, 0) for p in starts], np.int32)
+        self._longest = max(map(len, self.pieces), default=1)
+        self._padded = np.vstack([np.zeros(len(self.languages)), self.probabilities])
+        self._ready = True
 
     def _lattice(self, words: list[str], first: int, last: int) -> np.ndarray:
         """Piece ids [word, end, length - 1] of words of one length; 0 where there is none.
 
         The ends run from ``first`` to ``last``, counted from 1.
         """
-        get = self._lookup().get
+        self._prepare()
         longest = min(self._longest, len(words[0]))
-        found = [get(w[end - size:end], 0) if size <= end else 0
-                 for w in words for end in range(first, last + 1) for size in range(1, longest + 1)]
-        return np.array(found, np.int32).reshape(len(words), last + 1 - first, longest)
+        before = max(0, first - longest)  # characters before it lie in no piece of these ends
+        text = np.array([w[before:last] for w in words]).view(np.uint32)
+        text = text.reshape(len(words), last - before).astype(np.int64)
+        found = np.zeros((len(words), last + 1 - first, longest), np.int32)
+        # From every place of every word as far as a piece goes on, one character at a time.
+        word, place = (x.ravel() for x in np.indices(text.shape))
+        begun = np.zeros(len(word), np.int64)
+        for size in range(1, longest + 1 if len(self._steps) else 1):
+            letter = text[word, place + size - 1]
+            step = begun * self._ends + letter
+            at = np.minimum(np.searchsorted(self._steps, step), len(self._steps) - 1)
+            on = (letter < self._ends) & (self._steps[at] == step)
+            word, place, begun = word[on], place[on], self._next[at[on]]
+            end = place + before + size
+            inside = end >= first
+            found[word[inside], end[inside] - first, size - 1] = self._piece[begun[inside]]
+            on = end < last
+            word, place, begun = word[on], place[on], begun[on]
+        return found
 
     def _parts(self, words: list[str], columns: int) -> Iterator[tuple[np.ndarray, list, int]]:
         """(indexes, windows as (first end, last end), longest piece) of words of one length."""
-        self._lookup()
+        self._prepare()
         for index in _by_length(words):
             n = len(words[index[0]])
             longest = min(self._longest, n)
@@ -121,7 +158,7 @@ class LanguageModel:
         return scores
 
     def _rows(self, words: list[str]) -> list[int]:
-        """Where the scores of the words stand in the table."""
+        """Where the scores of the words, not marked, stand in the table."""
         most = CACHED_BYTES // (120 + 8 * len(self.languages))
         fresh = [w for w in dict.fromkeys(words) if w not in self._known]
         if len(self._known) + len(fresh) > most and self._known:
@@ -133,7 +170,7 @@ class LanguageModel:
             table[:n] = self._table[:n]
             self._table = table
         if fresh:
-            self._table[n:n + len(fresh)] = self.word_scores(fresh)
+            self._table[n:n + len(fresh)] = self.word_scores(["▁" + w for w in fresh])
             self._known.update(zip(fresh, range(n, n + len(fresh)), strict=True))
         return list(map(self._known.__getitem__, words))
 
@@ -148,7 +185,7 @@ class LanguageModel:
             size, own = 0, []
             while at < len(texts) and (not own or size + len(texts[at] or "") <= TEXT_CHARS):
                 size += len(texts[at] or "")
-                own.append(text_words(texts[at]))
+                own.append(_runs(texts[at]))
                 at += 1
             lengths = np.array([len(words) for words in own])
             rows = np.array(self._rows([w for words in own for w in words]), np.int64)

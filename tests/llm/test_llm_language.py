@@ -1,4 +1,5 @@
 import math
+import sys
 from collections import Counter
 
 import llm_cases
@@ -71,6 +72,25 @@ def test_few_texts_at_a_time(monkeypatch):
     assert model().score(texts) == want
 
 
+def test_pieces_are_not_looked_up_one_by_one():
+    rng = np.random.default_rng(3)
+    words = ["▁" + "".join(rng.choice(list("abé"), 12)) for _ in range(200)]
+    m, calls = model(), []
+    m.word_scores(words[:1])
+    sys.setprofile(lambda frame, event, called: calls.append(called) if event == "c_call" else None)
+    try:
+        m.word_scores(words)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 2 * len(words)  # of 200 * 13 * 3 / 2 stretches and more
+    for first, last in ((1, 13), (5, 9), (13, 13)):
+        found = m._lattice(words, first, last)
+        for w, own in zip(words, found, strict=True):
+            for end in range(first, last + 1):
+                want = [w[end - n:end] if n <= end else "" for n in range(1, own.shape[1] + 1)]
+                assert [PIECES.index(p) + 1 if p in PIECES else 0 for p in want] == list(own[end - first])
+
+
 def forward_by_logs(word, m, column):
     """The sum over all ways of cutting, end by end and in logarithms."""
     logs = [0.0]
