@@ -12,19 +12,24 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 CHUNK_BYTES = 2 << 20  # text that one numpy pass works on, unless a single text is longer
-BATCH_BYTES = 8 << 20  # of an Arrow batch, unless a single row is longer
+POWERS = 1 << 18       # powers that the tables of ``Hashes`` grow by
+BATCH_BYTES = 2 << 20  # of an Arrow batch, unless a single row is longer
+BATCH_ROWS = 1 << 10   # of Parquet rows that are decoded together
 
 
 @contextmanager
 def small_batches(spark: SparkSession) -> Iterator[None]:
     """Batches of BATCH_BYTES for jobs run within: the JVM and Python hold copies of a batch."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(BATCH_BYTES))
+    sizes = {"spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES,
+             "spark.sql.parquet.columnarReaderBatchSize": BATCH_ROWS}
+    before = {name: spark.conf.get(name) for name in sizes}
+    for name, value in sizes.items():
+        spark.conf.set(name, str(value))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def add_columns(df: DataFrame, work: Callable[[pa.RecordBatch], Sequence], fields: str,
@@ -82,7 +87,7 @@ _tables: list[np.ndarray] = []
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _tables or len(_tables[0]) < n:
-        n = max(n, CHUNK_BYTES + 1)
+        n = -(-n // POWERS) * POWERS + 1  # no more than the longest chunk needs
         _tables[:] = []
         for base in (_BASE, _INVERSE):
             table = np.full(n, base, np.uint64)

@@ -35,6 +35,7 @@ MOST = 65_535             # count at which a class is full
 CELL_ROWS = 2_000         # rows of one shingle that a task compares with as many others
 SHINGLE_BITS = 1 << 27    # bits of the filter of shingles that stand twice; broadcast
 COUNTED = 4 << 20         # shingles that a task counts together, or one longer chunk of text
+TEXT_BYTES = 1 << 19      # of texts cut into shingles at once, which take some 60 times that
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[32, *range(9, 14)]] = True
@@ -72,28 +73,30 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray,
 
 def _counted(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Shingles that several of the texts counted together hold, with the number of texts."""
-    def several(parts: list[np.ndarray]) -> pa.RecordBatch:
-        found = np.concatenate([*parts, np.zeros(0, np.uint64)])
-        parts.clear()
+    def several(found: np.ndarray) -> pa.RecordBatch:
         found.sort()
-        first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])[:len(found)])
-        n = np.diff(np.append(first, len(found)))
-        some = n > 1
+        # Only runs of equal shingles take room, as most stand alone.
+        same = found[1:] == found[:-1]
+        first = np.flatnonzero(same & ~np.concatenate([[False], same[:-1]])[:len(same)])
+        last = np.flatnonzero(same & ~np.concatenate([same[1:], [False]])[:len(same)]) + 1
         return pa.RecordBatch.from_arrays(
-            [pa.array(found[first[some]].view(np.int64)), pa.array(n[some])], names=["shingle", "n"])
+            [pa.array(found[first].view(np.int64)), pa.array(last - first + 1)], names=["shingle", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[np.ndarray] = []
+        room = np.empty(COUNTED, np.uint64)  # filled and sorted in place, not put together anew
         held = 0
         for batch in batches:
-            for _, data, offsets in chunks(batch.column(0)):
+            for _, data, offsets in chunks(batch.column(0), TEXT_BYTES):
                 own = shingle_sets(data, offsets, size)[0]
-                if held + len(own) > COUNTED:
-                    yield several(parts)
+                if held + len(own) > len(room):
+                    yield several(room[:held])
                     held = 0
-                parts.append(own)
+                if len(own) > len(room):
+                    yield several(own)
+                    continue
+                room[held:held + len(own)] = own
                 held += len(own)
-        yield several(parts)
+        yield several(room[:held])
 
     return run
 
@@ -144,7 +147,7 @@ def _prefixes(hot: np.ndarray, rank: np.ndarray, common: np.ndarray, percent: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, prints, prefixes, lengths, sketches = [], [], [], [0], []
-            for _, data, offsets in chunks(batch.column(2)):
+            for _, data, offsets in chunks(batch.column(2), TEXT_BYTES):
                 shingles, cuts = shingle_sets(data, offsets, size)
                 order = is_set(common, shingles % np.uint64(8 * len(common))).astype(np.int32)
                 seen = np.flatnonzero(order)
@@ -188,7 +191,7 @@ def _sets(bits: np.ndarray, again: np.ndarray,
         for batch in batches:
             batch = batch.filter(pa.array(is_set(bits, batch.column(2).to_numpy())))
             found = []
-            for _, data, offsets in chunks(batch.column(1)):
+            for _, data, offsets in chunks(batch.column(1), TEXT_BYTES):
                 shingles, cuts = shingle_sets(data, offsets, size)
                 found += [shingles[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(

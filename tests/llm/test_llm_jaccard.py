@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import llm_cases
 import pytest
@@ -125,3 +126,21 @@ def test_only_sets_of_repeated_rows_are_shuffled_to_leave_one(spark, monkeypatch
     assert sorted((r.row, r.again) for r in held[0].collect()) == sorted(
         [(rows[0][1], True)] * 3 + [(row, False) for _, row in rows[1:]])
     assert sorted(map(tuple, jaccard.similar_components(docs.select("id", "text"), 90).collect())) == plain(data, 90)
+
+
+def test_counting_shingles_holds_little_more_than_them(monkeypatch):
+    monkeypatch.setattr(jaccard, "COUNTED", 1 << 17)
+    texts = [" ".join(f"w{i}x{j}" for j in range(250)) for i in range(1000)]
+    texts += texts[:3]
+    batch = [jaccard.pa.record_batch([jaccard.pa.array(texts)], names=["text"])]
+    want = list(jaccard._counted(3)(batch))  # also makes the tables of powers
+    tracemalloc.start()
+    try:
+        found = list(jaccard._counted(3)(batch))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == want and most < 48 * jaccard.TEXT_BYTES + 12 * jaccard.COUNTED
+    monkeypatch.setattr(jaccard, "COUNTED", 1 << 20)
+    together, = jaccard._counted(3)(batch)
+    assert together.num_rows == 3 * 248 and set(together.column(1).to_pylist()) == {2}
