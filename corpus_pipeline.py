@@ -18,7 +18,7 @@ from harrow.llm.decontaminate import find_contamination
 from harrow.llm.jaccard import similar_components
 from harrow.llm.packing import pack
 from harrow.llm.secrets import scan_secrets
-from harrow.session import materialize, ship_package
+from harrow.session import materialize, materialize_last, ship_package
 
 NEAR_SHINGLE, NEAR_PERCENT = 5, 80  # words of a shingle, and similarity of near copies
 
@@ -50,10 +50,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     docs, back = _apart(docs, "doc_id", "text")
     keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    found = similar_components(keyed.select(F.col("_key").alias("id"), "text"), NEAR_PERCENT,
-                               NEAR_SHINGLE)
-    found = materialize(found.filter("n_shingles > 0").select(
-        F.col("id").alias("_key"), F.col("component_id").alias("_group")).distinct(), "groups")
+    texts = keyed.select(F.col("_key").alias("id"), "text")
+    found = materialize_last(lambda: similar_components(texts, NEAR_PERCENT, NEAR_SHINGLE).filter(
+        "n_shingles > 0").select(F.col("id").alias("_key"), F.col("component_id").alias("_group"))
+        .distinct(), "groups")
     several = found.filter("_key <> _group").select("_group").distinct()
     members = found.join(several, "_group").join(
         keyed.select("_key", "doc_id").distinct(), "_key")

@@ -20,13 +20,16 @@ def key_filter(keys: DataFrame, key: str) -> np.ndarray:
 
 
 def packed_bits(rows: DataFrame, size: int = FILTER_BITS) -> np.ndarray:
-    """The bits in the column ``bit``, put together by Spark in parts of a few kilobytes."""
+    """The bits in the column ``bit``, put together by Spark in parts of a few kilobytes.
+
+    All parts come in one job, as they are no more than the filter.
+    """
     # Bits are numbered from 1 here, as Spark's first bucket starts there.
     bits = rows.select((F.col("bit") + 1).alias("bit"))
     parts = (bits.groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
-             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).toLocalIterator())
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).toArrow())
     found = np.zeros(size // 8, np.uint8)
-    for bucket, part in parts:
+    for bucket, part in zip(*(column.to_pylist() for column in parts.columns), strict=True):
         found[(bucket - 1) * len(part):bucket * len(part)] = np.frombuffer(part, np.uint8)
     return found
 

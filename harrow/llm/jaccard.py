@@ -14,6 +14,7 @@ every pair that could have one is verified.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ from harrow.llm.batches import Hashes, chunks, folded_symbols, mix, small_batche
 from harrow.llm.bits import bit_of, is_set, key_filter, packed_bits
 from harrow.llm.components import components
 from harrow.operators.skew import blocks, slot_of
-from harrow.session import materialize
+from harrow.session import materialize, materialize_last
 
 SHINGLE = 3               # words of a shingle
 PERCENT = 90              # similarity from which two sets are linked
@@ -34,6 +35,8 @@ SKETCH = 64               # shingles of a set are counted in so many classes
 MOST = 65_535             # count at which a class is full
 CELL_ROWS = 2_000         # rows of one shingle that a task compares with as many others
 SHINGLE_BITS = 1 << 27    # bits of the filter of shingles that stand twice; broadcast
+BUCKET_BITS = 1 << 16     # bits of it that are put together at once
+PLACES = 1 << 20          # shingles that a task sorts into buckets together
 COUNTED = 4 << 20         # shingles that a task counts together, or one longer chunk of text
 TEXT_BYTES = 1 << 19      # of texts cut into shingles at once, which take some 60 times that
 
@@ -136,6 +139,80 @@ def _twice(bits: np.ndarray, chosen: np.ndarray) -> Callable[[Iterator[pa.Record
     return run
 
 
+def _in_buckets(chosen: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]],
+                                                 Iterator[pa.RecordBatch]]:
+    """Batches of (prefix, bit of the row) to (bucket, places): where in a bucket of the
+    filter the shingles of chosen rows have their bits, in order and at most twice each."""
+    def dealt(bits: np.ndarray) -> pa.RecordBatch:
+        bits.sort()
+        bits = bits[np.concatenate([np.ones(min(2, len(bits)), bool), bits[2:] != bits[:-2]])]
+        cuts = np.searchsorted(bits, np.arange(0, SHINGLE_BITS + 1, BUCKET_BITS))
+        places = (bits % np.uint32(BUCKET_BITS)).astype("<u2")
+        used = np.flatnonzero(np.diff(cuts))
+        offsets = (2 * np.append(cuts[used], len(bits))).astype(np.int32)
+        lists = pa.Array.from_buffers(pa.binary(), len(used), [
+            None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(places.tobytes())])
+        return pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), lists], names=["bucket", "places"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            batch = batch.filter(pa.array(is_set(chosen, batch.column(1).to_numpy())))
+            values = batch.column(0).flatten().to_numpy()
+            held.append((values % SHINGLE_BITS).astype(np.uint32))
+            n += len(values)
+            if n >= PLACES:
+                yield dealt(np.concatenate(held))
+                held, n = [], 0
+        if n:
+            yield dealt(np.concatenate(held))
+
+    return run
+
+
+def _met_twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (bucket, places) sorted by bucket to the packed bits that stand at least twice."""
+    bucket, once, twice = None, np.zeros(BUCKET_BITS, bool), np.zeros(BUCKET_BITS, bool)
+
+    def packed() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([bucket]), pa.array([np.packbits(twice, bitorder="little").tobytes()])],
+            names=["bucket", "bits"])
+
+    for batch in batches:
+        for own, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if own != bucket:
+                if bucket is not None:
+                    yield packed()
+                bucket, once[:], twice[:] = own, False, False
+            at = np.frombuffer(places, "<u2")
+            twice[at[once[at]]] = True
+            twice[at[1:][at[1:] == at[:-1]]] = True
+            once[at] = True
+    if bucket is not None:
+        yield packed()
+
+
+def _standing_twice(marked: DataFrame, chosen: np.ndarray) -> np.ndarray:
+    """The packed bits of the shingles in ``marked`` (prefix, bit) that stand in two chosen rows.
+
+    Shuffled are places of two bytes, not rows of one shingle each.
+    """
+    shared = marked.sparkSession.sparkContext.broadcast(chosen)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _in_buckets(shared.value)(batches)
+
+    parts = (marked.select("prefix", "bit").mapInArrow(places, "bucket long, places binary")
+             .repartition("bucket").sortWithinPartitions("bucket")
+             .mapInArrow(_met_twice, "bucket long, bits binary"))
+    found = np.zeros((SHINGLE_BITS // BUCKET_BITS, BUCKET_BITS // 8), np.uint8)
+    parts = parts.toArrow()  # of the filter's size, in one job and not in one for each task
+    for bucket, bits in zip(*(column.to_pylist() for column in parts.columns), strict=True):
+        found[bucket] = np.frombuffer(bits, np.uint8)
+    return found.ravel()
+
+
 def _prefixes(hot: np.ndarray, rank: np.ndarray, common: np.ndarray, percent: int,
               size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Batches of (row, id, text) to the size, fingerprint and ordered prefix of each set.
@@ -161,7 +238,7 @@ def _prefixes(hot: np.ndarray, rank: np.ndarray, common: np.ndarray, percent: in
                                    int(mix(own + np.uint64(0x14057B7EF767814F)).sum().view(np.int64))))
                     sizes.append(b - a)
                     classes = np.bincount((own % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
-                    sketches.append(np.minimum(classes, MOST).astype(np.uint16).tobytes())
+                    sketches.append(_sketch(classes))
                     kept = _prefix_length(b - a, percent) if b > a else 0
                     hottest = order[a:b]
                     prefix = (own[np.argsort(hottest, kind="stable")[:kept]] if hottest.any()
@@ -181,37 +258,52 @@ def _prefixes(hot: np.ndarray, rank: np.ndarray, common: np.ndarray, percent: in
     return run
 
 
-def _sets(bits: np.ndarray, again: np.ndarray,
-          size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Batches of (row, text, bit) to the sets of the rows whose bit is set.
+def _texts(bits: np.ndarray,
+           again: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Batches of (row, text, bit) to the packed texts of the rows whose bit is set.
 
     ``again`` has the bits of rows that stand several times.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(is_set(bits, batch.column(2).to_numpy())))
-            found = []
-            for _, data, offsets in chunks(batch.column(1), TEXT_BYTES):
-                shingles, cuts = shingle_sets(data, offsets, size)
-                found += [shingles[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            packed = [zlib.compress(b"" if x is None else x, 1)
+                      for x in batch.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.binary()),
-                 pa.array(is_set(again, batch.column(2).to_numpy()))], names=["row", "shingles", "again"])
+                [batch.column(0), pa.array(packed, pa.binary()),
+                 pa.array(is_set(again, batch.column(2).to_numpy()))], names=["row", "text", "again"])
 
     return run
 
 
-def _linked(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Batches of (a, b, set of a, set of b) to the pairs that are similar enough."""
+def _linked(percent: int, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Batches of (a, b, text of a, text of b) to the pairs whose sets are similar enough."""
+    def similar(texts: list[bytes], pairs: list[tuple[int, int]]) -> list[bool]:
+        sets, keep = [], []
+        for _, data, offsets in chunks(pa.array(texts, pa.large_binary()), TEXT_BYTES):
+            shingles, cuts = shingle_sets(data, offsets, size)
+            sets += [shingles[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        for x, y in pairs:
+            both = np.concatenate([sets[x], sets[y]])
+            both.sort(kind="stable")
+            common = int((both[1:] == both[:-1]).sum())
+            keep.append(100 * common >= percent * (len(both) - common))
+        return keep
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                left, right = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = np.concatenate([left, right])
-                both.sort(kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (len(both) - common))
+            keep, texts, pairs, place, held = [], [], [], {}, 0
+            for a, b, *both in zip(*(batch.column(i) for i in range(4)), strict=True):
+                for row, text in zip((a.as_py(), b.as_py()), both, strict=True):
+                    if row not in place:
+                        place[row] = len(texts)
+                        texts.append(zlib.decompress(text.as_buffer()))
+                        held += len(texts[-1])
+                pairs.append((place[a.as_py()], place[b.as_py()]))
+                if held >= TEXT_BYTES:
+                    keep += similar(texts, pairs)
+                    texts, pairs, place, held = [], [], {}, 0
+            keep += similar(texts, pairs)
             yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
     return run
@@ -221,27 +313,33 @@ def _verified(docs: DataFrame, pairs: DataFrame, again: np.ndarray, percent: int
               size: int) -> DataFrame:
     """The pairs (a, b) of rows whose whole sets are similar enough.
 
-    Only texts whose row passes a filter of fixed size are cut into shingles again, and only
-    the sets of rows that may stand several times, by the filter ``again``, are shuffled to
-    leave one of each.
+    Texts are shuffled, packed, and not their sets, which take three times as much.  Only
+    those whose row passes a filter of fixed size are, and only rows that may stand several
+    times, by the filter ``again``, are shuffled to leave one of each.
     """
     rows = pairs.select(F.explode(F.array("a", "b")).alias("row"))
     shared = docs.sparkSession.sparkContext.broadcast((key_filter(rows, "row"), again))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _sets(*shared.value, size)(batches)
+        yield from _texts(*shared.value)(batches)
+
+    packed = materialize(docs.select("row", "text", bit_of("row").alias("bit")).mapInArrow(
+        run, "row long, text binary, again boolean"), "texts")
+    texts = packed.filter("not again").unionByName(packed.filter("again").dropDuplicates(["row"]))
+    left = texts.select(F.col("row").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("row").alias("b"), F.col("text").alias("text_b"))
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    return joined.mapInArrow(_linked(percent, size), "a long, b long")
 
-    cut = materialize(docs.select("row", "text", bit_of("row").alias("bit")).mapInArrow(
-        run, "row long, shingles binary, again boolean"), "sets")
-    sets = cut.filter("not again").unionByName(cut.filter("again").dropDuplicates(["row"]))
-    left = sets.select(F.col("row").alias("a"), F.col("shingles").alias("set_a"))
-    right = sets.select(F.col("row").alias("b"), F.col("shingles").alias("set_b"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
-    return joined.mapInArrow(_linked(percent), "a long, b long")
+
+def _sketch(classes: np.ndarray) -> bytes:
+    """The counts in two bytes each: all lower ones, then all upper ones, which are mostly 0."""
+    return np.minimum(classes, MOST).astype("<u2").view(np.uint8).reshape(SKETCH, 2).T.tobytes()
 
 
 def _sketches(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), SKETCH)
+    counts = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), 2, SKETCH)
+    return counts[:, 0] + counts[:, 1].astype(np.uint16) * np.uint16(256)
 
 
 def _can_link(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
@@ -358,6 +456,20 @@ def _components_of(docs: DataFrame, percent: int, size: int) -> DataFrame:
                                                    F.min("id").alias("smallest"))
     nodes = materialize(nodes, "nodes")
 
+    # The tables written on the way to the components are not needed after them.
+    roots = materialize_last(lambda: _roots(docs, rows, nodes, repeated, percent, size), "roots")
+    labelled = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    smallest = labelled.groupBy("root").agg(F.min("smallest").alias("component_id"))
+    labelled = labelled.select(*key, "root").join(smallest, "root")
+    found = rows.select("id", *key).join(labelled, key, "left")
+    return found.select("id", F.col("n").alias("n_shingles"), F.when(
+        F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+
+
+def _roots(docs: DataFrame, rows: DataFrame, nodes: DataFrame, repeated: np.ndarray, percent: int,
+           size: int) -> DataFrame:
+    """(node, root) of the nodes that are linked with others."""
+    spark = docs.sparkSession
     # One row stands for equal sets.  It is picked by a filter of fixed size; a further
     # row that this lets through is one more node, equal to the first.
     chosen = spark.sparkContext.broadcast(key_filter(nodes, "node"))
@@ -377,17 +489,16 @@ def _components_of(docs: DataFrame, percent: int, size: int) -> DataFrame:
     members = materialize(own.join(hubs, ["n", "head"]).select("node", "n", "hub", "size"), "members")
 
     # Postings of the groups, without shingles of which a filter says that they stand once.
-    seen = marked.select(F.explode("prefix").alias("shingle")).select(bit.alias("bit"))
-    again = seen.groupBy("bit").agg(F.count("*").alias("n")).filter("n > 1")
-    maybe = spark.sparkContext.broadcast(packed_bits(again, SHINGLE_BITS))
+    maybe = spark.sparkContext.broadcast(_standing_twice(marked, chosen.value))
 
     def postings_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _twice(maybe.value, chosen.value)(batches)
 
     leads = members.filter("node = hub").select("hub", "size")
+    # Joined first: what is dealt by hub need not be dealt again to be grouped.
     postings = (marked.mapInArrow(postings_of, "hub long, n long, i int, shingle long")
-                .groupBy("shingle", "hub").agg(F.min("n").alias("n"), F.min("i").alias("i"))
-                .join(leads, "hub"))
+                .join(leads, "hub").groupBy("hub", "shingle")
+                .agg(F.min("n").alias("n"), F.min("i").alias("i"), F.max("size").alias("size")))
     postings = materialize(postings, "listed")
     met = postings.groupBy("shingle").agg(F.sum("size").alias("texts")).filter("texts > 1")
     postings = materialize(postings.join(met.select("shingle"), "shingle")
@@ -434,14 +545,7 @@ def _components_of(docs: DataFrame, percent: int, size: int) -> DataFrame:
              .mapInArrow(_cells(percent), "a long, b long").distinct())
     pairs = materialize(pairs, "pairs")
     links = materialize(first.unionByName(_verified(docs, pairs, repeated, percent, size)), "links")
-    roots = components(links)
-
-    labelled = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = labelled.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    labelled = labelled.select(*key, "root").join(smallest, "root")
-    found = rows.select("id", *key).join(labelled, key, "left")
-    return found.select("id", F.col("n").alias("n_shingles"), F.when(
-        F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    return components(links)
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -144,3 +144,58 @@ def test_counting_shingles_holds_little_more_than_them(monkeypatch):
     monkeypatch.setattr(jaccard, "COUNTED", 1 << 20)
     together, = jaccard._counted(3)(batch)
     assert together.num_rows == 3 * 248 and set(together.column(1).to_pylist()) == {2}
+
+
+def test_bits_that_stand_twice_are_found_from_places_of_two_bytes(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "PLACES", 50)
+    rng = random.Random(5)
+    bits = jaccard.SHINGLE_BITS
+    values = [rng.randrange(1 << 63) for _ in range(60)] + [0, bits - 1, -1, -bits]
+    data = [(i, [rng.choice(values) for _ in range(rng.randint(0, 30))]) for i in range(40)]
+    data += [(40, [77, 77, 77]), (41, [78]), (42, [79]), (42, [79 + bits])]
+    marked = spark.createDataFrame(data, "bit long, prefix array<long>").repartition(4)
+    chosen = [i for i in range(43) if i % 5]
+    packed = jaccard.np.zeros(16, jaccard.np.uint8)
+    for i in chosen:
+        packed[i >> 3] |= 1 << (i & 7)
+    counts = {}
+    for i, prefix in data:
+        for x in prefix if i in chosen else []:
+            counts[x % bits] = counts.get(x % bits, 0) + 1
+    found = jaccard._standing_twice(marked, packed)
+    at = jaccard.np.flatnonzero(jaccard.np.unpackbits(found, bitorder="little"))
+    assert at.tolist() == sorted(x for x, n in counts.items() if n > 1) and 79 in at and 77 not in at
+    assert not jaccard._standing_twice(marked.limit(0), packed).any()
+    lists = [list(range(i, 4 * bits, 1 << 12)) for i in range(3)]
+    batch = jaccard.pa.record_batch([jaccard.pa.array(lists), jaccard.pa.array([1, 1, 1])], ["prefix", "bit"])
+    dealt = list(jaccard._in_buckets(packed)(iter([batch])))
+    assert sum(x.nbytes for x in dealt) < 3 * sum(map(len, lists))  # eight bytes each before
+
+
+def test_texts_are_verified_from_their_packed_bytes(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "TEXT_BYTES", 3000)  # several rounds in a batch
+    base = " ".join(f"word{i % 150} and so on" for i in range(200))
+    texts = [f"{base} tail {i}" for i in range(12)] + ["short one here", None, "short one here"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+    pairs = spark.createDataFrame([(0, i) for i in range(1, 13)] + [(12, 14), (12, 13)], "a long, b long")
+    write, held = jaccard.materialize, []
+
+    def written(df, name):
+        held.append(write(df, name))
+        return held[-1]
+
+    monkeypatch.setattr(jaccard, "materialize", written)
+    got = jaccard._verified(docs, pairs, jaccard.np.zeros(1 << 20, jaccard.np.uint8), 90, 3)
+    assert sorted(map(tuple, got.collect())) == [(0, i) for i in range(1, 12)] + [(12, 14)]
+    shuffled = {r.row: len(r[1]) for r in held[0].collect()}
+    assert len(shuffled) == 15
+    assert all(shuffled[i] < 8 * len(shingles(texts[i])) for i in range(12))  # those of the set before
+
+
+def test_sketches_keep_counts_of_two_bytes():
+    counts = jaccard.np.array([0, 1, 255, 256, 65_534, 65_535, 70_000, *range(57)])
+    packed = jaccard.pa.array([jaccard._sketch(counts), jaccard._sketch(counts[::-1])], jaccard.pa.binary())
+    found = jaccard._sketches(packed)
+    want = jaccard.np.minimum(counts, jaccard.MOST)
+    assert (found[0] == want).all() and (found[1] == want[::-1]).all()
+    assert found.dtype == jaccard.np.uint16

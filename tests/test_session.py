@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from conftest import rows
 
 from harrow import session
@@ -27,3 +28,38 @@ def test_work_dir_is_the_one_the_cluster_names(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     folder = session.work_dir(spark)
     assert folder == named if named else os.path.isdir(folder)
+
+
+def test_tables_on_the_way_are_deleted_and_the_last_one_stays(spark, monkeypatch):
+    monkeypatch.setattr(session, "_written", [])
+    before = session.materialize(spark.range(3), "before")
+
+    def inner():
+        return session.materialize(spark.range(5), "way").join(before, "id")
+
+    def outer():
+        found = session.materialize_last(inner, "inner")
+        assert found.count() == 3
+        return session.materialize(found.filter("id > 0"), "way")
+
+    last = session.materialize_last(outer, "last")
+    assert sorted(r.id for r in last.collect()) == [1, 2] and before.count() == 3
+    names = [os.path.basename(path).rsplit("-", 1)[0] for path in session._written]
+    assert names == ["before", "last"]
+    assert all(os.path.isdir(path.removeprefix("file://")) for path in session._written)
+    with pytest.raises(ValueError):
+        session.materialize_last(lambda: int("x"), "never")
+    assert session.materialize(spark.range(1), "after").count() == 1
+    assert session.clear_materialized() == []
+
+
+def test_tables_in_another_store_stay_to_be_named(spark, monkeypatch):
+    monkeypatch.setattr(session, "_written", [])
+
+    def build():
+        session.work_path(spark, "way")
+        session._written[-1] = session._passing.get()[-1] = "store://bucket/way"
+        return spark.range(1)
+
+    assert session.materialize_last(build, "last").count() == 1
+    assert session.clear_materialized() == ["store://bucket/way"]
