@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harrow.session import materialize
+from harrow.session import discard, materialize
 
 
 def number_values(df: DataFrame, column: str, name: str) -> DataFrame:
@@ -25,5 +25,7 @@ def number_values(df: DataFrame, column: str, name: str) -> DataFrame:
         "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     place = F.row_number().over(Window.partitionBy("_part").orderBy(column)) - 1
     numbered = dealt.withColumn("_place", place).join(starts, "_part")
-    return materialize(numbered.select(
+    numbers = materialize(numbered.select(
         column, (F.col("_start") + F.col("_place")).cast("int").alias(name)), "numbers")
+    discard(values)
+    return numbers

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from harrow.operators.numbering import number_values
 from harrow.operators.search import rows_with_any_term
-from harrow.session import materialize
+from harrow.session import checkpoint_folder, collect_garbage, materialize, work_path
 
 # The training settings.
 RANKS = (4, 8, 12)
@@ -105,11 +105,23 @@ def number_ratings(ratings: DataFrame) -> NumberedRatings:
 
 def train(ratings: DataFrame | NumberedRatings, rank: int, iterations: int = ITERATIONS,
           regularization: float = REGULARIZATION, seed: int = SEED) -> Recommender:
-    """Fit the factors."""
+    """Fit the factors.
+
+    Every iteration sends each factor to all blocks that need it and stores the outcome,
+    after which the files of that shuffle are deleted.  The fitted factors are stored as
+    well: the model of ``fit`` would hold all shuffles and blocks of its training.
+    """
     numbered = ratings if isinstance(ratings, NumberedRatings) else number_ratings(ratings)
+    spark = numbered.table.sparkSession
+    checkpoint_folder(spark)
     als = ALS(rank=rank, maxIter=iterations, regParam=regularization, seed=seed,
-              userCol="_u", itemCol="_i", ratingCol="rating", coldStartStrategy="drop")
-    return Recommender(als.fit(numbered.table), numbered, regularization)
+              userCol="_u", itemCol="_i", ratingCol="rating", coldStartStrategy="drop",
+              checkpointInterval=1)
+    path = work_path(spark, "model")
+    als.fit(numbered.table).save(path)
+    model = ALSModel.load(path)
+    collect_garbage(spark)
+    return Recommender(model, numbered, regularization)
 
 
 def predict(fitted: Recommender, pairs: DataFrame) -> DataFrame:
@@ -217,7 +229,12 @@ def search_ranks(training: DataFrame | NumberedRatings, validation: DataFrame,
     one need not be fitted again.
     """
     numbered = training if isinstance(training, NumberedRatings) else number_ratings(training)
-    known = known_pairs(numbered, validation)
+    return fit_ranks(numbered, known_pairs(numbered, validation), ranks)
+
+
+def fit_ranks(numbered: NumberedRatings, known: DataFrame,
+              ranks: Sequence[int] = RANKS) -> RankSearch:
+    """``search_ranks`` on numbered ratings and the ``known_pairs`` of the validation set."""
     models, tables = {}, []
     for position, rank in enumerate(ranks):
         models[rank] = train(numbered, rank)

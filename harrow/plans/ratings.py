@@ -20,7 +20,7 @@ from harrow.plans.inputs import (
     ratings,
     table,
 )
-from harrow.session import materialize
+from harrow.session import discard, materialize
 
 TOP_MIN_RATINGS = 30
 NAMED_MIN_RATINGS = 20
@@ -89,10 +89,12 @@ def _als_residuals(spark, sf_dir):
 def _rank_grid(spark, sf_dir):
     """The validation error of each rank tried, the one chosen, and its error on the test set."""
     train, validation, test = _sets(spark, sf_dir)
-    search = rec.search_ranks(train, validation)
+    numbered = rec.number_ratings(train)
+    known, known_test = rec.known_pairs(numbered, validation), rec.known_pairs(numbered, test)
+    discard(train, validation, test)
+    search = rec.fit_ranks(numbered, known)
     best = rec.best_rank(search.errors).scalar()
-    chosen = search.best()
-    test_error = rec.known_rmse(chosen, rec.known_pairs(chosen.ratings, test)).scalar()
+    test_error = rec.known_rmse(search.best(), known_test).scalar()
     return _rounded(search.errors.select(
         "rank", "rmse", (F.col("rank") == best).alias("chosen"), test_error.alias("test_rmse")),
         "rmse", "test_rmse")

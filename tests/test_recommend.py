@@ -2,11 +2,12 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import rows
+from conftest import left_behind, rows, shuffles
 
 from harrow.operators import recommend as rec
 from harrow.operators.evaluation import rmse
 from harrow.operators.relational import bag_union
+from harrow.plans import ratings as plans
 
 TITLES = ["Lamp (small)", "Blue Kite: Long", "TEAPOT", "Teapot 2", "Plain"]
 
@@ -168,3 +169,34 @@ def test_pairs_are_numbered_once_for_all_ranks(spark, ratings, monkeypatch):
         assert errors[rank] == pytest.approx(want)
     none = rec.known_pairs(search.models[1].ratings, rated.filter("user = 12345"))
     assert rec.known_rmse(search.models[1], none).first().rmse is None
+
+
+def test_training_leaves_no_shuffle_files(spark, ratings):
+    numbered = rec.number_ratings(ratings)
+    before = shuffles(spark)
+    fitted = rec.train(numbered, 2)  # held on, with what its training left
+    assert left_behind(spark, before) == set()
+    assert rec.user_factors(fitted).count() == 30 and rec.item_factors(fitted).count() == 5
+
+
+def test_the_split_is_deleted_before_the_ranks_are_fitted(spark, ratings, monkeypatch):
+    from harrow import session
+
+    monkeypatch.setattr(plans, "ratings", lambda *_: ratings)
+    monkeypatch.setattr(session, "_written", [])
+    held = []
+
+    def fit(*given, fit=rec.train):
+        held.append({path.split("/")[-1].split("-")[0] for path in session._written})
+        return fit(*given)
+
+    monkeypatch.setattr(rec, "train", fit)
+    found = plans.QUERIES["rec_rank_grid"](spark, "").collect()
+    assert len(held) == 3 and not any({"split", "values"} & names for names in held)
+    train, validation, test = plans._sets(spark, "")
+    search = rec.search_ranks(train, validation)
+    errors = {r["rank"]: r.rmse for r in search.errors.collect()}
+    assert {r["rank"]: r.rmse for r in found} == pytest.approx(errors, abs=1e-5)
+    want = rmse(rec.predict(search.best(), test), test, "prediction").first().rmse
+    assert [r["rank"] for r in found if r.chosen] == [search.best().model.rank]
+    assert found[0].test_rmse == pytest.approx(want, abs=1e-5)

@@ -1,7 +1,8 @@
 import os
 
 import pytest
-from conftest import rows
+from conftest import left_behind, rows, shuffles
+from pyspark.sql import functions as F
 
 from harrow import session
 
@@ -63,3 +64,37 @@ def test_tables_in_another_store_stay_to_be_named(spark, monkeypatch):
 
     assert session.materialize_last(build, "last").count() == 1
     assert session.clear_materialized() == ["store://bucket/way"]
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    before = shuffles(spark)
+    stored = session.materialize(spark.range(1000).groupBy(F.col("id") % 7).count(), "counted")
+    assert left_behind(spark, before) == set() and stored.count() == 7
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, "false") == "false"
+
+
+def test_a_query_after_a_stored_one_keeps_its_shuffle_files(spark):
+    counted = spark.range(1000).groupBy(F.col("id") % 7).count()
+    stored = session.materialize(counted, "counted")
+    assert counted.count() == stored.count() == counted.count() == 7
+
+
+def test_discard_deletes_the_tables_read_and_no_others(spark):
+    first = session.materialize(spark.range(5), "first")
+    second = session.materialize(spark.range(7), "second")
+    session.discard(first.filter("id > 1"), first.select(F.col("id") + 1))
+    assert second.count() == 7
+    kept = [path for path in session._written if "/first-" in path or "/second-" in path]
+    assert len(kept) == 1 and "/second-" in kept[0] and os.path.exists(session._local(kept[0]))
+    session.discard(second)
+    assert not os.path.exists(session._local(kept[0]))
+
+
+def test_discarded_tables_may_be_on_the_way_to_another(spark):
+    def build():
+        way = session.materialize(spark.range(4), "way")
+        kept = session.materialize(way.filter("id > 1"), "kept")
+        session.discard(way)
+        return kept
+
+    assert session.materialize_last(build, "last").count() == 2
