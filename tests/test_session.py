@@ -98,3 +98,13 @@ def test_discarded_tables_may_be_on_the_way_to_another(spark):
         return kept
 
     assert session.materialize_last(build, "last").count() == 2
+
+
+def test_tables_are_read_together(spark):
+    parts = [session.materialize(spark.range(10).filter(F.col("id") % 3 == k), "part")
+             for k in range(3)] + [session.materialize(spark.range(0), "part")]
+    whole = session.together(parts)
+    assert rows(whole) == [(i,) for i in range(10)] and "Union" not in whole._jdf.queryExecution().toString()
+    session.discard(parts[1])
+    assert rows(session.together([parts[0], parts[2]])) == [(0,), (2,), (3,), (5,), (6,), (8,), (9,)]
+    assert rows(session.together(parts[3:])) == []

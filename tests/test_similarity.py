@@ -3,8 +3,9 @@ import random
 from collections import Counter
 
 import pytest
-from conftest import rows
+from conftest import left_behind, rows, shuffles
 
+from harrow import session
 from harrow.operators import similarity as sim
 from harrow.operators import skew, weights
 from harrow.session import PART_BYTES
@@ -189,3 +190,24 @@ def test_tables_are_written_in_parts_of_the_text(spark, monkeypatch):
     assert seen == [["8", str(PART_BYTES), str(PART_BYTES)]] * 7
     assert [spark.conf.get(s) for s in settings] == before
     assert {r.id_b for r in pairs.collect()} == {1}
+
+
+@pytest.mark.parametrize("slices", [1, 3])
+def test_the_index_is_made_in_slices_and_leaves_itself_only(case, spark, monkeypatch, slices):
+    want, left, right = case
+    monkeypatch.setattr(sim, "text_parts", lambda _: 12)
+    monkeypatch.setattr(sim, "SLICES", slices)
+    monkeypatch.setattr(sim, "SLICE_PARTS", 2)
+    monkeypatch.setattr(session, "_written", [])
+    made = []
+    monkeypatch.setattr(sim, "materialize", lambda df, name, write=sim.materialize: (
+        made.append(name) or write(df, name)))
+    before = shuffles(spark)
+    index = sim.build_index(left, right, min_similarity=0.05)
+    assert left_behind(spark, before) == set()
+    assert Counter(made[3:]) == {"counts": slices, "units": slices, "index": slices}
+    names = [path.split("/")[-1].rsplit("-", 1)[0] for path in session._written]
+    assert sorted(names) == ["index"] * slices + ["records"]
+    got = {(r.id_a, r.id_b): r.similarity for r in sim.similar_pairs(index).collect()}
+    assert got == {p: pytest.approx(s, abs=2e-6) for p, (s, _) in want.items()
+                   if round(s, 6) >= 0.05}
